@@ -1,0 +1,21 @@
+"""Join strategy helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A dimension side up to this many rows is shipped to every task; beyond it
+# the join falls back to a shuffled sort-merge join (with AQE skew splitting).
+DEFAULT_BROADCAST_MAX_ROWS = 500_000
+
+
+def broadcast_if_small(side: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+    """Hint ``broadcast`` only after proving the side holds <= ``max_rows``.
+
+    The check is a bounded count (``limit(max_rows + 1)``), so it never reads
+    more than the bound past the side's own upstream work. Beyond the bound the
+    side is returned unhinted and Catalyst/AQE pick a shuffled join.
+    """
+    n = side.limit(max_rows + 1).count()
+    return F.broadcast(side) if n <= max_rows else side
