@@ -74,3 +74,11 @@ def percent_of(part: Column, total: Column) -> Column:
     total0 = F.coalesce(total, F.lit(0))
     return (F.when(total0 > 0, F.round(part0 / total0 * 100, 1))
             .otherwise(F.lit(0.0)))
+
+
+def partition_from_path(path: Column) -> tuple[Column, Column]:
+    """``event_date`` and ``event_hour`` parsed out of a Hive-style file path
+    (fallback when a layout is read without partition discovery)."""
+    day = F.split_part(F.split_part(path, F.lit("event_date="), F.lit(2)), F.lit("/"), F.lit(1))
+    hour = F.split_part(F.split_part(path, F.lit("event_hour="), F.lit(2)), F.lit("/"), F.lit(1))
+    return day.try_cast("date"), hour.try_cast("int")

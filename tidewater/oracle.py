@@ -161,3 +161,295 @@ register("stg_events", "SELECT * FROM stg", "stg")
 register("push_events", "SELECT * FROM stg WHERE event_type = 'PushEvent'", "stg")
 register("events_classified", "SELECT * FROM classified", "classified")
 register("contributor_trends", "SELECT * FROM trends", "trends")
+
+_cte("lake_lines", """
+SELECT '{"id":"' || CAST(event_id AS VARCHAR) || '","type":"' || event_type
+       || '","actor":{"url":"u' || CAST(user_id AS VARCHAR)
+       || '","login":"user' || CAST(user_id AS VARCHAR)
+       || '","display_login":"D' || CAST(user_id AS VARCHAR)
+       || '","gravatar_id":"","zzz_extra":1,"avatar_url":"a' || CAST(user_id AS VARCHAR)
+       || '","id":' || CAST(user_id AS VARCHAR)
+       || '},"repo":{"id":' || CAST({K} AS VARCHAR) || ',"name":"org/repo'
+       || CAST({K} AS VARCHAR) || '","url":"r"},"payload":' || props
+       || ',"public":' || CASE WHEN event_id % 2 = 0 THEN 'true' ELSE 'false' END
+       || ',"created_at":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S') || 'Z"'
+       || CASE WHEN user_id % 3 = 0 THEN ''
+            ELSE ',"org":{"id":' || CAST(user_id % 3 AS VARCHAR)
+                 || ',"login":"o","gravatar_id":"","url":"ou","avatar_url":"oa"}' END
+       || '}' AS line
+FROM events""")
+
+_cte("lake", """
+SELECT json_extract_string(line, '$.id') AS id,
+       json_extract_string(line, '$.type') AS type,
+       CAST(json_extract_string(line, '$.actor.id') AS BIGINT) AS actor_id,
+       json_extract_string(line, '$.actor.login') AS actor_login,
+       json_extract_string(line, '$.actor.display_login') AS actor_display_login,
+       json_extract_string(line, '$.actor.gravatar_id') AS actor_gravatar_id,
+       json_extract_string(line, '$.actor.url') AS actor_url,
+       json_extract_string(line, '$.actor.avatar_url') AS actor_avatar_url,
+       CAST(json_extract_string(line, '$.repo.id') AS BIGINT) AS repo_id,
+       json_extract_string(line, '$.repo.name') AS repo_name,
+       json_extract_string(line, '$.repo.url') AS repo_url,
+       CAST(json_extract(line, '$.payload') AS VARCHAR) AS payload,
+       CAST(json_extract_string(line, '$.public') AS BOOLEAN) AS public,
+       CAST(json_extract_string(line, '$.created_at') AS TIMESTAMP) AS created_at,
+       CAST(json_extract_string(line, '$.org.id') AS BIGINT) AS org_id,
+       json_extract_string(line, '$.org.login') AS org_login,
+       json_extract_string(line, '$.org.gravatar_id') AS org_gravatar_id,
+       json_extract_string(line, '$.org.url') AS org_url,
+       json_extract_string(line, '$.org.avatar_url') AS org_avatar_url
+FROM lake_lines""", "lake_lines")
+
+_cte("api", """
+SELECT enriched_date,
+       replace(replace(value, '"is_fork":', '"fork":'), ',"topics":["promo","Brand#7"]', '')
+         AS value
+FROM raw_repo""", "raw_repo")
+
+_cte("api_proj", """
+SELECT json_extract_string(value, '$.full_name') AS full_name,
+       json_extract_string(value, '$.language') AS language,
+       CASE WHEN list_contains(json_keys(value), 'topics')
+            THEN CAST(json_extract(value, '$.topics') AS VARCHAR[])
+            ELSE CAST([] AS VARCHAR[]) END AS topics,
+       CAST(json_extract_string(value, '$.stargazers_count') AS INTEGER) AS stargazers_count,
+       CAST(json_extract_string(value, '$.forks_count') AS INTEGER) AS forks_count,
+       CAST(json_extract_string(value, '$.fork') AS BOOLEAN) AS is_fork,
+       json_extract_string(value, '$.created_at') AS created_at,
+       json_extract_string(value, '$.description') AS description,
+       enriched_date
+FROM api""", "api")
+
+_cte("metric", """
+SELECT event_date, language, CAST(SUM(event_count) AS BIGINT) AS total_events
+FROM lang GROUP BY event_date, language
+ORDER BY event_date DESC, language ASC LIMIT 500""", "lang")
+
+
+def trends_sql(where: str, batched_at: str) -> str:
+    return (f"SELECT event_date, contributor_type, COUNT(*) AS event_count, "
+            f"COUNT(DISTINCT actor_login) AS unique_contributors, "
+            f"TIMESTAMP '{batched_at}' AS _sdc_batched_at "
+            f"FROM classified WHERE {where} GROUP BY event_date, contributor_type")
+
+
+def lang_sql(where: str, batched_at: str) -> str:
+    return (f"SELECT event_date, language, contributor_type, COUNT(*) AS event_count, "
+            f"COUNT(DISTINCT actor_login) AS unique_contributors, "
+            f"COUNT(DISTINCT repo_name) AS unique_repos, "
+            f"TIMESTAMP '{batched_at}' AS _sdc_batched_at "
+            f"FROM (SELECT event_date, event_hour, COALESCE(language, 'unknown') AS language, "
+            f"contributor_type, actor_login, repo_name FROM enriched) e "
+            f"WHERE language != 'unknown' AND {where} "
+            f"GROUP BY event_date, language, contributor_type")
+
+
+def merge_sql(first: str, batch: str, keys: list[str]) -> str:
+    """Keyed delete+insert: first-run rows whose key is absent from the batch,
+    plus the batch."""
+    cond = " AND ".join(f"b.{k} = f.{k}" for k in keys)
+    return (f"SELECT * FROM ({first}) f WHERE NOT EXISTS "
+            f"(SELECT 1 FROM ({batch}) b WHERE {cond}) "
+            f"UNION ALL SELECT * FROM ({batch}) b2")
+
+
+LATE_FIRST = "event_hour < 22 AND event_date <= DATE '2024-01-26'"
+LATE_BATCH = "event_date BETWEEN DATE '2024-01-25' AND DATE '2024-01-27'"
+AT_0127, AT_0128 = "2024-01-27 06:00:00", "2024-01-28 06:00:00"
+TKEYS = ["event_date", "contributor_type"]
+LKEYS = ["event_date", "language", "contributor_type"]
+SERVE_RANGE = ("created_at >= TIMESTAMP '2024-01-01 00:00:00' "
+               "AND created_at < TIMESTAMP '2024-01-15 00:00:00'")
+
+
+def _file_key(day: str, hour: str) -> str:
+    return (f"'raw/events/event_date=' || strftime({day}, '%Y-%m-%d') || '/event_hour=' || "
+            f"CAST({hour} AS VARCHAR) || '/' || strftime({day}, '%Y-%m-%d') || '-' || "
+            f"CAST({hour} AS VARCHAR) || '.json.gz'")
+
+
+register("path_partitions", """
+SELECT file_path,
+       CAST(split_part(split_part(file_path, 'event_date=', 2), '/', 1) AS DATE) AS event_date,
+       CAST(split_part(split_part(file_path, 'event_hour=', 2), '/', 1) AS INTEGER) AS event_hour,
+       n_events
+FROM (SELECT """ + _file_key("event_date", "event_hour") + """ AS file_path,
+             COUNT(*) AS n_events
+      FROM raw_ev GROUP BY 1) f""", "raw_ev")
+register("repo_snapshot_scan", """
+SELECT enriched_date, repo_full_name AS full_name, language, topics, stargazers_count,
+       forks_count, is_fork, repo_created_at AS created_at, description
+FROM repo_typed""", "repo_typed")
+register("date_range_scan", """
+SELECT event_date, event_hour, raw_event FROM raw_ev
+WHERE event_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-11'""", "raw_ev")
+register("normalize_nested_events", "SELECT * FROM lake", "lake")
+register("missing_dates", """
+SELECT CAST(d AS DATE) AS missing_date
+FROM generate_series(TIMESTAMP '2023-12-30 00:00:00', TIMESTAMP '2024-02-02 00:00:00',
+                     INTERVAL 1 DAY) t(d)
+WHERE CAST(d AS DATE) NOT IN (SELECT DISTINCT CAST(ts AS DATE) FROM events
+                              WHERE ts IS NOT NULL)""")
+register("time_range_scan", """
+SELECT id, type, created_at FROM lake
+WHERE created_at >= TIMESTAMP '2024-01-03 00:00:00'
+  AND created_at < TIMESTAMP '2024-01-10 00:00:00'""", "lake")
+register("stg_repo_metadata_typed", """
+SELECT repo_full_name, language, topics, stargazers_count, forks_count, is_fork,
+       repo_created_at, description, enriched_date
+FROM repo_typed""", "repo_typed")
+register("stg_repo_metadata", "SELECT * FROM repo_latest", "repo_latest")
+register("payload_extract", """
+SELECT id, CAST(json_extract_string(payload, '$.k') AS INTEGER) AS payload_k
+FROM lake""", "lake")
+register("repo_name_split", """
+SELECT repo_name,
+       substr(repo_name, 1, strpos(repo_name, '/') - 1) AS owner,
+       substr(repo_name, strpos(repo_name, '/') + 1) AS repo
+FROM (SELECT repo_name, COUNT(*) AS bot_push_count FROM classified
+      WHERE contributor_type = 'bot' GROUP BY repo_name
+      ORDER BY bot_push_count DESC, repo_name ASC LIMIT 100) t
+WHERE strpos(repo_name, '/') > 0""", "classified")
+register("repo_record_projection", "SELECT * FROM api_proj", "api_proj")
+register("previous_hour", """
+SELECT event_id, date_trunc('hour', ts - INTERVAL 1 HOUR) AS target_hour FROM events""")
+register("landing_key", """
+SELECT event_id, """ + _file_key("h", "hour(h)") + """ AS landing_key
+FROM (SELECT event_id, date_trunc('hour', ts - INTERVAL 1 HOUR) AS h FROM events) t""")
+register("events_enriched", """
+SELECT event_date, event_hour, event_id, event_type, created_at, actor_login, actor_type,
+       repo_name, is_bot, contributor_type, language, topics
+FROM enriched""", "enriched")
+register("enrichment_coverage", """
+SELECT COUNT(*) AS total_events,
+       COUNT(*) FILTER (WHERE matched) AS matched_events,
+       COUNT(*) FILTER (WHERE NOT matched) AS unmatched_events,
+       COUNT(*) FILTER (WHERE language IS NULL) AS null_language_events
+FROM enriched""", "enriched")
+register("language_activity", "SELECT * FROM lang", "lang")
+register("trends_lookback_batch",
+         trends_sql("event_date BETWEEN DATE '2024-01-27' AND DATE '2024-01-29'",
+                    "2024-01-30 06:00:00"), "classified")
+register("language_lookback_batch",
+         lang_sql("event_date BETWEEN DATE '2024-01-27' AND DATE '2024-01-29'",
+                  "2024-01-30 06:00:00"), "enriched")
+register("trends_late_data_repair",
+         merge_sql(trends_sql(LATE_FIRST, AT_0127), trends_sql(LATE_BATCH, AT_0128), TKEYS),
+         "classified")
+register("trends_delete_insert",
+         merge_sql(trends_sql(LATE_FIRST, AT_0127),
+                   trends_sql(LATE_BATCH + " AND NOT (event_date = DATE '2024-01-26' "
+                              "AND contributor_type = 'bot')", AT_0128), TKEYS),
+         "classified")
+register("trends_full_then_incremental",
+         merge_sql(trends_sql("event_date <= DATE '2024-01-19'", "2024-01-20 06:00:00"),
+                   trends_sql("event_date BETWEEN DATE '2024-01-27' AND DATE '2024-01-29'",
+                              "2024-01-30 06:00:00"), TKEYS),
+         "classified")
+register("language_delete_insert",
+         merge_sql(lang_sql(LATE_FIRST, AT_0127), lang_sql(LATE_BATCH, AT_0128), LKEYS),
+         "enriched")
+register("schema_sync",
+         merge_sql("SELECT event_date, contributor_type, event_count, "
+                   "CAST(NULL AS BIGINT) AS unique_contributors, _sdc_batched_at FROM ("
+                   + trends_sql(LATE_FIRST, AT_0127) + ") s",
+                   trends_sql(LATE_BATCH, AT_0128), TKEYS),
+         "classified")
+register("summary_metrics", """
+SELECT CAST(COALESCE(SUM(event_count), 0) AS BIGINT) AS total_events,
+       MIN(event_date) AS min_date, MAX(event_date) AS max_date,
+       CAST(COALESCE(SUM(CASE WHEN contributor_type = 'human' THEN event_count ELSE 0 END), 0)
+            AS BIGINT) AS human_events,
+       CAST(COALESCE(SUM(CASE WHEN contributor_type = 'bot' THEN event_count ELSE 0 END), 0)
+            AS BIGINT) AS bot_events,
+       CASE WHEN COALESCE(SUM(event_count), 0) > 0
+            THEN round(COALESCE(SUM(CASE WHEN contributor_type = 'human' THEN event_count
+                                         ELSE 0 END), 0) / SUM(event_count) * 100, 1)
+            ELSE 0.0 END AS pct_human,
+       CASE WHEN COALESCE(SUM(event_count), 0) > 0
+            THEN round(COALESCE(SUM(CASE WHEN contributor_type = 'bot' THEN event_count
+                                         ELSE 0 END), 0) / SUM(event_count) * 100, 1)
+            ELSE 0.0 END AS pct_bot,
+       MAX(_sdc_batched_at) AS last_updated
+FROM trends""", "trends")
+register("total_repos", """
+SELECT CAST(COALESCE(SUM(unique_repos), 0) AS BIGINT) AS total_unique_repos FROM lang""",
+         "lang")
+register("top_languages", """
+SELECT language, CAST(SUM(event_count) AS BIGINT) AS total_push_events FROM lang
+GROUP BY language ORDER BY total_push_events DESC, language ASC LIMIT 5""", "lang")
+register("top_languages_by_repos", """
+SELECT language, CAST(SUM(unique_repos) AS BIGINT) AS total_unique_repos FROM lang
+GROUP BY language ORDER BY total_unique_repos DESC, language ASC LIMIT 5""", "lang")
+register("top_bot_repos", """
+SELECT repo_name, COUNT(*) AS bot_push_count FROM classified
+WHERE contributor_type = 'bot' GROUP BY repo_name
+ORDER BY bot_push_count DESC, repo_name ASC LIMIT 100""", "classified")
+register("metric_query_language_day", "SELECT * FROM metric", "metric")
+register("language_day_pivot", "SELECT event_date, " + ", ".join(
+    f"CAST(SUM(CASE WHEN language = '{x}' THEN total_events END) AS BIGINT) AS \"{x}\""
+    for x in ["Go", "JavaScript", "Python", "Rust", "TypeScript"])
+    + " FROM metric GROUP BY event_date", "metric")
+register("contributor_trends_chart", """
+SELECT event_date,
+       CAST(SUM(CASE WHEN contributor_type = 'bot' THEN event_count END) AS BIGINT) AS bot,
+       CAST(SUM(CASE WHEN contributor_type = 'human' THEN event_count END) AS BIGINT) AS human
+FROM (SELECT * FROM trends ORDER BY event_date, contributor_type LIMIT 500) t
+GROUP BY event_date""", "trends")
+register("contributor_trends_select", """
+SELECT * FROM trends ORDER BY event_date, contributor_type LIMIT 500""", "trends")
+register("events_per_day", """
+SELECT CAST(created_at AS DATE) AS event_date, COUNT(*) AS event_count FROM lake
+WHERE """ + SERVE_RANGE + """ GROUP BY 1 ORDER BY 1""", "lake")
+register("top_event_types", """
+SELECT type, COUNT(*) AS event_count FROM lake WHERE """ + SERVE_RANGE + """
+GROUP BY type ORDER BY event_count DESC, type ASC LIMIT 10""", "lake")
+register("row_count", "SELECT COUNT(*) AS row_count FROM lake", "lake")
+register("load_events_overwrite", """
+SELECT id, type, actor_login, repo_name, payload, public, created_at, org_id,
+       CAST(created_at AS DATE) AS created_date
+FROM lake""", "lake")
+register("load_rerun_idempotent", """
+SELECT CAST(created_at AS DATE) AS created_date, COUNT(*) AS event_count FROM lake
+WHERE CAST(created_at AS DATE) NOT BETWEEN DATE '2024-01-05' AND DATE '2024-01-06'
+   OR CAST(id AS BIGINT) % 2 = 0
+GROUP BY 1""", "lake")
+register("load_reconciliation", """
+SELECT CAST(created_at AS DATE) AS event_date, COUNT(*) AS source_count,
+       COUNT(*) AS target_count, CAST(0 AS BIGINT) AS delta
+FROM lake GROUP BY 1""", "lake")
+register("repo_snapshot_write", """
+SELECT full_name AS repo_full_name, language, topics, stargazers_count, forks_count, is_fork,
+       CAST(created_at AS TIMESTAMP) AS repo_created_at, description, enriched_date
+FROM api_proj
+WHERE enriched_date <> DATE '2024-01-28' OR stargazers_count >= 2500""", "api_proj")
+register("stream_file_ingest", "SELECT * FROM stg", "stg")
+
+
+def _dq_sql(model: str, source: str) -> str:
+    from tidewater.operators.quality import RULES
+
+    parts = []
+    for r in RULES[model]:
+        head = f"SELECT '{model}' AS model, '{r.column}' AS column_name, '{r.rule}' AS rule, "
+        if r.rule == "not_null":
+            parts.append(head + f"COUNT(*) FILTER (WHERE {r.column} IS NULL) AS failures "
+                                f"FROM {source}")
+        elif r.rule == "accepted_values":
+            vals = ", ".join(f"'{v}'" for v in r.values)
+            parts.append(head + f"COUNT(*) FILTER (WHERE NOT ({r.column} IN ({vals}))) "
+                                f"AS failures FROM {source}")
+        else:
+            parts.append(head + f"COUNT(*) AS failures FROM (SELECT {r.column} FROM {source} "
+                                f"WHERE {r.column} IS NOT NULL GROUP BY {r.column} "
+                                f"HAVING COUNT(*) > 1) d")
+    return "\nUNION ALL\n".join(parts)
+
+
+register("dq_stg_events", _dq_sql("stg_events", "stg"), "stg")
+register("dq_repo_metadata", _dq_sql("stg_repo_metadata", "repo_latest"), "repo_latest")
+register("dq_classified", _dq_sql("events_classified", "classified"), "classified")
+register("dq_enriched", _dq_sql("events_enriched", "enriched"), "enriched")
+register("dq_trends", _dq_sql("contributor_trends", "trends"), "trends")
+register("dq_language", _dq_sql("language_activity", "lang"), "lang")

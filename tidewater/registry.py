@@ -13,9 +13,17 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.operators import intermediate, marts, staging
-from tidewater.session import ensure_utc
-from tidewater.sources import fixtures
+from pyspark.sql import functions as F
+
+from tidewater import schemas
+from tidewater.functions import landing_key, previous_full_hour, repo_name_parts
+from tidewater.functions.columns import partition_from_path
+from tidewater.operators import intermediate, lake, marts, quality, serving, staging
+from tidewater.plans import lake_load, sinks
+from tidewater.plans.marts import read_mart, run_mart
+from tidewater.session import ensure_utc, scratch_path
+from tidewater.sources import files, fixtures
+from tidewater.streaming import file_ingest
 
 AS_OF = dt.date(2024, 1, 30)
 BATCHED_AT = dt.datetime(2024, 1, 30, 6, 0, 0)
@@ -63,6 +71,52 @@ def language_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.language_activity(enriched(spark, sf_dir), AS_OF, batched_at=BATCHED_AT)
 
 
+def lake_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Normalized lake events straight from the fixture lines (no write)."""
+    return lake.normalize_events(fixtures.raw_lake_lines(spark, sf_dir))
+
+
+def data_days(spark: SparkSession, sf_dir: str) -> tuple[dt.date, dt.date]:
+    """First and last UTC day present in the driver events (whole table)."""
+    r = fixtures.driver_events(spark, sf_dir).agg(F.min("ts"), F.max("ts")).first()
+    return r[0].date(), r[1].date()
+
+
+_LAKE_TABLES: dict[tuple[str, str], str] = {}
+
+
+def lake_table(spark: SparkSession, sf_dir: str) -> str:
+    """Location of the loaded lake table for ``sf_dir`` (loaded once per
+    application into the shared scratch folder)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    loc = _LAKE_TABLES.get(key)
+    if loc is None or not sinks.table_exists(spark, loc):
+        loc = scratch_path(spark, "lake-events")
+        start, end = data_days(spark, sf_dir)
+        lake_load.write_events(spark, lake_events(spark, sf_dir), loc, start, end)
+        _LAKE_TABLES[key] = loc
+    return loc
+
+
+def _ntz(df: DataFrame, *cols: str) -> DataFrame:
+    for c in cols:
+        df = df.withColumn(c, F.col(c).cast("timestamp_ntz"))
+    return df
+
+
+LAKE_FLAT_COLUMNS = ["id", "type", "actor_id", "actor_login", "actor_display_login",
+                     "actor_gravatar_id", "actor_url", "actor_avatar_url", "repo_id", "repo_name",
+                     "repo_url", "payload", "public", "created_at", "org_id", "org_login",
+                     "org_gravatar_id", "org_url", "org_avatar_url"]
+
+# The serving time range (half-open) and the scan range.
+SERVE_START, SERVE_END = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 15)
+SCAN_START, SCAN_END = dt.datetime(2024, 1, 3), dt.datetime(2024, 1, 10)
+RANGE_START, RANGE_END = dt.date(2024, 1, 5), dt.date(2024, 1, 11)
+GUARD_START, GUARD_END = dt.date(2023, 12, 30), dt.date(2024, 2, 2)
+PIVOT_LANGUAGES = ["Go", "JavaScript", "Python", "Rust", "TypeScript"]
+
+
 # -- sources and staging -----------------------------------------------------
 
 @query("raw_event_scan")
@@ -71,13 +125,112 @@ def q_raw_event_scan(spark, sf_dir):
     return fixtures.raw_events(spark, sf_dir)
 
 
+@query("path_partitions")
+def q_path_partitions(spark, sf_dir):
+    """OP-S2: date and hour parsed back out of each hourly file key."""
+    raw = fixtures.raw_events(spark, sf_dir)
+    hour_ts = F.make_timestamp_ntz(F.year("event_date"), F.month("event_date"),
+                                   F.dayofmonth("event_date"), F.col("event_hour"),
+                                   F.lit(0), F.lit(0))
+    per_file = (raw.groupBy(landing_key(hour_ts).alias("file_path"))
+                   .agg(F.count(F.lit(1)).alias("n_events")))
+    d, h = partition_from_path(F.col("file_path"))
+    return per_file.select("file_path", d.alias("event_date"), h.alias("event_hour"), "n_events")
+
+
+@query("repo_snapshot_scan")
+def q_repo_snapshot_scan(spark, sf_dir):
+    """OP-S3: typed repo snapshot columns with the path date."""
+    t = staging.stg_repo_metadata_typed(fixtures.raw_repo_snapshots(spark, sf_dir))
+    return t.select("enriched_date", F.col("repo_full_name").alias("full_name"), "language",
+                    "topics", "stargazers_count", "forks_count", "is_fork",
+                    F.col("repo_created_at").alias("created_at"), "description")
+
+
+@query("date_range_scan")
+def q_date_range_scan(spark, sf_dir):
+    """OP-S4: inclusive day-range scan (bound pushed to the scan)."""
+    files.date_range(RANGE_START, RANGE_END)
+    return fixtures.raw_events(spark, sf_dir, RANGE_START, RANGE_END)
+
+
+@query("normalize_nested_events")
+def q_normalize_nested_events(spark, sf_dir):
+    """OP-S5/P12: nested events normalized by field name, flattened."""
+    return _ntz(lake.flatten(lake_events(spark, sf_dir)), "created_at")
+
+
+@query("missing_dates")
+def q_missing_dates(spark, sf_dir):
+    """OP-S6: requested days without landed data."""
+    landed = fixtures.raw_events(spark, sf_dir).select("event_date").distinct()
+    return files.missing_dates(spark, landed, GUARD_START, GUARD_END)
+
+
+@query("time_range_scan")
+def q_time_range_scan(spark, sf_dir):
+    """OP-S8/F5: half-open created_at range on the lake table, day-pruned."""
+    t = spark.read.parquet(lake_table(spark, sf_dir))
+    return _ntz(lake.time_range(t, SCAN_START, SCAN_END).select("id", "type", "created_at"),
+                "created_at")
+
+
 @query("stg_events")
 def q_stg_events(spark, sf_dir):
     """OP-P1: typed JSON path extraction of the staged events."""
     return stg(spark, sf_dir)
 
 
-# -- filters and intermediate ------------------------------------------------
+@query("stg_repo_metadata_typed")
+def q_stg_repo_metadata_typed(spark, sf_dir):
+    """OP-P2: typed extraction of every repo snapshot record."""
+    return staging.stg_repo_metadata_typed(fixtures.raw_repo_snapshots(spark, sf_dir))
+
+
+@query("stg_repo_metadata")
+def q_stg_repo_metadata(spark, sf_dir):
+    """OP-W1: latest record per repository."""
+    return latest_meta(spark, sf_dir)
+
+
+# -- projections and scalar functions -----------------------------------------
+
+@query("payload_extract")
+def q_payload_extract(spark, sf_dir):
+    """OP-P7: payload kept as JSON text, parsed on demand."""
+    t = spark.read.parquet(lake_table(spark, sf_dir))
+    return t.select("id", lake.payload_field(F.col("payload"), "$.k", "int").alias("payload_k"))
+
+
+@query("repo_name_split")
+def q_repo_name_split(spark, sf_dir):
+    """OP-P9/F8: request list of the top bot repos split into owner/repo."""
+    top = serving.top_bot_repos(classified(spark, sf_dir), 100)
+    owner, repo, ok = repo_name_parts(F.col("repo_name"))
+    return top.filter(ok).select("repo_name", owner.alias("owner"), repo.alias("repo"))
+
+
+@query("repo_record_projection")
+def q_repo_record_projection(spark, sf_dir):
+    """OP-P10: API record projection with renames and default topics."""
+    return staging.repo_record_projection(fixtures.api_repo_records(spark, sf_dir))
+
+
+@query("previous_hour")
+def q_previous_hour(spark, sf_dir):
+    """Most recently completed hour before each event time."""
+    ev = fixtures.driver_events(spark, sf_dir)
+    return ev.select("event_id", previous_full_hour(F.col("ts")).alias("target_hour"))
+
+
+@query("landing_key")
+def q_landing_key(spark, sf_dir):
+    """Object key of the hourly file to fetch for each event time."""
+    ev = fixtures.driver_events(spark, sf_dir)
+    return ev.select("event_id", landing_key(previous_full_hour(F.col("ts"))).alias("landing_key"))
+
+
+# -- filters, intermediate, joins ---------------------------------------------
 
 @query("push_events")
 def q_push_events(spark, sf_dir):
@@ -91,9 +244,315 @@ def q_events_classified(spark, sf_dir):
     return classified(spark, sf_dir)
 
 
+@query("events_enriched")
+def q_events_enriched(spark, sf_dir):
+    """OP-J1: left join of classified events to the latest repo metadata."""
+    return enriched(spark, sf_dir)
+
+
+@query("enrichment_coverage")
+def q_enrichment_coverage(spark, sf_dir):
+    """OP-J3: matched versus unmatched rows of the enrichment join."""
+    return intermediate.enrichment_coverage(enriched(spark, sf_dir, with_match_flag=True))
+
+
 # -- marts -------------------------------------------------------------------
 
 @query("contributor_trends")
 def q_contributor_trends(spark, sf_dir):
     """OP-A1/F2: daily contributor trends, full build as of 2024-01-30."""
     return trends_mart(spark, sf_dir)
+
+
+@query("language_activity")
+def q_language_activity(spark, sf_dir):
+    """OP-A2/P5/F4: daily language activity, full build as of 2024-01-30."""
+    return language_mart(spark, sf_dir)
+
+
+@query("trends_lookback_batch")
+def q_trends_lookback_batch(spark, sf_dir):
+    """OP-F3: the batch an incremental run as of 2024-01-30 recomputes."""
+    return marts.contributor_trends(classified(spark, sf_dir), AS_OF, incremental=True,
+                                    batched_at=BATCHED_AT)
+
+
+@query("language_lookback_batch")
+def q_language_lookback_batch(spark, sf_dir):
+    """OP-F3: the language batch of an incremental run as of 2024-01-30."""
+    return marts.language_activity(enriched(spark, sf_dir), AS_OF, incremental=True,
+                                   batched_at=BATCHED_AT)
+
+
+# The late-data scenario (first build over hours < 22 as of
+# 01-27, then an incremental run over all hours as of 01-28).
+LATE_FIRST_AS_OF, LATE_SECOND_AS_OF = dt.date(2024, 1, 27), dt.date(2024, 1, 28)
+LATE_FIRST_AT = dt.datetime(2024, 1, 27, 6, 0, 0)
+LATE_SECOND_AT = dt.datetime(2024, 1, 28, 6, 0, 0)
+VANISHED_DAY = dt.date(2024, 1, 26)
+
+
+def _two_runs(spark, spec, first_source, second_source, columns, first_as_of=LATE_FIRST_AS_OF,
+              second_as_of=LATE_SECOND_AS_OF, first_at=LATE_FIRST_AT, second_at=LATE_SECOND_AT):
+    loc = scratch_path(spark, spec.name)
+    run_mart(spark, spec, first_source, loc, first_as_of, batched_at=first_at)
+    run_mart(spark, spec, second_source, loc, second_as_of, batched_at=second_at)
+    return read_mart(spark, loc, columns)
+
+
+TRENDS_COLUMNS = ["event_date", "contributor_type", "event_count", "unique_contributors",
+                  "_sdc_batched_at"]
+LANGUAGE_COLUMNS = ["event_date", "language", "contributor_type", "event_count",
+                    "unique_contributors", "unique_repos", "_sdc_batched_at"]
+
+
+@query("trends_late_data_repair")
+def q_trends_late_data_repair(spark, sf_dir):
+    """OP-M2/K3: late rows of the last three days repaired by the rerun."""
+    c = classified(spark, sf_dir)
+    return _two_runs(spark, marts.TRENDS, c.filter(F.col("event_hour") < 22), c, TRENDS_COLUMNS)
+
+
+@query("trends_delete_insert")
+def q_trends_delete_insert(spark, sf_dir):
+    """OP-K3/J2: keyed delete+insert; a key vanished from the rerun stays."""
+    c = classified(spark, sf_dir)
+    second = c.filter(~((F.col("event_date") == F.lit(VANISHED_DAY))
+                        & (F.col("contributor_type") == "bot")))
+    return _two_runs(spark, marts.TRENDS, c.filter(F.col("event_hour") < 22), second,
+                     TRENDS_COLUMNS)
+
+
+@query("trends_full_then_incremental")
+def q_trends_full_then_incremental(spark, sf_dir):
+    """OP-M3: the first run builds everything, the next only its lookback."""
+    c = classified(spark, sf_dir)
+    return _two_runs(spark, marts.TRENDS, c, c, TRENDS_COLUMNS,
+                     first_as_of=dt.date(2024, 1, 20), second_as_of=AS_OF,
+                     first_at=dt.datetime(2024, 1, 20, 6, 0, 0), second_at=BATCHED_AT)
+
+
+@query("language_delete_insert")
+def q_language_delete_insert(spark, sf_dir):
+    """OP-K4: keyed merge of the language mart (late-data scenario)."""
+    e = enriched(spark, sf_dir)
+    return _two_runs(spark, marts.LANGUAGE, e.filter(F.col("event_hour") < 22), e,
+                     LANGUAGE_COLUMNS)
+
+
+@query("schema_sync")
+def q_schema_sync(spark, sf_dir):
+    """OP-K7: target missing a column and carrying an extra one is synced
+    to the batch's columns on the incremental merge."""
+    c = classified(spark, sf_dir)
+    loc = scratch_path(spark, "trends-sync")
+    old = (marts.contributor_trends(c.filter(F.col("event_hour") < 22), LATE_FIRST_AS_OF,
+                                    batched_at=LATE_FIRST_AT)
+           .drop("unique_contributors").withColumn("old", F.lit("x")))
+    sinks.write_full(spark, loc, old, "event_date", operation="create")
+    run_mart(spark, marts.TRENDS, c, loc, LATE_SECOND_AS_OF, batched_at=LATE_SECOND_AT)
+    return read_mart(spark, loc, TRENDS_COLUMNS)
+
+
+# -- serving ------------------------------------------------------------------
+
+@query("summary_metrics")
+def q_summary_metrics(spark, sf_dir):
+    """OP-A3/A4: totals, range and percent split over the trends mart."""
+    return serving.summary_metrics(trends_mart(spark, sf_dir))
+
+
+@query("total_repos")
+def q_total_repos(spark, sf_dir):
+    """OP-A5: sum of daily distinct repos, NULL -> 0."""
+    return serving.total_repos(language_mart(spark, sf_dir))
+
+
+@query("top_languages")
+def q_top_languages(spark, sf_dir):
+    """OP-L3: top 5 languages by push events."""
+    return serving.top_languages(language_mart(spark, sf_dir))
+
+
+@query("top_languages_by_repos")
+def q_top_languages_by_repos(spark, sf_dir):
+    """OP-L4: top 5 languages by summed distinct repos."""
+    return serving.top_languages_by_repos(language_mart(spark, sf_dir))
+
+
+@query("top_bot_repos")
+def q_top_bot_repos(spark, sf_dir):
+    """OP-L1/F7: top 100 repos by bot pushes."""
+    return serving.top_bot_repos(classified(spark, sf_dir), 100)
+
+
+def _language_day_metric(spark, sf_dir) -> DataFrame:
+    return serving.metric_query(language_mart(spark, sf_dir), ["event_date", "language"],
+                                ["total_events"], [serving.Sort("event_date", True)], 500)
+
+
+@query("metric_query_language_day")
+def q_metric_query_language_day(spark, sf_dir):
+    """OP-A9/L5: total_events by day and language, date desc, limit 500."""
+    return _language_day_metric(spark, sf_dir)
+
+
+@query("language_day_pivot")
+def q_language_day_pivot(spark, sf_dir):
+    """OP-A10: one series per language over the metric query rows."""
+    return serving.pivot_series(_language_day_metric(spark, sf_dir), "event_date", "language",
+                                "total_events", PIVOT_LANGUAGES)
+
+
+@query("contributor_trends_chart")
+def q_contributor_trends_chart(spark, sf_dir):
+    """OP-A11: SUM(event_count) per day, one series per contributor type."""
+    return serving.contributor_trends_series(trends_mart(spark, sf_dir))
+
+
+@query("contributor_trends_select")
+def q_contributor_trends_select(spark, sf_dir):
+    """OP-P11/L6: star projection of the mart, total order, limit 500."""
+    return serving.select_all_limited(trends_mart(spark, sf_dir),
+                                      ["event_date", "contributor_type"], 500)
+
+
+@query("events_per_day")
+def q_events_per_day(spark, sf_dir):
+    """OP-A6/P6: rows per day over a half-open range of the lake table."""
+    t = spark.read.parquet(lake_table(spark, sf_dir))
+    return lake.events_per_day(lake.time_range(t, SERVE_START, SERVE_END))
+
+
+@query("top_event_types")
+def q_top_event_types(spark, sf_dir):
+    """OP-L2: top 10 event types over the range."""
+    t = spark.read.parquet(lake_table(spark, sf_dir))
+    return lake.top_event_types(lake.time_range(t, SERVE_START, SERVE_END), 10)
+
+
+@query("row_count")
+def q_row_count(spark, sf_dir):
+    """OP-A7: total rows of the lake table."""
+    return lake.row_count(spark.read.parquet(lake_table(spark, sf_dir)))
+
+
+# -- loads and sinks -----------------------------------------------------------
+
+@query("load_events_overwrite")
+def q_load_events_overwrite(spark, sf_dir):
+    """OP-K1/K2: load into a day-partitioned Parquet table; read back."""
+    loc = scratch_path(spark, "lake-load")
+    start, end = data_days(spark, sf_dir)
+    lake_load.write_events(spark, lake_events(spark, sf_dir), loc, start, end)
+    t = spark.read.parquet(loc)
+    return t.select("id", "type", F.col("actor.login").alias("actor_login"),
+                    F.col("repo.name").alias("repo_name"), "payload", "public",
+                    F.col("created_at").cast("timestamp_ntz").alias("created_at"),
+                    F.col("org.id").alias("org_id"), "created_date")
+
+
+RELOAD_START, RELOAD_END = dt.date(2024, 1, 5), dt.date(2024, 1, 6)
+
+
+def _rerun_scenario(spark, sf_dir) -> str:
+    loc = scratch_path(spark, "lake-rerun")
+    start, end = data_days(spark, sf_dir)
+    lake_load.write_events(spark, lake_events(spark, sf_dir), loc, start, end)
+    even = lake.normalize_events(
+        fixtures.raw_lake_lines(spark, sf_dir, RELOAD_START, RELOAD_END)
+        .filter(F.get_json_object("line", "$.id").cast("bigint") % 2 == 0))
+    for _ in range(2):  # the second identical rerun must change nothing
+        lake_load.write_events(spark, even, loc, RELOAD_START, RELOAD_END)
+    return loc
+
+
+@query("load_rerun_idempotent")
+def q_load_rerun_idempotent(spark, sf_dir):
+    """OP-K2/M4: rerun of two days replaces exactly those days; repeatable."""
+    t = spark.read.parquet(_rerun_scenario(spark, sf_dir))
+    return t.groupBy("created_date").agg(F.count(F.lit(1)).alias("event_count"))
+
+
+@query("load_reconciliation")
+def q_load_reconciliation(spark, sf_dir):
+    """OP-A8: per-day source counts (observed in the write) vs read-back."""
+    loc = scratch_path(spark, "lake-recon")
+    start, end = data_days(spark, sf_dir)
+    summary = lake_load.write_events(spark, lake_events(spark, sf_dir), loc, start, end)
+    return lake_load.reconciliation_from_summary(spark, summary, loc, start, end)
+
+
+@query("load_history")
+def q_load_history(spark, sf_dir):
+    """OP-K6: write history of the rerun scenario, newest first."""
+    h = sinks.load_history(spark, _rerun_scenario(spark, sf_dir))
+    return h.select("committed_at", "snapshot_id", "operation",
+                    F.to_json("summary").alias("summary"))
+
+
+SNAPSHOT_RERUN_DAY = dt.date(2024, 1, 28)
+
+
+@query("repo_snapshot_write")
+def q_repo_snapshot_write(spark, sf_dir):
+    """OP-K5: NDJSON snapshot per run date; a rerun replaces its date only."""
+    root = scratch_path(spark, "repo-snapshots")
+    records = staging.repo_record_projection(fixtures.api_repo_records(spark, sf_dir))
+    sinks.write_repo_snapshot(records, root)
+    rerun = records.filter((F.col("enriched_date") == F.lit(SNAPSHOT_RERUN_DAY))
+                           & (F.col("stargazers_count") >= 2500))
+    sinks.write_repo_snapshot(rerun, root)
+    return staging.stg_repo_metadata_typed(files.read_repo_snapshots(spark, root))
+
+
+# -- streaming -------------------------------------------------------------------
+
+@query("stream_file_ingest")
+def q_stream_file_ingest(spark, sf_dir):
+    """OP-S7/M1: landed files picked up once by a restartable file stream."""
+    base = scratch_path(spark, "stream")
+    landing, staged, ckpt = f"{base}/landing", f"{base}/staged", f"{base}/checkpoint"
+    files.write_landing_files(fixtures.raw_events(spark, sf_dir), landing, "raw_event",
+                              schemas.STG_EVENT_JSON)
+    file_ingest.ingest_available(spark, landing, staged, ckpt)
+    file_ingest.ingest_available(spark, landing, staged, ckpt)  # nothing new: adds nothing
+    return file_ingest.read_staged(spark, staged)
+
+
+# -- data quality ------------------------------------------------------------------
+
+@query("dq_stg_events")
+def q_dq_stg_events(spark, sf_dir):
+    """OP-D1."""
+    return quality.dq_check(stg(spark, sf_dir), "stg_events")
+
+
+@query("dq_repo_metadata")
+def q_dq_repo_metadata(spark, sf_dir):
+    """OP-D2."""
+    return quality.dq_check(latest_meta(spark, sf_dir), "stg_repo_metadata")
+
+
+@query("dq_classified")
+def q_dq_classified(spark, sf_dir):
+    """OP-D3."""
+    return quality.dq_check(classified(spark, sf_dir), "events_classified")
+
+
+@query("dq_enriched")
+def q_dq_enriched(spark, sf_dir):
+    """OP-D4."""
+    return quality.dq_check(enriched(spark, sf_dir), "events_enriched")
+
+
+@query("dq_trends")
+def q_dq_trends(spark, sf_dir):
+    """OP-D5."""
+    return quality.dq_check(trends_mart(spark, sf_dir), "contributor_trends")
+
+
+@query("dq_language")
+def q_dq_language(spark, sf_dir):
+    """OP-D6."""
+    return quality.dq_check(language_mart(spark, sf_dir), "language_activity")
