@@ -65,7 +65,8 @@ def repo_name_parts(name: Column) -> tuple[Column, Column, Column]:
     """
     parts = F.split(name, "/", 2)
     well_formed = F.coalesce(F.size(parts) == 2, F.lit(False))
-    return parts.getItem(0), parts.getItem(1), well_formed
+    # get() yields NULL past the end (indexing would fail under ANSI mode).
+    return F.get(parts, 0), F.get(parts, 1), well_formed
 
 
 def percent_of(part: Column, total: Column) -> Column:
