@@ -1,7 +1,8 @@
 """Lake load job: landed hourly JSON for a date range -> day-partitioned
 Parquet events table, with a completeness guard and a count round trip.
 
-Input is scanned once: explicit schema (no inference pass), counts collected
+The completeness guard reads the reader's own file listing (no job). Input
+is scanned once: explicit schema (no inference pass), counts collected
 by ``observe`` during the write, target counts read back from the touched
 partitions only (Parquet footers answer the counts).
 """
@@ -58,10 +59,9 @@ def target_counts(spark: SparkSession, location: str, start: dt.date, end: dt.da
 def load_events(spark: SparkSession, raw_root: str, location: str, start: dt.date,
                 end: dt.date, table_name: str | None = None) -> dict:
     """Load ``[start, end]`` from the landed files; refuse on missing days."""
-    files.date_range(start, end)
-    files.assert_dates_present(spark, files.landed_dates(spark, raw_root, start, end), start, end)
-    ensure_events_table(spark, location, table_name)
     src = files.read_lake_source(spark, raw_root, start, end)
+    files.assert_days_listed(src, start, end)
+    ensure_events_table(spark, location, table_name)
     normalized = lake.normalize_parsed(src, keep=("_corrupt_record",))
     corrupt = {"corrupt-records": F.count_if(F.col("_corrupt_record").isNotNull())}
     summary = write_events(spark, normalized, location, start, end, extra_metrics=corrupt,

@@ -89,6 +89,10 @@ def overwrite_days(spark: SparkSession, df: DataFrame, location: str, partition_
     counted instead of silently replacing a neighbouring day. Counts (total,
     written, rejected, per day) are collected by ``observe`` during the write
     itself: no extra pass over the input.
+
+    Rows are rebalanced by day before the write: input splits (hourly files,
+    or packed small files) each hold many days, and writing them unshuffled
+    gives every task a file in every day it touches.
     """
     days = [start + dt.timedelta(days=i) for i in range((end - start).days + 1)]
     part = F.col(partition_column)
@@ -102,7 +106,11 @@ def overwrite_days(spark: SparkSession, df: DataFrame, location: str, partition_
         metrics.append(expr.alias(name))
     obs = Observation(f"overwrite_{uuid.uuid4().hex[:8]}")
     observed = df.observe(obs, *metrics)
+    # REBALANCE: hash-distribute by day, then let AQE merge small days and
+    # split a hot day into advisory-sized chunks, so each day gets a few
+    # well-sized files and no day lands whole in one task.
     (observed.filter(in_range).drop(*drop_columns)
+             .hint("rebalance", partition_column)
              .write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic")
              .option("compression", "zstd")

@@ -18,6 +18,7 @@ from __future__ import annotations
 import datetime as dt
 from typing import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -43,9 +44,18 @@ def date_range(start: dt.date, end: dt.date) -> list[dt.date]:
 
 
 def raw_event_paths(root: str, days: Sequence[dt.date]) -> list[str]:
-    """One glob per day; Spark expands the hour folders and file names."""
+    """One folder per requested day (no glob: the file index lists the day
+    folders directly and ``pathGlobFilter`` keeps only ``*.json.gz``)."""
     r = root.rstrip("/")
-    return [f"{r}/event_date={d.isoformat()}/event_hour=*/{RAW_GLOB}" for d in days]
+    return [f"{r}/event_date={d.isoformat()}" for d in days]
+
+
+def days_glob(root: str, days: Sequence[dt.date]) -> str:
+    """One glob matching the requested day folders that exist (a single
+    listing of the root; the file index then lists the matched days in
+    parallel). Missing days simply do not match."""
+    alt = ",".join(d.isoformat() for d in days)
+    return f"{root.rstrip('/')}/event_date={{{alt}}}"
 
 
 def _reader(spark: SparkSession, root: str):
@@ -87,7 +97,30 @@ def read_lake_source(spark: SparkSession, root: str, start: dt.date, end: dt.dat
     reader = (_reader(spark, root).schema(StructType(fields)).option("mode", "PERMISSIVE"))
     if corrupt_column:
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
-    return reader.json(raw_event_paths(root, date_range(start, end)))
+    days = date_range(start, end)
+    try:
+        return reader.json(days_glob(root, days))
+    except AnalysisException as e:  # not one requested day has landed
+        raise FileNotFoundError(
+            f"no raw files for {len(days)} day(s): {days[0]}..{days[-1]}") from e
+
+
+def assert_days_listed(df: DataFrame, start: dt.date, end: dt.date) -> None:
+    """Refuse when a requested day has no file in ``df``'s listing.
+
+    Uses the file index the reader built when the DataFrame was created
+    (``inputFiles``: listing metadata, no job, nothing read), so the guard
+    costs no extra pass and lists nothing outside the requested days.
+    """
+    present = set()
+    for path in df.inputFiles():
+        i = path.find("event_date=")
+        if i >= 0:
+            present.add(path[i + 11:i + 21])
+    missing = [d for d in date_range(start, end) if d.isoformat() not in present]
+    if missing:
+        raise FileNotFoundError(
+            f"no raw files for {len(missing)} day(s): " + ", ".join(d.isoformat() for d in missing))
 
 
 def landed_dates(spark: SparkSession, root: str,
@@ -95,15 +128,22 @@ def landed_dates(spark: SparkSession, root: str,
     """Distinct ``event_date`` partitions that hold at least one raw file.
 
     Uses the ``binaryFile`` source without its ``content`` column, so files
-    are listed, never read; the date bounds prune folders at listing time.
+    are listed, never read. With a range, only the requested day folders are
+    listed (one alternation glob), never the whole archive.
     """
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", RAW_GLOB)
-                  .load(root.rstrip("/")).select("event_date"))
-    if start is not None:
-        files = files.filter(F.col("event_date") >= F.lit(start))
-    if end is not None:
-        files = files.filter(F.col("event_date") <= F.lit(end))
-    return files.select(F.col("event_date").cast("date").alias("event_date")).distinct()
+    reader = (spark.read.format("binaryFile").option("basePath", root.rstrip("/"))
+                   .option("pathGlobFilter", RAW_GLOB))
+    empty = spark.createDataFrame([], "event_date date")
+    try:
+        if start is not None and end is not None:
+            listed = reader.load(days_glob(root, date_range(start, end)))
+        else:
+            listed = reader.load(root.rstrip("/"))
+    except AnalysisException:  # nothing matched at all
+        return empty
+    if "event_date" not in listed.columns:
+        return empty
+    return listed.select(F.col("event_date").cast("date").alias("event_date")).distinct()
 
 
 def missing_dates(spark: SparkSession, landed: DataFrame, start: dt.date,

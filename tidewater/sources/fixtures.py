@@ -22,6 +22,19 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread_if_narrow(df: DataFrame, key: str) -> DataFrame:
+    """Hash-spread a scan that yields fewer splits than the cluster has cores.
+
+    A single-row-group file gives one task, which would run all per-row JSON
+    work single-threaded. A scan that already has enough splits (any large
+    input) is left alone: no shuffle is added where it buys nothing.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target, key)
+    return df
+
+
 def _k(props: Column) -> Column:
     """The integer ``k`` carried in the ``props`` JSON of a driver event."""
     return F.get_json_object(props, "$.k").cast("int")
@@ -48,7 +61,7 @@ def driver_events(spark: SparkSession, sf_dir: str,
     if end is not None:
         upper = dt.datetime.combine(end + dt.timedelta(days=1), dt.time())
         ev = ev.filter(F.col("ts") < F.lit(upper).cast("timestamp_ntz"))
-    return ev
+    return spread_if_narrow(ev, "event_id")
 
 
 # Driver event type -> event type of the raw feed.
