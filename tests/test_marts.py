@@ -60,3 +60,28 @@ def test_history_records_each_commit(spark, scratch):
     run_mart(spark, marts.TRENDS, c, loc, D(2024, 1, 21))
     ops = [r["operation"] for r in sinks.load_history(spark, loc).collect()]
     assert ops == ["delete+insert", "create"]
+
+
+def test_build_marts_from_landed_files(spark, scratch):
+    from tidewater.plans.model_build import build_marts
+    from tidewater.sources import files, fixtures
+    from tidewater import schemas
+
+    landing, snaps = scratch("landing"), scratch("snapshots")
+    files.write_landing_files(fixtures.raw_events(spark, SF_MID), landing, "raw_event",
+                              schemas.STG_EVENT_JSON)
+    (fixtures.raw_repo_snapshots(spark, SF_MID).repartition("enriched_date")
+        .write.partitionBy("enriched_date").text(snaps))
+    tl, ll = scratch("trends"), scratch("language")
+    build_marts(spark, landing, snaps, tl, ll, D(2024, 1, 30), D(2024, 1, 1),
+                batched_at=registry.BATCHED_AT)
+    got_t = read_mart(spark, tl, registry.TRENDS_COLUMNS)
+    want_t = registry.QUERIES["contributor_trends"](spark, SF_MID)
+    assert sorted(got_t.collect()) == sorted(want_t.collect())
+    got_l = read_mart(spark, ll, registry.LANGUAGE_COLUMNS)
+    want_l = registry.QUERIES["language_activity"](spark, SF_MID)
+    assert sorted(got_l.collect()) == sorted(want_l.collect())
+    s = build_marts(spark, landing, snaps, tl, ll, D(2024, 1, 30), D(2024, 1, 1),
+                    batched_at=registry.BATCHED_AT)
+    assert s["contributor_trends"]["incremental"] is True
+    assert sorted(read_mart(spark, tl, registry.TRENDS_COLUMNS).collect()) == sorted(want_t.collect())

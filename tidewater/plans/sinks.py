@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, MapType, StringType, StructField, StructType, TimestampType
 
-from tidewater.operators.joins import broadcast_if_small
+from tidewater.operators.joins import DEFAULT_BROADCAST_MAX_ROWS
 from tidewater.session import scratch_path
 
 HISTORY_SCHEMA = StructType([
@@ -154,14 +154,21 @@ def delete_insert(spark: SparkSession, location: str, batch: DataFrame, keys: Se
     """
     stage = scratch_path(spark, "merge")
     obs = Observation(f"merge_{uuid.uuid4().hex[:8]}")
-    batch.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(f"{stage}/batch")
+    # The staging write also yields the batch size and its touched days
+    # (a handful of partition values), so neither needs a job of its own.
+    (batch.observe(obs, F.count(F.lit(1)).alias("rows"),
+                   F.collect_set(F.col(partition_column)).alias("days"))
+          .write.mode("overwrite").parquet(f"{stage}/batch"))
     b = spark.read.parquet(f"{stage}/batch").select(*batch.columns)
-    # Distinct partition values of the batch: a handful of days.
-    days = [r[0] for r in b.select(partition_column).distinct().collect()]
+    days = list(obs.get["days"])
+    n_batch = int(obs.get["rows"])
     current = read_table(spark, location, order=batch.columns)
     aligned, changed = sync_columns(current, b)
     scope = aligned if changed else aligned.filter(F.col(partition_column).isin(days))
-    batch_keys = broadcast_if_small(b.select(*keys).distinct())
+    # Distinct batch keys <= batch rows: the observed count bounds the side.
+    batch_keys = b.select(*keys).distinct()
+    if n_batch <= DEFAULT_BROADCAST_MAX_ROWS:
+        batch_keys = F.broadcast(batch_keys)
     kept = scope.join(batch_keys, list(keys), "left_anti").select(*b.columns)
     merged = kept.unionByName(b)
     (merged.repartition(partition_column).write.mode("overwrite")
@@ -171,7 +178,7 @@ def delete_insert(spark: SparkSession, location: str, batch: DataFrame, keys: Se
            .option("partitionOverwriteMode", "static" if changed else "dynamic")
            .option("compression", "zstd")
            .partitionBy(partition_column).parquet(location))
-    summary = {"keys": list(keys), "batch-records": int(obs.get["rows"]),
+    summary = {"keys": list(keys), "batch-records": n_batch,
                "partitions": sorted(str(d) for d in days), "schema-changed": changed}
     record_commit(spark, location, operation, summary)
     return summary

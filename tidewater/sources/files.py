@@ -188,12 +188,12 @@ def write_landing_files(lines: DataFrame, root: str, line_col: str = "line",
     """Write event lines as gzip JSON-lines files in the hourly layout.
 
     ``lines`` carries ``event_date``, ``event_hour`` and the JSON text, which
-    is re-serialised through ``schema``. Rows are clustered by (day, hour) so
-    each hour folder gets one file.
+    is re-serialised through ``schema``. Rows are rebalanced by (day, hour)
+    so each hour folder gets one file (a very large hour is split by AQE).
     """
     parsed = lines.select(F.from_json(F.col(line_col), schema).alias("j"),
                           "event_date", "event_hour").select("j.*", "event_date", "event_hour")
-    (parsed.repartition("event_date", "event_hour")
+    (parsed.hint("rebalance", "event_date", "event_hour")
            .write.mode("overwrite").option("compression", "gzip")
            .partitionBy("event_date", "event_hour").json(root))
 
@@ -204,3 +204,30 @@ def read_repo_snapshots(spark: SparkSession, root: str) -> DataFrame:
     df = spark.read.option("basePath", root.rstrip("/")).text(root.rstrip("/"))
     return df.select(F.col("enriched_date").cast("date").alias("enriched_date"),
                      F.col("value"))
+
+
+def read_staged_events(spark: SparkSession, root: str, start: dt.date | None = None,
+                       end: dt.date | None = None) -> DataFrame:
+    """Staged events straight from the landed files, parsed once in the scan.
+
+    The JSON reader applies the narrow staging schema while reading, so a
+    later filter on ``event_type`` is evaluated on the parsed column instead
+    of re-parsing the line (as a text read + ``from_json`` would after
+    predicate pushdown). Same columns as :func:`staging.stg_events`.
+    """
+    from tidewater.functions import parse_utc_timestamp
+
+    schema = StructType(list(schemas.STG_EVENT_JSON.fields) + [
+        StructField("event_date", schemas.RAW_EVENTS["event_date"].dataType),
+        StructField("event_hour", IntegerType())])
+    reader = _reader(spark, root).schema(schema)
+    if start is not None and end is not None:
+        df = reader.json(days_glob(root, date_range(start, end)))
+    else:
+        df = reader.json(root.rstrip("/"))
+    return df.select(
+        "event_date", "event_hour",
+        F.col("id").alias("event_id"), F.col("type").alias("event_type"),
+        F.col("actor.login").alias("actor_login"), F.col("actor.type").alias("actor_type"),
+        F.col("repo.name").alias("repo_name"),
+        parse_utc_timestamp(F.col("created_at")).alias("created_at"))

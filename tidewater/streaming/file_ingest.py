@@ -53,7 +53,8 @@ def ingest_available(spark: SparkSession, root: str, staged_location: str,
     batches = []
 
     def write_batch(df: DataFrame, batch_id: int) -> None:
-        (df.write.mode("overwrite").option("compression", "zstd")
+        (df.hint("rebalance", "event_date")
+           .write.mode("overwrite").option("compression", "zstd")
            .partitionBy("event_date")
            .parquet(f"{staged_location.rstrip('/')}/batch={batch_id}"))
         batches.append(batch_id)
