@@ -40,3 +40,35 @@ def test_lake_range_prunes_partitions(spark):
     q = registry.QUERIES["time_range_scan"](spark, SF_SMALL)
     p = plan(q)
     assert "PartitionFilters: [isnotnull(created_date" in p
+
+
+def test_file_based_staging_parses_once_and_prunes(spark, scratch):
+    from tidewater import schemas
+    from tidewater.operators import intermediate, marts
+    from tidewater.sources import files
+
+    landing = scratch("landing")
+    files.write_landing_files(fixtures.raw_events(spark, SF_SMALL), landing, "raw_event",
+                              schemas.STG_EVENT_JSON)
+    stg = files.read_staged_events(spark, landing, dt.date(2024, 1, 27), dt.date(2024, 1, 29))
+    t = marts.contributor_trends(intermediate.events_classified(stg), dt.date(2024, 1, 30),
+                                 incremental=True)
+    p = plan(t)
+    assert "PushedFilters: [IsNotNull(type), EqualTo(type,PushEvent)]" in p
+    assert "ReadSchema: struct<type:string,actor:struct<login:string,type:string>>" in p
+    assert "(event_date" in p and "PartitionFilters" in p
+    assert "from_json" not in p  # parsed once, by the scan
+
+
+def test_load_write_is_rebalanced_by_day(spark, scratch):
+    import glob
+
+    from tidewater.operators import lake
+    from tidewater.plans import lake_load
+
+    loc = scratch("lake")
+    ev = lake.normalize_events(fixtures.raw_lake_lines(spark, SF_SMALL))
+    lake_load.write_events(spark, ev, loc, dt.date(2024, 1, 1), dt.date(2024, 1, 30))
+    per_day = [len(glob.glob(d + "/*.parquet"))
+               for d in glob.glob(loc.replace("file:", "") + "/created_date=*")]
+    assert per_day and max(per_day) == 1  # small days: one file each
