@@ -109,3 +109,17 @@ def test_read_raw_events_partitions(spark, landed):
     days = {r[0] for r in raw.select("event_date").distinct().collect()}
     assert days == {D(2024, 1, 2), D(2024, 1, 3)}
     assert dict(raw.dtypes)["event_hour"] == "int"
+
+
+def test_named_table_is_queryable_and_pruned(spark, landed, scratch):
+    loc = scratch("lake")
+    lake_load.load_events(spark, landed, loc, D(2024, 1, 1), D(2024, 1, 30),
+                          table_name="tw_lake_events")
+    total = fixtures.driver_events(spark, SF_SMALL).count()
+    assert spark.sql("SELECT count(*) FROM tw_lake_events").first()[0] == total
+    q = spark.sql("SELECT count(*) FROM tw_lake_events WHERE created_date = DATE '2024-01-05'")
+    assert q.first()[0] > 0
+    assert "InMemoryFileIndex(1 paths)" in q._jdf.queryExecution().executedPlan().toString()
+    lake_load.load_events(spark, landed, loc, D(2024, 1, 5), D(2024, 1, 5),
+                          table_name="tw_lake_events")  # rerun: idempotent
+    assert spark.sql("SELECT count(*) FROM tw_lake_events").first()[0] == total

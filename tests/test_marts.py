@@ -81,6 +81,11 @@ def test_build_marts_from_landed_files(spark, scratch):
     got_l = read_mart(spark, ll, registry.LANGUAGE_COLUMNS)
     want_l = registry.QUERIES["language_activity"](spark, SF_MID)
     assert sorted(got_l.collect()) == sorted(want_l.collect())
+    from tidewater.plans.model_build import register_views
+    register_views(spark, landing, snaps, tl, ll)
+    n = spark.sql("SELECT count(*) FROM mart_contributor_trends WHERE contributor_type = 'bot'")
+    assert n.first()[0] == 29
+    assert spark.sql("SELECT count(*) FROM events_enriched").first()[0] == 2006
     s = build_marts(spark, landing, snaps, tl, ll, D(2024, 1, 30), D(2024, 1, 1),
                     batched_at=registry.BATCHED_AT)
     assert s["contributor_trends"]["incremental"] is True

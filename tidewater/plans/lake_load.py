@@ -50,9 +50,14 @@ def write_events(spark: SparkSession, normalized: DataFrame, location: str,
 
 
 def target_counts(spark: SparkSession, location: str, start: dt.date, end: dt.date) -> DataFrame:
-    """Per-day counts read back from the touched partitions only."""
-    t = spark.read.parquet(location)
-    t = t.filter((F.col(PART) >= F.lit(start)) & (F.col(PART) <= F.lit(end)))
+    """Per-day counts read back from the touched partitions only.
+
+    Only the day folders of ``[start, end]`` are listed (a multi-year table
+    is never listed whole); Parquet footers answer the counts.
+    """
+    loc = location.rstrip("/")
+    t = (spark.read.option("basePath", loc)
+              .parquet(f"{loc}/{PART}={{{','.join(d.isoformat() for d in files.date_range(start, end))}}}"))
     return t.groupBy(F.col(PART).alias("event_date")).agg(F.count(F.lit(1)).alias("target_count"))
 
 
@@ -67,10 +72,24 @@ def load_events(spark: SparkSession, raw_root: str, location: str, start: dt.dat
     summary = write_events(spark, normalized, location, start, end, extra_metrics=corrupt,
                            drop_columns=("_corrupt_record",))
     if table_name:
-        spark.sql(f"REFRESH TABLE {table_name}")
+        register_partitions(spark, table_name,
+                            [d for d, n in summary["per-day"].items() if n])
     return summary
 
 
+def register_partitions(spark: SparkSession, table_name: str, days: list[str]) -> None:
+    """Make newly written day folders visible to SQL readers of the table.
+
+    Only the days this load wrote are added (bounded by the requested range),
+    so the catalog never rescans a large table; queries on the table then
+    prune partitions in the catalog before listing any folder.
+    """
+    if days:
+        parts = " ".join(f"PARTITION ({PART} = DATE '{d}')" for d in sorted(days))
+        spark.sql(f"ALTER TABLE {table_name} ADD IF NOT EXISTS {parts}")
+    spark.sql(f"REFRESH TABLE {table_name}")
+
+
 def reconciliation_from_summary(spark: SparkSession, summary: dict, location: str,
                                 start: dt.date, end: dt.date) -> DataFrame:
     """Source counts (observed during the write) against the read-back target."""

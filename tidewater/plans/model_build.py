@@ -39,3 +39,34 @@ def build_marts(spark: SparkSession, raw_root: str, snapshot_root: str, trends_l
         "language_activity": run_mart(spark, marts.LANGUAGE, enriched, language_location, as_of,
                                       batched_at=batched_at, lookback_days=lookback_days),
     }
+
+
+def register_views(spark: SparkSession, raw_root: str, snapshot_root: str,
+                   trends_location: str | None = None,
+                   language_location: str | None = None) -> list[str]:
+    """Register the staging and intermediate models (and the marts, when
+    built) as temporary views, for SQL users. Views are logical: each query
+    on them is planned (and pruned) from the files again."""
+    from tidewater import schemas
+    from tidewater.plans.marts import read_mart
+
+    stg = files.read_staged_events(spark, raw_root)
+    classified = intermediate.events_classified(stg)
+    meta = staging.latest_repo_metadata(files.read_repo_snapshots(spark, snapshot_root))
+    views = {
+        "stg_events": stg,
+        "stg_repo_metadata": meta,
+        "events_classified": classified,
+        "events_enriched": intermediate.events_enriched(classified, meta),
+    }
+    if trends_location:
+        views["mart_contributor_trends"] = read_mart(
+            spark, trends_location, schemas.TRENDS_KEYS + ["event_count", "unique_contributors",
+                                                          "_sdc_batched_at"])
+    if language_location:
+        views["mart_language_activity"] = read_mart(
+            spark, language_location, schemas.LANGUAGE_KEYS + [
+                "event_count", "unique_contributors", "unique_repos", "_sdc_batched_at"])
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return list(views)
