@@ -425,6 +425,7 @@ SELECT full_name AS repo_full_name, language, topics, stargazers_count, forks_co
 FROM api_proj
 WHERE enriched_date <> DATE '2024-01-28' OR stargazers_count >= 2500""", "api_proj")
 register("stream_file_ingest", "SELECT * FROM stg", "stg")
+register("stream_trends_refresh", "SELECT * FROM trends", "trends")
 
 
 def _dq_sql(model: str, source: str) -> str:

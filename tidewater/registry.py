@@ -520,6 +520,21 @@ def q_stream_file_ingest(spark, sf_dir):
     return file_ingest.read_staged(spark, staged)
 
 
+@query("stream_trends_refresh")
+def q_stream_trends_refresh(spark, sf_dir):
+    """OP-M1/M2: each micro-batch of landed files refreshes the days it
+    touched in the contributor-trends mart (several batches, exact)."""
+    base = scratch_path(spark, "stream-trends")
+    landing = f"{base}/landing"
+    files.write_landing_files(fixtures.raw_events(spark, sf_dir), landing, "raw_event",
+                              schemas.STG_EVENT_JSON)
+    trends = f"{base}/trends"
+    file_ingest.ingest_and_refresh_trends(spark, landing, f"{base}/staged", f"{base}/checkpoint",
+                                          trends, AS_OF, batched_at=BATCHED_AT,
+                                          max_files_per_trigger=250)
+    return read_mart(spark, trends, TRENDS_COLUMNS)
+
+
 # -- data quality ------------------------------------------------------------------
 
 @query("dq_stg_events")
