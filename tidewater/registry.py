@@ -104,10 +104,6 @@ def _ntz(df: DataFrame, *cols: str) -> DataFrame:
     return df
 
 
-LAKE_FLAT_COLUMNS = ["id", "type", "actor_id", "actor_login", "actor_display_login",
-                     "actor_gravatar_id", "actor_url", "actor_avatar_url", "repo_id", "repo_name",
-                     "repo_url", "payload", "public", "created_at", "org_id", "org_login",
-                     "org_gravatar_id", "org_url", "org_avatar_url"]
 
 # The serving time range (half-open) and the scan range.
 SERVE_START, SERVE_END = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 15)
