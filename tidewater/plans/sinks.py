@@ -105,12 +105,14 @@ def overwrite_days(spark: SparkSession, df: DataFrame, location: str, partition_
     for name, expr in (extra_metrics or {}).items():
         metrics.append(expr.alias(name))
     obs = Observation(f"overwrite_{uuid.uuid4().hex[:8]}")
-    observed = df.observe(obs, *metrics)
     # REBALANCE: hash-distribute by day, then let AQE merge small days and
     # split a hot day into advisory-sized chunks, so each day gets a few
-    # well-sized files and no day lands whole in one task.
+    # well-sized files and no day lands whole in one task. The metrics are
+    # observed after the exchange, in the write (result) stage, where each
+    # task's update counts exactly once even if map stages are recomputed
+    # after an executor loss.
+    observed = df.hint("rebalance", partition_column).observe(obs, *metrics)
     (observed.filter(in_range).drop(*drop_columns)
-             .hint("rebalance", partition_column)
              .write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic")
              .option("compression", "zstd")
@@ -188,8 +190,8 @@ def write_full(spark: SparkSession, location: str, df: DataFrame, partition_colu
                operation: str = "overwrite") -> dict:
     """Replace the whole table (first build or full refresh)."""
     obs = Observation(f"full_{uuid.uuid4().hex[:8]}")
-    (df.observe(obs, F.count(F.lit(1)).alias("rows"))
-       .repartition(partition_column)
+    (df.repartition(partition_column)
+       .observe(obs, F.count(F.lit(1)).alias("rows"))
        .write.mode("overwrite").option("partitionOverwriteMode", "static")
        .option("compression", "zstd").partitionBy(partition_column).parquet(location))
     summary = {"added-records": int(obs.get["rows"])}

@@ -99,8 +99,8 @@ def ingest_and_refresh_trends(spark: SparkSession, root: str, staged_location: s
 
     def refresh(df: DataFrame, batch_id: int) -> None:
         obs = Observation(f"stream_{uuid.uuid4().hex[:8]}")
-        (df.observe(obs, F.collect_set("event_date").alias("days"))
-           .hint("rebalance", "event_date")
+        (df.hint("rebalance", "event_date")
+           .observe(obs, F.collect_set("event_date").alias("days"))
            .write.mode("overwrite").option("compression", "zstd")
            .partitionBy("event_date")
            .parquet(f"{staged_location.rstrip('/')}/batch={batch_id}"))
