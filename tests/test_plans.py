@@ -12,12 +12,19 @@ def plan(df):
 
 
 def test_day_range_reaches_parquet_scan(spark):
+    # The landed raw events are day-partitioned: a range prunes folders.
     p = plan(fixtures.raw_events(spark, SF_SMALL, dt.date(2024, 1, 5), dt.date(2024, 1, 6)))
+    assert "PartitionFilters: [isnotnull(event_date" in p
+    assert "(event_date" in p and "2024-01-05" in p and "2024-01-06" in p
+    # Building them from the driver table pushes the same range into its scan.
+    p = plan(fixtures.build_raw_events(spark, SF_SMALL, dt.date(2024, 1, 5), dt.date(2024, 1, 6)))
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in p
 
 
 def test_scan_reads_only_needed_columns(spark):
     p = plan(registry.QUERIES["contributor_trends"](spark, SF_SMALL))
+    assert "ReadSchema: struct<raw_event:string>" in p  # no event_hour: unused
+    p = plan(fixtures.build_raw_events(spark, SF_SMALL))
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string,props:string>" in p
 
 
@@ -72,3 +79,36 @@ def test_load_write_is_rebalanced_by_day(spark, scratch):
     per_day = [len(glob.glob(d + "/*.parquet"))
                for d in glob.glob(loc.replace("file:", "") + "/created_date=*")]
     assert per_day and max(per_day) == 1  # small days: one file each
+
+
+def _hinted_broadcast(df):
+    return "strategy=broadcast" in df._jdf.queryExecution().analyzed().toString()
+
+
+def test_broadcast_needs_both_row_and_byte_bounds(spark):
+    from tidewater.operators.joins import broadcast_if_small, side_size
+
+    side = spark.range(100).selectExpr("id", "repeat('x', 1000) AS pad")  # ~100 KB of text
+    n, b = side_size(side, 1000)
+    assert n == 100 and 100_000 < b < 120_000
+    assert _hinted_broadcast(broadcast_if_small(side, max_rows=1000, max_bytes=1 << 20))
+    assert not _hinted_broadcast(broadcast_if_small(side, max_rows=1000, max_bytes=50_000))
+    assert not _hinted_broadcast(broadcast_if_small(side, max_rows=50, max_bytes=1 << 20))
+    # The row bound stops the count early: never more than max_rows + 1 rows.
+    assert side_size(spark.range(10_000_000).selectExpr("id"), 10)[0] == 11
+
+
+def test_listing_parallelism_filled_only_when_unset(spark):
+    from tidewater.session import LISTING_PARALLELISM, ensure_listing_parallelism
+
+    before = spark.conf.get(LISTING_PARALLELISM)
+    try:
+        spark.conf.set(LISTING_PARALLELISM, "10000")  # Spark's default: replaced
+        ensure_listing_parallelism(spark)
+        assert int(spark.conf.get(LISTING_PARALLELISM)) == max(
+            8, spark.sparkContext.defaultParallelism)
+        spark.conf.set(LISTING_PARALLELISM, "123")  # a deployment's own value stays
+        ensure_listing_parallelism(spark)
+        assert spark.conf.get(LISTING_PARALLELISM) == "123"
+    finally:
+        spark.conf.set(LISTING_PARALLELISM, before)

@@ -5,17 +5,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension side up to this many rows is shipped to every task; beyond it
-# the join falls back to a shuffled sort-merge join (with AQE skew splitting).
+# A dimension side is shipped to every task only while it stays within both
+# bounds; beyond either, the join falls back to a shuffled sort-merge join
+# (with AQE skew splitting).
 DEFAULT_BROADCAST_MAX_ROWS = 500_000
+DEFAULT_BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
-def broadcast_if_small(side: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Hint ``broadcast`` only after proving the side holds <= ``max_rows``.
+def side_size(side: DataFrame, max_rows: int) -> tuple[int, int]:
+    """``(rows, bytes)`` of ``side``, read no further than ``max_rows + 1`` rows.
 
-    The check is a bounded count (``limit(max_rows + 1)``), so it never reads
-    more than the bound past the side's own upstream work. Beyond the bound the
-    side is returned unhinted and Catalyst/AQE pick a shuffled join.
+    Bytes are the rows' JSON text length, a stand-in for their serialised
+    size that grows with every string, array and nested field.
     """
-    n = side.limit(max_rows + 1).count()
-    return F.broadcast(side) if n <= max_rows else side
+    text = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in side.columns])))
+    r = (side.limit(max_rows + 1)
+             .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(text), F.lit(0)).alias("b"))
+             .first())
+    return int(r["n"]), int(r["b"])
+
+
+def broadcast_if_small(side: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+                       max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
+    """Hint ``broadcast`` only after proving the side holds <= ``max_rows``
+    rows and <= ``max_bytes`` bytes.
+
+    The check is one bounded job (``limit(max_rows + 1)``), so it never reads
+    more than the row bound past the side's own upstream work. Beyond either
+    bound the side is returned unhinted and Catalyst/AQE pick a shuffled join.
+    """
+    n, b = side_size(side, max_rows)
+    return F.broadcast(side) if n <= max_rows and b <= max_bytes else side

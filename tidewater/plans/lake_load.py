@@ -13,6 +13,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
 from tidewater import schemas
 from tidewater.operators import lake
@@ -20,6 +21,8 @@ from tidewater.plans import sinks
 from tidewater.sources import files
 
 PART = schemas.LAKE_PARTITION_COLUMN
+# The table's own schema: read-backs skip the footer-inference job.
+TABLE_SCHEMA = StructType(list(schemas.LAKE_EVENTS.fields) + [StructField(PART, DateType())])
 
 LAKE_DDL = """
     id STRING,
@@ -56,7 +59,7 @@ def target_counts(spark: SparkSession, location: str, start: dt.date, end: dt.da
     is never listed whole); Parquet footers answer the counts.
     """
     loc = location.rstrip("/")
-    t = (spark.read.option("basePath", loc)
+    t = (spark.read.schema(TABLE_SCHEMA).option("basePath", loc)
               .parquet(f"{loc}/{PART}={{{','.join(d.isoformat() for d in files.date_range(start, end))}}}"))
     return t.groupBy(F.col(PART).alias("event_date")).agg(F.count(F.lit(1)).alias("target_count"))
 

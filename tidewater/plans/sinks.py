@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, MapType, StringType, StructField, StructType, TimestampType
 
-from tidewater.operators.joins import DEFAULT_BROADCAST_MAX_ROWS
+from tidewater.operators.joins import DEFAULT_BROADCAST_MAX_BYTES, DEFAULT_BROADCAST_MAX_ROWS
 from tidewater.session import scratch_path
 
 HISTORY_SCHEMA = StructType([
@@ -55,12 +55,21 @@ def read_table(spark: SparkSession, location: str,
 
 def record_commit(spark: SparkSession, location: str, operation: str,
                   summary: dict[str, object]) -> None:
-    """Append one row to the table's write history."""
-    row = (dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
-           uuid.uuid4().int >> 65, operation,
-           {k: (v if isinstance(v, str) else json.dumps(v, default=str)) for k, v in summary.items()})
-    (spark.createDataFrame([row], HISTORY_SCHEMA).coalesce(1)
-          .write.mode("append").parquet(history_path(location)))
+    """Append one row to the table's write history.
+
+    The row is built from literals on a one-row range (no local data shipped
+    from Python), so the append is a single one-task write.
+    """
+    entries = [x for k, v in summary.items()
+               for x in (F.lit(k), F.lit(v if isinstance(v, str) else json.dumps(v, default=str)))]
+    row = spark.range(1).select(
+        F.lit(dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).cast("timestamp")
+         .alias("committed_at"),
+        F.lit(uuid.uuid4().int >> 65).cast("bigint").alias("snapshot_id"),
+        F.lit(operation).alias("operation"),
+        (F.create_map(*entries) if entries
+         else F.create_map().cast("map<string,string>")).alias("summary"))
+    row.write.mode("append").parquet(history_path(location))
 
 
 def load_history(spark: SparkSession, location: str) -> DataFrame:
@@ -158,7 +167,9 @@ def delete_insert(spark: SparkSession, location: str, batch: DataFrame, keys: Se
     obs = Observation(f"merge_{uuid.uuid4().hex[:8]}")
     # The staging write also yields the batch size and its touched days
     # (a handful of partition values), so neither needs a job of its own.
+    key_bytes = F.octet_length(F.to_json(F.struct(*[F.col(k) for k in keys])))
     (batch.observe(obs, F.count(F.lit(1)).alias("rows"),
+                   F.coalesce(F.sum(key_bytes), F.lit(0)).alias("key_bytes"),
                    F.collect_set(F.col(partition_column)).alias("days"))
           .write.mode("overwrite").parquet(f"{stage}/batch"))
     b = spark.read.parquet(f"{stage}/batch").select(*batch.columns)
@@ -167,9 +178,11 @@ def delete_insert(spark: SparkSession, location: str, batch: DataFrame, keys: Se
     current = read_table(spark, location, order=batch.columns)
     aligned, changed = sync_columns(current, b)
     scope = aligned if changed else aligned.filter(F.col(partition_column).isin(days))
-    # Distinct batch keys <= batch rows: the observed count bounds the side.
+    # Distinct batch keys <= batch rows: the observed count and key bytes
+    # bound the side, so it is broadcast only when both are proven small.
     batch_keys = b.select(*keys).distinct()
-    if n_batch <= DEFAULT_BROADCAST_MAX_ROWS:
+    if n_batch <= DEFAULT_BROADCAST_MAX_ROWS and \
+            int(obs.get["key_bytes"]) <= DEFAULT_BROADCAST_MAX_BYTES:
         batch_keys = F.broadcast(batch_keys)
     kept = scope.join(batch_keys, list(keys), "left_anti").select(*b.columns)
     merged = kept.unionByName(b)

@@ -15,13 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tidewater import schemas
 from tidewater.functions import landing_key, previous_full_hour, repo_name_parts
 from tidewater.functions.columns import partition_from_path
 from tidewater.operators import intermediate, lake, marts, quality, serving, staging
 from tidewater.plans import lake_load, sinks
 from tidewater.plans.marts import read_mart, run_mart
-from tidewater.session import ensure_utc, scratch_path
+from tidewater.session import ensure_conventions, scratch_path
 from tidewater.sources import files, fixtures
 from tidewater.streaming import file_ingest
 
@@ -35,7 +34,7 @@ QUERIES: dict[str, Query] = {}
 def query(key: str) -> Callable[[Query], Query]:
     def deco(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            ensure_utc(spark)
+            ensure_conventions(spark)
             return fn(spark, sf_dir)
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
@@ -508,9 +507,8 @@ def q_repo_snapshot_write(spark, sf_dir):
 def q_stream_file_ingest(spark, sf_dir):
     """OP-S7/M1: landed files picked up once by a restartable file stream."""
     base = scratch_path(spark, "stream")
-    landing, staged, ckpt = f"{base}/landing", f"{base}/staged", f"{base}/checkpoint"
-    files.write_landing_files(fixtures.raw_events(spark, sf_dir), landing, "raw_event",
-                              schemas.STG_EVENT_JSON)
+    landing = fixtures.landed_event_files(spark, sf_dir)
+    staged, ckpt = f"{base}/staged", f"{base}/checkpoint"
     file_ingest.ingest_available(spark, landing, staged, ckpt)
     file_ingest.ingest_available(spark, landing, staged, ckpt)  # nothing new: adds nothing
     return file_ingest.read_staged(spark, staged)
@@ -521,9 +519,7 @@ def q_stream_trends_refresh(spark, sf_dir):
     """OP-M1/M2: each micro-batch of landed files refreshes the days it
     touched in the contributor-trends mart (several batches, exact)."""
     base = scratch_path(spark, "stream-trends")
-    landing = f"{base}/landing"
-    files.write_landing_files(fixtures.raw_events(spark, sf_dir), landing, "raw_event",
-                              schemas.STG_EVENT_JSON)
+    landing = fixtures.landed_event_files(spark, sf_dir)
     trends = f"{base}/trends"
     file_ingest.ingest_and_refresh_trends(spark, landing, f"{base}/staged", f"{base}/checkpoint",
                                           trends, AS_OF, batched_at=BATCHED_AT,

@@ -51,6 +51,7 @@ def build_session(master: str = "local[*]", app: str = "tidewater",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ensure_conventions(spark)
     ensure_checkpoint_dir(spark)
     return spark
 
@@ -61,6 +62,31 @@ def ensure_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+LISTING_PARALLELISM = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+SPARK_DEFAULT_LISTING_PARALLELISM = "10000"
+
+
+def ensure_listing_parallelism(spark: SparkSession) -> None:
+    """Cap parallel file listing at the cluster's default parallelism.
+
+    When a listing covers more than 32 paths (a stream batch of hourly
+    files, a day range of hour folders) Spark lists them with a job of one
+    task per path, up to 10,000 tasks. A cluster still lists in parallel with
+    the cap, each task taking a slice of the paths, instead of paying task
+    scheduling per file. A value the deployment set is left alone.
+    """
+    if spark.conf.get(LISTING_PARALLELISM, SPARK_DEFAULT_LISTING_PARALLELISM) \
+            == SPARK_DEFAULT_LISTING_PARALLELISM:
+        cap = max(8, spark.sparkContext.defaultParallelism)
+        spark.conf.set(LISTING_PARALLELISM, str(cap))
+
+
+def ensure_conventions(spark: SparkSession) -> None:
+    """Session settings every job here relies on (idempotent, cheap)."""
+    ensure_utc(spark)
+    ensure_listing_parallelism(spark)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder; create a local one only if unset.
 

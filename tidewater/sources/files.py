@@ -198,6 +198,14 @@ def write_landing_files(lines: DataFrame, root: str, line_col: str = "line",
            .partitionBy("event_date", "event_hour").json(root))
 
 
+def has_landed_files(spark: SparkSession, root: str) -> bool:
+    """Whether ``root`` holds landed event files (listing only, no job)."""
+    try:
+        return bool(_reader(spark, root).text(root.rstrip("/")).inputFiles())
+    except AnalysisException:
+        return False
+
+
 def read_repo_snapshots(spark: SparkSession, root: str) -> DataFrame:
     """Snapshot table: ``enriched_date DATE, value STRING`` (one record per
     line, the date from the folder name)."""

@@ -250,3 +250,28 @@ def raw_lake_lines(spark: SparkSession, sf_dir: str,
     """Landed nested event lines (``event_date``, ``event_hour``, ``line``)."""
     return _landed(spark, sf_dir, "lake-lines", build_raw_lake_lines,
                    ["event_date", "event_hour", "line"], start, end)
+
+
+_LANDING: dict[tuple[str, str], str] = {}
+
+
+def landed_event_files(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of hourly gzip JSON event files for the raw events of
+    ``sf_dir`` (``event_date=D/event_hour=H/*.json.gz``).
+
+    Landed once per application, like the other landed copies: the files are
+    the stream's input, and every stream run brings its own checkpoint, so
+    each run still picks up every file itself.
+    """
+    from tidewater import schemas
+    from tidewater.session import scratch_path
+    from tidewater.sources import files
+
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    root = _LANDING.get(key)
+    if root is None or not files.has_landed_files(spark, root):
+        root = scratch_path(spark, "landing-events")
+        files.write_landing_files(raw_events(spark, sf_dir), root, "raw_event",
+                                  schemas.STG_EVENT_JSON)
+        _LANDING[key] = root
+    return root

@@ -12,7 +12,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, IntegerType, StructField, StructType
+from pyspark.sql.types import (
+    DateType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
 from tidewater import schemas
 from tidewater.functions import parse_utc_timestamp
@@ -68,9 +76,20 @@ def ingest_available(spark: SparkSession, root: str, staged_location: str,
     return len(batches)
 
 
+# The staged table as written by the batches: one folder per batch id, then
+# day folders. Declared, so reading it back never runs a schema-inference job.
+STAGED_TABLE = StructType([
+    StructField("event_hour", IntegerType()), StructField("event_id", StringType()),
+    StructField("event_type", StringType()), StructField("actor_login", StringType()),
+    StructField("actor_type", StringType()), StructField("repo_name", StringType()),
+    StructField("created_at", TimestampType()),
+    StructField("batch", LongType()), StructField("event_date", DateType()),
+])
+
+
 def read_staged(spark: SparkSession, staged_location: str) -> DataFrame:
     """The staged-events table (all batches), in model column order."""
-    df = spark.read.parquet(staged_location.rstrip("/"))
+    df = spark.read.schema(STAGED_TABLE).parquet(staged_location.rstrip("/"))
     return df.select(*schemas.STG_EVENTS_COLUMNS)
 
 
@@ -96,6 +115,9 @@ def ingest_and_refresh_trends(spark: SparkSession, root: str, staged_location: s
 
     last_day = as_of - dt.timedelta(days=1)
     batches = []
+    # Whether the mart exists is known before the stream starts and changes
+    # only when a batch creates it; no batch has to probe the folder.
+    mart_exists = [sinks.table_exists(spark, trends_location)]
 
     def refresh(df: DataFrame, batch_id: int) -> None:
         obs = Observation(f"stream_{uuid.uuid4().hex[:8]}")
@@ -110,9 +132,10 @@ def ingest_and_refresh_trends(spark: SparkSession, root: str, staged_location: s
             return
         staged = read_staged(spark, staged_location)
         classified = intermediate.events_classified(staged)
-        if not sinks.table_exists(spark, trends_location):
+        if not mart_exists[0]:
             full = marts.contributor_trends(classified, as_of, batched_at=batched_at)
             sinks.write_full(spark, trends_location, full, "event_date", operation="create")
+            mart_exists[0] = True
             return
         batch = marts.contributor_trends(
             classified.filter(F.col("event_date").isin(touched)), as_of, batched_at=batched_at)
