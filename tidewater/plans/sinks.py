@@ -86,10 +86,17 @@ def ensure_table(spark: SparkSession, name: str, location: str, ddl_columns: str
               f"OPTIONS ('compression' = 'zstd')")
 
 
+# Per-day counts are observed during the write (one counter per requested day,
+# evaluated for every row) only up to this many days; a longer range (a
+# backfill) counts its days with one grouped aggregation over the source.
+OBSERVED_DAYS_MAX = 62
+
+
 def overwrite_days(spark: SparkSession, df: DataFrame, location: str, partition_column: str,
                    start: dt.date, end: dt.date, operation: str = "overwrite",
                    extra_metrics: dict | None = None,
-                   drop_columns: Sequence[str] = ()) -> dict:
+                   drop_columns: Sequence[str] = (),
+                   observed_days_max: int = OBSERVED_DAYS_MAX) -> dict:
     """Idempotent dynamic partition overwrite restricted to ``[start, end]``.
 
     Only day partitions present in the written rows are replaced; every other
@@ -97,7 +104,11 @@ def overwrite_days(spark: SparkSession, df: DataFrame, location: str, partition_
     table. Rows whose day falls outside the requested range are rejected and
     counted instead of silently replacing a neighbouring day. Counts (total,
     written, rejected, per day) are collected by ``observe`` during the write
-    itself: no extra pass over the input.
+    itself: no extra pass over the input. Past ``observed_days_max`` days the
+    per-row cost of one counter per day would dominate (and the generated
+    code would not compile), so the per-day source counts then come from a
+    grouped count over the source before the write: partial aggregation
+    map-side, only the day column parsed, one row per day returned.
 
     Rows are rebalanced by day before the write: input splits (hourly files,
     or packed small files) each hold many days, and writing them unshuffled
@@ -106,11 +117,17 @@ def overwrite_days(spark: SparkSession, df: DataFrame, location: str, partition_
     days = [start + dt.timedelta(days=i) for i in range((end - start).days + 1)]
     part = F.col(partition_column)
     in_range = F.coalesce(part.between(F.lit(start), F.lit(end)), F.lit(False))
-    per_day = F.create_map(*[x for d in days
-                             for x in (F.lit(d.isoformat()), F.count_if(part == F.lit(d)))])
     metrics = [F.count(F.lit(1)).alias("rows_in"),
-               F.count_if(~in_range).alias("rejected"),
-               per_day.alias("per_day")]
+               F.count_if(~in_range).alias("rejected")]
+    counted_days: dict[str, int] | None = None
+    if len(days) <= observed_days_max:
+        metrics.append(F.create_map(*[x for d in days for x in (
+            F.lit(d.isoformat()), F.count_if(part == F.lit(d)))]).alias("per_day"))
+    else:
+        counted_days = {d.isoformat(): 0 for d in days}
+        for r in (df.filter(in_range).groupBy(part.alias("d"))
+                    .agg(F.count(F.lit(1)).alias("n")).collect()):  # <= one row per day
+            counted_days[r["d"].isoformat()] = int(r["n"])
     for name, expr in (extra_metrics or {}).items():
         metrics.append(expr.alias(name))
     obs = Observation(f"overwrite_{uuid.uuid4().hex[:8]}")
@@ -133,7 +150,8 @@ def overwrite_days(spark: SparkSession, df: DataFrame, location: str, partition_
         "source-records": int(m["rows_in"]),
         "added-records": int(m["rows_in"]) - int(m["rejected"]),
         "rejected-records": int(m["rejected"]),
-        "per-day": {k: int(v) for k, v in (m["per_day"] or {}).items()},
+        "per-day": (counted_days if counted_days is not None
+                    else {k: int(v) for k, v in (m["per_day"] or {}).items()}),
     }
     for name in (extra_metrics or {}):
         summary[name] = int(m[name]) if isinstance(m[name], int) else m[name]
