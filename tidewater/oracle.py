@@ -419,6 +419,23 @@ register("load_reconciliation", """
 SELECT CAST(created_at AS DATE) AS event_date, COUNT(*) AS source_count,
        COUNT(*) AS target_count, CAST(0 AS BIGINT) AS delta
 FROM lake GROUP BY 1""", "lake")
+register("load_history_counts", """
+SELECT 'overwrite' AS operation, n AS source_records, n AS added_records,
+       CAST(0 AS BIGINT) AS rejected_records, d AS days_written
+FROM (SELECT CAST(COUNT(*) AS BIGINT) AS n,
+             CAST(COUNT(DISTINCT CAST(created_at AS DATE)) AS BIGINT) AS d FROM lake) full_load
+UNION ALL
+SELECT 'overwrite', n, n, CAST(0 AS BIGINT), d
+FROM (SELECT CAST(COUNT(*) AS BIGINT) AS n,
+             CAST(COUNT(DISTINCT CAST(created_at AS DATE)) AS BIGINT) AS d FROM lake
+      WHERE CAST(created_at AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-06'
+        AND CAST(id AS BIGINT) % 2 = 0) first_rerun
+UNION ALL
+SELECT 'overwrite', n, n, CAST(0 AS BIGINT), d
+FROM (SELECT CAST(COUNT(*) AS BIGINT) AS n,
+             CAST(COUNT(DISTINCT CAST(created_at AS DATE)) AS BIGINT) AS d FROM lake
+      WHERE CAST(created_at AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-06'
+        AND CAST(id AS BIGINT) % 2 = 0) second_rerun""", "lake")
 register("repo_snapshot_write", """
 SELECT full_name AS repo_full_name, language, topics, stargazers_count, forks_count, is_fork,
        CAST(created_at AS TIMESTAMP) AS repo_created_at, description, enriched_date

@@ -91,7 +91,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder; create a local one only if unset.
 
     A cluster names its shared folder in ``spark.checkpoint.dir``; that value
-    always wins. Only a bare local session (tests) gets a fresh temp folder.
+    always wins. Only a bare local session (tests) gets a fresh temp folder;
+    a cluster session without the setting is refused.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -99,6 +100,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            # Executors on other machines cannot see a folder on this one.
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                               "(staged merges, landed copies and stream checkpoints live there)")
         configured = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
