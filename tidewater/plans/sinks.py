@@ -190,7 +190,7 @@ def delete_insert(spark: SparkSession, location: str, batch: DataFrame, keys: Se
                    F.coalesce(F.sum(key_bytes), F.lit(0)).alias("key_bytes"),
                    F.collect_set(F.col(partition_column)).alias("days"))
           .write.mode("overwrite").parquet(f"{stage}/batch"))
-    b = spark.read.parquet(f"{stage}/batch").select(*batch.columns)
+    b = spark.read.schema(batch.schema).parquet(f"{stage}/batch").select(*batch.columns)
     days = list(obs.get["days"])
     n_batch = int(obs.get["rows"])
     current = read_table(spark, location, order=batch.columns)
@@ -204,9 +204,9 @@ def delete_insert(spark: SparkSession, location: str, batch: DataFrame, keys: Se
         batch_keys = F.broadcast(batch_keys)
     kept = scope.join(batch_keys, list(keys), "left_anti").select(*b.columns)
     merged = kept.unionByName(b)
-    (merged.repartition(partition_column).write.mode("overwrite")
+    (merged.hint("rebalance", partition_column).write.mode("overwrite")
            .partitionBy(partition_column).parquet(f"{stage}/merged"))
-    staged = spark.read.parquet(f"{stage}/merged")
+    staged = spark.read.schema(merged.schema).parquet(f"{stage}/merged")
     (staged.write.mode("overwrite")
            .option("partitionOverwriteMode", "static" if changed else "dynamic")
            .option("compression", "zstd")
@@ -221,7 +221,7 @@ def write_full(spark: SparkSession, location: str, df: DataFrame, partition_colu
                operation: str = "overwrite") -> dict:
     """Replace the whole table (first build or full refresh)."""
     obs = Observation(f"full_{uuid.uuid4().hex[:8]}")
-    (df.repartition(partition_column)
+    (df.hint("rebalance", partition_column)
        .observe(obs, F.count(F.lit(1)).alias("rows"))
        .write.mode("overwrite").option("partitionOverwriteMode", "static")
        .option("compression", "zstd").partitionBy(partition_column).parquet(location))
@@ -233,7 +233,7 @@ def write_full(spark: SparkSession, location: str, df: DataFrame, partition_colu
 def write_repo_snapshot(records: DataFrame, root: str, date_column: str = "enriched_date") -> None:
     """NDJSON records under one folder per run date; rerunning a date replaces
     that date only. JSON nulls are written out, as a serialiser would."""
-    (records.repartition(date_column)
+    (records.hint("rebalance", date_column)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .option("ignoreNullFields", "false")

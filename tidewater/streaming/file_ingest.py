@@ -54,17 +54,14 @@ def ingest_available(spark: SparkSession, root: str, staged_location: str,
     """Append every not-yet-seen file under ``root`` to the staged table.
 
     Returns the number of micro-batches run. The write inside
-    ``foreachBatch`` is keyed by the batch id (one folder per batch written
-    with overwrite), so a batch replayed after a failure replaces its own
-    output instead of duplicating it.
+    ``foreachBatch`` is keyed by the batch id (see :func:`write_staged_batch`),
+    so a batch replayed after a failure replaces its own output instead of
+    duplicating it.
     """
     batches = []
 
     def write_batch(df: DataFrame, batch_id: int) -> None:
-        (df.hint("rebalance", "event_date")
-           .write.mode("overwrite").option("compression", "zstd")
-           .partitionBy("event_date")
-           .parquet(f"{staged_location.rstrip('/')}/batch={batch_id}"))
+        write_staged_batch(df, staged_location, batch_id)
         batches.append(batch_id)
 
     q = (staged_event_stream(spark, root, max_files_per_trigger)
@@ -76,20 +73,43 @@ def ingest_available(spark: SparkSession, root: str, staged_location: str,
     return len(batches)
 
 
-# The staged table as written by the batches: one folder per batch id, then
-# day folders. Declared, so reading it back never runs a schema-inference job.
+def write_staged_batch(df: DataFrame, staged_location: str, batch_id: int,
+                       observation=None, metrics=()) -> None:
+    """Write one micro-batch into ``<staged>/event_date=D/batch=N``.
+
+    Day folders come first, so a reader of a few days lists only those days
+    however many batches the stream has run. The dynamic overwrite replaces
+    exactly the (day, batch) folders this batch writes: a replay of the batch
+    after a failure replaces its own output and nothing else.
+    """
+    out = df.withColumn("batch", F.lit(batch_id).cast("bigint")).hint("rebalance", "event_date")
+    if observation is not None:
+        out = out.observe(observation, *metrics)
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .option("compression", "zstd").partitionBy("event_date", "batch")
+        .parquet(staged_location.rstrip("/")))
+
+
+# The staged table as written by the batches: day folders, then one folder
+# per batch id. Declared, so reading it back never runs a schema-inference job.
 STAGED_TABLE = StructType([
     StructField("event_hour", IntegerType()), StructField("event_id", StringType()),
     StructField("event_type", StringType()), StructField("actor_login", StringType()),
     StructField("actor_type", StringType()), StructField("repo_name", StringType()),
     StructField("created_at", TimestampType()),
-    StructField("batch", LongType()), StructField("event_date", DateType()),
+    StructField("event_date", DateType()), StructField("batch", LongType()),
 ])
 
 
-def read_staged(spark: SparkSession, staged_location: str) -> DataFrame:
-    """The staged-events table (all batches), in model column order."""
-    df = spark.read.schema(STAGED_TABLE).parquet(staged_location.rstrip("/"))
+def read_staged(spark: SparkSession, staged_location: str, days=None) -> DataFrame:
+    """The staged-events table (all batches), in model column order; with
+    ``days``, only those day folders are listed and read."""
+    root = staged_location.rstrip("/")
+    reader = spark.read.schema(STAGED_TABLE).option("basePath", root)
+    if days is None:
+        df = reader.parquet(root)
+    else:
+        df = reader.parquet(f"{root}/event_date={{{','.join(d.isoformat() for d in days)}}}")
     return df.select(*schemas.STG_EVENTS_COLUMNS)
 
 
@@ -121,24 +141,22 @@ def ingest_and_refresh_trends(spark: SparkSession, root: str, staged_location: s
 
     def refresh(df: DataFrame, batch_id: int) -> None:
         obs = Observation(f"stream_{uuid.uuid4().hex[:8]}")
-        (df.hint("rebalance", "event_date")
-           .observe(obs, F.collect_set("event_date").alias("days"))
-           .write.mode("overwrite").option("compression", "zstd")
-           .partitionBy("event_date")
-           .parquet(f"{staged_location.rstrip('/')}/batch={batch_id}"))
+        write_staged_batch(df, staged_location, batch_id, obs,
+                           [F.collect_set("event_date").alias("days")])  # <= days in batch
         batches.append(batch_id)
         touched = sorted(d for d in (obs.get.get("days") or []) if d <= last_day)
         if not touched:
             return
-        staged = read_staged(spark, staged_location)
-        classified = intermediate.events_classified(staged)
         if not mart_exists[0]:
-            full = marts.contributor_trends(classified, as_of, batched_at=batched_at)
+            staged = read_staged(spark, staged_location)
+            full = marts.contributor_trends(intermediate.events_classified(staged), as_of,
+                                            batched_at=batched_at)
             sinks.write_full(spark, trends_location, full, "event_date", operation="create")
             mart_exists[0] = True
             return
-        batch = marts.contributor_trends(
-            classified.filter(F.col("event_date").isin(touched)), as_of, batched_at=batched_at)
+        staged = read_staged(spark, staged_location, touched)
+        batch = marts.contributor_trends(intermediate.events_classified(staged), as_of,
+                                         batched_at=batched_at)
         sinks.delete_insert(spark, trends_location, batch, marts.TRENDS.keys, "event_date")
 
     q = (staged_event_stream(spark, root, max_files_per_trigger)
