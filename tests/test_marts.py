@@ -112,3 +112,30 @@ def test_stream_refresh_is_exact_across_batches(spark, scratch):
         spark, f"{base}/landing", f"{base}/staged", f"{base}/ck", f"{base}/trends",
         registry.AS_OF, batched_at=registry.BATCHED_AT)
     assert again == 0  # nothing new landed
+
+
+def test_staged_batch_replay_replaces_only_its_output(spark, scratch):
+    """A micro-batch written again (replay after a failure) replaces exactly
+    its own (day, batch) folders; other batches and days stay; a day-scoped
+    read lists only the requested day folders."""
+    from conftest import SF_SMALL
+    from tidewater.operators import staging
+    from tidewater.sources import fixtures
+    from tidewater.streaming import file_ingest
+
+    stg = staging.stg_events(fixtures.raw_events(spark, SF_SMALL))
+    first = stg.filter(F.col("event_date") <= F.lit(dt.date(2024, 1, 10)))
+    second = stg.filter(F.col("event_date") > F.lit(dt.date(2024, 1, 10)))
+    loc = scratch("staged")
+    file_ingest.write_staged_batch(first, loc, 0)
+    file_ingest.write_staged_batch(second, loc, 1)
+    file_ingest.write_staged_batch(second, loc, 1)  # replay of batch 1
+    got = file_ingest.read_staged(spark, loc)
+    assert got.count() == stg.count()
+    assert got.exceptAll(stg).count() == 0 and stg.exceptAll(got).count() == 0
+
+    days = [dt.date(2024, 1, 3), dt.date(2024, 1, 12)]
+    some = file_ingest.read_staged(spark, loc, days)
+    listed = {p.split("event_date=")[1][:10] for p in some.inputFiles()}
+    assert listed == {d.isoformat() for d in days}
+    assert some.count() == stg.filter(F.col("event_date").isin(days)).count()
