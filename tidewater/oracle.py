@@ -328,6 +328,8 @@ SELECT COUNT(*) AS total_events,
        COUNT(*) FILTER (WHERE language IS NULL) AS null_language_events
 FROM enriched""", "enriched")
 register("language_activity", "SELECT * FROM lang", "lang")
+register("scheduled_build_trends", "SELECT * FROM trends", "trends")
+register("scheduled_build_language", "SELECT * FROM lang", "lang")
 register("trends_lookback_batch",
          trends_sql("event_date BETWEEN DATE '2024-01-27' AND DATE '2024-01-29'",
                     "2024-01-30 06:00:00"), "classified")

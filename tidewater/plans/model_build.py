@@ -1,7 +1,8 @@
 """Model build from landed files: raw events + repo snapshots -> both marts.
 
-One call is one scheduled run: staged -> classified -> contributor trends;
-staged + latest metadata -> enriched -> language activity. Each mart is
+One call is one scheduled run: staged -> classified (written once) ->
+contributor trends; classified + latest metadata -> enriched -> language
+activity. Each mart is
 built in full on its first run and then refreshed over the lookback window
 with a keyed merge. The raw read is bounded to the days the run can touch,
 so partition pruning keeps an incremental run's scan to a few day folders.
@@ -11,12 +12,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from tidewater.operators import intermediate, marts, staging
 from tidewater.operators.marts import DEFAULT_LOOKBACK_DAYS
 from tidewater.plans import sinks
 from tidewater.plans.marts import run_mart
+from tidewater.session import scratch_path
 from tidewater.sources import files
 
 
@@ -30,7 +33,7 @@ def build_marts(spark: SparkSession, raw_root: str, snapshot_root: str, trends_l
                    and sinks.table_exists(spark, language_location))
     start = max(first_day, as_of - dt.timedelta(days=lookback_days)) if incremental else first_day
     stg = files.read_staged_events(spark, raw_root, start, last_day)
-    classified = intermediate.events_classified(stg)
+    classified = stage_classified(spark, intermediate.events_classified(stg))
     meta = staging.latest_repo_metadata(files.read_repo_snapshots(spark, snapshot_root))
     enriched = intermediate.events_enriched(classified, meta)
     return {
@@ -41,6 +44,24 @@ def build_marts(spark: SparkSession, raw_root: str, snapshot_root: str, trends_l
     }
 
 
+def stage_classified(spark: SparkSession, classified: DataFrame) -> DataFrame:
+    """Write the classified push events once, day-partitioned, under the
+    shared checkpoint folder, and read them back for both marts.
+
+    Both marts consume the same events; without this each would scan and
+    parse the landed JSON itself. The staged table holds only push events and
+    the model's ten columns, so the second consumer reads a small columnar
+    table instead of the raw text, and lineage is cut before the two
+    aggregations (a lost executor recomputes from these files).
+    """
+    loc = scratch_path(spark, "classified")
+    (classified.hint("rebalance", "event_date").write.mode("overwrite")
+               .option("compression", "zstd").partitionBy("event_date").parquet(loc))
+    schema = StructType([f for f in classified.schema.fields if f.name != "event_date"]
+                        + [classified.schema["event_date"]])
+    return spark.read.schema(schema).parquet(loc).select(*classified.columns)
+
+
 def register_views(spark: SparkSession, raw_root: str, snapshot_root: str,
                    trends_location: str | None = None,
                    language_location: str | None = None) -> list[str]:

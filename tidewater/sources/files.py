@@ -206,6 +206,14 @@ def has_landed_files(spark: SparkSession, root: str) -> bool:
         return False
 
 
+def has_snapshot_files(spark: SparkSession, root: str) -> bool:
+    """Whether ``root`` holds landed snapshot files (listing only, no job)."""
+    try:
+        return bool(spark.read.text(root.rstrip("/")).inputFiles())
+    except AnalysisException:
+        return False
+
+
 def read_repo_snapshots(spark: SparkSession, root: str) -> DataFrame:
     """Snapshot table: ``enriched_date DATE, value STRING`` (one record per
     line, the date from the folder name)."""

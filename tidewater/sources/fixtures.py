@@ -275,3 +275,22 @@ def landed_event_files(spark: SparkSession, sf_dir: str) -> str:
                                   schemas.STG_EVENT_JSON)
         _LANDING[key] = root
     return root
+
+
+_SNAPSHOT_FILES: dict[tuple[str, str], str] = {}
+
+
+def landed_snapshot_files(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of NDJSON repository snapshots (``enriched_date=D/*.txt``, one
+    record per line) for ``sf_dir``, landed once per application."""
+    from tidewater.session import scratch_path
+    from tidewater.sources import files
+
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    root = _SNAPSHOT_FILES.get(key)
+    if root is None or not files.has_snapshot_files(spark, root):
+        root = scratch_path(spark, "landing-snapshots")
+        (raw_repo_snapshots(spark, sf_dir).hint("rebalance", "enriched_date")
+            .write.mode("overwrite").partitionBy("enriched_date").text(root))
+        _SNAPSHOT_FILES[key] = root
+    return root
