@@ -112,3 +112,17 @@ def test_listing_parallelism_filled_only_when_unset(spark):
         assert spark.conf.get(LISTING_PARALLELISM) == "123"
     finally:
         spark.conf.set(LISTING_PARALLELISM, before)
+
+
+def test_scheduled_build_parses_json_once(spark):
+    """Both marts of a scheduled run read the staged classified events: a
+    Parquet scan with no JSON parsing, holding exactly the classified rows."""
+    from tidewater.plans.model_build import stage_classified
+
+    c = registry.classified(spark, SF_SMALL)
+    assert "from_json" in plan(c)
+    staged = stage_classified(spark, c)
+    p = plan(staged)
+    assert "Format: Parquet" in p and "from_json" not in p
+    assert staged.columns == c.columns
+    assert staged.exceptAll(c).count() == 0 and c.exceptAll(staged).count() == 0
