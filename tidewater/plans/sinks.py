@@ -183,8 +183,8 @@ def delete_insert(spark: SparkSession, location: str, batch: DataFrame, keys: Se
     """
     stage = scratch_path(spark, "merge")
     obs = Observation(f"merge_{uuid.uuid4().hex[:8]}")
-    # The staging write also yields the batch size and its touched days
-    # (a handful of partition values), so neither needs a job of its own.
+    # The staging write also yields the batch size, its key bytes and its
+    # touched days (a handful of partition values): none needs a job of its own.
     key_bytes = F.octet_length(F.to_json(F.struct(*[F.col(k) for k in keys])))
     (batch.observe(obs, F.count(F.lit(1)).alias("rows"),
                    F.coalesce(F.sum(key_bytes), F.lit(0)).alias("key_bytes"),
