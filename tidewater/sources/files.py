@@ -198,18 +198,13 @@ def write_landing_files(lines: DataFrame, root: str, line_col: str = "line",
            .partitionBy("event_date", "event_hour").json(root))
 
 
-def has_landed_files(spark: SparkSession, root: str) -> bool:
-    """Whether ``root`` holds landed event files (listing only, no job)."""
+def has_files(spark: SparkSession, root: str, name_glob: str | None = None) -> bool:
+    """Whether ``root`` holds files (matching ``name_glob``): listing only, no job."""
+    reader = spark.read
+    if name_glob:
+        reader = reader.option("pathGlobFilter", name_glob)
     try:
-        return bool(_reader(spark, root).text(root.rstrip("/")).inputFiles())
-    except AnalysisException:
-        return False
-
-
-def has_snapshot_files(spark: SparkSession, root: str) -> bool:
-    """Whether ``root`` holds landed snapshot files (listing only, no job)."""
-    try:
-        return bool(spark.read.text(root.rstrip("/")).inputFiles())
+        return bool(reader.text(root.rstrip("/")).inputFiles())
     except AnalysisException:
         return False
 

@@ -269,7 +269,7 @@ def landed_event_files(spark: SparkSession, sf_dir: str) -> str:
 
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     root = _LANDING.get(key)
-    if root is None or not files.has_landed_files(spark, root):
+    if root is None or not files.has_files(spark, root, files.RAW_GLOB):
         root = scratch_path(spark, "landing-events")
         files.write_landing_files(raw_events(spark, sf_dir), root, "raw_event",
                                   schemas.STG_EVENT_JSON)
@@ -288,7 +288,7 @@ def landed_snapshot_files(spark: SparkSession, sf_dir: str) -> str:
 
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     root = _SNAPSHOT_FILES.get(key)
-    if root is None or not files.has_snapshot_files(spark, root):
+    if root is None or not files.has_files(spark, root):
         root = scratch_path(spark, "landing-snapshots")
         (raw_repo_snapshots(spark, sf_dir).hint("rebalance", "enriched_date")
             .write.mode("overwrite").partitionBy("enriched_date").text(root))
