@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import language, mixing, quality, toxicity
+from tidewater.llm import language, minhash, mixing, quality, toxicity
 from tidewater.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdict(toxicity.score_toxicity(docs, table(spark, sf_dir, "labels")), 5, 0)
 
 
+@query
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=2)
+
+
 @query
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = language.identify_language(table(spark, sf_dir, "documents"))
