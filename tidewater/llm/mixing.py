@@ -144,7 +144,10 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         blocks = (active.join(counts, "rank")
                   .withColumn("turn", F.lit(turn))
                   .withColumn("block", F.pmod(F.xxhash64("draw", "size", F.lit(turn)), "blocks")))
-        flown = landed(blocks.groupBy("rank", "block").applyInPandas(
+        # One key column: a join on rank alone would otherwise serve as the
+        # partitioning of (rank, block) and leave a hot source in one task.
+        cell = F.shiftleft(F.col("rank").cast("long"), 40) + F.col("block")
+        flown = landed(blocks.withColumn("cell", cell).groupBy("cell").applyInPandas(
             lambda block: cube_block(block, seed),
             "doc_id long, rank int, size long, draw long, pi double"), f"mix-flight-{turn}")
         undecided = F.col("pi").between(EPS, 1 - EPS)
