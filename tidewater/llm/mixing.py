@@ -8,7 +8,7 @@ time move along the null space of the two balance constraints (documents and
 tokens stay exactly on their expected totals) until one of them reaches 0 or
 1. Blocks of one source fly independently, so a hot source is many small
 groups; what each block leaves undecided (two documents at most) flies again
-in the next round. The last block of a source lands: its few undecided
+in the next round. The last block of a source lands: a dozen undecided
 documents take the combination closest to the expected token total.
 """
 
@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from tidewater.llm.common import WORD_PATTERN, landed
 
 EPS = 1e-9
+#: Documents of a source's last block that wait for the landing.
+LANDING = 10
 
 
 def source_targets(sizes: DataFrame, cap: float = 3.0) -> DataFrame:
@@ -88,18 +90,16 @@ def fly(size: np.ndarray, pi: np.ndarray, rng: np.random.Generator) -> np.ndarra
 
 
 def land(size: np.ndarray, pi: np.ndarray) -> np.ndarray:
-    """Landing phase: of all 0/1 choices for the undecided documents (two at
-    most), the one nearest to the expected tokens, then documents."""
-    pi = np.where(pi < EPS, 0.0, np.where(pi > 1 - EPS, 1.0, pi))
-    left = np.flatnonzero((pi > 0) & (pi < 1))
-    best = None
-    for mask in range(1 << len(left)):
-        take = np.array([mask >> n & 1 for n in range(len(left))], float)
-        off = (abs(((take - pi[left]) * size[left]).sum()), abs((take - pi[left]).sum()), mask)
-        if best is None or off < best[0]:
-            best = (off, take)
-    pi[left] = best[1]
-    return pi
+    """Landing phase: of all 0/1 choices for the undecided documents (two that
+    the flight left and ``LANDING`` at most that it never moved), the one
+    nearest to the expected tokens, then documents."""
+    pi = pi.copy()
+    left = np.flatnonzero((pi > EPS) & (pi < 1 - EPS))
+    choices = (np.arange(1 << len(left))[:, None] >> np.arange(len(left)) & 1).astype(float)
+    off = choices - pi[left]
+    best = np.lexsort((abs(off.sum(1)), abs(off @ size[left])))[0]
+    pi[left] = choices[best]
+    return pi.round()
 
 
 def cube_block(block: pd.DataFrame, seed: int) -> pd.DataFrame:
@@ -107,8 +107,12 @@ def cube_block(block: pd.DataFrame, seed: int) -> pd.DataFrame:
     block = block.sort_values(["size", "draw"], ascending=[False, True]).reset_index(drop=True)
     key = [seed, int(block["rank"].iloc[0]), int(block["block"].iloc[0]), int(block["turn"].iloc[0])]
     size = block["size"].to_numpy(float)
-    pi = fly(size, block["pi"].to_numpy(float), np.random.default_rng(key))
-    if block["blocks"].iloc[0] == 1:
+    pi, rng = block["pi"].to_numpy(float).copy(), np.random.default_rng(key)
+    last = block["blocks"].iloc[0] == 1
+    kept_back = np.linspace(0, len(pi) - 1, LANDING).astype(int) if last else []
+    flies = ~np.isin(np.arange(len(pi)), kept_back)
+    pi[flies] = fly(size[flies], pi[flies], rng)
+    if last:
         pi = land(size, pi)
     return block.assign(pi=pi)[["doc_id", "rank", "size", "draw", "pi"]]
 

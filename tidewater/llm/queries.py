@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import language, minhash, mixing, quality, toxicity
+from tidewater.llm import language, minhash, mixing, quality, substring, toxicity
 from tidewater.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,12 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "lang_pred", "score")
 
 
+@query
+def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = substring.remove_repeats(table(spark, sf_dir, "documents"), width=35)
+    return got.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 @query
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents")).select(
