@@ -17,10 +17,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import slices
+from tidewater.llm.common import range_starts, slices
 
 WINDOW = 32           # bytes of a feature
 NEIGHBOURS = 32       # windows among which the rarest one scores
@@ -153,25 +153,6 @@ def likeness(a: list[np.ndarray], b: list[np.ndarray]) -> float:
     return float(min(1.0, (score.max(1) * weight).sum()))
 
 
-def range_of(key: Column, starts: list[int]) -> Column:
-    @F.arrow_udf("long")
-    def at(keys: pa.Array) -> pa.Array:
-        return pa.array(np.maximum(np.searchsorted(np.array(starts, np.int64),
-                                                   keys.to_numpy(), "right") - 1, 0))
-    return at(key)
-
-
-def range_starts(keys: DataFrame, parts: int) -> list[int]:
-    """Keys at which ranges of about equally many rows start, ``parts`` at
-    most; each is the smallest key of its range."""
-    cuts = keys.approxQuantile("key", [k / parts for k in range(parts)], 1 / (4 * parts))
-    cuts = sorted({int(c) for c in cuts or []})
-    if not cuts:
-        return []
-    least = keys.groupBy(range_of(F.col("key"), cuts).alias("range")).agg(F.min("key").alias("k"))
-    return sorted(r["k"] for r in least.collect())
-
-
 def in_key_order(rows: DataFrame, starts: list[int]) -> DataFrame:
     """Rows dealt by key range, each range sorted in one partition. The first
     rows of a range also visit the range before it (the first of all the

@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import embeddings, fingerprint, language, minhash, mixing, quality, substring, toxicity
+from tidewater.llm import (embeddings, fingerprint, language, minhash, mixing, packing, quality,
+                           substring, tokenfile, tokens, toxicity)
 from tidewater.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,12 +62,32 @@ def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+@query
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack_documents(table(spark, sf_dir, "documents"), tokens.tokenizer_file())
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
+                         "doc_tokens", "sequence_id", "offset")
+
+
 @query
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+@query
+def op9_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = tokenfile.write_ids(table(spark, sf_dir, "documents"), tokens.tokenizer_file())
+    pieces = tokenfile.read_ids(files).select(
+        "range", "doc_no", "doc_id", "start", F.length("ids").alias("size"),
+        F.struct("piece", F.crc32("ids").alias("crc"), F.length("ids").alias("size")).alias("part"))
+    whole = pieces.groupBy("range", "doc_no").agg(
+        F.max("doc_id").alias("doc_id"), F.min("start").alias("start"),
+        (F.sum("size") / 4).cast("long").alias("n_tokens"),
+        tokenfile.crc_of_pieces(F.collect_list("part")).alias("ids_crc32"))
+    return whole.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 @query
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
