@@ -364,3 +364,15 @@ def remove_repeats(docs: DataFrame, width: int = 35, id_col: str = "doc_id",
     return (scan.select("doc_id", "tid", "n_words", "sha").join(cuts, "tid", "left")
             .select("doc_id", "n_words", F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
                     F.coalesce("kept_sha", "sha").alias("kept_sha256"), "kept_text"))
+
+
+def without_repeats(docs: DataFrame, width: int = 35, text_col: str = "text") -> DataFrame:
+    """``docs`` with the same rows and columns, the text of documents that lose
+    words replaced by the words kept, joined by one space; all other texts
+    stay as they are. The rules are those of :func:`remove_repeats`."""
+    _, cuts = repeated_parts(docs.select(F.lit(0).cast("long").alias("doc_id"),
+                                         F.col(text_col).alias("text")), width)
+    whole = docs.select(F.struct(*docs.columns).alias("row"), text_id(text_col).alias("tid"))
+    joined = whole.join(cuts.select("tid", "kept_text"), "tid", "left")
+    return joined.select(*(F.coalesce("kept_text", F.col("row")[c]).alias(c) if c == text_col
+                           else F.col("row")[c].alias(c) for c in docs.columns))

@@ -177,25 +177,30 @@ def learned_lexicon(rows: DataFrame, max_terms: int) -> ToxicityModel:
 def score_toxicity(docs: DataFrame, labels: DataFrame, held: tuple[int, int] = (5, 0),
                    text_col: str = "text", out_col: str = "score", max_rows: int = 20_000,
                    max_terms: int = 3_000, trees: int = 30) -> DataFrame:
-    """``docs`` with a calibrated ``out_col`` in 0..1 added; all rows and all
-    other columns are kept as they are.
+    """``docs`` with a calibrated ``out_col`` in 0..1; all rows and all other
+    columns, whatever their names, are kept as they are. A column that already
+    has the name ``out_col`` is replaced.
 
     ``labels`` (doc_id, toxic) outside the ``held`` fold (modulus, remainder of
     crc32 of the id) teach, ``max_rows`` at most; the whole of ``docs`` is
     scored over whole texts. Null and empty texts have all features 0 and get
     that row's score. Without any label, or with labels of one class only, the
     score of every row is the class rate (0 without labels). Repeated rows get
-    equal scores. ``out_col`` must not be a column of ``docs`` yet (ValueError).
+    equal scores.
     """
-    if out_col in docs.columns:
-        raise ValueError(f"{out_col!r} is already a column")
     spark = docs.sparkSession
+    others = [c for c in docs.columns if c != out_col]
+    whole = docs.select(F.struct(*others).alias("row"), F.col(text_col).alias("text"))
+
+    def result(frame: DataFrame, score: Column) -> DataFrame:
+        return frame.select("row.*", score.alias(out_col))
+
     sample = labelled_sample(docs.select("doc_id", F.col(text_col).alias("text")), labels,
                              "toxic", held, max_rows, "toxicity-sample")
     classes = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if min(classes.get(0, 0), classes.get(1, 0)) == 0:
         rate = float(bool(classes.get(1, 0)))
-        return docs.withColumn(out_col, F.lit(rate))
+        return result(whole, F.lit(rate))
     model = spark.sparkContext.broadcast(
         learned_lexicon(sample.where("part < 5"), max_terms))
     rows = landed(sample.where("part >= 5").select(
@@ -205,11 +210,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, held: tuple[int, int] = (
     if fit_on.select("label").distinct().count() < 2:
         fit_on = rows if rows.select("label").distinct().count() == 2 else None
     if fit_on is None:  # too few labels to split: the lexicon alone decides
-        hit = features_of(F.col(text_col), model)
-        return docs.withColumn(out_col, F.when(hit[1] + hit[3] > 0, 1.0).otherwise(0.0))
+        hit = features_of(F.col("text"), model)
+        return result(whole, F.when(hit[1] + hit[3] > 0, 1.0).otherwise(0.0))
     gbt = GBTClassifier(maxIter=trees, maxDepth=3, stepSize=0.2, seed=1, checkpointInterval=-1,
                         featuresCol="features", labelCol="label").fit(fit_on)
-    column = "_toxicity_features"
     raw = vector_to_array(F.col("probability"))[1]
     calibration = rows.where("part >= 8")
     if calibration.isEmpty():
@@ -219,14 +223,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, held: tuple[int, int] = (
     knots = [float(x) for x in isotonic.boundaries]
     level = [float(x) for x in isotonic.predictions]
 
-    scored = (gbt.setFeaturesCol(column).setProbabilityCol("_toxicity_p")
-              .setRawPredictionCol("_toxicity_raw").setPredictionCol("_toxicity_label")
-              .transform(docs.withColumn(column,
-                                         array_to_vector(features_of(F.col(text_col), model)))))
-    p = vector_to_array(F.col("_toxicity_p"))[1]
+    scored = gbt.transform(whole.withColumn(
+        "features", array_to_vector(features_of(F.col("text"), model))))
     # A little of the trees' own probability keeps the order within a step.
-    calibrated = 0.99 * interpolated(p, knots, level) + 0.01 * p
-    return scored.withColumn(out_col, calibrated).select(*docs.columns, out_col)
+    return result(scored, 0.99 * interpolated(raw, knots, level) + 0.01 * raw)
 
 
 def interpolated(x: Column, knots: list[float], level: list[float]) -> Column:
