@@ -136,8 +136,8 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.regexp_count(F.coalesce(text_col, F.lit("")), F.lit(WORD_PATTERN))
         .cast("long").alias("size")), "mix-sizes")
     targets = landed(source_targets(sizes, cap), "mix-targets")
-    rate = F.when(F.col("capped"), F.lit(cap)).when(
-        F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    rate = F.when(F.col("source_size") == 0, F.lit(0.0)).when(F.col("capped"), F.lit(cap)) \
+        .otherwise(F.col("target") / F.col("source_size"))
     planned = (sizes.join(targets, sizes["source"].eqNullSafe(targets["source"]))
                .select("doc_id", sizes["source"], "size", "rank", rate.alias("rate")))
     active = planned.select("doc_id", "rank", "size", F.xxhash64("doc_id", F.lit(seed)).alias("draw"),
