@@ -76,26 +76,29 @@ def test_load_write_is_rebalanced_by_day(spark, scratch):
     loc = scratch("lake")
     ev = lake.normalize_events(fixtures.raw_lake_lines(spark, SF_SMALL))
     lake_load.write_events(spark, ev, loc, dt.date(2024, 1, 1), dt.date(2024, 1, 30))
-    per_day = [len(glob.glob(d + "/*.parquet"))
+    per_day = [len(glob.glob(d + "/landed_date=*/*.parquet"))
                for d in glob.glob(loc.replace("file:", "") + "/created_date=*")]
     assert per_day and max(per_day) == 1  # small days: one file each
 
 
-def _hinted_broadcast(df):
-    return "strategy=broadcast" in df._jdf.queryExecution().analyzed().toString()
+def test_building_the_enrichment_runs_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    c, m = registry.classified(spark, SF_SMALL), registry.latest_meta(spark, SF_SMALL)
+    spark.sparkContext.setJobGroup("building", "")
+    try:
+        from tidewater.operators import intermediate
 
+        intermediate.events_enriched(c, m)
+        assert tracker.getJobIdsForGroup("building") == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
-def test_broadcast_needs_both_row_and_byte_bounds(spark):
-    from tidewater.operators.joins import broadcast_if_small, side_size
 
-    side = spark.range(100).selectExpr("id", "repeat('x', 1000) AS pad")  # ~100 KB of text
-    n, b = side_size(side, 1000)
-    assert n == 100 and 100_000 < b < 120_000
-    assert _hinted_broadcast(broadcast_if_small(side, max_rows=1000, max_bytes=1 << 20))
-    assert not _hinted_broadcast(broadcast_if_small(side, max_rows=1000, max_bytes=50_000))
-    assert not _hinted_broadcast(broadcast_if_small(side, max_rows=50, max_bytes=1 << 20))
-    # The row bound stops the count early: never more than max_rows + 1 rows.
-    assert side_size(spark.range(10_000_000).selectExpr("id"), 10)[0] == 11
+def test_serving_reads_stored_marts(spark):
+    for key in ("summary_metrics", "top_languages", "metric_query_language_day", "dq_trends",
+                "contributor_trends_select"):
+        p = plan(registry.QUERIES[key](spark, SF_SMALL))
+        assert "Format: Parquet" in p and "from_json" not in p and "raw_event" not in p, key
 
 
 def test_listing_parallelism_filled_only_when_unset(spark):

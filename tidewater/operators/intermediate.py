@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tidewater import schemas
 from tidewater.functions import bot_flag, contributor_label
-from tidewater.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_small
 
 PUSH_EVENT = "PushEvent"
 
@@ -27,19 +26,18 @@ def events_classified(stg: DataFrame) -> DataFrame:
 
 
 def events_enriched(classified: DataFrame, latest_meta: DataFrame,
-                    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
                     with_match_flag: bool = False) -> DataFrame:
     """Left outer equi-join of events to the latest metadata per repository.
 
     Unmatched events are kept with NULL language/topics; the key comparison is
-    case-sensitive. The metadata side is bounded by the top-N request list per
-    snapshot, so it is broadcast after a size check and the event side is
-    never shuffled for this join.
+    case-sensitive. Building the join runs no job: adaptive execution measures
+    the metadata side when it is there and broadcasts it within
+    ``spark.sql.adaptive.autoBroadcastJoinThreshold``, else shuffles (and
+    splits a hot repository).
     """
     meta = latest_meta.select(
         F.col("repo_full_name"), F.col("language"), F.col("topics"),
         F.lit(True).alias("_matched"))
-    meta = broadcast_if_small(meta, broadcast_max_rows)
     joined = classified.join(meta, classified["repo_name"] == meta["repo_full_name"], "left")
     cols = [classified[c] for c in schemas.CLASSIFIED_COLUMNS] + [meta["language"], meta["topics"]]
     if with_match_flag:

@@ -13,7 +13,8 @@ from tidewater import schemas
 PART = schemas.LAKE_PARTITION_COLUMN
 
 
-def normalize_events(lines: DataFrame, line_col: str = "line") -> DataFrame:
+def normalize_events(lines: DataFrame, line_col: str = "line",
+                     keep: tuple[str, ...] = ()) -> DataFrame:
     """Nested raw event text -> the 8 lake columns.
 
     Structs are resolved by field name through the declared schema (unknown
@@ -21,7 +22,7 @@ def normalize_events(lines: DataFrame, line_col: str = "line") -> DataFrame:
     ISO-8601 ``created_at`` becomes a TIMESTAMP.
     """
     j = F.from_json(F.col(line_col), schemas.LAKE_EVENT_JSON)
-    return normalize_parsed(lines.select(j.alias("j")).select("j.*"))
+    return normalize_parsed(lines.select(j.alias("j"), *keep).select("j.*", *keep), keep)
 
 
 def normalize_parsed(parsed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

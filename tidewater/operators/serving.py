@@ -95,18 +95,35 @@ class Sort:
     descending: bool = False
 
 
+@dataclass(frozen=True)
+class Filter:
+    """Rows whose dimension is (or, excluded, is not) one of the values."""
+
+    field: str
+    values: tuple
+    exclude: bool = False
+
+    def condition(self) -> Column:
+        chosen = F.coalesce(F.col(self.field).isin(*self.values), F.lit(False))
+        return ~chosen if self.exclude else chosen
+
+
 def metric_query(df: DataFrame, dimensions: Sequence[str], metrics: Sequence[str],
                  sorts: Sequence[Sort] = (), limit: int | None = None,
+                 filters: Sequence[Filter] = (),
                  catalog: dict[str, Metric] = LANGUAGE_METRICS,
                  allowed_dimensions: Sequence[str] = LANGUAGE_DIMENSIONS) -> DataFrame:
-    """Aggregate chosen metrics over chosen dimensions, sort, limit.
+    """Filter on dimensions, aggregate chosen metrics over chosen dimensions,
+    sort, limit.
 
     Sort keys not named explicitly are appended (dimensions ascending) so that
     a limit always cuts a total order.
     """
-    for d in dimensions:
+    for d in [*dimensions, *(f.field for f in filters)]:
         if d not in allowed_dimensions:
             raise ValueError(f"unknown dimension {d}")
+    for f in filters:
+        df = df.where(f.condition())
     out = df.groupBy(*dimensions).agg(*[catalog[m].expr() for m in metrics])
     order = [F.desc(s.field) if s.descending else F.asc(s.field) for s in sorts]
     named = {s.field for s in sorts}
@@ -116,18 +133,25 @@ def metric_query(df: DataFrame, dimensions: Sequence[str], metrics: Sequence[str
 
 
 def pivot_series(long: DataFrame, index: str, pivot: str, value: str,
-                 values: Sequence[str]) -> DataFrame:
-    """One column per pivot value (fixed list: no extra distinct pass)."""
+                 values: Sequence[str] | None = None) -> DataFrame:
+    """One column per pivot value. Without a list the values are those of the
+    rows themselves (a chart's rows, limited by its own query), in order."""
+    if values is None:
+        values = [r[0] for r in long.select(pivot).distinct().orderBy(pivot).collect()]
     return (long.groupBy(index).pivot(pivot, list(values)).agg(F.sum(value))
                 .orderBy(index))
 
 
-def contributor_trends_series(trends: DataFrame, limit: int = 500) -> DataFrame:
+def contributor_trends_series(trends: DataFrame, limit: int | None = None) -> DataFrame:
     """Chart rows: SUM(event_count) per day, one series per contributor type,
-    date ascending."""
-    return pivot_series(trends.orderBy("event_date", "contributor_type").limit(limit),
-                        "event_date", "contributor_type", "event_count", [BOT, HUMAN])
+    date ascending. A limit keeps the newest rows."""
+    rows = trends if limit is None else trends.orderBy(
+        F.desc("event_date"), "contributor_type").limit(limit)
+    return pivot_series(rows, "event_date", "contributor_type", "event_count", [BOT, HUMAN])
 
 
-def select_all_limited(df: DataFrame, order: Sequence[str], limit: int = 500) -> DataFrame:
-    return df.select("*").orderBy(*order).limit(limit)
+def select_all_limited(df: DataFrame, order: Sequence[Column | str],
+                       limit: int | None = None) -> DataFrame:
+    """Star projection in a total order, the first ``limit`` rows of it."""
+    out = df.select("*").orderBy(*order)
+    return out if limit is None else out.limit(limit)

@@ -346,7 +346,7 @@ register("trends_delete_insert",
          "classified")
 register("trends_full_then_incremental",
          merge_sql(trends_sql("event_date <= DATE '2024-01-19'", "2024-01-20 06:00:00"),
-                   trends_sql("event_date BETWEEN DATE '2024-01-27' AND DATE '2024-01-29'",
+                   trends_sql("event_date BETWEEN DATE '2024-01-20' AND DATE '2024-01-29'",
                               "2024-01-30 06:00:00"), TKEYS),
          "classified")
 register("language_delete_insert",
@@ -389,16 +389,19 @@ SELECT repo_name, COUNT(*) AS bot_push_count FROM classified
 WHERE contributor_type = 'bot' GROUP BY repo_name
 ORDER BY bot_push_count DESC, repo_name ASC LIMIT 100""", "classified")
 register("metric_query_language_day", "SELECT * FROM metric", "metric")
-register("language_day_pivot", "SELECT event_date, " + ", ".join(
-    f"CAST(SUM(CASE WHEN language = '{x}' THEN total_events END) AS BIGINT) AS \"{x}\""
-    for x in ["Go", "JavaScript", "Python", "Rust", "TypeScript"])
-    + " FROM metric GROUP BY event_date", "metric")
+register("language_day_pivot", """
+SELECT event_date, CAST(COLUMNS(* EXCLUDE (event_date)) AS BIGINT)
+FROM (PIVOT metric ON language USING SUM(total_events) GROUP BY event_date) p""", "metric")
+register("metric_query_filtered", """
+SELECT event_date, language, CAST(SUM(event_count) AS BIGINT) AS total_events,
+       CAST(SUM(unique_repos) AS BIGINT) AS total_unique_repos
+FROM lang WHERE language IN ('Go', 'Python') AND contributor_type <> 'bot'
+GROUP BY event_date, language""", "lang")
 register("contributor_trends_chart", """
 SELECT event_date,
        CAST(SUM(CASE WHEN contributor_type = 'bot' THEN event_count END) AS BIGINT) AS bot,
        CAST(SUM(CASE WHEN contributor_type = 'human' THEN event_count END) AS BIGINT) AS human
-FROM (SELECT * FROM trends ORDER BY event_date, contributor_type LIMIT 500) t
-GROUP BY event_date""", "trends")
+FROM trends GROUP BY event_date""", "trends")
 register("contributor_trends_select", """
 SELECT * FROM trends ORDER BY event_date, contributor_type LIMIT 500""", "trends")
 register("events_per_day", """
@@ -423,17 +426,18 @@ SELECT CAST(created_at AS DATE) AS event_date, COUNT(*) AS source_count,
 FROM lake GROUP BY 1""", "lake")
 register("load_history_counts", """
 SELECT 'overwrite' AS operation, n AS source_records, n AS added_records,
-       CAST(0 AS BIGINT) AS rejected_records, d AS days_written
+       CAST(0 AS BIGINT) AS straggler_records, CAST(0 AS BIGINT) AS undated_records,
+       d AS days_written
 FROM (SELECT CAST(COUNT(*) AS BIGINT) AS n,
              CAST(COUNT(DISTINCT CAST(created_at AS DATE)) AS BIGINT) AS d FROM lake) full_load
 UNION ALL
-SELECT 'overwrite', n, n, CAST(0 AS BIGINT), d
+SELECT 'overwrite', n, n, CAST(0 AS BIGINT), CAST(0 AS BIGINT), d
 FROM (SELECT CAST(COUNT(*) AS BIGINT) AS n,
              CAST(COUNT(DISTINCT CAST(created_at AS DATE)) AS BIGINT) AS d FROM lake
       WHERE CAST(created_at AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-06'
         AND CAST(id AS BIGINT) % 2 = 0) first_rerun
 UNION ALL
-SELECT 'overwrite', n, n, CAST(0 AS BIGINT), d
+SELECT 'overwrite', n, n, CAST(0 AS BIGINT), CAST(0 AS BIGINT), d
 FROM (SELECT CAST(COUNT(*) AS BIGINT) AS n,
              CAST(COUNT(DISTINCT CAST(created_at AS DATE)) AS BIGINT) AS d FROM lake
       WHERE CAST(created_at AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-06'
@@ -442,9 +446,33 @@ register("repo_snapshot_write", """
 SELECT full_name AS repo_full_name, language, topics, stargazers_count, forks_count, is_fork,
        CAST(created_at AS TIMESTAMP) AS repo_created_at, description, enriched_date
 FROM api_proj
-WHERE enriched_date <> DATE '2024-01-28' OR stargazers_count >= 2500""", "api_proj")
+WHERE (enriched_date <> DATE '2024-01-28' OR stargazers_count >= 2500)
+  AND (enriched_date = DATE '2024-01-28'
+       OR enriched_date <> (SELECT MIN(enriched_date) FROM api_proj))""", "api_proj")
 register("stream_file_ingest", "SELECT * FROM stg", "stg")
 register("stream_trends_refresh", "SELECT * FROM trends", "trends")
+register("stream_as_of_advance", "SELECT * FROM trends", "trends")
+register("trends_after_outage",
+         trends_sql("event_date <= DATE '2024-01-10'", "2024-01-30 06:00:00"), "classified")
+register("model_views", """
+SELECT contributor_type, language, COUNT(*) AS event_count
+FROM enriched GROUP BY contributor_type, language""", "enriched")
+register("load_job_from_files", """
+SELECT CAST(created_at AS DATE) AS event_date, COUNT(*) AS source_count,
+       COUNT(*) AS target_count, CAST(0 AS BIGINT) AS delta
+FROM lake GROUP BY 1""", "lake")
+register("named_table_read", """
+SELECT type, COUNT(*) AS event_count FROM lake
+WHERE CAST(created_at AS DATE) >= DATE '2024-01-05' GROUP BY type""", "lake")
+register("load_stragglers", """
+SELECT created_date, landed_date, COUNT(*) AS event_count FROM (
+  SELECT CAST(created_at AS DATE) AS created_date,
+         CAST(created_at AS DATE) + CASE WHEN CAST(id AS BIGINT) % 50 = 0 THEN 1 ELSE 0 END
+           AS landed_date
+  FROM lake
+  UNION ALL
+  SELECT NULL, CAST(created_at AS DATE) FROM lake WHERE CAST(id AS BIGINT) % 50 = 0) s
+GROUP BY 1, 2""", "lake")
 
 
 def _dq_sql(model: str, source: str) -> str:

@@ -6,22 +6,38 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidewater.days import ONE_DAY
 from tidewater.operators.marts import DEFAULT_LOOKBACK_DAYS, MartSpec
 from tidewater.plans import sinks
 
 
+def refresh_from(spark: SparkSession, location: str, as_of: dt.date,
+                 lookback_days: int = DEFAULT_LOOKBACK_DAYS) -> dt.date:
+    """First day that an incremental run recomputes: the start of the lookback
+    or, after missed runs, the day after the last one built."""
+    start = as_of - lookback_days * ONE_DAY
+    last = spark.read.parquet(location).agg(F.max("event_date")).first()[0]
+    return start if last is None else min(start, last + ONE_DAY)
+
+
 def run_mart(spark: SparkSession, spec: MartSpec, source: DataFrame, location: str,
              as_of: dt.date, batched_at: dt.datetime | None = None,
-             lookback_days: int = DEFAULT_LOOKBACK_DAYS, full_refresh: bool = False) -> dict:
+             lookback_days: int = DEFAULT_LOOKBACK_DAYS, full_refresh: bool = False,
+             fill_gap: bool = True) -> dict:
     """Build or update the mart at ``location`` as of ``as_of``.
 
     * target absent (or ``full_refresh``): every complete day before
       ``as_of`` is aggregated and the table replaced;
-    * target present: only the last ``lookback_days`` complete days are
-      recomputed (late data repair) and merged on the mart's unique key.
+    * target present: the last ``lookback_days`` complete days (late data
+      repair) and any days since the last one built are recomputed and merged
+      on the mart's unique key. ``fill_gap=False`` keeps to the lookback, and
+      leaves a hole where scheduled runs were missed.
     """
     incremental = (not full_refresh) and sinks.table_exists(spark, location)
+    if incremental and fill_gap:
+        lookback_days = (as_of - refresh_from(spark, location, as_of, lookback_days)).days
     batch = spec.build(source, as_of, incremental=incremental, batched_at=batched_at,
                        lookback_days=lookback_days)
     if incremental:

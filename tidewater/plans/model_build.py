@@ -15,10 +15,11 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from tidewater.days import ONE_DAY
 from tidewater.operators import intermediate, marts, staging
 from tidewater.operators.marts import DEFAULT_LOOKBACK_DAYS
 from tidewater.plans import sinks
-from tidewater.plans.marts import run_mart
+from tidewater.plans.marts import refresh_from, run_mart
 from tidewater.session import scratch_path
 from tidewater.sources import files
 
@@ -27,12 +28,17 @@ def build_marts(spark: SparkSession, raw_root: str, snapshot_root: str, trends_l
                 language_location: str, as_of: dt.date, first_day: dt.date,
                 batched_at: dt.datetime | None = None,
                 lookback_days: int = DEFAULT_LOOKBACK_DAYS) -> dict:
-    """Run both marts as of ``as_of``; returns the two commit summaries."""
-    last_day = as_of - dt.timedelta(days=1)
+    """Run both marts as of ``as_of``; returns the two commit summaries. A day
+    of the run without landed files is refused, as in the load job."""
+    last_day = as_of - ONE_DAY
     incremental = (sinks.table_exists(spark, trends_location)
                    and sinks.table_exists(spark, language_location))
-    start = max(first_day, as_of - dt.timedelta(days=lookback_days)) if incremental else first_day
+    start = first_day
+    if incremental:
+        start = max(first_day, min(refresh_from(spark, loc, as_of, lookback_days)
+                                   for loc in (trends_location, language_location)))
     stg = files.read_staged_events(spark, raw_root, start, last_day)
+    files.assert_days_listed(stg, start, last_day)
     classified = stage_classified(spark, intermediate.events_classified(stg))
     meta = staging.latest_repo_metadata(files.read_repo_snapshots(spark, snapshot_root))
     enriched = intermediate.events_enriched(classified, meta)

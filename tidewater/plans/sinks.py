@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, MapType, StringType, StructField, StructType, TimestampType
 
-from tidewater.operators.joins import DEFAULT_BROADCAST_MAX_BYTES, DEFAULT_BROADCAST_MAX_ROWS
+from tidewater.days import DaySpan
 from tidewater.session import scratch_path
 
 HISTORY_SCHEMA = StructType([
@@ -35,11 +35,16 @@ def history_path(location: str) -> str:
 
 
 def table_exists(spark: SparkSession, location: str) -> bool:
+    """Whether ``location`` is there. The probe declares a schema, so it lists
+    but reads no footer; any failure other than a missing path is raised, since
+    whoever asks goes on to replace a table that it believes absent."""
     try:
-        spark.read.parquet(location).schema  # noqa: B018 - listing only
-        return True
-    except AnalysisException:
+        spark.read.schema("probe int").parquet(location)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return False
+    return True
 
 
 def read_table(spark: SparkSession, location: str,
@@ -48,8 +53,10 @@ def read_table(spark: SparkSession, location: str,
     (partition columns come back last from a folder read)."""
     df = spark.read.parquet(location)
     if order:
-        df = df.select(*[c for c in order if c in df.columns],
-                       *[c for c in df.columns if c not in order])
+        by_name = {c.lower(): c for c in df.columns}
+        first = [F.col(by_name[c.lower()]).alias(c) for c in order if c.lower() in by_name]
+        wanted = {c.lower() for c in order}
+        df = df.select(*first, *[c for c in df.columns if c.lower() not in wanted])
     return df
 
 
@@ -86,88 +93,168 @@ def ensure_table(spark: SparkSession, name: str, location: str, ddl_columns: str
               f"OPTIONS ('compression' = 'zstd')")
 
 
-# Per-day counts are observed during the write (one counter per requested day,
-# evaluated for every row) only up to this many days; a longer range (a
-# backfill) counts its days with one grouped aggregation over the source.
-OBSERVED_DAYS_MAX = 62
+# Days written by one job: a longer range is a sequence of such writes, each
+# reading its own day folders only and observing its own counters.
+DAYS_PER_WRITE = 31
+LANDED = "landed_date"
 
 
 def overwrite_days(spark: SparkSession, df: DataFrame, location: str, partition_column: str,
                    start: dt.date, end: dt.date, operation: str = "overwrite",
-                   extra_metrics: dict | None = None,
-                   drop_columns: Sequence[str] = (),
-                   observed_days_max: int = OBSERVED_DAYS_MAX) -> dict:
-    """Idempotent dynamic partition overwrite restricted to ``[start, end]``.
-
-    Only day partitions present in the written rows are replaced; every other
-    partition is untouched, so a rerun of the same range gives the same
-    table. Rows whose day falls outside the requested range are rejected and
-    counted instead of silently replacing a neighbouring day. Counts (total,
-    written, rejected, per day) are collected by ``observe`` during the write
-    itself: no extra pass over the input. Past ``observed_days_max`` days the
-    per-row cost of one counter per day would dominate (and the generated
-    code would not compile), so the per-day source counts then come from a
-    grouped count over the source before the write: partial aggregation
-    map-side, only the day column parsed, one row per day returned.
-
-    Rows are rebalanced by day before the write: input splits (hourly files,
-    or packed small files) each hold many days, and writing them unshuffled
-    gives every task a file in every day it touches.
+                   extra_metrics: dict | None = None, drop_columns: Sequence[str] = (),
+                   landing_column: str | None = None,
+                   days_per_write: int = DAYS_PER_WRITE) -> dict:
+    """Idempotent overwrite of what landed on the days ``[start, end]``.
+
+    Every row is stored under its true day and, within that, under the day it
+    landed on (``<partition_column>=.../landed_date=...``). A straggler of an
+    earlier day so gets a folder of its own beside that day's rows, and a
+    rerun of its landing day replaces that folder and no other. Rows without
+    a day (unreadable lines) are stored as well, under the null day. Nothing
+    is dropped and nothing is deduplicated.
+
+    ``landing_column`` names the day folder a row came from; without it a row
+    counts as landed on its own day, or on the nearest day of the range.
+    Counts (total, stragglers, undated, per landing day) are observed during
+    the writes: one pass over the input for a range of any length.
     """
-    days = [start + dt.timedelta(days=i) for i in range((end - start).days + 1)]
+    span = DaySpan(start, end)
     part = F.col(partition_column)
-    in_range = F.coalesce(part.between(F.lit(start), F.lit(end)), F.lit(False))
-    metrics = [F.count(F.lit(1)).alias("rows_in"),
-               F.count_if(~in_range).alias("rejected")]
-    counted_days: dict[str, int] | None = None
-    if len(days) <= observed_days_max:
-        metrics.append(F.create_map(*[x for d in days for x in (
-            F.lit(d.isoformat()), F.count_if(part == F.lit(d)))]).alias("per_day"))
-    else:
-        counted_days = {d.isoformat(): 0 for d in days}
-        for r in (df.filter(in_range).groupBy(part.alias("d"))
-                    .agg(F.count(F.lit(1)).alias("n")).collect()):  # <= one row per day
-            counted_days[r["d"].isoformat()] = int(r["n"])
-    for name, expr in (extra_metrics or {}).items():
-        metrics.append(expr.alias(name))
-    obs = Observation(f"overwrite_{uuid.uuid4().hex[:8]}")
-    # REBALANCE: hash-distribute by day, then let AQE merge small days and
-    # split a hot day into advisory-sized chunks, so each day gets a few
-    # well-sized files and no day lands whole in one task. The metrics are
-    # observed after the exchange, in the write (result) stage, where each
-    # task's update counts exactly once even if map stages are recomputed
-    # after an executor loss.
-    observed = df.hint("rebalance", partition_column).observe(obs, *metrics)
-    (observed.filter(in_range).drop(*drop_columns)
-             .write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic")
-             .option("compression", "zstd")
-             .partitionBy(partition_column)
-             .parquet(location))
-    m = obs.get
-    summary = {
-        "requested-range": f"{start.isoformat()}..{end.isoformat()}",
-        "source-records": int(m["rows_in"]),
-        "added-records": int(m["rows_in"]) - int(m["rejected"]),
-        "rejected-records": int(m["rejected"]),
-        "per-day": (counted_days if counted_days is not None
-                    else {k: int(v) for k, v in (m["per_day"] or {}).items()}),
-    }
-    for name in (extra_metrics or {}):
-        summary[name] = int(m[name]) if isinstance(m[name], int) else m[name]
+    landed = F.col(landing_column) if landing_column else F.coalesce(
+        F.least(F.greatest(part, F.lit(start)), F.lit(end)), F.lit(start))
+    rows = df.withColumn(LANDED, landed).drop(*drop_columns_of(df, landing_column))
+    total = {"source-records": 0, "straggler-records": 0, "undated-records": 0}
+    per_day: dict[str, int] = {}
+    folders: set[tuple[str, str]] = set()
+    extra: dict[str, object] = {}
+    for days in span.chunks(days_per_write):
+        metrics = [F.count(F.lit(1)).alias("source-records"),
+                   F.count_if(part != F.col(LANDED)).alias("straggler-records"),
+                   F.count_if(part.isNull()).alias("undated-records"),
+                   # Bounded by the days of the write and of its stragglers.
+                   F.collect_set(F.struct(part.cast("string").alias("day"),
+                                          F.col(LANDED).cast("string").alias("landed")))
+                   .alias("folders"),
+                   F.create_map(*[x for d in days for x in (
+                       F.lit(d.isoformat()), F.count_if(F.col(LANDED) == F.lit(d)))])
+                   .alias("per_day"),
+                   *[expr.alias(name) for name, expr in (extra_metrics or {}).items()]]
+        obs = Observation(f"overwrite_{uuid.uuid4().hex[:8]}")
+        # REBALANCE: hash-distribute by day, then let AQE merge small days and
+        # split a hot day into advisory-sized chunks, so each day gets a few
+        # well-sized files and no day lands whole in one task. The metrics are
+        # observed after the exchange, in the write (result) stage, where each
+        # task's update counts exactly once even if map stages are recomputed
+        # after an executor loss.
+        observed = (rows.filter(F.col(LANDED).between(F.lit(days.first), F.lit(days.last)))
+                    .hint("rebalance", partition_column, LANDED).observe(obs, *metrics))
+        (observed.drop(*drop_columns)
+                 .write.mode("overwrite")
+                 .option("partitionOverwriteMode", "dynamic")
+                 .option("compression", "zstd")
+                 .partitionBy(partition_column, LANDED)
+                 .parquet(location))
+        m = obs.get
+        for name in total:
+            total[name] += int(m[name])
+        per_day |= {k: int(v) for k, v in m["per_day"].items()}
+        folders |= {(f["day"], f["landed"]) for f in m["folders"] if f["day"]}
+        for name in extra_metrics or {}:
+            extra[name] = extra.get(name, 0) + m[name]
+    summary = {"requested-range": f"{start.isoformat()}..{end.isoformat()}", **total,
+               "added-records": total["source-records"], "per-day": per_day,
+               "folders": sorted(map(list, folders)), **extra}
     record_commit(spark, location, operation, summary)
     return summary
 
 
-def sync_columns(current: DataFrame, batch: DataFrame) -> tuple[DataFrame, bool]:
-    """Align ``current`` to the batch's columns: new columns are added as
-    NULL, removed ones dropped. Returns (aligned, schema_changed)."""
-    changed = [c.lower() for c in current.columns] != [c.lower() for c in batch.columns]
-    types = {f.name: f.dataType for f in batch.schema.fields}
-    aligned = current.select(*[
-        (F.col(c).cast(types[c]) if c in current.columns else F.lit(None).cast(types[c])).alias(c)
-        for c in batch.columns])
-    return aligned, changed
+def drop_columns_of(df: DataFrame, landing_column: str | None) -> list[str]:
+    return [c for c in df.columns if c == landing_column and c != LANDED]
+
+
+# Casts that keep every value of the type on the left.
+WIDER = {
+    "tinyint": ("smallint", "int", "bigint", "float", "double"),
+    "smallint": ("int", "bigint", "float", "double"),
+    "int": ("bigint", "double"),
+    "float": ("double",),
+    "date": ("timestamp_ntz", "timestamp"),
+}
+
+
+def common_type(a: str, b: str, column: str) -> str:
+    """The one of two types that holds the values of both, or a refusal."""
+    if a == b or b in WIDER.get(a, ()):
+        return b
+    if a in WIDER.get(b, ()):
+        return a
+    raise ValueError(f"column {column!r}: {a} and {b} cannot be merged without loss")
+
+
+def sync_columns(current: DataFrame, batch: DataFrame) -> tuple[DataFrame, DataFrame, bool]:
+    """Align a table and a batch: (table, batch, whether the table's schema
+    changes). Columns are matched without regard to case and take the batch's
+    names; new ones are NULL in the table, removed ones are dropped, and a
+    column whose types differ takes the wider one (narrowing is refused)."""
+    held = {f.name.lower(): f for f in current.schema.fields}
+    kept, given, changed = [], [], len(current.columns) != len(batch.columns)
+    for f in batch.schema.fields:
+        old = held.get(f.name.lower())
+        kind = f.dataType.simpleString() if old is None else common_type(
+            old.dataType.simpleString(), f.dataType.simpleString(), f.name)
+        changed |= old is None or old.name != f.name or old.dataType.simpleString() != kind
+        kept.append((F.lit(None) if old is None else F.col(old.name)).cast(kind).alias(f.name))
+        given.append(F.col(f.name).cast(kind).alias(f.name))
+    return current.select(*kept), batch.select(*given), changed
+
+
+# -- swaps that survive a failure ----------------------------------------------
+
+INTENT_SCHEMA = "swap string, stage string, mode string, partition_column string, done boolean"
+
+
+def intent_path(location: str) -> str:
+    return location.rstrip("/") + "_intent"
+
+
+def _note(spark: SparkSession, location: str, swap: str, stage: str, mode: str,
+          partition_column: str, done: bool) -> None:
+    (spark.range(1).select(F.lit(swap).alias("swap"), F.lit(stage).alias("stage"),
+                           F.lit(mode).alias("mode"),
+                           F.lit(partition_column).alias("partition_column"),
+                           F.lit(done).alias("done"))
+          .write.mode("append").parquet(intent_path(location)))
+
+
+def _copy_in(spark: SparkSession, location: str, stage: str, mode: str,
+             partition_column: str) -> None:
+    (spark.read.parquet(stage).write.mode("overwrite")
+          .option("partitionOverwriteMode", mode).option("compression", "zstd")
+          .partitionBy(partition_column).parquet(location))
+
+
+def swap_in(spark: SparkSession, location: str, stage: str, mode: str,
+            partition_column: str) -> None:
+    """Replace the table (or its touched partitions) by a staged copy. The
+    intent is written first: a failure in between leaves the whole new content
+    in the stage, and :func:`recover` completes the swap on the next run."""
+    swap = uuid.uuid4().hex
+    _note(spark, location, swap, stage, mode, partition_column, False)
+    _copy_in(spark, location, stage, mode, partition_column)
+    _note(spark, location, swap, stage, mode, partition_column, True)
+
+
+def recover(spark: SparkSession, location: str) -> int:
+    """Complete the swaps that were begun but not finished; their number."""
+    if not table_exists(spark, intent_path(location)):
+        return 0
+    noted = spark.read.schema(INTENT_SCHEMA).parquet(intent_path(location))
+    begun = (noted.groupBy("swap", "stage", "mode", "partition_column")
+             .agg(F.bool_or("done").alias("done")).where("not done").collect())  # a failure each
+    for r in begun:
+        _copy_in(spark, location, r["stage"], r["mode"], r["partition_column"])
+        _note(spark, location, r["swap"], r["stage"], r["mode"], r["partition_column"], True)
+    return len(begun)
 
 
 def delete_insert(spark: SparkSession, location: str, batch: DataFrame, keys: Sequence[str],
@@ -177,40 +264,29 @@ def delete_insert(spark: SparkSession, location: str, batch: DataFrame, keys: Se
 
     Keys absent from the batch survive, including on the batch's own days
     (a key that vanished in a rerun keeps its old row). Only the partitions
-    the batch touches are rewritten, unless the batch brings a different
-    column set, in which case every partition is rewritten with the synced
-    schema.
+    the batch touches are rewritten, unless the batch brings other columns or
+    wider types, in which case every partition is rewritten with the synced
+    schema. A swap that an earlier run left unfinished is completed first.
     """
+    recover(spark, location)
     stage = scratch_path(spark, "merge")
     obs = Observation(f"merge_{uuid.uuid4().hex[:8]}")
-    # The staging write also yields the batch size, its key bytes and its
-    # touched days (a handful of partition values): none needs a job of its own.
-    key_bytes = F.octet_length(F.to_json(F.struct(*[F.col(k) for k in keys])))
+    # The staging write also yields the batch size and its touched days (a
+    # handful of partition values): neither needs a job of its own.
     (batch.observe(obs, F.count(F.lit(1)).alias("rows"),
-                   F.coalesce(F.sum(key_bytes), F.lit(0)).alias("key_bytes"),
                    F.collect_set(F.col(partition_column)).alias("days"))
           .write.mode("overwrite").parquet(f"{stage}/batch"))
     b = spark.read.schema(batch.schema).parquet(f"{stage}/batch").select(*batch.columns)
     days = list(obs.get["days"])
     n_batch = int(obs.get["rows"])
-    current = read_table(spark, location, order=batch.columns)
-    aligned, changed = sync_columns(current, b)
+    aligned, b, changed = sync_columns(read_table(spark, location, order=batch.columns), b)
     scope = aligned if changed else aligned.filter(F.col(partition_column).isin(days))
-    # Distinct batch keys <= batch rows: the observed count and key bytes
-    # bound the side, so it is broadcast only when both are proven small.
-    batch_keys = b.select(*keys).distinct()
-    if n_batch <= DEFAULT_BROADCAST_MAX_ROWS and \
-            int(obs.get["key_bytes"]) <= DEFAULT_BROADCAST_MAX_BYTES:
-        batch_keys = F.broadcast(batch_keys)
-    kept = scope.join(batch_keys, list(keys), "left_anti").select(*b.columns)
+    kept = scope.join(b.select(*keys).distinct(), list(keys), "left_anti").select(*b.columns)
     merged = kept.unionByName(b)
     (merged.hint("rebalance", partition_column).write.mode("overwrite")
-           .partitionBy(partition_column).parquet(f"{stage}/merged"))
-    staged = spark.read.schema(merged.schema).parquet(f"{stage}/merged")
-    (staged.write.mode("overwrite")
-           .option("partitionOverwriteMode", "static" if changed else "dynamic")
-           .option("compression", "zstd")
-           .partitionBy(partition_column).parquet(location))
+           .parquet(f"{stage}/merged"))
+    swap_in(spark, location, f"{stage}/merged", "static" if changed else "dynamic",
+            partition_column)
     summary = {"keys": list(keys), "batch-records": n_batch,
                "partitions": sorted(str(d) for d in days), "schema-changed": changed}
     record_commit(spark, location, operation, summary)
@@ -230,11 +306,11 @@ def write_full(spark: SparkSession, location: str, df: DataFrame, partition_colu
     return summary
 
 
-def write_repo_snapshot(records: DataFrame, root: str, date_column: str = "enriched_date") -> None:
-    """NDJSON records under one folder per run date; rerunning a date replaces
-    that date only. JSON nulls are written out, as a serialiser would."""
-    (records.hint("rebalance", date_column)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .option("ignoreNullFields", "false")
-            .partitionBy(date_column).json(root.rstrip("/")))
+def write_repo_snapshot(records: DataFrame, root: str, run_date: dt.date,
+                        date_column: str = "enriched_date") -> None:
+    """NDJSON records of one run date in its folder. A rerun replaces that
+    folder and no other, also when it has no records. JSON nulls are written
+    out, as a serialiser would."""
+    (records.where(F.col(date_column) == F.lit(run_date)).drop(date_column)
+            .hint("rebalance").write.mode("overwrite").option("ignoreNullFields", "false")
+            .json(f"{root.rstrip('/')}/{date_column}={run_date.isoformat()}"))

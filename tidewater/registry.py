@@ -109,7 +109,6 @@ SERVE_START, SERVE_END = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 15)
 SCAN_START, SCAN_END = dt.datetime(2024, 1, 3), dt.datetime(2024, 1, 10)
 RANGE_START, RANGE_END = dt.date(2024, 1, 5), dt.date(2024, 1, 11)
 GUARD_START, GUARD_END = dt.date(2023, 12, 30), dt.date(2024, 2, 2)
-PIVOT_LANGUAGES = ["Go", "JavaScript", "Python", "Rust", "TypeScript"]
 
 
 # -- sources and staging -----------------------------------------------------
@@ -145,7 +144,6 @@ def q_repo_snapshot_scan(spark, sf_dir):
 @query("date_range_scan")
 def q_date_range_scan(spark, sf_dir):
     """OP-S4: inclusive day-range scan (bound pushed to the scan)."""
-    files.date_range(RANGE_START, RANGE_END)
     return fixtures.raw_events(spark, sf_dir, RANGE_START, RANGE_END)
 
 
@@ -157,15 +155,16 @@ def q_normalize_nested_events(spark, sf_dir):
 
 @query("missing_dates")
 def q_missing_dates(spark, sf_dir):
-    """OP-S6: requested days without landed data."""
-    landed = fixtures.raw_events(spark, sf_dir).select("event_date").distinct()
+    """OP-S6: requested days without a landed file (folder listing)."""
+    landed = files.landed_dates(spark, fixtures.landed_event_files(spark, sf_dir),
+                                GUARD_START, GUARD_END)
     return files.missing_dates(spark, landed, GUARD_START, GUARD_END)
 
 
 @query("time_range_scan")
 def q_time_range_scan(spark, sf_dir):
     """OP-S8/F5: half-open created_at range on the lake table, day-pruned."""
-    t = spark.read.parquet(lake_table(spark, sf_dir))
+    t = lake_load.read_days(spark, lake_table(spark, sf_dir), SCAN_START.date(), SCAN_END.date())
     return _ntz(lake.time_range(t, SCAN_START, SCAN_END).select("id", "type", "created_at"),
                 "created_at")
 
@@ -193,7 +192,7 @@ def q_stg_repo_metadata(spark, sf_dir):
 @query("payload_extract")
 def q_payload_extract(spark, sf_dir):
     """OP-P7: payload kept as JSON text, parsed on demand."""
-    t = spark.read.parquet(lake_table(spark, sf_dir))
+    t = lake_load.read_events(spark, lake_table(spark, sf_dir))
     return t.select("id", lake.payload_field(F.col("payload"), "$.k", "int").alias("payload_k"))
 
 
@@ -327,6 +326,15 @@ def q_trends_full_then_incremental(spark, sf_dir):
                      first_at=dt.datetime(2024, 1, 20, 6, 0, 0), second_at=BATCHED_AT)
 
 
+@query("trends_after_outage")
+def q_trends_after_outage(spark, sf_dir):
+    """OP-M3: runs missed between 01-04 and 01-11; the next one fills the gap."""
+    c = classified(spark, sf_dir)
+    return _two_runs(spark, marts.TRENDS, c, c, TRENDS_COLUMNS,
+                     first_as_of=dt.date(2024, 1, 4), second_as_of=dt.date(2024, 1, 11),
+                     first_at=BATCHED_AT, second_at=BATCHED_AT)
+
+
 @query("language_delete_insert")
 def q_language_delete_insert(spark, sf_dir):
     """OP-K4: keyed merge of the language mart (late-data scenario)."""
@@ -349,30 +357,38 @@ def q_schema_sync(spark, sf_dir):
     return read_mart(spark, loc, TRENDS_COLUMNS)
 
 
-# -- serving ------------------------------------------------------------------
+# -- serving: every tile reads the marts that the scheduled build stored ---------
+
+def stored_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_mart(spark, scheduled_build(spark, sf_dir)[0], TRENDS_COLUMNS)
+
+
+def stored_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_mart(spark, scheduled_build(spark, sf_dir)[1], LANGUAGE_COLUMNS)
+
 
 @query("summary_metrics")
 def q_summary_metrics(spark, sf_dir):
     """OP-A3/A4: totals, range and percent split over the trends mart."""
-    return serving.summary_metrics(trends_mart(spark, sf_dir))
+    return serving.summary_metrics(stored_trends(spark, sf_dir))
 
 
 @query("total_repos")
 def q_total_repos(spark, sf_dir):
     """OP-A5: sum of daily distinct repos, NULL -> 0."""
-    return serving.total_repos(language_mart(spark, sf_dir))
+    return serving.total_repos(stored_language(spark, sf_dir))
 
 
 @query("top_languages")
 def q_top_languages(spark, sf_dir):
     """OP-L3: top 5 languages by push events."""
-    return serving.top_languages(language_mart(spark, sf_dir))
+    return serving.top_languages(stored_language(spark, sf_dir))
 
 
 @query("top_languages_by_repos")
 def q_top_languages_by_repos(spark, sf_dir):
     """OP-L4: top 5 languages by summed distinct repos."""
-    return serving.top_languages_by_repos(language_mart(spark, sf_dir))
+    return serving.top_languages_by_repos(stored_language(spark, sf_dir))
 
 
 @query("top_bot_repos")
@@ -382,7 +398,7 @@ def q_top_bot_repos(spark, sf_dir):
 
 
 def _language_day_metric(spark, sf_dir) -> DataFrame:
-    return serving.metric_query(language_mart(spark, sf_dir), ["event_date", "language"],
+    return serving.metric_query(stored_language(spark, sf_dir), ["event_date", "language"],
                                 ["total_events"], [serving.Sort("event_date", True)], 500)
 
 
@@ -392,44 +408,59 @@ def q_metric_query_language_day(spark, sf_dir):
     return _language_day_metric(spark, sf_dir)
 
 
+# A chart narrowed to two languages' human pushes.
+CHOSEN = (serving.Filter("language", ("Go", "Python")),
+          serving.Filter("contributor_type", ("bot",), exclude=True))
+
+
+@query("metric_query_filtered")
+def q_metric_query_filtered(spark, sf_dir):
+    """OP-A9: the same metric narrowed by filters on dimensions."""
+    return serving.metric_query(stored_language(spark, sf_dir), ["event_date", "language"],
+                                ["total_events", "total_unique_repos"],
+                                [serving.Sort("event_date", True)], filters=CHOSEN)
+
+
 @query("language_day_pivot")
 def q_language_day_pivot(spark, sf_dir):
     """OP-A10: one series per language over the metric query rows."""
     return serving.pivot_series(_language_day_metric(spark, sf_dir), "event_date", "language",
-                                "total_events", PIVOT_LANGUAGES)
+                                "total_events")
 
 
 @query("contributor_trends_chart")
 def q_contributor_trends_chart(spark, sf_dir):
     """OP-A11: SUM(event_count) per day, one series per contributor type."""
-    return serving.contributor_trends_series(trends_mart(spark, sf_dir))
+    return serving.contributor_trends_series(stored_trends(spark, sf_dir))
 
 
 @query("contributor_trends_select")
 def q_contributor_trends_select(spark, sf_dir):
     """OP-P11/L6: star projection of the mart, total order, limit 500."""
-    return serving.select_all_limited(trends_mart(spark, sf_dir),
+    return serving.select_all_limited(stored_trends(spark, sf_dir),
                                       ["event_date", "contributor_type"], 500)
 
 
 @query("events_per_day")
 def q_events_per_day(spark, sf_dir):
     """OP-A6/P6: rows per day over a half-open range of the lake table."""
-    t = spark.read.parquet(lake_table(spark, sf_dir))
+    t = lake_load.read_days(spark, lake_table(spark, sf_dir), SERVE_START.date(),
+                            SERVE_END.date())
     return lake.events_per_day(lake.time_range(t, SERVE_START, SERVE_END))
 
 
 @query("top_event_types")
 def q_top_event_types(spark, sf_dir):
     """OP-L2: top 10 event types over the range."""
-    t = spark.read.parquet(lake_table(spark, sf_dir))
+    t = lake_load.read_days(spark, lake_table(spark, sf_dir), SERVE_START.date(),
+                            SERVE_END.date())
     return lake.top_event_types(lake.time_range(t, SERVE_START, SERVE_END), 10)
 
 
 @query("row_count")
 def q_row_count(spark, sf_dir):
     """OP-A7: total rows of the lake table."""
-    return lake.row_count(spark.read.parquet(lake_table(spark, sf_dir)))
+    return lake.row_count(lake_load.read_events(spark, lake_table(spark, sf_dir)))
 
 
 # -- loads and sinks -----------------------------------------------------------
@@ -440,7 +471,7 @@ def q_load_events_overwrite(spark, sf_dir):
     loc = scratch_path(spark, "lake-load")
     start, end = data_days(spark, sf_dir)
     lake_load.write_events(spark, lake_events(spark, sf_dir), loc, start, end)
-    t = spark.read.parquet(loc)
+    t = lake_load.read_events(spark, loc)
     return t.select("id", "type", F.col("actor.login").alias("actor_login"),
                     F.col("repo.name").alias("repo_name"), "payload", "public",
                     F.col("created_at").cast("timestamp_ntz").alias("created_at"),
@@ -465,7 +496,7 @@ def _rerun_scenario(spark, sf_dir) -> str:
 @query("load_rerun_idempotent")
 def q_load_rerun_idempotent(spark, sf_dir):
     """OP-K2/M4: rerun of two days replaces exactly those days; repeatable."""
-    t = spark.read.parquet(_rerun_scenario(spark, sf_dir))
+    t = lake_load.read_events(spark, _rerun_scenario(spark, sf_dir))
     return t.groupBy("created_date").agg(F.count(F.lit(1)).alias("event_count"))
 
 
@@ -497,10 +528,47 @@ def q_load_history_counts(spark, sf_dir):
         "operation",
         summary["source-records"].cast("bigint").alias("source_records"),
         summary["added-records"].cast("bigint").alias("added_records"),
-        summary["rejected-records"].cast("bigint").alias("rejected_records"),
+        summary["straggler-records"].cast("bigint").alias("straggler_records"),
+        summary["undated-records"].cast("bigint").alias("undated_records"),
         F.size(F.map_filter(per_day, lambda _, n: n > 0)).cast("bigint").alias("days_written"))
 
 
+@query("load_job_from_files")
+def q_load_job_from_files(spark, sf_dir):
+    """OP-S5/K1/K2/A8: the whole load job over landed gzip JSON files: guard,
+    read, normalise, write into a named table, count round trip."""
+    loc = scratch_path(spark, "lake-job")
+    start, end = data_days(spark, sf_dir)
+    return lake_load.run_load(spark, fixtures.landed_lake_files(spark, sf_dir), loc, start, end)
+
+
+@query("named_table_read")
+def q_named_table_read(spark, sf_dir):
+    """OP-K1: the table is created under a name if absent and read by SQL."""
+    loc = scratch_path(spark, "lake-named")
+    name = "tw_" + loc.rsplit("-", 1)[1]
+    start, end = data_days(spark, sf_dir)
+    for _ in range(2):  # the second load finds the table and replaces its days
+        lake_load.load_events(spark, fixtures.landed_lake_files(spark, sf_dir), loc, start, end,
+                              table_name=name)
+    return spark.sql(f"SELECT type, COUNT(*) AS event_count FROM {name} "
+                     "WHERE created_date >= DATE '2024-01-05' GROUP BY type")
+
+
+@query("load_stragglers")
+def q_load_stragglers(spark, sf_dir):
+    """OP-K2/M4: rows that landed a day late are stored under their true day,
+    broken lines without one; rerunning one landing day changes nothing."""
+    loc = scratch_path(spark, "lake-late")
+    events = lake.normalize_events(fixtures.lines_with_stragglers(spark, sf_dir),
+                                   keep=("event_date",))
+    start, end = data_days(spark, sf_dir)
+    for first, last in ((start, end + dt.timedelta(days=1)), (RELOAD_START, RELOAD_START)):
+        lake_load.write_events(spark, events, loc, first, last, landing_column="event_date")
+    return (lake_load.read_events(spark, loc).groupBy("created_date", "landed_date")
+            .agg(F.count(F.lit(1)).alias("event_count")))
+
+
 SNAPSHOT_RERUN_DAY = dt.date(2024, 1, 28)
 
 
@@ -509,10 +577,13 @@ def q_repo_snapshot_write(spark, sf_dir):
     """OP-K5: NDJSON snapshot per run date; a rerun replaces its date only."""
     root = scratch_path(spark, "repo-snapshots")
     records = staging.repo_record_projection(fixtures.api_repo_records(spark, sf_dir))
-    sinks.write_repo_snapshot(records, root)
-    rerun = records.filter((F.col("enriched_date") == F.lit(SNAPSHOT_RERUN_DAY))
-                           & (F.col("stargazers_count") >= 2500))
-    sinks.write_repo_snapshot(rerun, root)
+    days = [r[0] for r in records.select("enriched_date").distinct().collect()]
+    for day in sorted(days):
+        sinks.write_repo_snapshot(records, root, day)
+    sinks.write_repo_snapshot(records.filter(F.col("stargazers_count") >= 2500), root,
+                              SNAPSHOT_RERUN_DAY)
+    if min(days) != SNAPSHOT_RERUN_DAY:  # a rerun without records empties its day
+        sinks.write_repo_snapshot(records.limit(0), root, min(days))
     return staging.stg_repo_metadata_typed(files.read_repo_snapshots(spark, root))
 
 
@@ -542,6 +613,30 @@ def q_stream_trends_refresh(spark, sf_dir):
     return read_mart(spark, trends, TRENDS_COLUMNS)
 
 
+@query("stream_as_of_advance")
+def q_stream_as_of_advance(spark, sf_dir):
+    """OP-M1: all files come while 01-15 is the incomplete day; a later run
+    without new files adds the days that have become complete."""
+    base = scratch_path(spark, "stream-advance")
+    landing = fixtures.landed_event_files(spark, sf_dir)
+    for as_of in (dt.date(2024, 1, 15), AS_OF):
+        file_ingest.ingest_and_refresh_trends(spark, landing, f"{base}/staged",
+                                              f"{base}/checkpoint", f"{base}/trends", as_of,
+                                              batched_at=BATCHED_AT)
+    return read_mart(spark, f"{base}/trends", TRENDS_COLUMNS)
+
+
+@query("model_views")
+def q_model_views(spark, sf_dir):
+    """OP-K8: the models as named views, queried by SQL."""
+    from tidewater.plans.model_build import register_views
+
+    register_views(spark, fixtures.landed_event_files(spark, sf_dir),
+                   fixtures.landed_snapshot_files(spark, sf_dir))
+    return spark.sql("SELECT contributor_type, language, COUNT(*) AS event_count "
+                     "FROM events_enriched GROUP BY contributor_type, language")
+
+
 # -- scheduled build from landed files ------------------------------------------
 
 _BUILDS: dict[tuple[str, str], tuple[str, str]] = {}
@@ -606,10 +701,10 @@ def q_dq_enriched(spark, sf_dir):
 @query("dq_trends")
 def q_dq_trends(spark, sf_dir):
     """OP-D5."""
-    return quality.dq_check(trends_mart(spark, sf_dir), "contributor_trends")
+    return quality.dq_check(stored_trends(spark, sf_dir), "contributor_trends")
 
 
 @query("dq_language")
 def q_dq_language(spark, sf_dir):
     """OP-D6."""
-    return quality.dq_check(language_mart(spark, sf_dir), "language_activity")
+    return quality.dq_check(stored_language(spark, sf_dir), "language_activity")

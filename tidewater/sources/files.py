@@ -32,30 +32,15 @@ from pyspark.sql.types import (
 )
 
 from tidewater import schemas
+from tidewater.days import DaySpan
 
 RAW_GLOB = "*.json.gz"
 
 
-def date_range(start: dt.date, end: dt.date) -> list[dt.date]:
-    """Inclusive list of days; an end before the start is an error."""
-    if end < start:
-        raise ValueError(f"end date {end} is before start date {start}")
-    return [start + dt.timedelta(days=i) for i in range((end - start).days + 1)]
-
-
-def raw_event_paths(root: str, days: Sequence[dt.date]) -> list[str]:
-    """One folder per requested day (no glob: the file index lists the day
-    folders directly and ``pathGlobFilter`` keeps only ``*.json.gz``)."""
-    r = root.rstrip("/")
-    return [f"{r}/event_date={d.isoformat()}" for d in days]
-
-
-def days_glob(root: str, days: Sequence[dt.date]) -> str:
-    """One glob matching the requested day folders that exist (a single
-    listing of the root; the file index then lists the matched days in
-    parallel). Missing days simply do not match."""
-    alt = ",".join(d.isoformat() for d in days)
-    return f"{root.rstrip('/')}/event_date={{{alt}}}"
+def not_landed(days: Sequence[str]) -> FileNotFoundError:
+    """The refusal of a run some of whose days have no landed file."""
+    return FileNotFoundError("nothing has landed for " + " ".join(days)
+                             + f" ({len(days)} of the requested days)")
 
 
 def _reader(spark: SparkSession, root: str):
@@ -74,7 +59,9 @@ def read_raw_events(spark: SparkSession, root: str,
     """
     reader = _reader(spark, root)
     if start is not None and end is not None:
-        df = reader.text(raw_event_paths(root, date_range(start, end)))
+        # Named folders, not a pattern: a day that has not landed is an error.
+        df = reader.text([f"{root.rstrip('/')}/event_date={d.isoformat()}"
+                          for d in DaySpan(start, end)])
     else:
         df = reader.text(root.rstrip("/"))
     return df.select(F.col("event_date").cast("date").alias("event_date"),
@@ -97,12 +84,11 @@ def read_lake_source(spark: SparkSession, root: str, start: dt.date, end: dt.dat
     reader = (_reader(spark, root).schema(StructType(fields)).option("mode", "PERMISSIVE"))
     if corrupt_column:
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
-    days = date_range(start, end)
+    span = DaySpan(start, end)
     try:
-        return reader.json(days_glob(root, days))
+        return reader.json(span.folders(root, "event_date"))
     except AnalysisException as e:  # not one requested day has landed
-        raise FileNotFoundError(
-            f"no raw files for {len(days)} day(s): {days[0]}..{days[-1]}") from e
+        raise not_landed(span.absentees(set())) from e
 
 
 def assert_days_listed(df: DataFrame, start: dt.date, end: dt.date) -> None:
@@ -117,10 +103,9 @@ def assert_days_listed(df: DataFrame, start: dt.date, end: dt.date) -> None:
         i = path.find("event_date=")
         if i >= 0:
             present.add(path[i + 11:i + 21])
-    missing = [d for d in date_range(start, end) if d.isoformat() not in present]
+    missing = DaySpan(start, end).absentees(present)
     if missing:
-        raise FileNotFoundError(
-            f"no raw files for {len(missing)} day(s): " + ", ".join(d.isoformat() for d in missing))
+        raise not_landed(missing)
 
 
 def landed_dates(spark: SparkSession, root: str,
@@ -136,7 +121,7 @@ def landed_dates(spark: SparkSession, root: str,
     empty = spark.createDataFrame([], "event_date date")
     try:
         if start is not None and end is not None:
-            listed = reader.load(days_glob(root, date_range(start, end)))
+            listed = reader.load(DaySpan(start, end).folders(root, "event_date"))
         else:
             listed = reader.load(root.rstrip("/"))
     except AnalysisException:  # nothing matched at all
@@ -149,7 +134,7 @@ def landed_dates(spark: SparkSession, root: str,
 def missing_dates(spark: SparkSession, landed: DataFrame, start: dt.date,
                   end: dt.date) -> DataFrame:
     """Days of ``[start, end]`` with no landed data (``missing_date``)."""
-    date_range(start, end)  # validates the order
+    DaySpan(start, end)  # refuses a reversed range
     expected = spark.range(1).select(
         F.explode(F.sequence(F.lit(start), F.lit(end), F.expr("INTERVAL 1 DAY"))).alias("d"))
     return (expected.join(landed, expected["d"] == landed["event_date"], "left_anti")
@@ -159,11 +144,10 @@ def missing_dates(spark: SparkSession, landed: DataFrame, start: dt.date,
 def assert_dates_present(spark: SparkSession, landed: DataFrame, start: dt.date,
                          end: dt.date) -> None:
     """Refuse a load when any requested day has no raw data."""
-    missing = [r[0] for r in missing_dates(spark, landed, start, end)
+    missing = [r[0].isoformat() for r in missing_dates(spark, landed, start, end)
                .orderBy("missing_date").collect()]  # bounded by the requested range
     if missing:
-        raise FileNotFoundError(
-            f"no raw files for {len(missing)} day(s): " + ", ".join(d.isoformat() for d in missing))
+        raise not_landed(missing)
 
 
 # Shape of the landed nested event used when writing landing files: the
@@ -233,7 +217,7 @@ def read_staged_events(spark: SparkSession, root: str, start: dt.date | None = N
         StructField("event_hour", IntegerType())])
     reader = _reader(spark, root).schema(schema)
     if start is not None and end is not None:
-        df = reader.json(days_glob(root, date_range(start, end)))
+        df = reader.json(DaySpan(start, end).folders(root, "event_date"))
     else:
         df = reader.json(root.rstrip("/"))
     return df.select(

@@ -294,3 +294,37 @@ def landed_snapshot_files(spark: SparkSession, sf_dir: str) -> str:
             .write.mode("overwrite").partitionBy("enriched_date").text(root))
         _SNAPSHOT_FILES[key] = root
     return root
+
+
+# Fixed value: of the nested event lines, those of every 50th id land a day late.
+LATE_EVERY = 50
+
+
+def lines_with_stragglers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nested event lines (``event_date`` is the landing day) with every
+    ``LATE_EVERY``-th id landed a day after it happened and a copy of that
+    line cut off in the middle, as a broken upload leaves it."""
+    lines = raw_lake_lines(spark, sf_dir)
+    late = F.get_json_object("line", "$.id").cast("bigint") % LATE_EVERY == 0
+    moved = lines.withColumn("event_date", F.when(late, F.date_add("event_date", 1))
+                             .otherwise(F.col("event_date")))
+    broken = lines.where(late).withColumn("line", F.substring("line", 1, 25))
+    return moved.unionByName(broken)
+
+
+_LAKE_FILES: dict[tuple[str, str], str] = {}
+
+
+def landed_lake_files(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of hourly gzip JSON files of the nested event lines, landed once
+    per application."""
+    from tidewater.session import scratch_path
+    from tidewater.sources import files
+
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    root = _LAKE_FILES.get(key)
+    if root is None or not files.has_files(spark, root, files.RAW_GLOB):
+        root = scratch_path(spark, "landing-lake")
+        files.write_landing_files(raw_lake_lines(spark, sf_dir), root)
+        _LAKE_FILES[key] = root
+    return root

@@ -27,6 +27,11 @@ from tidewater.functions import parse_utc_timestamp
 from tidewater.sources.files import RAW_GLOB
 
 
+# The file source by default passes over files whose modification time lies a
+# week behind the newest one it has seen; a late upload can carry any time.
+NEVER_TOO_OLD = f"{100 * 365}d"
+
+
 def staged_event_stream(spark: SparkSession, root: str,
                         max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming staged events from ``<root>/event_date=*/event_hour=*/*.json.gz``.
@@ -37,7 +42,8 @@ def staged_event_stream(spark: SparkSession, root: str,
     schema = StructType(list(schemas.STG_EVENT_JSON.fields) + [
         StructField("event_date", DateType()), StructField("event_hour", IntegerType())])
     reader = (spark.readStream.schema(schema)
-                   .option("pathGlobFilter", RAW_GLOB))
+                   .option("pathGlobFilter", RAW_GLOB)
+                   .option("maxFileAge", NEVER_TOO_OLD))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = reader.json(root.rstrip("/"))
@@ -123,41 +129,42 @@ def ingest_and_refresh_trends(spark: SparkSession, root: str, staged_location: s
     merged on the mart's key. Distinct counts are not additive, so touched
     days are recomputed rather than incremented; the work per batch is
     proportional to the days it touched, and late files for any day are
-    repaired exactly. The first batch (no mart yet) builds it in full.
+    repaired exactly. The first batch (no mart yet) builds it in full. When
+    the stream has caught up, complete days that are staged but not in the
+    mart (they were the incomplete day when their files came) are added.
     """
-    import datetime as dt
     import uuid
 
     from pyspark.sql import Observation
 
+    from tidewater.days import ONE_DAY
     from tidewater.operators import intermediate, marts
     from tidewater.plans import sinks
 
-    last_day = as_of - dt.timedelta(days=1)
+    last_day = as_of - ONE_DAY
     batches = []
     # Whether the mart exists is known before the stream starts and changes
     # only when a batch creates it; no batch has to probe the folder.
     mart_exists = [sinks.table_exists(spark, trends_location)]
 
+    def recompute(days) -> None:
+        staged = read_staged(spark, staged_location, days if mart_exists[0] else None)
+        batch = marts.contributor_trends(intermediate.events_classified(staged), as_of,
+                                         batched_at=batched_at)
+        if mart_exists[0]:
+            sinks.delete_insert(spark, trends_location, batch, marts.TRENDS.keys, "event_date")
+        else:
+            sinks.write_full(spark, trends_location, batch, "event_date", operation="create")
+            mart_exists[0] = True
+
     def refresh(df: DataFrame, batch_id: int) -> None:
         obs = Observation(f"stream_{uuid.uuid4().hex[:8]}")
         write_staged_batch(df, staged_location, batch_id, obs,
                            [F.collect_set("event_date").alias("days")])  # <= days in batch
         batches.append(batch_id)
         touched = sorted(d for d in (obs.get.get("days") or []) if d <= last_day)
-        if not touched:
-            return
-        if not mart_exists[0]:
-            staged = read_staged(spark, staged_location)
-            full = marts.contributor_trends(intermediate.events_classified(staged), as_of,
-                                            batched_at=batched_at)
-            sinks.write_full(spark, trends_location, full, "event_date", operation="create")
-            mart_exists[0] = True
-            return
-        staged = read_staged(spark, staged_location, touched)
-        batch = marts.contributor_trends(intermediate.events_classified(staged), as_of,
-                                         batched_at=batched_at)
-        sinks.delete_insert(spark, trends_location, batch, marts.TRENDS.keys, "event_date")
+        if touched:
+            recompute(touched)
 
     q = (staged_event_stream(spark, root, max_files_per_trigger)
          .writeStream.foreachBatch(refresh)
@@ -165,4 +172,14 @@ def ingest_and_refresh_trends(spark: SparkSession, root: str, staged_location: s
          .trigger(availableNow=True)
          .start())
     q.awaitTermination()
+    if sinks.table_exists(spark, staged_location):
+        # Partition values only: no event is read to compare the two calendars.
+        staged_days = (spark.read.schema(STAGED_TABLE).parquet(staged_location)
+                       .where(F.col("event_date") <= F.lit(last_day)).select("event_date").distinct())
+        if mart_exists[0]:
+            built = spark.read.parquet(trends_location).select("event_date").distinct()
+            staged_days = staged_days.join(built, "event_date", "left_anti")
+        absent = sorted(r["event_date"] for r in staged_days.collect())  # one row per day
+        if absent:
+            recompute(absent)
     return len(batches)
