@@ -28,8 +28,9 @@ from pyspark.sql import functions as F
 from tidewater.llm.common import U64, landed, range_of, range_starts, slices
 from tidewater.llm.tokens import END_ID, Encoder
 
-BLOCK_IDS = 8192
-LANES = 1024
+BLOCK_IDS = 4096
+#: Blocks that advance in step; more of them share the cost of each array call.
+LANES = 2560
 MAGIC = b"TWR1"
 HEADER = 16  # magic, ids, 16-bit words, crc32 of the ids
 
@@ -48,54 +49,65 @@ LOW32 = U64((1 << 32) - 1)
 
 
 class Model:
-    """State of the models of ``n`` blocks."""
+    """State of the models of ``n`` blocks, longest first; each step works on
+    the first ``m`` of them, those that still have an id."""
 
     def __init__(self, n: int):
         self.t2 = np.zeros(n * TABLE2, np.uint16)
         self.t1 = np.zeros(n * TABLE1, np.uint16)
         self.t0 = np.zeros(n * 256, np.uint16)
+        self.own = np.arange(n)
+        self.base2, self.base1, self.base0 = (self.own * k for k in (TABLE2, TABLE1, 256))
         self.p0 = np.full((n, SYMBOLS), ONE // SYMBOLS, np.int32)
         self.p1 = np.full((n * SYMBOLS, SYMBOLS), ONE // SYMBOLS, np.int32)
         self.p2 = np.full((n * SYMBOLS * SYMBOLS, SYMBOLS), ONE // SYMBOLS, np.int32)
         self.weight = np.full((3, n), 1 << 12, np.int32)
         self.last, self.before = np.zeros(n, np.int64), np.zeros(n, np.int64)
         self.symbol, self.symbol_before = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        self.q1, self.q2, self.mixed, self.part = (np.empty((n, SYMBOLS), np.int32)
+                                                   for _ in range(4))
+        self.cumulative = np.zeros((n, SYMBOLS + 1), np.int32)
 
-    def predict(self, lane: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def predict(self, m: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids predicted by orders 2 and 1, and places to learn the next."""
-        last, before = self.last[lane], self.before[lane]
-        self.at2 = lane * TABLE2 + ((last * 40503 + before * 9973 >> 3) & TABLE2 - 1)
-        self.at1 = lane * TABLE1 + ((last * 40503 >> 4) & TABLE1 - 1)
-        return self.t2[self.at2], self.t1[self.at1]
+        hashed = self.last[:m] * 40503
+        self.at2 = (hashed + self.before[:m] * 9973 >> 3 & TABLE2 - 1) + self.base2[:m]
+        self.at1 = (hashed >> 4 & TABLE1 - 1) + self.base1[:m]
+        return self.t2.take(self.at2), self.t1.take(self.at1)
 
-    def mix(self, lane: np.ndarray) -> np.ndarray:
+    def by_low_byte(self, m: int, low: np.ndarray) -> np.ndarray:
+        return self.t0.take(self.base0[:m] + low)
+
+    def mix(self, m: int) -> np.ndarray:
         """Cumulative frequencies of the symbols, a leading 0 included."""
-        symbol = self.symbol[lane]
-        self.row1 = lane * SYMBOLS + symbol
-        self.row2 = self.row1 * SYMBOLS + self.symbol_before[lane]
-        self.q = self.p0[lane], self.p1[self.row1], self.p2[self.row2]
-        weight = self.weight[:, lane]
-        share = weight * 4096 // weight.sum(0)
-        mixed = share[0][:, None] * self.q[0]
-        mixed += share[1][:, None] * self.q[1]
-        mixed += share[2][:, None] * self.q[2]
+        self.row1 = self.own[:m] * SYMBOLS + self.symbol[:m]
+        self.row2 = self.row1 * SYMBOLS + self.symbol_before[:m]
+        self.q = (self.p0[:m], self.p1.take(self.row1, 0, self.q1[:m], "clip"),
+                  self.p2.take(self.row2, 0, self.q2[:m], "clip"))
+        weight = self.weight[:, :m]
+        share = (weight << 12) // weight.sum(0, dtype=np.int32)
+        mixed, part = self.mixed[:m], self.part[:m]
+        np.multiply(share[0][:, None], self.q[0], out=mixed)
+        for k in (1, 2):
+            np.multiply(share[k][:, None], self.q[k], out=part)
+            mixed += part
         mixed >>= 16
         mixed += 1
-        cumulative = np.zeros((len(lane), SYMBOLS + 1), np.int64)
-        np.cumsum(mixed, axis=1, out=cumulative[:, 1:])
-        return cumulative
+        np.cumsum(mixed, axis=1, out=self.cumulative[:m, 1:])
+        return self.cumulative[:m]
 
-    def learn(self, lane: np.ndarray, symbol: np.ndarray, ids: np.ndarray) -> None:
-        own = np.arange(len(lane))
+    def learn(self, m: int, symbol: np.ndarray, ids: np.ndarray) -> None:
+        at, part = self.own[:m] * SYMBOLS + symbol, self.part[:m]
         for k, q in enumerate(self.q):
-            w = self.weight[k, lane]
-            self.weight[k, lane] = w - (w >> RATE) + (q[own, symbol] >> 9) + 1
-            q -= q >> RATE
-            q[own, symbol] += ONE >> RATE
-        self.p0[lane], self.p1[self.row1], self.p2[self.row2] = self.q
-        self.t2[self.at2] = self.t1[self.at1] = self.t0[lane * 256 + (ids & 255)] = ids
-        self.before[lane], self.last[lane] = self.last[lane], ids
-        self.symbol_before[lane], self.symbol[lane] = self.symbol[lane], symbol
+            w, flat = self.weight[k, :m], q.reshape(-1)
+            w += (flat.take(at) >> 9) - (w >> RATE) + 1
+            np.right_shift(q, RATE, out=part)
+            q -= part
+            flat[at] += ONE >> RATE
+        self.p1[self.row1], self.p2[self.row2] = self.q[1], self.q[2]
+        self.t2[self.at2] = self.t1[self.at1] = self.t0[self.base0[:m] + (ids & 255)] = ids
+        self.before[:m], self.last[:m] = self.last[:m], ids
+        self.symbol_before[:m], self.symbol[:m] = self.symbol[:m], symbol
 
 
 def settle(low: np.ndarray, span: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -113,7 +125,7 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     order = sorted(range(len(blocks)), key=lambda k: -len(blocks[k]))
     lengths = np.array([len(blocks[k]) for k in order])
     steps = int(lengths[0]) if len(order) else 0
-    ids = np.zeros((steps, len(order)), np.int64)
+    ids = np.zeros((steps, len(order)), np.uint16)
     for lane, k in enumerate(order):
         ids[:len(blocks[k]), lane] = blocks[k]
     model = Model(len(order))
@@ -122,21 +134,21 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     filled = np.zeros(len(order), np.int64)
     for step in range(steps):
         n = int(np.searchsorted(-lengths, -step, "left"))  # blocks that have this id
-        lane, x = np.arange(n), ids[step, :n]
-        by2, by1 = model.predict(lane)
-        by0 = model.t0[lane * 256 + (x & 255)]
+        lane, x = model.own[:n], ids[step, :n].astype(np.int64)
+        by2, by1 = model.predict(n)
+        by0 = model.by_low_byte(n, x & 255)
         symbol = np.where(x == by2, HIT2, np.where(x == by1, HIT1,
                                                    np.where(x == by0, HIT0, SIZE_CLASS[x])))
         extra = np.where(symbol == HIT0, x & 255, x - BASE[symbol])
         bits = EXTRA[symbol].astype(U64)
         extra = np.where(bits > 0, extra, 0).astype(U64)
-        cumulative = model.mix(lane)
+        cumulative = model.mix(n)
         first, after = cumulative[lane, symbol], cumulative[lane, symbol + 1]
         unit = span[:n] // cumulative[:, -1].astype(U64)
         width = unit * (after - first).astype(U64) >> bits
         low[:n] += unit * first.astype(U64) + width * extra
         span[:n] = width
-        model.learn(lane, symbol, x)
+        model.learn(n, symbol, x)
         emit, span[:n] = settle(low[:n], span[:n])
         while emit.any():
             k = np.flatnonzero(emit)
@@ -180,9 +192,9 @@ def decode_blocks(coded: list[bytes]) -> list[np.ndarray]:
     taken = np.full(len(order), 3)
     for step in range(steps):
         n = int(np.searchsorted(-lengths, -step, "left"))
-        lane = np.arange(n)
-        by2, by1 = model.predict(lane)
-        cumulative = model.mix(lane)
+        lane = model.own[:n]
+        by2, by1 = model.predict(n)
+        cumulative = model.mix(n)
         unit = span[:n] // cumulative[:, -1].astype(U64)
         at = ((code[:n] - low[:n]) // unit).astype(np.int64)
         symbol = np.minimum((cumulative[:, 1:] <= at[:, None]).sum(1), SYMBOLS - 1)
@@ -193,11 +205,11 @@ def decode_blocks(coded: list[bytes]) -> list[np.ndarray]:
         extra = np.minimum(((code[:n] - low[:n]) // width).astype(np.int64), (1 << bits) - 1)
         low[:n] += width * extra.astype(U64)
         span[:n] = width
-        by0 = model.t0[lane * 256 + (extra & 255)]
+        by0 = model.by_low_byte(n, extra & 255)
         x = np.where(symbol == HIT2, by2, np.where(symbol == HIT1, by1, np.where(
             symbol == HIT0, by0, BASE[symbol] + extra))).astype(np.int64)
         ids[step, :n] = x
-        model.learn(lane, symbol, x)
+        model.learn(n, symbol, x)
         pull, span[:n] = settle(low[:n], span[:n])
         while pull.any():
             k = np.flatnonzero(pull)
@@ -217,7 +229,7 @@ def decode_blocks(coded: list[bytes]) -> list[np.ndarray]:
 
 # -- files -------------------------------------------------------------------
 
-BLOCK_ROW = ("range int, block long, n_ids long, docs array<struct<doc_no: long, doc_id: long, "
+BLOCK_ROW = ("range int, block long, first_id long, n_ids long, docs array<struct<doc_no: long, doc_id: long, "
              "piece: long, length: long>>, coded binary")
 
 
@@ -238,7 +250,7 @@ def write_ids(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col:
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = Encoder.of(tokenizer), np.array([END_ID], np.uint16)
-        state = {"range": None, "doc": 0, "block": 0}
+        state = {"range": None, "doc": 0, "block": 0, "ids": 0}
         pending: list[tuple[list[dict], list[np.ndarray]]] = []
         docs_in: list[dict] = []
         ids_in: list[np.ndarray] = []
@@ -246,11 +258,12 @@ def write_ids(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col:
 
         def flush() -> Iterator[pa.RecordBatch]:
             blocks = [np.concatenate(ids) for _, ids in pending]
-            rows = [{"range": state["range"], "block": state["block"] + k, "n_ids": len(b),
-                     "docs": d, "coded": c}
-                    for k, ((d, _), b, c) in enumerate(zip(pending, blocks,
-                                                           encode_blocks(blocks)))]
-            state["block"] += len(rows)
+            rows = []
+            for (d, _), b, c in zip(pending, blocks, encode_blocks(blocks)):
+                rows.append({"range": state["range"], "block": state["block"],
+                             "first_id": state["ids"], "n_ids": len(b), "docs": d, "coded": c})
+                state["block"] += 1
+                state["ids"] += len(b)
             pending.clear()
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, BLOCK_SCHEMA)
@@ -264,7 +277,7 @@ def write_ids(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col:
                         pending.append((docs_in, ids_in))
                         docs_in, ids_in, size = [], [], 0
                     yield from flush()
-                    state.update(range=rng, doc=0, block=0)
+                    state.update(range=rng, doc=0, block=0, ids=0)
                 x = np.concatenate([np.frombuffer(ids, np.uint16), end])
                 for piece, at in enumerate(range(0, len(x), BLOCK_IDS)):
                     part = x[at:at + BLOCK_IDS]
@@ -291,7 +304,8 @@ def write_ids(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col:
 
 
 BLOCK_SCHEMA = pa.schema([
-    ("range", pa.int32()), ("block", pa.int64()), ("n_ids", pa.int64()),
+    ("range", pa.int32()), ("block", pa.int64()), ("first_id", pa.int64()),
+    ("n_ids", pa.int64()),
     ("docs", pa.list_(pa.struct([("doc_no", pa.int64()), ("doc_id", pa.int64()),
                                  ("piece", pa.int64()), ("length", pa.int64())]))),
     ("coded", pa.binary())])
@@ -302,42 +316,48 @@ def read_ids(files: DataFrame) -> DataFrame:
     piece of a document, (range, doc_no, piece, doc_id, start, ids), ids as
     little-endian unsigned 32-bit integers, start the number of ids in the
     given files before the piece."""
-    # Blocks before a block: a sum over ranges (a summary) and one within the range.
+    # A block knows its place in its range; one row per range says where that starts.
     totals = files.groupBy("range").agg(F.sum("n_ids").alias("n"))
     before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select("range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("at"))
-    inside = Window.partitionBy("range").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    places = (files.select("range", "block", "n_ids")
-              .withColumn("within", F.coalesce(F.sum("n_ids").over(inside), F.lit(0)))
-              .join(totals, "range").select("range", "block", (F.col("at") + F.col("within"))
-                                            .alias("start")))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict] = []
         for batch in batches:
-            blocks = decode_blocks(batch["coded"].to_pylist())
-            rows: dict[str, list] = {k: [] for k in ("range", "doc_no", "piece", "doc_id",
-                                                     "start", "ids")}
-            for rng, docs, start, block in zip(batch["range"].to_pylist(),
-                                               batch["docs"].to_pylist(),
-                                               batch["start"].to_pylist(), blocks):
-                at, block = 0, block.astype("<u4")
-                for d in docs:
-                    rows["range"].append(rng)
-                    rows["doc_no"].append(d["doc_no"])
-                    rows["piece"].append(d["piece"])
-                    rows["doc_id"].append(d["doc_id"])
-                    rows["start"].append(start + at)
-                    rows["ids"].append(block[at:at + d["length"]].tobytes())
-                    at += d["length"]
-            yield pa.RecordBatch.from_pydict(
-                {k: pa.array(v, {"ids": pa.binary(), "range": pa.int32()}.get(k, pa.int64()))
-                 for k, v in rows.items()})
-
-    return (files.join(places, ["range", "block"]).select("range", "docs", "start", "coded")
+            held += batch.to_pylist()
+            while len(held) >= LANES:
+                yield from pieces(held[:LANES])
+                held = held[LANES:]
+        if held:
+            yield from pieces(held)
+
+    def pieces(rows: list[dict]) -> Iterator[pa.RecordBatch]:
+        out: dict[str, list] = {k: [] for k in PIECE}
+        for r, block in zip(rows, decode_blocks([r["coded"] for r in rows])):
+            at, block = 0, block.astype("<u4")
+            for d in r["docs"]:
+                for k, v in zip(PIECE, (r["range"], d["doc_no"], d["piece"], d["doc_id"],
+                                        r["start"] + at,
+                                        block[at:at + d["length"]].tobytes())):
+                    out[k].append(v)
+                at += d["length"]
+            if len(out["ids"]) >= 1000:
+                yield pa.RecordBatch.from_pydict(out, PIECE_SCHEMA)
+                out = {k: [] for k in PIECE}
+        if out["ids"]:
+            yield pa.RecordBatch.from_pydict(out, PIECE_SCHEMA)
+
+    placed = files.join(F.broadcast(totals), "range")
+    return (placed.select("range", "docs", (F.col("at") + F.col("first_id")).alias("start"), "coded")
             .mapInArrow(decode, "range int, doc_no long, piece long, doc_id long, start long, "
                                 "ids binary"))
 
 
+PIECE = ("range", "doc_no", "piece", "doc_id", "start", "ids")
+PIECE_SCHEMA = pa.schema([(k, {"range": pa.int32(), "ids": pa.binary()}.get(k, pa.int64()))
+                          for k in PIECE])
+
+
 def combined_crc(first: int, second: int, length: int) -> int:
     """crc32 of two byte strings one after the other, from theirs and the
     second's length: the first advances over as many zero bytes, by squaring
