@@ -1,6 +1,7 @@
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
 from tidewater.llm import minhash
@@ -72,14 +73,29 @@ def test_matches_brute_force(spark, width):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
-def test_members_apart_from_the_leader_are_compared(spark):
-    """Blocks find the links between members of a bucket that its leader
-    misses, however many blocks there are."""
-    rows = [(7, n, n, 100, *([n // 2] * len(minhash.SKETCH))) for n in range(1200)]
+def test_members_apart_are_compared_across_blocks(spark, monkeypatch):
+    """Between components of one bucket every linked pair of components is
+    found, whatever the blocks; pairs inside a component aren't compared."""
+    monkeypatch.setattr(minhash, "BLOCK", 16)
+    rng = random.Random(9)
+    texts = family(rng, 150, 60, 8)
+    sets = [minhash.shingle_set(t, 2) for t in texts]
+    node = {minhash.node_of(s): s for s in sets}
+    ids = sorted(node)
+    comp = {n: (0 if k % 3 else n) for k, n in enumerate(ids)}
+    sketch = minhash.odd_sketches(np.stack([minhash.minhashes(node[n]) for n in ids]))
+    rows = [(7, n, comp[n], len(node[n]), *map(int, sketch[k])) for k, n in enumerate(ids)]
     names = ["key", "node", "comp", "n", *minhash.SKETCH]
-    df = spark.createDataFrame(rows, ", ".join(f"{c} long" for c in names))
-    got = {(r.a, r.b) for r in minhash.block_pairs(df, 0, 80).collect()}
-    assert got == {(n, n + 1) for n in range(0, 1200, 2)}
+    got = minhash.block_links(
+        spark.createDataFrame(rows, ", ".join(f"{c} long" for c in names)),
+        spark.createDataFrame([(n, bytearray(s.tobytes())) for n, s in node.items()],
+                              "node long, members binary"), 512, 80).collect()
+    linked = {(a, b) for a in ids for b in ids
+              if 100 * len(np.intersect1d(node[a], node[b]))
+              >= 80 * len(np.union1d(node[a], node[b]))}
+    assert all((r.a, r.b) in linked for r in got)
+    assert {frozenset((comp[a], comp[b])) for a, b in linked if comp[a] != comp[b]} \
+        == {frozenset((comp[r.a], comp[r.b])) for r in got}
 
 
 def test_empty_table(spark):

@@ -6,7 +6,7 @@ The population count of two sketches' XOR estimates a high similarity closely,
 so a candidate pair reaches the exact check on full sets only if its sketches
 agree well enough. A bucket proposes its members against one leader (another
 one in each bucket); members that stay in different components are compared
-block by block, so no bucket is expanded into all its pairs.
+block by block on their full sets, so no bucket is expanded into its pairs.
 """
 
 from __future__ import annotations
@@ -116,12 +116,48 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                   .where(similar("x", "y")).select("a", "b"), "minhash-links")
 
 
-def block_pairs(rows: DataFrame, flips: int, percent: int) -> DataFrame:
-    """Candidate pairs between different components of one bucket (columns
-    key, node, comp, n, sketch). Members are dealt over blocks of about
-    ``BLOCK``; each pair of blocks is one group, compared in memory."""
+def common_members(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """Exact intersection sizes of all sets of x with all of y, as products of
+    indicator matrices over the members that both sides have."""
+    def flat(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        return np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+
+    (members_x, row_x), (members_y, row_y) = flat(x), flat(y)
+    shared = np.intersect1d(members_x, members_y)
+    out = np.zeros((len(x), len(y)), np.float32)
+    if not len(shared):
+        return out
+    sides = []
+    for members, row in ((members_x, row_x), (members_y, row_y)):
+        at = np.minimum(np.searchsorted(shared, members), len(shared) - 1)
+        is_shared = shared[at] == members
+        at, row = at[is_shared], row[is_shared]
+        order = np.argsort(at, kind="stable")
+        sides.append((at[order], row[order]))
+    for first in range(0, len(shared), 4096):  # counts stay far below 2**24: exact
+        parts = []
+        for (at, row), n in zip(sides, (len(x), len(y))):
+            lo, hi = np.searchsorted(at, [first, first + 4096])
+            part = np.zeros((n, min(4096, len(shared) - first)), np.float32)
+            part[row[lo:hi], at[lo:hi] - first] = 1
+            parts.append(part)
+        out += parts[0] @ parts[1].T
+    return out
+
+
+def block_links(rows: DataFrame, sets: DataFrame, flips: int, percent: int) -> DataFrame:
+    """Links (a, b) between different components of one bucket (columns key,
+    node, comp, n, sketch), checked on full sets.
+
+    Members of a bucket's largest component need no comparison with one
+    another: the others are compared with them and among themselves. Both
+    kinds are dealt over blocks of about ``BLOCK``; a pair of blocks is one
+    group, compared in memory. Of the links of a node with one component one
+    is returned, which is all that components need.
+    """
     def compared(group: pd.DataFrame) -> pd.DataFrame:
         i, j = group["i"].iloc[0], group["j"].iloc[0]
+        group = group.sort_values("node")
         left, right = group[group["block"] == i], group[group["block"] == j]
         x, y = (g[SKETCH].to_numpy(np.int64).view(U64) for g in (left, right))
         flipped = np.zeros((len(x), len(y)), np.int32)
@@ -130,18 +166,38 @@ def block_pairs(rows: DataFrame, flips: int, percent: int) -> DataFrame:
         n, m = left["n"].to_numpy()[:, None], right["n"].to_numpy()[None, :]
         near = ((flipped <= flips) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
                 & (left["comp"].to_numpy()[:, None] != right["comp"].to_numpy()[None, :]))
-        at = np.nonzero(near)
+        some, other = near.any(1), near.any(0)
+        if not some.any():
+            return pd.DataFrame({"a": [], "b": []})
+        left, right = left[some], right[other]
+        common = common_members(*([np.frombuffer(s, U64) for s in g["members"]]
+                                  for g in (left, right)))
+        union = n[some] + m[:, other] - common
+        at = np.nonzero(near[some][:, other] & (100 * common >= percent * union))
         a, b = left["node"].to_numpy()[at[0]], right["node"].to_numpy()[at[1]]
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-
-    counts = rows.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    dealt = (rows.join(counts, "key")
-             .withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                       F.col("blocks") - 1)))
-             .withColumn("i", F.least("block", "other"))
-             .withColumn("j", F.greatest("block", "other")))
-    return dealt.groupBy("key", "i", "j").applyInPandas(compared, "a long, b long").distinct()
+        found = pd.DataFrame({"a": a, "b": b, "comp": right["comp"].to_numpy()[at[1]]})
+        return found.drop_duplicates(["a", "comp"])[["a", "b"]]
+
+    sizes = rows.groupBy("key", "comp").agg(F.count("*").alias("size"))
+    largest = sizes.groupBy("key").agg(F.max(F.struct("size", "comp")).alias("most"),
+                                       F.sum("size").alias("all"))
+    blocks = largest.select("key", F.col("most.comp").alias("main"),
+                            F.ceil((F.col("all") - F.col("most.size")) / BLOCK).alias("others"),
+                            F.ceil(F.col("most.size") / BLOCK).alias("mains"))
+    dealt = rows.join(blocks, "key").withColumn("is_main", F.col("comp") == F.col("main"))
+    # Blocks of the others count up from 0, those of the main one down from -1.
+    block = F.when(F.col("is_main"), -1 - F.pmod(F.xxhash64("node"), "mains")) \
+        .otherwise(F.pmod(F.xxhash64("node"), "others"))
+    others = F.sequence(F.lit(0).cast("long"), F.col("others") - 1)
+    mains = F.sequence(F.lit(-1).cast("long"), -F.col("mains"), F.lit(-1).cast("long"))
+    dealt = (dealt.withColumn("block", block)
+             .withColumn("other", F.explode(F.when(F.col("is_main"), others)
+                                            .otherwise(F.concat(others, mains))))
+             .withColumn("i", F.greatest("block", "other"))
+             .withColumn("j", F.least("block", "other"))
+             .withColumn("pair", F.xxhash64("key", "i", "j"))
+             .join(sets.select("node", "members"), "node"))
+    return dealt.groupBy("pair").applyInPandas(compared, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",
@@ -208,13 +264,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
         .where("x <> y").select("key")
     open_rows = landed(inside.join(split, "key", "left_semi").join(facts, "node"), "minhash-open")
     if not open_rows.isEmpty():
-        more = block_pairs(open_rows, flips, percent).join(
-            candidates.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")),
-            ["a", "b"], "left_anti")
-        found = verified(more, sets, percent)
+        found = landed(block_links(open_rows, sets, flips, percent), "minhash-links")
         if not found.isEmpty():
-            links = links.union(found)
-            comps = labels(nodes, links)
+            comps = labels(nodes, links.union(found))
 
     smallest = (nodes.join(comps, "node").groupBy("comp").agg(F.min("rep").alias("component")))
     of_node = comps.join(smallest, "comp").select("node", "component")
