@@ -83,36 +83,28 @@ def assigned(nodes: DataFrame, centres: np.ndarray, cosine: float) -> DataFrame:
 
 
 def compare_blocks(group: pd.DataFrame, cosine: float, cells: int) -> pd.DataFrame:
-    """One pair of blocks of one cell: (node, links, root) per linked node,
-    links the weight of its partners here, root the smallest node connected to
-    it here. A pair found in two cells counts in the lower one."""
+    """A block of residents of one cell against another block of residents or
+    of guests: (node, links, root) per linked node, links the weight of its
+    partners here, root the smallest node connected to it here. A pair that
+    two cells find counts in the lower one."""
     i, j = int(group["i"].iloc[0]), int(group["j"].iloc[0])
     cell = int(group["cell"].iloc[0])
     group = group.sort_values("node")
     x, y = group[group["block"] == i], group[group["block"] == j]
-
-    def seen_elsewhere(a: pd.DataFrame, b: pd.DataFrame) -> np.ndarray:
-        """For residents in a and guests in b: the guest's home is a lower cell
-        that the resident visits."""
-        visits = np.zeros((len(a), cells), bool)
-        for k, probes in enumerate(a["probes"]):
-            if probes is not None:
-                visits[k, probes] = True
-        home = b["home"].to_numpy()
-        return visits[:, home] & (home < cell)[None, :]
-
-    at_home = (x["home"].to_numpy() == cell)[:, None], (y["home"].to_numpy() == cell)[None, :]
     links = (unit(np.stack(x["vec"]).astype(np.float64))
              @ unit(np.stack(y["vec"]).astype(np.float64)).T) >= cosine
-    links &= at_home[0] | at_home[1]
-    links &= ~(at_home[0] & ~at_home[1] & seen_elsewhere(x, y))
-    links &= ~(~at_home[0] & at_home[1] & seen_elsewhere(y, x).T)
+    if j < 0:  # the guest's home is a lower cell that the resident visits, too
+        visits = np.zeros((len(x), cells), bool)
+        for k, probes in enumerate(x["probes"]):
+            visits[k, probes] = True
+        home = y["home"].to_numpy()
+        links &= ~(visits[:, home] & (home < cell)[None, :])
     a, b = x["node"].to_numpy(), y["node"].to_numpy()
     if i == j:
         np.fill_diagonal(links, False)
     root_a, root_b = a.copy(), b.copy()
     most = np.iinfo(np.int64).max
-    while True:  # smallest label through links, to and fro, until nothing moves
+    while links.any():  # smallest label through links, to and fro, until nothing moves
         down = np.minimum(root_b, np.where(links, root_a[:, None], most).min(0))
         up = np.minimum(root_a, np.where(links, down[None, :], most).min(1))
         if i == j:
@@ -176,19 +168,30 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
 def cell_links(nodes: DataFrame, cosine: float, max_fit_rows: int) -> DataFrame:
     """(node, links, root) of all linked nodes, several rows a node."""
     n = nodes.count()
-    k = max(2, min(math.isqrt(n), max_fit_rows // 16))
+    k = max(2, min(math.isqrt(n) // 4, max_fit_rows // 16))
     centres = fit_cells(nodes, k, max_fit_rows) if n > 2 * BLOCK else np.zeros((1, 1))
     if len(centres) == 1:
         width = nodes.select(F.size("vec").alias("n")).first()["n"]
         centres = np.ones((1, width)) / math.sqrt(width)
     cells = len(centres)
     placed = landed(assigned(nodes, centres, cosine), "embedding-cells")
-    blocks = placed.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    # Residents are dealt over blocks 0, 1, ..., guests over blocks -1, -2, ...
+    # Guests meet residents only, so most rows go to a single group.
+    at_home = F.col("cell") == F.col("home")
+    blocks = placed.groupBy("cell").agg(
+        F.ceil(F.count_if(at_home) / BLOCK).alias("residents"),
+        F.ceil(F.count_if(~at_home) / BLOCK).alias("guests")).where("residents > 0")
+    residents = F.sequence(F.lit(0).cast("long"), F.col("residents") - 1)
+    guests = F.when(F.col("guests") > 0, F.sequence(F.lit(-1).cast("long"), -F.col("guests"),
+                                                    F.lit(-1).cast("long"))) \
+        .otherwise(F.array().cast("array<bigint>"))
     dealt = (placed.join(blocks, "cell")
-             .withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-             .withColumn("i", F.least("block", "other"))
-             .withColumn("j", F.greatest("block", "other"))
+             .withColumn("block", F.when(at_home, F.pmod(F.xxhash64("node"), "residents"))
+                         .otherwise(-1 - F.pmod(F.xxhash64("node"), "guests")))
+             .withColumn("other", F.explode(F.when(at_home, F.concat(residents, guests))
+                                            .otherwise(residents)))
+             .withColumn("i", F.greatest("block", "other"))
+             .withColumn("j", F.least("block", "other"))
              .withColumn("pair", F.xxhash64("cell", "i", "j")))
     return dealt.groupBy("pair").applyInPandas(
         lambda group: compare_blocks(group, cosine, cells), "node long, links long, root long")
