@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 from tidewater.llm import (embeddings, fingerprint, language, minhash, mixing, packing, quality,
                            substring, tokenfile, tokens, toxicity)
 from tidewater.llm.common import held_out, table
+from tidewater.llm.oracle import ORACLE
+
+__all__ = ["ORACLE", "QUERIES"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-#: No contract here is expressible in SQL at full size; see tests/llm.
-ORACLE: dict[str, str] = {}
 
 
 def query(fn: Query) -> Query:
