@@ -16,14 +16,18 @@ from tidewater.session import ensure_conventions, scratch_path
 
 U64 = np.uint64
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Every stage ends in a written table, so its shuffle files can go with it.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Words as the contracts define them, for Java and DuckDB regular expressions.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
 def prepare(spark: SparkSession) -> None:
-    """Session settings of this subpackage: UTC and small Arrow batches, since
-    single texts may be very long and a batch is held in memory whole."""
+    """Session settings of this subpackage: UTC; shuffle files freed at the end
+    of each execution; small Arrow batches, since single texts may be very long
+    and a batch is held in memory whole."""
     ensure_conventions(spark)
+    spark.conf.set(FREE_SHUFFLES, "true")
     if int(spark.conf.get(BATCH_ROWS, "10000")) > 1000:
         spark.conf.set(BATCH_ROWS, "1000")
 
