@@ -9,15 +9,18 @@ tokenizer, many at a time.
 from __future__ import annotations
 
 import os
-
-import numpy as np
+from array import array
+from unicodedata import is_normalized
 
 from tidewater.llm.common import worker_store
 
 END_ID = 1
-CACHED_PIECES = 600_000
+CACHED_PIECES = 1_200_000
 LONG_PIECE = 64
 TAIL = ".,;:!?"
+#: Byte-level BPE shows a byte that is no printable sign as one from U+0100 on.
+PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+SHOWN = {b: 0x100 + k for k, b in enumerate(sorted(set(range(0x100)) - set(PRINTABLE)))}
 
 
 def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
@@ -46,38 +49,42 @@ class Encoder:
             store["encoder"] = Encoder(path)
         return store["encoder"]
 
-    def words(self, words: list[str]) -> list[bytes]:
-        """Ids of words; for small ASCII letters every step before the BPE
-        model itself changes nothing and is left out."""
-        out = {w: np.array([t.id for t in self.tokenizer.model.tokenize(w)], np.uint16).tobytes()
-               for w in words if w.isascii() and w.isalpha() and w.islower()}
-        rest = [w for w in words if w not in out]
-        out.update(zip(rest, self.plain(rest)))
-        return [out[w] for w in words]
-
     def plain(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, np.uint16).tobytes()
+        return [array("H", e.ids).tobytes()
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, new: set[str]) -> None:
         """Ids of new pieces. A word with signs at its end is the word and the
-        signs; an ASCII word has the ids of its lower-case form."""
+        signs. Of a word of letters in normal form, small letters as bytes are
+        what the BPE model itself gets; the steps before it change nothing
+        else. (A capital sigma has two small forms, and some small forms hold
+        signs; those words go the long way.)"""
         if len(self.pieces) > CACHED_PIECES:
             self.pieces = {"": b""}
-        parts, unknown = {}, set()
+        known, tokenize = self.pieces, self.tokenizer.model.tokenize
+        composed, rest = [], []
         for piece in new:
             word = piece.rstrip(TAIL)
-            tail = piece[len(word):]
-            if not (word.isalpha() and word.lower().isalpha()):
-                word, tail = piece, ""  # a small form may hold signs of its own
-            elif word.isascii():
-                word = word.lower()
-            parts[piece] = word, tail
-            unknown.update(p for p in (word, tail) if p not in self.pieces)
-        order = sorted(unknown)
-        self.pieces.update(zip(order, self.words(order)))
-        for piece, (word, tail) in parts.items():
-            self.pieces[piece] = self.pieces[word] + self.pieces[tail]
+            key = word.lower()
+            if key.isalpha() and word.isalpha() and (
+                    word.isascii() or "Σ" not in word and is_normalized("NFC", word)):
+                if key not in known:
+                    shown = key if key.isascii() else key.encode().decode("latin-1").translate(SHOWN)
+                    known[key] = array("H", [t.id for t in tokenize(shown)]).tobytes()
+                tail = piece[len(word):]
+                if not tail:
+                    known[piece] = known[key]
+                elif tail in known:
+                    known[piece] = known[key] + known[tail]
+                else:
+                    rest.append(tail)
+                    composed.append((piece, key, tail))
+            else:
+                rest.append(piece)
+        rest = sorted(set(rest))
+        known.update(zip(rest, self.plain(rest)))
+        for piece, key, tail in composed:
+            known[piece] = known[key] + known[tail]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each whole text."""
