@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import U64, landed, range_of, range_starts, slices
+from tidewater.llm.common import U64, landed, range_of, range_starts, slices, worker_store
 from tidewater.llm.tokens import END_ID, Encoder
 
 BLOCK_IDS = 4096
@@ -360,25 +360,26 @@ PIECE_SCHEMA = pa.schema([(k, {"range": pa.int32(), "ids": pa.binary()}.get(k, p
 
 def combined_crc(first: int, second: int, length: int) -> int:
     """crc32 of two byte strings one after the other, from theirs and the
-    second's length: the first advances over as many zero bytes, by squaring
-    the linear map of one zero bit."""
+    second's length: the first advances over as many zero bytes. One zero bit
+    is a linear map; the maps of 1, 2, 4, ... bytes are its powers, squared
+    once per worker."""
     def times(matrix: list[int], vector: int) -> int:
-        out, k = 0, 0
-        while vector:
+        out = 0
+        for row in matrix:
             if vector & 1:
-                out ^= matrix[k]
+                out ^= row
             vector >>= 1
-            k += 1
         return out
 
-    step = [0xEDB88320] + [1 << k for k in range(31)]
-    for _ in range(3):  # one bit to one byte
-        step = [times(step, v) for v in step]
-    while length:
-        if length & 1:
-            first = times(step, first)
-        step = [times(step, v) for v in step]
-        length >>= 1
+    powers = worker_store("crc").setdefault("powers", [])
+    while len(powers) < length.bit_length():
+        step = powers[-1] if powers else [0xEDB88320] + [1 << k for k in range(31)]
+        for _ in range(1 if powers else 3):  # one bit to one byte at first
+            step = [times(step, v) for v in step]
+        powers.append(step)
+    for k in range(length.bit_length()):
+        if length >> k & 1:
+            first = times(powers[k], first)
     return first ^ second
 
 
