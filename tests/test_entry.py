@@ -62,3 +62,10 @@ def test_matches_oracle(spark, duck, key):
     d_rows = res.fetchall()
     assert sorted(s_cols) == sorted(d_cols)
     assert _bag(s_cols, s_rows) == _bag(d_cols, d_rows)
+
+
+def test_broken_rows_make_rules_fire(spark):
+    for key, rules in (("dq_broken_events", {"not_null", "accepted_values"}),
+                       ("dq_repeated_repos", {"unique"})):
+        rows = entry.queries()[key](spark, SF_SMALL).where("failures > 0").collect()
+        assert {r["rule"] for r in rows} >= rules

@@ -475,26 +475,45 @@ SELECT created_date, landed_date, COUNT(*) AS event_count FROM (
 GROUP BY 1, 2""", "lake")
 
 
-def _dq_sql(model: str, source: str) -> str:
-    from tidewater.operators.quality import RULES
-
-    parts = []
-    for r in RULES[model]:
-        head = f"SELECT '{model}' AS model, '{r.column}' AS column_name, '{r.rule}' AS rule, "
-        if r.rule == "not_null":
-            parts.append(head + f"COUNT(*) FILTER (WHERE {r.column} IS NULL) AS failures "
-                                f"FROM {source}")
-        elif r.rule == "accepted_values":
-            vals = ", ".join(f"'{v}'" for v in r.values)
-            parts.append(head + f"COUNT(*) FILTER (WHERE NOT ({r.column} IN ({vals}))) "
-                                f"AS failures FROM {source}")
-        else:
-            parts.append(head + f"COUNT(*) AS failures FROM (SELECT {r.column} FROM {source} "
-                                f"WHERE {r.column} IS NOT NULL GROUP BY {r.column} "
-                                f"HAVING COUNT(*) > 1) d")
-    return "\nUNION ALL\n".join(parts)
+# The declared column tests, stated here a second time so that a
+# rule that went missing from the engine shows as a difference.
+EVENT_COLUMNS = ["event_date", "event_hour", "event_id", "event_type"]
+REQUIRED = {
+    "stg_events": EVENT_COLUMNS,
+    "stg_repo_metadata": ["repo_full_name", "enriched_date"],
+    "events_classified": [*EVENT_COLUMNS, "is_bot", "contributor_type"],
+    "events_enriched": [*EVENT_COLUMNS, "is_bot", "contributor_type"],
+    "contributor_trends": ["event_date", "contributor_type", "event_count",
+                           "unique_contributors"],
+    "language_activity": ["event_date", "language", "contributor_type", "event_count",
+                          "unique_contributors", "unique_repos"],
+}
+WHO = ("contributor_type", "('human', 'bot')")
+ALLOWED = {"events_classified": [("event_type", "('PushEvent')"), WHO], "events_enriched": [WHO],
+           "contributor_trends": [WHO], "language_activity": [WHO]}
+UNIQUE = {"stg_repo_metadata": ["repo_full_name"]}
 
 
+def _dq_sql(model: str, source: str) -> str:
+    checks = [(c, "not_null", f"SELECT COUNT(*) FROM {source} WHERE {c} IS NULL")
+              for c in REQUIRED[model]]
+    checks += [(c, "accepted_values", f"SELECT COUNT(*) FROM {source} WHERE {c} NOT IN {values}")
+               for c, values in ALLOWED.get(model, [])]
+    checks += [(c, "unique", f"SELECT COUNT(*) FROM (SELECT {c} FROM {source} "
+                             f"WHERE {c} IS NOT NULL GROUP BY {c} HAVING COUNT(*) > 1) d")
+               for c in UNIQUE.get(model, [])]
+    return "\nUNION ALL\n".join(
+        f"SELECT '{model}' AS model, '{c}' AS column_name, '{rule}' AS rule, "
+        f"({count}) AS failures" for c, rule, count in checks)
+
+
+BROKEN = """(SELECT * REPLACE (
+  CASE WHEN CAST(event_id AS BIGINT) % 11 = 0 THEN NULL
+       WHEN CAST(event_id AS BIGINT) % 7 = 0 THEN 'Forged' ELSE event_type END AS event_type,
+  CASE WHEN CAST(event_id AS BIGINT) % 13 = 0 THEN 'alien' ELSE contributor_type END
+    AS contributor_type) FROM classified) b"""
+register("dq_broken_events", _dq_sql("events_classified", BROKEN), "classified")
+register("dq_repeated_repos", _dq_sql("stg_repo_metadata", "repo_typed"), "repo_typed")
 register("dq_stg_events", _dq_sql("stg_events", "stg"), "stg")
 register("dq_repo_metadata", _dq_sql("stg_repo_metadata", "repo_latest"), "repo_latest")
 register("dq_classified", _dq_sql("events_classified", "classified"), "classified")

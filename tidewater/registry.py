@@ -708,3 +708,23 @@ def q_dq_trends(spark, sf_dir):
 def q_dq_language(spark, sf_dir):
     """OP-D6."""
     return quality.dq_check(stored_language(spark, sf_dir), "language_activity")
+
+
+@query("dq_broken_events")
+def q_dq_broken_events(spark, sf_dir):
+    """OP-D3 over rows that break its rules: every kind of row rule fires."""
+    n = F.col("event_id").cast("bigint")
+    broken = (classified(spark, sf_dir)
+              .withColumn("event_type", F.when(n % 11 == 0, F.lit(None)).when(n % 7 == 0, "Forged")
+                          .otherwise(F.col("event_type")))
+              .withColumn("contributor_type", F.when(n % 13 == 0, "alien")
+                          .otherwise(F.col("contributor_type"))))
+    return quality.dq_check(broken, "events_classified")
+
+
+@query("dq_repeated_repos")
+def q_dq_repeated_repos(spark, sf_dir):
+    """OP-D2 over all snapshots: repositories repeat, so the unique rule fires."""
+    return quality.dq_check(
+        staging.stg_repo_metadata_typed(fixtures.raw_repo_snapshots(spark, sf_dir)),
+        "stg_repo_metadata")
