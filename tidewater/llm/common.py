@@ -119,16 +119,17 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
 
 
 def worker_store(name: str, key: str = "") -> dict:
-    """A dict that lives as long as the Python worker, across its tasks, and
-    is emptied when ``key`` (the model it belongs to) changes. It holds only
-    what can be recomputed (caches), never results."""
+    """A dict that lives as long as the Python worker, across its tasks, until
+    another name or ``key`` (the model it belongs to) is asked for, so that a
+    worker holds one operator's cache at a time. It holds only what can be
+    recomputed, never results."""
     module = sys.modules.setdefault("_tidewater_worker_store",
                                     types.ModuleType("_tidewater_worker_store"))
-    held_key, store = module.__dict__.setdefault(name, (key, {}))
-    if held_key != key:
-        store = {}
-        module.__dict__[name] = (key, store)
-    return store
+    stores = module.__dict__.setdefault("stores", {})
+    if (name, key) not in stores:
+        stores.clear()
+        stores[name, key] = {}
+    return stores[name, key]
 
 
 def range_of(key: Column, starts: list[int]) -> Column:

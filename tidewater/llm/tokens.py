@@ -15,7 +15,7 @@ from unicodedata import is_normalized
 from tidewater.llm.common import worker_store
 
 END_ID = 1
-CACHED_PIECES = 1_200_000
+CACHED_PIECES = 800_000
 LONG_PIECE = 64
 TAIL = ".,;:!?"
 #: Byte-level BPE shows a byte that is no printable sign as one from U+0100 on.
