@@ -139,3 +139,34 @@ def test_staged_batch_replay_replaces_only_its_output(spark, scratch):
     listed = {p.split("event_date=")[1][:10] for p in some.inputFiles()}
     assert listed == {d.isoformat() for d in days}
     assert some.count() == stg.filter(F.col("event_date").isin(days)).count()
+
+
+def test_stream_refresh_repairs_a_late_file_after_as_of_went_back(spark, scratch):
+    """A late file of 01-12 staged by a run as of 01-10 reaches the mart, which
+    already holds 01-12, in the next run as of 01-17."""
+    from test_loads import _land_lines
+    from tidewater.streaming import file_ingest
+
+    base = scratch("stream-back")
+    line = '{"id":"%d","type":"PushEvent","actor":{"login":"u%d"},"created_at":"%sT03:00:00Z"}'
+
+    def land(day, hour, ids):
+        date = D(2024, 1, day).isoformat()
+        _land_lines(f"{base}/landing", date, hour, [line % (k, k, date) for k in ids])
+
+    def run(as_of):
+        file_ingest.ingest_and_refresh_trends(
+            spark, f"{base}/landing", f"{base}/staged", f"{base}/ck", f"{base}/trends",
+            as_of, batched_at=registry.BATCHED_AT)
+        return {r["event_date"].day: r["event_count"] for r in
+                read_mart(spark, f"{base}/trends", registry.TRENDS_COLUMNS).collect()}
+
+    land(9, 3, [1])
+    land(12, 3, [2, 3])
+    assert run(D(2024, 1, 16)) == {9: 1, 12: 2}
+    land(12, 4, [4])
+    assert run(D(2024, 1, 10)) == {9: 1, 12: 2}  # 01-12 is not complete as of 01-10
+    assert run(D(2024, 1, 17)) == {9: 1, 12: 3}
+    before = sinks.load_history(spark, f"{base}/trends").count()
+    assert run(D(2024, 1, 17)) == {9: 1, 12: 3}
+    assert sinks.load_history(spark, f"{base}/trends").count() == before  # nothing is behind

@@ -10,6 +10,8 @@ table with the bounded lookback + keyed merge of :mod:`tidewater.plans.marts`.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -119,6 +121,44 @@ def read_staged(spark: SparkSession, staged_location: str, days=None) -> DataFra
     return df.select(*schemas.STG_EVENTS_COLUMNS)
 
 
+REFRESHED_SCHEMA = "event_date date, batch bigint"
+
+
+def refreshed_path(trends_location: str) -> str:
+    return trends_location.rstrip("/") + "_refreshed"
+
+
+def note_refreshed(spark: SparkSession, trends_location: str, newest: dict) -> None:
+    """Append, per day of ``newest``, the newest staged batch that the mart's
+    rows of that day include. Days and batches travel as one literal."""
+    noted = json.dumps({d.isoformat(): b for d, b in newest.items()})
+    (spark.range(1)
+          .select(F.explode(F.from_json(F.lit(noted), "map<string,bigint>")).alias("day", "batch"))
+          .select(F.col("day").cast("date").alias("event_date"), "batch")
+          .write.mode("append").parquet(refreshed_path(trends_location)))
+
+
+def days_to_refresh(spark: SparkSession, staged_location: str, trends_location: str,
+                    last_day, mart_exists: bool) -> dict:
+    """Staged days up to ``last_day`` with their newest batch, where the mart
+    lacks the day or was last refreshed from an older batch of it. A day that
+    was never noted counts as not refreshed."""
+    from tidewater.plans import sinks
+
+    # Partition values only: no event is read to compare the calendars.
+    staged = (spark.read.schema(STAGED_TABLE).parquet(staged_location)
+              .where(F.col("event_date") <= F.lit(last_day))
+              .groupBy("event_date").agg(F.max("batch").alias("newest")))
+    if mart_exists and sinks.table_exists(spark, refreshed_path(trends_location)):
+        built = spark.read.parquet(trends_location).select("event_date").distinct()
+        noted = (spark.read.schema(REFRESHED_SCHEMA).parquet(refreshed_path(trends_location))
+                 .groupBy("event_date").agg(F.max("batch").alias("noted"))
+                 .join(built, "event_date", "left_semi"))
+        staged = (staged.join(noted, "event_date", "left")
+                  .where(F.col("noted").isNull() | (F.col("newest") > F.col("noted"))))
+    return {r["event_date"]: r["newest"] for r in staged.collect()}  # one row per day
+
+
 def ingest_and_refresh_trends(spark: SparkSession, root: str, staged_location: str,
                               checkpoint: str, trends_location: str, as_of,
                               batched_at=None, max_files_per_trigger: int | None = None) -> int:
@@ -129,9 +169,11 @@ def ingest_and_refresh_trends(spark: SparkSession, root: str, staged_location: s
     merged on the mart's key. Distinct counts are not additive, so touched
     days are recomputed rather than incremented; the work per batch is
     proportional to the days it touched, and late files for any day are
-    repaired exactly. The first batch (no mart yet) builds it in full. When
-    the stream has caught up, complete days that are staged but not in the
-    mart (they were the incomplete day when their files came) are added.
+    repaired exactly. The first batch (no mart yet) builds it in full. Beside
+    the mart stands, per day, the newest staged batch it was refreshed from.
+    When the stream has caught up, every complete day that the mart lacks or
+    that has a newer staged batch (its files came in a run whose ``as_of`` was
+    not past it) is recomputed, so ``as_of`` may go back and forth.
     """
     import uuid
 
@@ -147,8 +189,8 @@ def ingest_and_refresh_trends(spark: SparkSession, root: str, staged_location: s
     # only when a batch creates it; no batch has to probe the folder.
     mart_exists = [sinks.table_exists(spark, trends_location)]
 
-    def recompute(days) -> None:
-        staged = read_staged(spark, staged_location, days if mart_exists[0] else None)
+    def recompute(newest: dict) -> None:
+        staged = read_staged(spark, staged_location, sorted(newest) if mart_exists[0] else None)
         batch = marts.contributor_trends(intermediate.events_classified(staged), as_of,
                                          batched_at=batched_at)
         if mart_exists[0]:
@@ -156,13 +198,15 @@ def ingest_and_refresh_trends(spark: SparkSession, root: str, staged_location: s
         else:
             sinks.write_full(spark, trends_location, batch, "event_date", operation="create")
             mart_exists[0] = True
+        # Last: a failure before it has the days recomputed by the next run.
+        note_refreshed(spark, trends_location, newest)
 
     def refresh(df: DataFrame, batch_id: int) -> None:
         obs = Observation(f"stream_{uuid.uuid4().hex[:8]}")
         write_staged_batch(df, staged_location, batch_id, obs,
                            [F.collect_set("event_date").alias("days")])  # <= days in batch
         batches.append(batch_id)
-        touched = sorted(d for d in (obs.get.get("days") or []) if d <= last_day)
+        touched = {d: batch_id for d in (obs.get.get("days") or []) if d <= last_day}
         if touched:
             recompute(touched)
 
@@ -173,13 +217,8 @@ def ingest_and_refresh_trends(spark: SparkSession, root: str, staged_location: s
          .start())
     q.awaitTermination()
     if sinks.table_exists(spark, staged_location):
-        # Partition values only: no event is read to compare the two calendars.
-        staged_days = (spark.read.schema(STAGED_TABLE).parquet(staged_location)
-                       .where(F.col("event_date") <= F.lit(last_day)).select("event_date").distinct())
-        if mart_exists[0]:
-            built = spark.read.parquet(trends_location).select("event_date").distinct()
-            staged_days = staged_days.join(built, "event_date", "left_anti")
-        absent = sorted(r["event_date"] for r in staged_days.collect())  # one row per day
-        if absent:
-            recompute(absent)
+        behind = days_to_refresh(spark, staged_location, trends_location, last_day,
+                                 mart_exists[0])
+        if behind:
+            recompute(behind)
     return len(batches)
