@@ -108,3 +108,19 @@ def test_look_alike_signs_are_undone():
     assert toxicity.plain_form("i.d.i.o.t!") == ("idiot", True)
     assert toxicity.plain_form("Clown,") == ("clown", False)
     assert toxicity.plain_form("2024") == ("2024", False)
+
+
+def test_the_middle_of_a_long_word_counts():
+    rng = np.random.default_rng(3)
+    one, two, middle = ("".join(map(chr, rng.integers(0x4E00, 0x9FA5, 300))) for _ in range(3))
+    seen = quality.Indicators()
+    a, b = seen.columns(one + middle + one), seen.columns("x" + two + middle + two)
+    other = seen.columns("".join(reversed(one + two + one)))
+    assert len(np.intersect1d(a, b)) > 250  # before: the one column of lines
+    assert len(np.intersect1d(a, other)) < 50
+    shape = quality.Indicators().columns("A1-" * 100 + "B_2.")
+    assert len(np.setdiff1d(shape, quality.Indicators().columns("A1-" * 100 + "B.2_"))) > 3
+    again = quality.Indicators()
+    again.columns("some other words first")
+    assert np.array_equal(again.columns(f"{one} {one} end"), again.columns(f"{one} {one} end"))
+    assert len(again.columns("")) == 1

@@ -4,12 +4,14 @@ Binary indicators of word, byte and shape n-grams (hashed to a fixed number of
 columns) are scaled by their log-count ratio between the classes; a linear
 model with hinge loss is then fitted to the scaled indicators by dual
 coordinate descent over a bounded sample. Scoring is one dot product per text.
+A word of any length counts whole: its shape in successive pieces, its
+characters, where the word is long, in runs of three.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,6 +26,11 @@ from tidewater.llm.common import U64, labelled_sample, mixed, ngram_hashes, work
 
 BITS = 17
 CACHED_WORDS = 600_000
+CACHED_CHARS = 20_000_000
+#: Signs of a shape that make one indicator; a longer shape is several.
+PIECE = 12
+#: Words over this many characters count by each of their three-character runs.
+LONG_WORD = 24
 UPPER, LOWER = re.compile("[A-ZÀ-ÖØ-Þ]+"), re.compile("[a-zß-öø-ÿ]+")
 
 
@@ -31,23 +38,34 @@ def word_shape(word: str) -> str:
     """The word with runs of capitals, small letters and digits as A, a, 9 and
     runs of one sign cut to two."""
     shape = re.sub(r"\d+", "9", LOWER.sub("a", UPPER.sub("A", word)))
-    return re.sub(r"(\W)\1+", r"\1\1", shape)[:12]
+    return re.sub(r"(\W)\1+", r"\1\1", shape)
+
+
+def hashes(mark: str, parts: Iterable[str]) -> np.ndarray:
+    return np.array([xxhash.xxh3_64_intdigest(mark + p) for p in parts], U64)
 
 
 class Indicators:
     """Columns of whole texts. Words seen so far keep the hashes of their word,
-    last three characters and shape in rows of ``table``."""
+    last three characters and (first piece of their) shape in rows of
+    ``table``; ``more`` has the other pieces and the three-character runs of
+    those that are ``long``."""
 
     def __init__(self):
         self.ids: dict[str, int] = {}
         self.table = np.zeros((0, 3), U64)
+        self.long = np.zeros(0, bool)
+        self.more: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.chars = 0
         self.present = np.zeros(1 << BITS, bool)
 
     def codes(self, words: list[str]) -> np.ndarray:
         got = list(map(self.ids.get, words))
         if None in got:
-            if len(self.ids) > CACHED_WORDS:
+            if len(self.ids) > CACHED_WORDS or self.chars > CACHED_CHARS:
                 self.ids.clear()
+                self.more.clear()
+                self.chars = 0
                 return self.codes(words)
             new = sorted({w for w, k in zip(words, got) if k is None})
             first = len(self.ids)
@@ -55,25 +73,43 @@ class Indicators:
                 grown = np.zeros((2 * (first + len(new)), 3), U64)
                 grown[:first] = self.table[:first]
                 self.table = grown
+                self.long = np.resize(self.long, len(grown))
             for k, w in enumerate(new, first):
                 self.ids[w] = k
+                self.chars += len(w)
+                shape = word_shape(w)
                 self.table[k] = (xxhash.xxh3_64_intdigest("w" + w.lower()),
                                  xxhash.xxh3_64_intdigest("e" + w[-3:]),
-                                 xxhash.xxh3_64_intdigest("s" + word_shape(w)))
+                                 xxhash.xxh3_64_intdigest("s" + shape[:PIECE]))
+                self.long[k] = len(shape) > PIECE or len(w) > LONG_WORD
+                if self.long[k]:
+                    runs = {w[i:i + 3] for i in range(len(w) - 2)} if len(w) > LONG_WORD else ()
+                    self.more[k] = (
+                        hashes("s", [shape[i:i + PIECE] for i in range(PIECE, len(shape), PIECE)]),
+                        hashes("e", runs))
             got = list(map(self.ids.get, words))
         return np.array(got, np.int64)
 
     def columns(self, text: str) -> np.ndarray:
-        """Sorted distinct columns: words, word ends, runs of one to three word
-        shapes (a word that repeats the one before has a shape of its own),
-        and how large a share of the lines repeats."""
+        """Sorted distinct columns: words, word ends (of long words every run
+        of three characters), runs of one to three word shapes or pieces of
+        them (a word that repeats the one before has a shape of its own), and
+        how large a share of the lines repeats."""
         codes = self.codes(text.split())
         rows = self.table[codes]
         shapes = rows[:, 2].copy()
-        shapes[1:][codes[1:] == codes[:-1]] = U64(5)
+        again = np.concatenate([[False], codes[1:] == codes[:-1]])[:len(codes)]
+        shapes[again] = U64(5)
+        ends = [rows[:, 1]]
+        at = np.flatnonzero(self.long[codes] & ~again)
+        if len(at):
+            pieces = [self.more[k] for k in codes[at].tolist()]
+            ends += [runs for _, runs in pieces]
+            shapes = np.insert(shapes, np.repeat(at + 1, [len(p) for p, _ in pieces]),
+                               np.concatenate([p for p, _ in pieces]))
         lines = text.split("\n")
         repeated = int(8 * (1 - len(set(lines)) / len(lines)))
-        parts = [mixed(rows[:, 0]), mixed(rows[:, 1]), mixed(np.array([repeated + 11], U64))]
+        parts = [mixed(rows[:, 0]), mixed(np.concatenate(ends)), mixed(np.array([repeated + 11], U64))]
         parts += [ngram_hashes(shapes, n) + U64(n) for n in (1, 2, 3)]
         at = (np.concatenate(parts) >> U64(64 - BITS)).astype(np.int32)
         self.present[at] = True
@@ -200,7 +236,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, held: tuple[int, int] = (3
 
     ``labels`` (doc_id, quality) outside the ``held`` fold (modulus, remainder
     of crc32 of the id) teach, ``max_rows`` documents at most, chosen by id
-    hash; every whole text is scored. Null and empty texts have the indicators
+    hash; every whole text is scored, words of any length included. Null and empty texts have the indicators
     of one empty line. Without labels every score is 0.5, with labels of one
     class it is that class. Repeated rows get equal scores; other columns are
     not read.
