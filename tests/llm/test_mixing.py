@@ -69,3 +69,36 @@ def test_flight_keeps_the_balance():
 
 def test_no_rows(spark):
     assert mixing.mix_sources(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_equal_rows_fly_in_different_blocks(spark, monkeypatch):
+    prepare(spark)
+    flown, plain = {}, mixing.landed
+
+    def kept(df, label):
+        flown[label] = plain(df, label)
+        return flown[label]
+
+    monkeypatch.setattr(mixing, "landed", kept)
+    data = [(None, "one two", "a", 1, 2, "x")] * 600 + [(k, "w " * 9, "b", 1, 2, "x")
+                                                        for k in range(300)]
+    got = mixing.mix_sources(spark.createDataFrame(data, SCHEMA), block_rows=50).collect()
+    assert len(got) == 900 and sum(r.doc_id is None for r in got) == 600
+    assert len({r.draw for r in flown["mix-flight-0"].collect()}) == 900  # before: 301
+
+
+def test_ranges_are_numbered_and_summed_in_order(spark):
+    prepare(spark)
+    rng = random.Random(2)
+    values = [rng.randrange(10**9) for _ in range(5000)]
+    conf = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(conf, "false")
+    try:
+        df = spark.createDataFrame([(v,) for v in values], "v long").repartition(6)
+        got = mixing.numbered(df, ["v"], "n", {"before": "v"}, "test-numbered").orderBy("n").collect()
+    finally:
+        spark.conf.unset(conf)
+    total = 0
+    for k, (r, v) in enumerate(zip(got, sorted(values)), 1):
+        assert (r.v, r.n, r.before) == (v, k, total)
+        total += v

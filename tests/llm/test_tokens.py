@@ -120,3 +120,20 @@ def test_files_give_back_all_ids(spark, monkeypatch, block_ids, tmp_path):
         start += len(e)
     frame(spark, []).write.parquet(f"{tmp_path}/none/documents.parquet")
     assert QUERIES["op9_tokenfile"](spark, f"{tmp_path}/none").collect() == []
+
+
+def test_equal_rows_are_packed_in_many_groups(spark, monkeypatch):
+    prepare(spark)
+    monkeypatch.setattr(packing, "GROUP_DOCS", 50)
+    rows = [(None, None)] * 1000 + [(7, "same text")] * 203 + [(k, f"text {k}") for k in range(40)]
+    frames = [frame(spark, rows), frame(spark, rows[::-1]).repartition(5)]
+    got, again = (packing.pack_documents(f, FILE, room=64).collect() for f in frames)
+    assert sum(r.length for r in got if r.doc_id is None) == 1000
+    size = len(expected(["same text"])[0])
+    assert sum(r.length for r in got if r.doc_id == 7) == 203 * size + len(expected(["text 7"])[0])
+    docs: dict = {}
+    for r in got:
+        docs[r.sequence_id >> 32] = docs.get(r.sequence_id >> 32, 0) + (r.start == 0)
+    assert sum(docs.values()) == len(rows)
+    assert max(docs.values()) < 250  # before: 1000 in one
+    assert sorted(map(str, again)) == sorted(map(str, got))

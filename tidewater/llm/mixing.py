@@ -26,6 +26,27 @@ EPS = 1e-9
 LANDING = 10
 
 
+def numbered(rows: DataFrame, order: list, number: str, sums: dict[str, str],
+             label: str) -> DataFrame:
+    """``rows`` with their place in ``order`` from 1, and per entry of ``sums``
+    the sum of a column over the rows before. Ranges are sorted and summed
+    each on its own; only one row per range passes through one task."""
+    ranges = landed(rows.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()), label) \
+        .withColumn("_range", F.shiftright("_at", 33))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    whole = ranges.groupBy("_range").agg(F.count("*").alias("_rows"),
+                                         *[F.sum(c).alias(n) for n, c in sums.items()])
+    start = whole.select("_range", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_{c}_start")
+                                     for c in ("_rows", *sums)])
+    inside = (Window.partitionBy("_range").orderBy("_at")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    return (ranges.join(F.broadcast(start), "_range")
+            .withColumn(number, F.col("__rows_start") + F.col("_at") % (1 << 33) + 1)
+            .withColumns({n: F.col(f"_{n}_start") + F.coalesce(F.sum(c).over(inside), F.lit(0))
+                          for n, c in sums.items()})
+            .drop("_at", "_range", "__rows_start", *[f"_{n}_start" for n in sums]))
+
+
 def source_targets(sizes: DataFrame, cap: float = 3.0) -> DataFrame:
     """(source, rank, source_size, target) of a (source, size) table.
 
@@ -33,26 +54,26 @@ def source_targets(sizes: DataFrame, cap: float = 3.0) -> DataFrame:
     share all words; a target stops at ``cap`` times its source's size and the
     excess is shared anew by weight. That is water filling: with sources
     ordered by size per weight, a prefix is capped and the rest share one
-    level. One row per source, so the windows run over a summary.
+    level. Ranks and sums run over ranges of the sources, any number of them.
     """
     total = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    in_order = Window.orderBy(F.col("source").isNull(), "source")
-    by_fill = Window.orderBy("full_at", "rank")
-    before = by_fill.rowsBetween(Window.unboundedPreceding, -1)
-    rest = by_fill.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    every = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding,
-                                                 Window.unboundedFollowing)
-    ranked = (total.withColumn("rank", F.row_number().over(in_order))
+    ranked = (numbered(total, [F.col("source").isNull(), "source"], "rank", {}, "mix-ranks")
+              .withColumn("rank", F.col("rank").cast("int"))
               .withColumn("weight", (F.col("rank") - 1) % 3 + 1)
               .withColumn("most", F.col("source_size") * F.lit(cap))
-              .withColumn("full_at", F.col("most") / F.col("weight"))
-              .withColumn("level", (F.sum("source_size").over(every)
-                                    - F.coalesce(F.sum("most").over(before), F.lit(0.0)))
-                          / F.sum("weight").over(rest)))
+              .withColumn("full_at", F.col("most") / F.col("weight")))
+    every = ranked.agg(F.sum("source_size").alias("all_size"), F.sum("weight").alias("all_weight"))
+    ranked = landed(
+        numbered(ranked, ["full_at", "rank"], "filled",
+                 {"most_before": "most", "weight_before": "weight"}, "mix-fill")
+        .crossJoin(F.broadcast(every))
+        .withColumn("level", (F.col("all_size") - F.col("most_before"))
+                    / (F.col("all_weight") - F.col("weight_before"))), "mix-levels")
     # The first source, in order of filling, that its level does not fill.
-    first = F.min(F.when(F.col("full_at") >= F.col("level"),
-                         F.struct("full_at", "rank", "level"))).over(every)
-    return (ranked.withColumn("at", first["level"])
+    first = ranked.agg(F.min(F.when(F.col("full_at") >= F.col("level"),
+                                    F.struct("full_at", "rank", "level"))).alias("first"))
+    ranked = ranked.crossJoin(F.broadcast(first))
+    return (ranked.withColumn("at", F.col("first.level"))
             .select("source", "rank", "source_size",
                     F.least("most", F.col("weight") * F.col("at")).alias("target"),
                     (F.col("most") <= F.col("weight") * F.col("at")).alias("capped")))
@@ -117,6 +138,18 @@ def cube_block(block: pd.DataFrame, seed: int) -> pd.DataFrame:
     return block.assign(pi=pi)[["doc_id", "rank", "size", "draw", "pi"]]
 
 
+def apart(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``same``: equal rows are numbered from 0. They are counted
+    and told out again, in two steps so that no array holds all numbers."""
+    step = F.lit(10_000).cast("long")
+    zero = F.lit(0).cast("long")
+    return (rows.groupBy(*rows.columns).agg(F.count("*").alias("_n"))
+            .withColumn("_k", F.explode(F.sequence(zero, F.floor((F.col("_n") - 1) / step))))
+            .withColumn("same", F.explode(F.sequence(
+                F.col("_k") * step, F.least((F.col("_k") + 1) * step, F.col("_n")) - 1)))
+            .drop("_n", "_k"))
+
+
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 source_col: str = "source", cap: float = 3.0, block_rows: int = 2000,
                 seed: int = 7) -> DataFrame:
@@ -131,16 +164,19 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     any partitioning.
     """
     spark = docs.sparkSession
-    sizes = landed(docs.select(
+    sizes = landed(apart(docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"),
         F.regexp_count(F.coalesce(text_col, F.lit("")), F.lit(WORD_PATTERN))
-        .cast("long").alias("size")), "mix-sizes")
+        .cast("long").alias("size"))), "mix-sizes")
     targets = landed(source_targets(sizes, cap), "mix-targets")
     rate = F.when(F.col("source_size") == 0, F.lit(0.0)).when(F.col("capped"), F.lit(cap)) \
         .otherwise(F.col("target") / F.col("source_size"))
     planned = (sizes.join(targets, sizes["source"].eqNullSafe(targets["source"]))
-               .select("doc_id", sizes["source"], "size", "rank", rate.alias("rate")))
-    active = planned.select("doc_id", "rank", "size", F.xxhash64("doc_id", F.lit(seed)).alias("draw"),
+               .select("doc_id", sizes["source"], "size", "same", "rank", rate.alias("rate")))
+    # Equal rows draw by their numbers, so that they fly in different blocks.
+    draw = F.when(F.col("same") == 0, F.xxhash64("doc_id", F.lit(seed))) \
+        .otherwise(F.xxhash64("doc_id", F.lit(seed), "same"))
+    active = planned.select("doc_id", "rank", "size", draw.alias("draw"),
                             (F.col("rate") - F.floor("rate")).alias("pi"))
     rounds, turn = [], 0
     while True:
@@ -150,7 +186,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   .withColumn("block", F.pmod(F.xxhash64("draw", "size", F.lit(turn)), "blocks")))
         # One key column: a join on rank alone would otherwise serve as the
         # partitioning of (rank, block) and leave a hot source in one task.
-        cell = F.shiftleft(F.col("rank").cast("long"), 40) + F.col("block")
+        cell = F.shiftleft(F.col("rank").cast("long"), 31) + F.col("block")
         flown = landed(blocks.withColumn("cell", cell).groupBy("cell").applyInPandas(
             lambda block: cube_block(block, seed),
             "doc_id long, rank int, size long, draw long, pi double"), f"mix-flight-{turn}")

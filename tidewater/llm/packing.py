@@ -18,10 +18,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import slices
+from tidewater.llm.common import landed, slices
 from tidewater.llm.tokens import END_ID, Encoder
 
 GROUP_DOCS = 1500
+#: Rows equal in id and text that lie in one group for certain, at most.
+EQUAL_ROWS = 16
 
 
 class TournamentTree:
@@ -95,18 +97,21 @@ def pack(sizes: np.ndarray, room: int) -> list[list[tuple[int, int, int]]]:
 
 
 def encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """(doc_id, grp, ids) with little-endian unsigned 16-bit ids, end id last."""
+    """(doc_id, grp, copies, ids) with little-endian unsigned 16-bit ids, end
+    id last."""
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = Encoder.of(tokenizer), np.uint16(END_ID).tobytes()
         for batch in slices(batches):
             ids = [i + end for i in encoder.encode([t or "" for t in batch["text"].to_pylist()])]
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], batch["grp"], pa.array(ids, pa.binary())],
-                names=["doc_id", "grp", "ids"])
-    return docs.mapInArrow(encode, "doc_id long, grp long, ids binary")
+                [batch["doc_id"], batch["grp"], batch["copies"], pa.array(ids, pa.binary())],
+                names=["doc_id", "grp", "copies", "ids"])
+    return docs.select("doc_id", "text", "grp", "copies").mapInArrow(
+        encode, "doc_id long, grp long, copies long, ids binary")
 
 
 def pack_group(group: pd.DataFrame, room: int) -> pd.DataFrame:
+    group = group.loc[group.index.repeat(group["copies"])]
     group = group.sort_values(["doc_id", "ids"], kind="stable", na_position="first")
     ids = [np.frombuffer(i, np.uint16).astype("<u4") for i in group["ids"]]
     doc_ids = group["doc_id"].tolist()
@@ -123,6 +128,27 @@ def pack_group(group: pd.DataFrame, room: int) -> pd.DataFrame:
                                       "Int64"))
 
 
+def deal(rows: DataFrame, groups: int, seed: int) -> DataFrame:
+    """``rows`` (doc_id, text) with their group and a number of copies: where
+    more than ``EQUAL_ROWS`` rows are equal, one row stands for up to that many
+    of them and each such row is dealt on its own."""
+    hashed = rows.withColumn("hash", F.xxhash64("text"))
+    many = landed(hashed.groupBy(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash"))
+                  .count().where(F.col("count") > EQUAL_ROWS).drop("count"), "pack-equal")
+    into = lambda *more: F.pmod(F.xxhash64("doc_id", "hash", F.lit(seed), *more), F.lit(groups))
+    one = F.lit(1).cast("long").alias("copies")
+    if many.isEmpty():
+        return hashed.select("doc_id", "text", into().alias("grp"), one)
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash"))
+    size = F.lit(EQUAL_ROWS).cast("long")
+    equal = (hashed.join(many, same, "left_semi").groupBy("doc_id", "text", "hash").count()
+             .withColumn("part", F.explode(F.sequence(
+                 F.lit(0).cast("long"), F.floor((F.col("count") - 1) / size)))))
+    return (hashed.join(many, same, "left_anti").select("doc_id", "text", into().alias("grp"), one)
+            .union(equal.select("doc_id", "text", into("part").alias("grp"),
+                                F.least(size, F.col("count") - F.col("part") * size))))
+
+
 def pack_documents(docs: DataFrame, tokenizer: str, room: int = 2048, id_col: str = "doc_id",
                    text_col: str = "text", seed: int = 11) -> DataFrame:
     """One row per piece: (doc_id, start, length, doc_tokens, sequence_id,
@@ -130,16 +156,14 @@ def pack_documents(docs: DataFrame, tokenizer: str, room: int = 2048, id_col: st
     integers, offset its place in its sequence of at most ``room``.
 
     A null or empty text is the end id alone. Null and repeated ids and
-    repeated rows are packed row by row. Very long texts are cut at multiples
+    repeated rows are packed row by row, equal rows spread over groups. Very long texts are cut at multiples
     of ``room``. Groups depend on the rows' contents and ``seed`` only, so
     reruns agree. Other columns are not read. An empty table gives no rows.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.col(text_col).alias("text"))
     groups = max(1, -(-rows.count() // GROUP_DOCS))
-    dealt = rows.withColumn("grp", F.pmod(F.xxhash64("doc_id", F.xxhash64("text"), F.lit(seed)),
-                                          F.lit(groups)))
-    return encoded(dealt, tokenizer).groupBy("grp").applyInPandas(
+    return encoded(deal(rows, groups, seed), tokenizer).groupBy("grp").applyInPandas(
         lambda group: pack_group(group, room),
         "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, "
         "ids binary")
