@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewater.llm import language, quality, toxicity
-from tidewater.llm.common import held_out, prepare, table
+from tidewater.llm.common import held_out, labelled_sample, prepare, table
 from tidewater.llm.queries import QUERIES
 
 MID = "/root/testdata/sf0.01"
@@ -124,3 +124,16 @@ def test_the_middle_of_a_long_word_counts():
     again.columns("some other words first")
     assert np.array_equal(again.columns(f"{one} {one} end"), again.columns(f"{one} {one} end"))
     assert len(again.columns("")) == 1
+
+
+def test_a_sample_has_one_row_per_id(spark):
+    prepare(spark)
+    rows = [(k % 40, None if k == 5 else f"text {k}") for k in range(400)] + [(None, "none")] * 9
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)] * 2, "doc_id long, quality int")
+    got = [sorted(map(tuple, labelled_sample(d, labels, "quality", (3, 1), 10, "test-sample").collect()))
+           for d in (docs, docs.repartition(7))]
+    assert len(got[0]) == 10 and got[0] == got[1]  # before: 100 rows
+    of = {text or "": i for i, text in rows}
+    assert len({of[text] for text, *_ in got[0]}) == 10
+    assert all(y == of[text] % 2 for text, y, _ in got[0])

@@ -63,10 +63,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, held: tuple[
     """(text, y, part) of at most ``max_rows`` labelled documents outside the
     ``held`` fold (modulus, remainder); part is a stable 0..9 split.
 
-    The rows are those of smallest id hash, so the bound is exact and the
-    choice does not depend on partitioning. Null labels are skipped; a
-    document with several labels takes the largest. The bounded label rows are
-    broadcast; the documents are scanned once.
+    The ids are those of smallest hash and each gives one row, of repeated ids
+    that of the smallest text hash, so the bound on rows is exact and the
+    choice does not depend on partitioning. It is one of documents, not of
+    bytes: texts are whole. Null labels are skipped; a document with several
+    labels takes the largest. The bounded label rows are broadcast; the
+    documents are scanned once.
     """
     picked = (labels.select(F.col("doc_id").alias("_id"), F.col(label).alias("_y"))
               .where(F.col("_y").isNotNull() & F.col("_id").isNotNull())
@@ -75,8 +77,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, held: tuple[
               .orderBy(F.xxhash64("_id", F.lit(17)), "_id").limit(max_rows))
     rows = (docs.select(F.col("doc_id").alias("_id"), F.coalesce("text", F.lit("")).alias("text"))
             .join(F.broadcast(picked), "_id")
-            .select("text", F.col("_y").alias("y"),
-                    F.pmod(F.xxhash64("_id", F.lit(29)), F.lit(10)).alias("part")))
+            .groupBy("_id").agg(F.first("_y").alias("y"),
+                                F.min_by("text", F.struct(F.xxhash64("text", F.lit(23)), "text"))
+                                .alias("text"))
+            .select("text", "y", F.pmod(F.xxhash64("_id", F.lit(29)), F.lit(10)).alias("part")))
     return landed(rows, out)
 
 
