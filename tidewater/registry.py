@@ -436,9 +436,9 @@ def q_contributor_trends_chart(spark, sf_dir):
 
 @query("contributor_trends_select")
 def q_contributor_trends_select(spark, sf_dir):
-    """OP-P11/L6: star projection of the mart, total order, limit 500."""
+    """OP-P11/L6: star projection of the mart, the newest 500 rows."""
     return serving.select_all_limited(stored_trends(spark, sf_dir),
-                                      ["event_date", "contributor_type"], 500)
+                                      [F.desc("event_date"), "contributor_type"], 500)
 
 
 @query("events_per_day")
