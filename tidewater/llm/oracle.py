@@ -66,4 +66,54 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
        sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM words LEFT JOIN kept USING (doc_id)"""
 
-ORACLE = {"op2_minhash": OP2, "op3_embeddings": OP3, "op6_substring": OP6}
+#: Letters of the runs are ASCII or two bytes of UTF-8, the first of them 195.
+OP11 = r"""
+WITH RECURSIVE steps(i, k, v) AS (
+  SELECT range, 0, range FROM range(256)
+  UNION ALL
+  SELECT i, k + 1, CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END
+  FROM steps WHERE k < 8),
+lookup AS (SELECT list(v ORDER BY i) AS t FROM steps WHERE k = 8),
+found AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(
+           coalesce(text, ''), '[A-Za-z\x{00C0}-\x{00FF}]+')),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents),
+runs AS (SELECT doc_id, run, COUNT(*) AS k FROM found GROUP BY doc_id, run),
+summed AS (
+  SELECT run, k, xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(
+           string_split(concat(doc_id, ':', run), ''), lambda c:
+             CASE WHEN unicode(c) < 128 THEN [unicode(c)] ELSE [195, unicode(c) - 64] END))),
+         lambda crc, b: xor(crc // 256, t[xor(crc, b) % 256 + 1]))) AS h
+  FROM runs, lookup),
+words AS (
+  SELECT word, CAST(SUM(k) AS BIGINT) AS n FROM (
+    SELECT k, CASE WHEN h % 97 = 0 THEN left(run, h % length(run))
+                   || substr(run, h % length(run) + 2) ELSE run END AS word FROM summed) a
+  WHERE length(word) >= 5 GROUP BY word HAVING SUM(k) >= 3),
+rests AS (
+  SELECT word, i, left(word, i) || substr(word, i + 2) AS rest
+  FROM (SELECT word, unnest(range(length(word))) AS i FROM words) p),
+links AS (
+  SELECT a.word AS x, b.word AS y FROM rests a JOIN rests b
+    ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT r.word, w.word FROM rests r JOIN words w ON w.word = r.rest
+  UNION SELECT w.word, r.word FROM rests r JOIN words w ON w.word = r.rest),
+counts AS (SELECT x, COUNT(*) AS n_near FROM links GROUP BY x),
+best AS (
+  SELECT x, y, w.n FROM links JOIN words w ON w.word = y
+  QUALIFY row_number() OVER (PARTITION BY x ORDER BY w.n DESC, y) = 1),
+forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN best.n >= 2 * w.n THEN y END AS form,
+         CASE WHEN best.n >= 2 * w.n THEN best.n END AS form_n
+  FROM words w LEFT JOIN counts ON counts.x = w.word LEFT JOIN best ON best.x = w.word),
+chain(word, root) AS (
+  SELECT word, word FROM forms
+  UNION ALL SELECT c.word, f.form FROM chain c JOIN forms f ON f.word = c.root
+  WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, c.root, f.n, CAST(f.n_near AS BIGINT) AS n_near, f.form_n
+FROM forms f JOIN chain c ON c.word = f.word JOIN forms r ON r.word = c.root
+WHERE r.form IS NULL"""
+
+ORACLE = {"op2_minhash": OP2, "op3_embeddings": OP3, "op6_substring": OP6, "op11_variants": OP11}

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm import (embeddings, fingerprint, language, minhash, mixing, packing, quality,
-                           substring, tokenfile, tokens, toxicity)
+                           substring, tokenfile, tokens, toxicity, variants)
 from tidewater.llm.common import held_out, table
 from tidewater.llm.oracle import ORACLE
 
@@ -93,3 +93,8 @@ def op9_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return verdict(got, 3, 1)
+
+
+@query
+def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variant_groups(variants.corpus_words(table(spark, sf_dir, "documents")))
