@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import (embeddings, fingerprint, language, minhash, mixing, packing, quality,
-                           substring, tokenfile, tokens, toxicity, variants)
+from tidewater.llm import (embeddings, fingerprint, language, minhash, mixing, negatives, packing,
+                           quality, substring, tokenfile, tokens, toxicity, variants)
 from tidewater.llm.common import held_out, table
 from tidewater.llm.oracle import ORACLE
 
@@ -98,3 +98,9 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.variant_groups(variants.corpus_words(table(spark, sf_dir, "documents")))
+
+
+@query
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), label=moved)
