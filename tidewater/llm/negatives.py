@@ -221,9 +221,12 @@ def threshold_join(anchors: DataFrame, rows: DataFrame, size: int, same_label: b
         return pa.table({name: pa.array([t[k] for t in out], pa.int64())
                          for k, name in enumerate(("anchor", "window", "id", "score"))})
 
+    pair = ["width", "cell", "anchor_block", "row_block"]
     met = (dealt(anchors, "anchor", "row", 7, True)
            .unionByName(dealt(rows, "row", "anchor", 11, False))
-           .groupBy("width", "cell", "anchor_block", "row_block").applyInArrow(block, FOUND))
+           # A number of partitions that stays: pairs of blocks are small in bytes, not in work.
+           .repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *pair)
+           .groupBy(*pair).applyInArrow(block, FOUND))
     # Cut to the best of every task before it is shuffled.
     order = Window.partitionBy("anchor", "window").orderBy(F.desc("score"), "id")
     return met.withColumn("place", F.row_number().over(order)).where(F.col("place") <= size)
