@@ -5,11 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm import (embeddings, fingerprint, language, minhash, mixing, negatives, packing,
-                           quality, substring, tokenfile, tokens, toxicity, variants)
+                           personal, quality, substring, tokenfile, tokens, toxicity, variants)
 from tidewater.llm.common import held_out, table
 from tidewater.llm.oracle import ORACLE
 
@@ -104,3 +104,17 @@ def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), label=moved)
+
+
+@query
+def op13_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = personal.find_personal_data(table(spark, sf_dir, "documents"))
+    base = personal.listed(F.col("base"))
+
+    def number(kind: int) -> Column:
+        of_kind = F.filter("base", lambda s: s["kind"] == kind)
+        return F.size(of_kind).cast("long").alias(f"n_{personal.KINDS[kind]}")
+    return got.select(F.col("id").alias("doc_id"), *map(number, range(len(personal.KINDS))),
+                      F.sha2(base.cast("binary"), 256).alias("base_sha256"),
+                      personal.listed(F.concat("base", "found")).alias("spans"),
+                      F.size("found").cast("long").alias("n_found"))
