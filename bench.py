@@ -55,11 +55,11 @@ def main() -> None:
         # JIT, codegen caches, codecs), as on a long-running cluster.
         warm = scratch_path(spark, "bench-warm")
         ws = lake_load.load_events(spark, landing, warm, start, end)
-        lake_load.reconciliation_from_summary(spark, ws, warm, start, end).count()
+        lake_load.reconciliation_from_summary(spark, ws, warm).count()
         target = scratch_path(spark, "bench-lake")
         t0 = time.perf_counter()
         summary = lake_load.load_events(spark, landing, target, start, end)
-        rec = lake_load.reconciliation_from_summary(spark, summary, target, start, end)
+        rec = lake_load.reconciliation_from_summary(spark, summary, target)
         bad = rec.filter("delta <> 0").count()
         elapsed = time.perf_counter() - t0
         timings["load_job"] = round(elapsed, 3)

@@ -62,7 +62,7 @@ def test_load_reconciles_and_reruns_idempotently(spark, landed, scratch):
     total = fixtures.driver_events(spark, SF_SMALL).count()
     assert s1["added-records"] == total and s1["straggler-records"] == s1["undated-records"] == 0
     assert s1["corrupt-records"] == 0
-    rec = lake_load.reconciliation_from_summary(spark, s1, loc, D(2024, 1, 1), D(2024, 1, 30))
+    rec = lake_load.reconciliation_from_summary(spark, s1, loc)
     assert rec.filter(F.col("delta") != 0).count() == 0
     before = _day_counts(spark, loc)
     lake_load.load_events(spark, landed, loc, D(2024, 1, 5), D(2024, 1, 6))
@@ -196,7 +196,7 @@ def test_an_unfinished_swap_is_completed(spark, scratch, monkeypatch):
         raise OSError("the cluster went away")
 
     with monkeypatch.context() as m:
-        m.setattr(sinks, "_copy_in", fails)
+        m.setattr(sinks.Swap, "copy_in", fails)
         with pytest.raises(OSError):
             _merge(spark, loc, [("a", 2, D(2024, 1, 1))], schema)
     _merge(spark, loc, [("b", 3, D(2024, 1, 3))], schema)

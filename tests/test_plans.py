@@ -117,14 +117,14 @@ def test_listing_parallelism_filled_only_when_unset(spark):
         spark.conf.set(LISTING_PARALLELISM, before)
 
 
-def test_scheduled_build_parses_json_once(spark):
+def test_scheduled_build_parses_json_once(spark, scratch):
     """Both marts of a scheduled run read the staged classified events: a
     Parquet scan with no JSON parsing, holding exactly the classified rows."""
     from tidewater.plans.model_build import stage_classified
 
     c = registry.classified(spark, SF_SMALL)
     assert "from_json" in plan(c)
-    staged = stage_classified(spark, c)
+    staged = stage_classified(spark, c, scratch("classified"))
     p = plan(staged)
     assert "Format: Parquet" in p and "from_json" not in p
     assert staged.columns == c.columns

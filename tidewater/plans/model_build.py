@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 from tidewater.days import ONE_DAY
 from tidewater.operators import intermediate, marts, staging
 from tidewater.operators.marts import DEFAULT_LOOKBACK_DAYS
-from tidewater.plans import sinks
+from tidewater.plans import notes, sinks
 from tidewater.plans.marts import refresh_from, run_mart
 from tidewater.session import scratch_path
 from tidewater.sources import files
@@ -39,18 +39,21 @@ def build_marts(spark: SparkSession, raw_root: str, snapshot_root: str, trends_l
                                    for loc in (trends_location, language_location)))
     stg = files.read_staged_events(spark, raw_root, start, last_day)
     files.assert_days_listed(stg, start, last_day)
-    classified = stage_classified(spark, intermediate.events_classified(stg))
+    stage = scratch_path(spark, "classified")
+    classified = stage_classified(spark, intermediate.events_classified(stg), stage)
     meta = staging.latest_repo_metadata(files.read_repo_snapshots(spark, snapshot_root))
     enriched = intermediate.events_enriched(classified, meta)
-    return {
+    built = {
         "contributor_trends": run_mart(spark, marts.TRENDS, classified, trends_location, as_of,
                                        batched_at=batched_at, lookback_days=lookback_days),
         "language_activity": run_mart(spark, marts.LANGUAGE, enriched, language_location, as_of,
                                       batched_at=batched_at, lookback_days=lookback_days),
     }
+    notes.remove(spark, [stage])
+    return built
 
 
-def stage_classified(spark: SparkSession, classified: DataFrame) -> DataFrame:
+def stage_classified(spark: SparkSession, classified: DataFrame, loc: str) -> DataFrame:
     """Write the classified push events once, day-partitioned, under the
     shared checkpoint folder, and read them back for both marts.
 
@@ -60,7 +63,6 @@ def stage_classified(spark: SparkSession, classified: DataFrame) -> DataFrame:
     table instead of the raw text, and lineage is cut before the two
     aggregations (a lost executor recomputes from these files).
     """
-    loc = scratch_path(spark, "classified")
     (classified.hint("rebalance", "event_date").write.mode("overwrite")
                .option("compression", "zstd").partitionBy("event_date").parquet(loc))
     schema = StructType([f for f in classified.schema.fields if f.name != "event_date"]

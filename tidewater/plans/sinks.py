@@ -12,14 +12,27 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
+from dataclasses import astuple, dataclass
+from dataclasses import fields as dataclass_fields
 from typing import Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, MapType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import (
+    ArrayType,
+    DataType,
+    DecimalType,
+    LongType,
+    MapType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
 from tidewater.days import DaySpan
+from tidewater.operators.quality import Rule, counters
+from tidewater.plans import notes
 from tidewater.session import scratch_path
 
 HISTORY_SCHEMA = StructType([
@@ -35,16 +48,7 @@ def history_path(location: str) -> str:
 
 
 def table_exists(spark: SparkSession, location: str) -> bool:
-    """Whether ``location`` is there. The probe declares a schema, so it lists
-    but reads no footer; any failure other than a missing path is raised, since
-    whoever asks goes on to replace a table that it believes absent."""
-    try:
-        spark.read.schema("probe int").parquet(location)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False
-    return True
+    return notes.exists(spark, location)
 
 
 def read_table(spark: SparkSession, location: str,
@@ -76,13 +80,13 @@ def record_commit(spark: SparkSession, location: str, operation: str,
         F.lit(operation).alias("operation"),
         (F.create_map(*entries) if entries
          else F.create_map().cast("map<string,string>")).alias("summary"))
-    row.write.mode("append").parquet(history_path(location))
+    notes.append(spark, history_path(location), row)
 
 
 def load_history(spark: SparkSession, location: str) -> DataFrame:
     """Write history, newest first."""
-    return (spark.read.schema(HISTORY_SCHEMA).parquet(history_path(location))
-                 .orderBy(F.desc("committed_at"), F.desc("snapshot_id")))
+    return (notes.read(spark, history_path(location), HISTORY_SCHEMA)
+            .orderBy(F.desc("committed_at"), F.desc("snapshot_id")))
 
 
 def ensure_table(spark: SparkSession, name: str, location: str, ddl_columns: str,
@@ -98,6 +102,61 @@ def ensure_table(spark: SparkSession, name: str, location: str, ddl_columns: str
 DAYS_PER_WRITE = 31
 LANDED = "landed_date"
 
+# -- what landed where -------------------------------------------------------
+
+LOADS_SCHEMA = "load string, first date, last date, done boolean"
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+
+
+def loads_path(location: str) -> str:
+    return location.rstrip("/") + "_loads"
+
+
+def note_load(spark: SparkSession, location: str, load: str, span: DaySpan, done: bool) -> None:
+    notes.append(spark, loads_path(location), spark.range(1).select(
+        F.lit(load).alias("load"), F.lit(span.first).alias("first"),
+        F.lit(span.last).alias("last"), F.lit(done).alias("done")))
+
+
+def folder(location: str, partition_column: str, day: str | None, landed: str) -> str:
+    return f"{location.rstrip('/')}/{partition_column}={day or NO_DAY}/{LANDED}={landed}"
+
+
+def filled_folders(spark: SparkSession, location: str, partition_column: str,
+                   span: DaySpan) -> set[tuple[str | None, str]]:
+    """(day, landing day) of the folders that hold rows which landed on the
+    days of ``span``, by the write history. A load that began in those days
+    but never finished may have filled any folder: only then are the folders
+    themselves listed, over all days of the table."""
+    began = (notes.read(spark, loads_path(location), LOADS_SCHEMA, distinct=False)
+             .where((F.col("first") <= F.lit(span.last)) & (F.col("last") >= F.lit(span.first)))
+             .select("load", "done").collect())  # loads of these days
+    if {r["load"] for r in began} - {r["load"] for r in began if r["done"]}:
+        return listed_folders(spark, location, partition_column, span)
+    summary = F.col("summary")
+    folders = F.from_json(summary["folders"], "array<array<string>>")
+    emptied = F.from_json(summary["emptied-folders"], "array<array<string>>")
+    told = (notes.read(spark, history_path(location), HISTORY_SCHEMA, distinct=False)
+            .select("committed_at", F.explode(F.concat(
+                F.transform(folders, lambda f: F.struct(F.lit(True).alias("filled"),
+                                                        f.alias("folder"))),
+                F.transform(F.coalesce(emptied, F.array()), lambda f: F.struct(
+                    F.lit(False).alias("filled"), f.alias("folder"))))).alias("f"))
+            .select("committed_at", "f.filled", F.col("f.folder")[0].alias("day"),
+                    F.col("f.folder")[1].alias("landed"))
+            .where(F.col("landed").between(span.first.isoformat(), span.last.isoformat())))
+    last = {(r["day"], r["landed"]): r["filled"]
+            for r in sorted(told.collect(), key=lambda r: r["committed_at"])}
+    return {key for key, filled in last.items() if filled}
+
+
+def listed_folders(spark: SparkSession, location: str, partition_column: str,
+                   span: DaySpan) -> set[tuple[str | None, str]]:
+    pattern = span.folders(f"{location.rstrip('/')}/{partition_column}=*", LANDED)
+    values = {tuple(part.split("=")[1] for part in f.rstrip("/").split("/")[-2:])
+              for f in notes.matching(spark, pattern)}
+    return {(None if day == NO_DAY else day, landed) for day, landed in values}
+
 
 def overwrite_days(spark: SparkSession, df: DataFrame, location: str, partition_column: str,
                    start: dt.date, end: dt.date, operation: str = "overwrite",
@@ -111,7 +170,9 @@ def overwrite_days(spark: SparkSession, df: DataFrame, location: str, partition_
     earlier day so gets a folder of its own beside that day's rows, and a
     rerun of its landing day replaces that folder and no other. Rows without
     a day (unreadable lines) are stored as well, under the null day. Nothing
-    is dropped and nothing is deduplicated.
+    is dropped and nothing is deduplicated. A folder that an earlier load
+    filled from one of these landing days and this one does not is removed:
+    a repaired upload takes its broken lines and stragglers with it.
 
     ``landing_column`` names the day folder a row came from; without it a row
     counts as landed on its own day, or on the nearest day of the range.
@@ -123,9 +184,12 @@ def overwrite_days(spark: SparkSession, df: DataFrame, location: str, partition_
     landed = F.col(landing_column) if landing_column else F.coalesce(
         F.least(F.greatest(part, F.lit(start)), F.lit(end)), F.lit(start))
     rows = df.withColumn(LANDED, landed).drop(*drop_columns_of(df, landing_column))
+    before = filled_folders(spark, location, partition_column, span)
+    load = uuid.uuid4().hex
+    note_load(spark, location, load, span, False)
     total = {"source-records": 0, "straggler-records": 0, "undated-records": 0}
     per_day: dict[str, int] = {}
-    folders: set[tuple[str, str]] = set()
+    folders: set[tuple[str | None, str]] = set()
     extra: dict[str, object] = {}
     for days in span.chunks(days_per_write):
         metrics = [F.count(F.lit(1)).alias("source-records"),
@@ -158,13 +222,17 @@ def overwrite_days(spark: SparkSession, df: DataFrame, location: str, partition_
         for name in total:
             total[name] += int(m[name])
         per_day |= {k: int(v) for k, v in m["per_day"].items()}
-        folders |= {(f["day"], f["landed"]) for f in m["folders"] if f["day"]}
+        folders |= {(f["day"], f["landed"]) for f in m["folders"]}
         for name in extra_metrics or {}:
             extra[name] = extra.get(name, 0) + m[name]
+    emptied = before - folders
+    notes.remove(spark, [folder(location, partition_column, *f) for f in emptied])
     summary = {"requested-range": f"{start.isoformat()}..{end.isoformat()}", **total,
                "added-records": total["source-records"], "per-day": per_day,
-               "folders": sorted(map(list, folders)), **extra}
+               "folders": sorted(map(list, folders), key=str),
+               "emptied-folders": sorted(map(list, emptied), key=str), **extra}
     record_commit(spark, location, operation, summary)
+    note_load(spark, location, load, span, True)
     return summary
 
 
@@ -180,85 +248,209 @@ WIDER = {
     "float": ("double",),
     "date": ("timestamp_ntz", "timestamp"),
 }
-
-
-def common_type(a: str, b: str, column: str) -> str:
-    """The one of two types that holds the values of both, or a refusal."""
-    if a == b or b in WIDER.get(a, ()):
+# Digits of the whole-number types, and the most a decimal has.
+WHOLE_DIGITS = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}
+MOST_DIGITS = 38
+
+
+def as_decimal(t: DataType) -> tuple[int, int] | None:
+    """(digits before, after the point) that hold a number type's values."""
+    if isinstance(t, DecimalType):
+        return t.precision - t.scale, t.scale
+    digits = WHOLE_DIGITS.get(t.simpleString())
+    return None if digits is None else (digits, 0)
+
+
+def common_type(a: DataType, b: DataType, column: str) -> DataType:
+    """The type that holds the values of both, or a refusal. Structs are
+    matched field by field and take the fields of ``b``, arrays and maps by
+    their elements, decimals get the digits of both."""
+    if isinstance(a, StructType) and isinstance(b, StructType):
+        held = {f.name.lower(): f for f in a.fields}
+        return StructType([StructField(f.name, f.dataType if f.name.lower() not in held else
+                                       common_type(held[f.name.lower()].dataType, f.dataType,
+                                                   f"{column}.{f.name}")) for f in b.fields])
+    if isinstance(a, ArrayType) and isinstance(b, ArrayType):
+        return ArrayType(common_type(a.elementType, b.elementType, f"{column}[]"))
+    if isinstance(a, MapType) and isinstance(b, MapType):
+        return MapType(common_type(a.keyType, b.keyType, f"{column} key"),
+                       common_type(a.valueType, b.valueType, f"{column} value"))
+    x, y = a.simpleString(), b.simpleString()
+    if x == y or y in WIDER.get(x, ()):
         return b
-    if a in WIDER.get(b, ()):
+    if x in WIDER.get(y, ()):
         return a
-    raise ValueError(f"column {column!r}: {a} and {b} cannot be merged without loss")
+    whole, other = as_decimal(a), as_decimal(b)
+    if whole and other:
+        before, after = max(whole[0], other[0]), max(whole[1], other[1])
+        if before + after <= MOST_DIGITS:
+            return DecimalType(before + after, after)
+    raise ValueError(f"column {column!r}: {x} and {y} cannot be merged without loss")
+
+
+def conformed(value: Column, held: DataType, wanted: DataType) -> Column:
+    """A value of type ``held`` as one of type ``wanted``: fields by name
+    without regard to case, new ones NULL, others dropped; a null stays null."""
+    if isinstance(wanted, StructType) and isinstance(held, StructType):
+        fields = {f.name.lower(): f for f in held.fields}
+        parts = [(F.lit(None).cast(f.dataType) if f.name.lower() not in fields else
+                  conformed(value[fields[f.name.lower()].name], fields[f.name.lower()].dataType,
+                            f.dataType)).alias(f.name) for f in wanted.fields]
+        return F.when(value.isNotNull(), F.struct(*parts))
+    if isinstance(wanted, ArrayType) and isinstance(held, ArrayType):
+        return F.transform(value, lambda v: conformed(v, held.elementType, wanted.elementType))
+    if isinstance(wanted, MapType) and isinstance(held, MapType):
+        keys = F.transform_keys(value, lambda k, _: conformed(k, held.keyType, wanted.keyType))
+        return F.transform_values(keys, lambda _, v: conformed(v, held.valueType,
+                                                               wanted.valueType))
+    return value.cast(wanted)
 
 
 def sync_columns(current: DataFrame, batch: DataFrame) -> tuple[DataFrame, DataFrame, bool]:
     """Align a table and a batch: (table, batch, whether the table's schema
-    changes). Columns are matched without regard to case and take the batch's
-    names; new ones are NULL in the table, removed ones are dropped, and a
-    column whose types differ takes the wider one (narrowing is refused)."""
+    changes). Columns, and the fields inside them, are matched without regard
+    to case and take the batch's names; new ones are NULL in the table,
+    removed ones are dropped, and where types differ the wider one is taken
+    (narrowing is refused)."""
     held = {f.name.lower(): f for f in current.schema.fields}
     kept, given, changed = [], [], len(current.columns) != len(batch.columns)
     for f in batch.schema.fields:
         old = held.get(f.name.lower())
-        kind = f.dataType.simpleString() if old is None else common_type(
-            old.dataType.simpleString(), f.dataType.simpleString(), f.name)
-        changed |= old is None or old.name != f.name or old.dataType.simpleString() != kind
-        kept.append((F.lit(None) if old is None else F.col(old.name)).cast(kind).alias(f.name))
-        given.append(F.col(f.name).cast(kind).alias(f.name))
+        kind = f.dataType if old is None else common_type(old.dataType, f.dataType, f.name)
+        changed |= old is None or old.name != f.name or old.dataType.simpleString() != kind.simpleString()
+        kept.append((F.lit(None).cast(kind) if old is None else
+                     conformed(F.col(old.name), old.dataType, kind)).alias(f.name))
+        given.append(conformed(F.col(f.name), f.dataType, kind).alias(f.name))
     return current.select(*kept), batch.select(*given), changed
 
 
 # -- swaps that survive a failure ----------------------------------------------
 
-INTENT_SCHEMA = "swap string, stage string, mode string, partition_column string, done boolean"
+INTENT_SCHEMA = ("swap string, stage string, mode string, partition_columns string, "
+                 "order string, lookup string, row_group_bytes long, done boolean")
+
+
+@dataclass(frozen=True)
+class Swap:
+    """A staged copy that replaces a table or its touched partitions. Lists of
+    columns are comma-separated; ``order`` sorts the rows of each file,
+    ``lookup`` columns get Bloom filters."""
+
+    swap: str
+    stage: str
+    mode: str
+    partition_columns: str
+    order: str = ""
+    lookup: str = ""
+    row_group_bytes: int = 128 << 20
+
+    def note(self, spark: SparkSession, location: str, done: bool) -> None:
+        notes.append(spark, intent_path(location), spark.createDataFrame(
+            [(*astuple(self), done)], INTENT_SCHEMA))
+
+    def copy_in(self, spark: SparkSession, location: str) -> None:
+        partitions = self.partition_columns.split(",")
+        rows = spark.read.parquet(self.stage)
+        if self.order:
+            rows = rows.sortWithinPartitions(*partitions, *self.order.split(","))
+        writer = (rows.write.mode("overwrite").option("partitionOverwriteMode", self.mode)
+                  .option("compression", "zstd")
+                  .option("parquet.block.size", str(self.row_group_bytes))
+                  # Filters are sized by what a row group holds.
+                  .option("parquet.bloom.filter.adaptive.enabled", "true"))
+        for column in filter(None, self.lookup.split(",")):
+            writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+        writer.partitionBy(*partitions).parquet(location)
 
 
 def intent_path(location: str) -> str:
     return location.rstrip("/") + "_intent"
 
 
-def _note(spark: SparkSession, location: str, swap: str, stage: str, mode: str,
-          partition_column: str, done: bool) -> None:
-    (spark.range(1).select(F.lit(swap).alias("swap"), F.lit(stage).alias("stage"),
-                           F.lit(mode).alias("mode"),
-                           F.lit(partition_column).alias("partition_column"),
-                           F.lit(done).alias("done"))
-          .write.mode("append").parquet(intent_path(location)))
-
-
-def _copy_in(spark: SparkSession, location: str, stage: str, mode: str,
-             partition_column: str) -> None:
-    (spark.read.parquet(stage).write.mode("overwrite")
-          .option("partitionOverwriteMode", mode).option("compression", "zstd")
-          .partitionBy(partition_column).parquet(location))
-
-
-def swap_in(spark: SparkSession, location: str, stage: str, mode: str,
-            partition_column: str) -> None:
+def swap_in(spark: SparkSession, location: str, stage: str, mode: str, partition_columns: str,
+            **how) -> None:
     """Replace the table (or its touched partitions) by a staged copy. The
     intent is written first: a failure in between leaves the whole new content
     in the stage, and :func:`recover` completes the swap on the next run."""
-    swap = uuid.uuid4().hex
-    _note(spark, location, swap, stage, mode, partition_column, False)
-    _copy_in(spark, location, stage, mode, partition_column)
-    _note(spark, location, swap, stage, mode, partition_column, True)
+    swap = Swap(uuid.uuid4().hex, stage, mode, partition_columns, **how)
+    swap.note(spark, location, False)
+    swap.copy_in(spark, location)
+    swap.note(spark, location, True)
+    notes.remove(spark, [stage])
+
+
+def begun_swaps(spark: SparkSession, location: str) -> list[Swap]:
+    noted = notes.read(spark, intent_path(location), INTENT_SCHEMA, distinct=False)
+    fields = [f.name for f in dataclass_fields(Swap)]
+    begun = noted.groupBy(*fields).agg(F.bool_or("done").alias("done")).where("not done")
+    return [Swap(*r[:len(fields)]) for r in begun.collect()]  # a failed run each
 
 
 def recover(spark: SparkSession, location: str) -> int:
-    """Complete the swaps that were begun but not finished; their number."""
-    if not table_exists(spark, intent_path(location)):
-        return 0
-    noted = spark.read.schema(INTENT_SCHEMA).parquet(intent_path(location))
-    begun = (noted.groupBy("swap", "stage", "mode", "partition_column")
-             .agg(F.bool_or("done").alias("done")).where("not done").collect())  # a failure each
-    for r in begun:
-        _copy_in(spark, location, r["stage"], r["mode"], r["partition_column"])
-        _note(spark, location, r["swap"], r["stage"], r["mode"], r["partition_column"], True)
+    """Complete the swaps that were begun but not finished; their number. If
+    the stage of one is gone (scratch was cleared), some of its partitions may
+    be old: that is an error until :func:`abandon_swaps` is called and the
+    days are built again."""
+    begun = begun_swaps(spark, location)
+    for swap in begun:
+        if not table_exists(spark, swap.stage):
+            raise RuntimeError(
+                f"a write to {location} was cut off and its staged copy {swap.stage} is gone: "
+                "call sinks.abandon_swaps on the table, then build the days concerned again "
+                "(marts.backfill_mart, or run_mart with full_refresh=True)")
+        swap.copy_in(spark, location)
+        swap.note(spark, location, True)
+        notes.remove(spark, [swap.stage])
     return len(begun)
 
 
+def abandon_swaps(spark: SparkSession, location: str) -> int:
+    """Give up the unfinished swaps whose staged copy is gone; their number."""
+    lost = [s for s in begun_swaps(spark, location) if not table_exists(spark, s.stage)]
+    for swap in lost:
+        swap.note(spark, location, True)
+    return len(lost)
+
+
+class ChecksFailed(ValueError):
+    """A batch broke declared rules, so it was not published."""
+
+    def __init__(self, location: str, failures: dict[str, int]):
+        told = ", ".join(f"{name}: {n} row(s)" for name, n in failures.items())
+        super().__init__(f"{location} was left as it was; the batch breaks {told}")
+        self.failures = failures
+
+
+def staged_batch(spark: SparkSession, batch: DataFrame, path: str, location: str,
+                 partition_column: str, checks: Sequence[Rule]) -> tuple[DataFrame, list, int]:
+    """Write a batch to ``path`` and read it back: (batch, its days, its rows).
+    Size, days and the failures of the ``checks`` come out of that write; a
+    ``unique`` rule is counted on the staged copy. A batch that fails is
+    removed and refused."""
+    rules = counters(checks)
+    obs = Observation(f"stage_{uuid.uuid4().hex[:8]}")
+    (batch.hint("rebalance", partition_column)
+          .observe(obs, F.count(F.lit(1)).alias("rows"),
+                   F.collect_set(F.col(partition_column)).alias("days"),  # a batch's partitions
+                   *[expr.alias(name) for name, expr in rules.items()])
+          .write.mode("overwrite").parquet(path))
+    staged = spark.read.schema(batch.schema).parquet(path).select(*batch.columns)
+    told = obs.get
+    failures = {name: int(told[name]) for name in rules if told[name]}
+    for r in checks:
+        if r.rule == "unique":
+            n = (staged.where(F.col(r.column).isNotNull()).groupBy(r.column).count()
+                 .where("count > 1").count())
+            failures |= {f"unique({r.column})": n} if n else {}
+    if failures:
+        notes.remove(spark, [path])
+        raise ChecksFailed(location, failures)
+    return staged, list(told["days"]), int(told["rows"])
+
+
 def delete_insert(spark: SparkSession, location: str, batch: DataFrame, keys: Sequence[str],
-                  partition_column: str, operation: str = "delete+insert") -> dict:
+                  partition_column: str, operation: str = "delete+insert",
+                  checks: Sequence[Rule] = ()) -> dict:
     """Keyed incremental merge: delete target rows whose key is in the batch,
     insert the batch.
 
@@ -266,19 +458,14 @@ def delete_insert(spark: SparkSession, location: str, batch: DataFrame, keys: Se
     (a key that vanished in a rerun keeps its old row). Only the partitions
     the batch touches are rewritten, unless the batch brings other columns or
     wider types, in which case every partition is rewritten with the synced
-    schema. A swap that an earlier run left unfinished is completed first.
+    schema. A swap that an earlier run left unfinished is completed first. A
+    batch that breaks a rule of ``checks`` is refused before the table is
+    touched (:class:`ChecksFailed`).
     """
     recover(spark, location)
     stage = scratch_path(spark, "merge")
-    obs = Observation(f"merge_{uuid.uuid4().hex[:8]}")
-    # The staging write also yields the batch size and its touched days (a
-    # handful of partition values): neither needs a job of its own.
-    (batch.observe(obs, F.count(F.lit(1)).alias("rows"),
-                   F.collect_set(F.col(partition_column)).alias("days"))
-          .write.mode("overwrite").parquet(f"{stage}/batch"))
-    b = spark.read.schema(batch.schema).parquet(f"{stage}/batch").select(*batch.columns)
-    days = list(obs.get["days"])
-    n_batch = int(obs.get["rows"])
+    b, days, n_batch = staged_batch(spark, batch, f"{stage}/batch", location, partition_column,
+                                    checks)
     aligned, b, changed = sync_columns(read_table(spark, location, order=batch.columns), b)
     scope = aligned if changed else aligned.filter(F.col(partition_column).isin(days))
     kept = scope.join(b.select(*keys).distinct(), list(keys), "left_anti").select(*b.columns)
@@ -287,6 +474,7 @@ def delete_insert(spark: SparkSession, location: str, batch: DataFrame, keys: Se
            .parquet(f"{stage}/merged"))
     swap_in(spark, location, f"{stage}/merged", "static" if changed else "dynamic",
             partition_column)
+    notes.remove(spark, [stage])
     summary = {"keys": list(keys), "batch-records": n_batch,
                "partitions": sorted(str(d) for d in days), "schema-changed": changed}
     record_commit(spark, location, operation, summary)
@@ -294,14 +482,22 @@ def delete_insert(spark: SparkSession, location: str, batch: DataFrame, keys: Se
 
 
 def write_full(spark: SparkSession, location: str, df: DataFrame, partition_column: str,
-               operation: str = "overwrite") -> dict:
-    """Replace the whole table (first build or full refresh)."""
-    obs = Observation(f"full_{uuid.uuid4().hex[:8]}")
-    (df.hint("rebalance", partition_column)
-       .observe(obs, F.count(F.lit(1)).alias("rows"))
-       .write.mode("overwrite").option("partitionOverwriteMode", "static")
-       .option("compression", "zstd").partitionBy(partition_column).parquet(location))
-    summary = {"added-records": int(obs.get["rows"])}
+               operation: str = "overwrite", checks: Sequence[Rule] = ()) -> dict:
+    """Replace the whole table (first build or full refresh). With ``checks``
+    the rows are staged first and refused there if they break a rule."""
+    if checks:
+        stage = scratch_path(spark, "full")
+        _, _, rows = staged_batch(spark, df, f"{stage}/batch", location, partition_column, checks)
+        swap_in(spark, location, f"{stage}/batch", "static", partition_column)
+        notes.remove(spark, [stage])
+    else:
+        obs = Observation(f"full_{uuid.uuid4().hex[:8]}")
+        (df.hint("rebalance", partition_column)
+           .observe(obs, F.count(F.lit(1)).alias("rows"))
+           .write.mode("overwrite").option("partitionOverwriteMode", "static")
+           .option("compression", "zstd").partitionBy(partition_column).parquet(location))
+        rows = int(obs.get["rows"])
+    summary = {"added-records": rows}
     record_commit(spark, location, operation, summary)
     return summary
 
