@@ -8,12 +8,13 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
-from typing import Callable
+from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater import schemas
+from tidewater.operators import distinct_sets
 
 DEFAULT_LOOKBACK_DAYS = 3
 UNKNOWN_LANGUAGE = "unknown"
@@ -61,7 +62,8 @@ def language_activity(enriched: DataFrame, as_of: dt.date, incremental: bool = F
 
     The filter rejects NULL metadata, so Catalyst turns the enrichment's left
     join into an inner join and pushes the language predicate into the
-    (broadcast) metadata side.
+    (broadcast) metadata side. Events are first added up per actor and
+    repository, so the two distinct counts double those rows and not the events.
     """
     ev = enriched.select(
         "event_date",
@@ -69,8 +71,9 @@ def language_activity(enriched: DataFrame, as_of: dt.date, incremental: bool = F
         "contributor_type", "actor_login", "repo_name")
     ev = mart_window(ev, as_of, incremental, lookback_days)
     ev = ev.filter(F.col("language") != UNKNOWN_LANGUAGE)
-    return (ev.groupBy("event_date", "language", "contributor_type")
-              .agg(F.count(F.lit(1)).alias("event_count"),
+    pairs = ev.groupBy(*ev.columns).agg(F.count(F.lit(1)).alias("n"))
+    return (pairs.groupBy("event_date", "language", "contributor_type")
+              .agg(F.sum("n").alias("event_count"),
                    F.countDistinct("actor_login").alias("unique_contributors"),
                    F.countDistinct("repo_name").alias("unique_repos"))
               .select("event_date", "language", "contributor_type", "event_count",
@@ -78,6 +81,31 @@ def language_activity(enriched: DataFrame, as_of: dt.date, incremental: bool = F
                       _batched_at_col(batched_at).alias("_sdc_batched_at")))
 
 
+def language_sets(enriched: DataFrame, actors: DataFrame,
+                  repos: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """What a language mart needs to be merged exactly, from any part of a
+    day's events: event counts per day, language and contributor type, and for
+    each distinct count the sets of numbered values (``actors`` and ``repos``
+    are tables of numbers). See :func:`language_from_sets`."""
+    keys = schemas.LANGUAGE_KEYS
+    ev = enriched.select(*keys, "actor_login", "repo_name").where(
+        F.col("language") != UNKNOWN_LANGUAGE)
+    ev = distinct_sets.numbered(ev, "actor_login", actors, "actor")
+    ev = distinct_sets.numbered(ev, "repo_name", repos, "repo")
+    return (ev.groupBy(*keys).agg(F.count(F.lit(1)).alias("event_count")),
+            {"unique_contributors": distinct_sets.distinct_sets(ev, keys, "actor"),
+             "unique_repos": distinct_sets.distinct_sets(ev, keys, "repo")})
+
+
+def language_from_sets(counts: DataFrame, sets: dict, keys: Sequence[str],
+                       batched_at: dt.datetime | None = None) -> DataFrame:
+    """The language mart, or its roll-up to fewer ``keys``: counts are added,
+    sets are joined, so distinct counts are true at every level."""
+    groups = counts.groupBy(*keys).agg(F.sum("event_count").alias("event_count"))
+    return (distinct_sets.with_counts(groups, keys, sets)
+            .withColumn("_sdc_batched_at", _batched_at_col(batched_at)))
+
+
 @dataclass(frozen=True)
 class MartSpec:
     """A keyed incremental mart: its batch builder and its unique key."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater import schemas
@@ -29,6 +29,31 @@ def stg_events(raw: DataFrame) -> DataFrame:
                ))
 
 
+def stg_from_variant(raw: DataFrame) -> DataFrame:
+    """The same columns by typed paths into a VARIANT column; a path that is
+    absent, null or of another type gives NULL."""
+    def at(path: str) -> Column:
+        return F.try_variant_get("raw_event", path, "string")
+    return raw.select(
+        "event_date", "event_hour", at("$.id").alias("event_id"), at("$.type").alias("event_type"),
+        at("$.actor.login").alias("actor_login"), at("$.actor.type").alias("actor_type"),
+        at("$.repo.name").alias("repo_name"),
+        parse_utc_timestamp(at("$.created_at")).alias("created_at"), "broken_line")
+
+
+def stg_from_lake(events: DataFrame) -> DataFrame:
+    """Staged events from the lake events table. The lake's actor struct has no
+    type, so ``actor_type`` is NULL and bots are known by their logins."""
+    return events.select(
+        F.col(schemas.LAKE_PARTITION_COLUMN).alias("event_date"),
+        F.hour("created_at").alias("event_hour"),
+        F.col("id").alias("event_id"), F.col("type").alias("event_type"),
+        F.col("actor.login").alias("actor_login"),
+        F.lit(None).cast("string").alias("actor_type"),
+        F.col("repo.name").alias("repo_name"),
+        F.col("created_at").cast("timestamp_ntz").alias("created_at"))
+
+
 def stg_repo_metadata_typed(raw_repos: DataFrame, keep_value: bool = False) -> DataFrame:
     """Typed extraction of every snapshot record (string, int, boolean,
     timestamp, array). ``keep_value`` carries the record text along for the

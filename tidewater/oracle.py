@@ -112,17 +112,17 @@ FROM classified c LEFT JOIN repo_latest m ON c.repo_name = m.repo_full_name""",
      "classified", "repo_latest")
 
 
-def trends_sql(where: str, batched_at: str) -> str:
+def trends_sql(where: str, batched_at: str, source: str = "classified") -> str:
     """Rows per actor first: their sum is the events, their number the actors."""
     return f"""
 SELECT event_date, contributor_type, CAST(SUM(pushes) AS BIGINT) AS event_count,
        COUNT(actor_login) AS unique_contributors, TIMESTAMP '{batched_at}' AS _sdc_batched_at
 FROM (SELECT event_date, contributor_type, actor_login, COUNT(*) AS pushes
-      FROM classified WHERE {where} GROUP BY ALL) per_actor
+      FROM {source} WHERE {where} GROUP BY ALL) per_actor
 GROUP BY event_date, contributor_type"""
 
 
-def lang_sql(where: str, batched_at: str) -> str:
+def lang_sql(where: str, batched_at: str, source: str = "enriched") -> str:
     """Rows per actor and repository first, then the sizes of both sets."""
     return f"""
 SELECT event_date, language, contributor_type, CAST(SUM(pushes) AS BIGINT) AS event_count,
@@ -130,7 +130,7 @@ SELECT event_date, language, contributor_type, CAST(SUM(pushes) AS BIGINT) AS ev
        len(list_distinct(list(repo_name))) AS unique_repos,
        TIMESTAMP '{batched_at}' AS _sdc_batched_at
 FROM (SELECT event_date, language, contributor_type, actor_login, repo_name, COUNT(*) AS pushes
-      FROM enriched WHERE language <> 'unknown' AND {where} GROUP BY ALL) per_pair
+      FROM {source} WHERE language <> 'unknown' AND {where} GROUP BY ALL) per_pair
 GROUP BY event_date, language, contributor_type"""
 
 
@@ -260,13 +260,20 @@ def _file_key(day: str, hour: str) -> str:
 
 
 register("path_partitions", """
-SELECT file_path,
-       CAST(split_part(split_part(file_path, 'event_date=', 2), '/', 1) AS DATE) AS event_date,
-       CAST(split_part(split_part(file_path, 'event_hour=', 2), '/', 1) AS INTEGER) AS event_hour,
-       n_events
-FROM (SELECT """ + _file_key("event_date", "event_hour") + """ AS file_path,
-             COUNT(*) AS n_events
-      FROM raw_ev GROUP BY 1) f""", "raw_ev")
+SELECT CASE WHEN up THEN 'uploads/batch_1' ELSE 'event_date=' || strftime(event_date, '%Y-%m-%d')
+            || '/event_hour=' || CAST(event_hour AS VARCHAR) END AS folder,
+       CASE WHEN up THEN NULL ELSE event_date END AS event_date,
+       CASE WHEN up THEN NULL ELSE event_hour END AS event_hour,
+       COUNT(*) AS n_events, TRUE AS has_time
+FROM (SELECT event_date, event_hour,
+             CAST(json_extract_string(raw_event, '$.id') AS BIGINT) % 97 = 0 AS up FROM raw_ev) f
+GROUP BY 1, 2, 3""", "raw_ev")
+register("raw_event_variant", """
+SELECT *, CAST(NULL AS VARCHAR) AS broken_line FROM stg
+UNION ALL
+SELECT event_date, event_hour, NULL, NULL, NULL, NULL, NULL, NULL, left(raw_event, 25)
+FROM raw_ev WHERE CAST(json_extract_string(raw_event, '$.id') AS BIGINT) % 50 = 0""",
+         "stg", "raw_ev")
 register("repo_snapshot_scan", """
 SELECT enriched_date, repo_full_name AS full_name, language, topics, stargazers_count,
        forks_count, is_fork, repo_created_at AS created_at, description
@@ -318,6 +325,17 @@ SELECT COUNT(*) AS total_events,
        COUNT(*) FILTER (WHERE language IS NULL) AS null_language_events
 FROM enriched""", "enriched")
 register("language_activity", "SELECT * FROM lang", "lang")
+register("language_activity_sets", "SELECT * FROM lang", "lang")
+register("distinct_over_range", """
+SELECT language, COUNT(*) AS event_count,
+       COUNT(DISTINCT actor_login) AS unique_contributors,
+       COUNT(DISTINCT repo_name) AS unique_repos,
+       (SELECT CAST(SUM(unique_repos) AS BIGINT) FROM lang l WHERE l.language = e.language
+        AND l.event_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-11') AS summed_repos
+FROM enriched e
+WHERE language <> 'unknown' AND event_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-11'
+GROUP BY language""", "enriched", "lang")
+register("stream_notified_files", "SELECT * FROM stg", "stg")
 register("scheduled_build_trends", "SELECT * FROM trends", "trends")
 register("scheduled_build_language", "SELECT * FROM lang", "lang")
 register("trends_lookback_batch",
@@ -403,6 +421,19 @@ register("top_event_types", """
 SELECT type, COUNT(*) AS event_count FROM lake WHERE """ + SERVE_RANGE + """
 GROUP BY type ORDER BY event_count DESC, type ASC LIMIT 10""", "lake")
 register("row_count", "SELECT COUNT(*) AS row_count FROM lake", "lake")
+register("clustered_time_lookup", """
+SELECT id, repo_name, created_at FROM lake
+WHERE created_at >= TIMESTAMP '2024-01-09 14:00:00'
+  AND created_at < TIMESTAMP '2024-01-09 17:00:00'""", "lake")
+register("clustered_point_lookup", """
+SELECT id, type, CAST(created_at AS DATE) AS created_date FROM lake
+WHERE repo_name = 'org/repo42'""", "lake")
+register("sql_functions", """
+SELECT event_date, """ + _file_key("h", "hour(h)") + """ AS file_before, COUNT(*) AS pushes,
+       COUNT(*) FILTER (WHERE is_bot) AS bot_pushes,
+       round(COUNT(*) FILTER (WHERE is_bot) / COUNT(*) * 100, 1) AS pct_bot
+FROM (SELECT *, date_trunc('hour', created_at - INTERVAL 1 HOUR) AS h FROM classified) c
+GROUP BY 1, 2""", "classified")
 register("load_events_overwrite", """
 SELECT id, type, actor_login, repo_name, payload, public, created_at, org_id,
        CAST(created_at AS DATE) AS created_date
@@ -449,6 +480,27 @@ register("trends_after_outage",
 register("model_views", """
 SELECT contributor_type, language, COUNT(*) AS event_count
 FROM enriched GROUP BY contributor_type, language""", "enriched")
+# The lake's actor struct has no type: bots are known by their logins only.
+_cte("lake_classified", """
+SELECT event_date, event_hour, actor_login, repo_name,
+       CASE WHEN {BOT} THEN 'bot' ELSE 'human' END AS contributor_type
+FROM (SELECT * REPLACE (NULL AS actor_type) FROM stg) s WHERE event_type = 'PushEvent'""", "stg")
+_cte("lake_enriched", """
+SELECT c.*, m.language FROM lake_classified c
+LEFT JOIN repo_latest m ON c.repo_name = m.repo_full_name""", "lake_classified", "repo_latest")
+for key, sql, source in (("marts_after_late_commit", trends_sql, "lake_classified"),
+                         ("language_after_late_commit", lang_sql, "lake_enriched")):
+    register(key, sql("event_date <= DATE '2024-01-20' AND event_date <> DATE '2024-01-10'",
+                      "2024-01-21 06:00:00", source) + " UNION ALL "
+             + sql("event_date = DATE '2024-01-10'", "2024-01-21 18:00:00", source), source)
+register("mart_backfill_range",
+         merge_sql(trends_sql(f"event_hour < 22 AND event_date < {AS_OF}", AT_0127),
+                   trends_sql("event_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-11'",
+                              BATCHED_AT), TKEYS), "classified")
+register("load_repaired_rerun", """
+SELECT CAST(created_at AS DATE) AS created_date, CAST(created_at AS DATE) AS landed_date,
+       COUNT(*) AS event_count
+FROM lake GROUP BY 1""", "lake")
 register("load_job_from_files", """
 SELECT CAST(created_at AS DATE) AS event_date, COUNT(*) AS source_count,
        COUNT(*) AS target_count, CAST(0 AS BIGINT) AS delta
@@ -504,6 +556,29 @@ BROKEN = """(SELECT * REPLACE (
        WHEN CAST(event_id AS BIGINT) % 7 = 0 THEN 'Forged' ELSE event_type END AS event_type,
   CASE WHEN CAST(event_id AS BIGINT) % 13 = 0 THEN 'alien' ELSE contributor_type END
     AS contributor_type) FROM classified) b"""
+def _violations_sql(model: str, source: str) -> str:
+    rows = [(c, "not_null", f"{c} IS NULL") for c in REQUIRED[model]]
+    rows += [(c, "accepted_values", f"{c} NOT IN {values}") for c, values in ALLOWED.get(model, [])]
+    rows += [(c, "unique", f"{c} IN (SELECT {c} FROM {source} GROUP BY {c} HAVING COUNT(*) > 1)")
+             for c in UNIQUE.get(model, [])]
+    return "\nUNION ALL\n".join(
+        f"SELECT '{model}' AS model, '{c}' AS column_name, '{rule}' AS rule, * "
+        f"FROM {source} WHERE {broken}" for c, rule, broken in rows)
+
+
+register("dq_violations_events", _violations_sql("events_classified", BROKEN), "classified")
+_cte("snapshots", "SELECT * EXCLUDE (value) FROM repo_typed", "repo_typed")
+register("dq_violations_repos", _violations_sql("stg_repo_metadata", "snapshots"), "snapshots")
+register("mart_refused_publish",
+         trends_sql("event_date < DATE '2024-01-20'", BATCHED_AT), "classified")
+register("schema_sync_nested", """
+SELECT event_id, CAST(ts AS DATE) AS event_date,
+       CASE WHEN late THEN CAST(CAST(value AS DECIMAL(12,4)) AS DOUBLE)
+            ELSE CAST(CAST(value AS DECIMAL(9,2)) AS DOUBLE) END AS amount,
+       CASE WHEN late THEN user_id END AS user_id, user_id AS actor_id,
+       CASE WHEN late THEN event_type END AS kind, event_type AS tag,
+       CASE WHEN late THEN 1 END AS weight, 'user_id,id,kind' AS actor_fields
+FROM (SELECT *, CAST(ts AS DATE) = DATE '2024-01-10' AS late FROM events) e""")
 register("dq_broken_events", _dq_sql("events_classified", BROKEN), "classified")
 register("dq_repeated_repos", _dq_sql("stg_repo_metadata", "repo_typed"), "repo_typed")
 register("dq_stg_events", _dq_sql("stg_events", "stg"), "stg")

@@ -16,13 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions import landing_key, previous_full_hour, repo_name_parts
-from tidewater.functions.columns import partition_from_path
-from tidewater.operators import intermediate, lake, marts, quality, serving, staging
+from tidewater.functions.sql import register_sql_functions
+from tidewater.operators import (distinct_sets, intermediate, lake, marts, quality, serving,
+                                 staging)
 from tidewater.plans import lake_load, sinks
-from tidewater.plans.marts import read_mart, run_mart
+from tidewater.plans.marts import backfill_mart, read_mart, run_mart, run_mart_from_commits
 from tidewater.session import ensure_conventions, scratch_path
 from tidewater.sources import files, fixtures
-from tidewater.streaming import file_ingest
+from tidewater.streaming import file_ingest, notified
 
 AS_OF = dt.date(2024, 1, 30)
 BATCHED_AT = dt.datetime(2024, 1, 30, 6, 0, 0)
@@ -115,21 +116,26 @@ GUARD_START, GUARD_END = dt.date(2023, 12, 30), dt.date(2024, 2, 2)
 
 @query("raw_event_scan")
 def q_raw_event_scan(spark, sf_dir):
-    """OP-S1: one semi-structured value per line with its path partitions."""
-    return fixtures.raw_events(spark, sf_dir)
+    """OP-S1: one value per line of the landed files, with its path partitions."""
+    return files.read_raw_events(spark, fixtures.landed_event_files(spark, sf_dir))
+
+
+@query("raw_event_variant")
+def q_raw_event_variant(spark, sf_dir):
+    """OP-S1/P1: the landed lines as VARIANT, staged by typed paths; a line
+    that is no JSON is kept beside."""
+    raw = files.read_raw_variant(spark, fixtures.landed_files_with_broken_lines(spark, sf_dir))
+    return staging.stg_from_variant(raw)
 
 
 @query("path_partitions")
 def q_path_partitions(spark, sf_dir):
-    """OP-S2: date and hour parsed back out of each hourly file key."""
-    raw = fixtures.raw_events(spark, sf_dir)
-    hour_ts = F.make_timestamp_ntz(F.year("event_date"), F.month("event_date"),
-                                   F.dayofmonth("event_date"), F.col("event_hour"),
-                                   F.lit(0), F.lit(0))
-    per_file = (raw.groupBy(landing_key(hour_ts).alias("file_path"))
-                   .agg(F.count(F.lit(1)).alias("n_events")))
-    d, h = partition_from_path(F.col("file_path"))
-    return per_file.select("file_path", d.alias("event_date"), h.alias("event_hour"), "n_events")
+    """OP-S2: rows per landed file; date and hour parsed from the scan's file
+    path, none for a folder that isn't named by them."""
+    per_file = files.rows_per_file(files.read_with_file_metadata(
+        spark, fixtures.landed_mixed_files(spark, sf_dir)))
+    return per_file.select("folder", "event_date", "event_hour", "n_events",
+                           F.col("file_modified").isNotNull().alias("has_time"))
 
 
 @query("repo_snapshot_scan")
@@ -143,8 +149,9 @@ def q_repo_snapshot_scan(spark, sf_dir):
 
 @query("date_range_scan")
 def q_date_range_scan(spark, sf_dir):
-    """OP-S4: inclusive day-range scan (bound pushed to the scan)."""
-    return fixtures.raw_events(spark, sf_dir, RANGE_START, RANGE_END)
+    """OP-S4: inclusive day-range scan: only those day folders are listed."""
+    return files.read_raw_events(spark, fixtures.landed_event_files(spark, sf_dir),
+                                 RANGE_START, RANGE_END)
 
 
 @query("normalize_nested_events")
@@ -264,6 +271,48 @@ def q_language_activity(spark, sf_dir):
     return language_mart(spark, sf_dir)
 
 
+def _language_sets(spark, sf_dir):
+    """Counts and sets of the two halves of every day, as two partial loads
+    would store them."""
+    base = scratch_path(spark, "sets")
+    e = marts.mart_window(enriched(spark, sf_dir), AS_OF, incremental=False)
+    stored: dict[str, list[DataFrame]] = {}
+    for name, part in (("am", e.where(F.col("event_hour") < 12)),
+                       ("pm", e.where(F.col("event_hour") >= 12))):
+        actors, repos = (distinct_sets.number_values(spark, f"{base}/{c}", part.select(c))
+                         for c in ("actor_login", "repo_name"))
+        counts, sets = marts.language_sets(part, actors, repos)
+        for what, df in {"counts": counts, **sets}.items():
+            df.write.parquet(f"{base}/{name}/{what}")
+            stored.setdefault(what, []).append(spark.read.parquet(f"{base}/{name}/{what}"))
+    merged = {what: am.unionByName(pm) for what, (am, pm) in stored.items()}
+    return merged.pop("counts"), merged
+
+
+@query("language_activity_sets")
+def q_language_activity_sets(spark, sf_dir):
+    """OP-A2: the language mart merged from two parts of each day by bitmaps."""
+    counts, sets = _language_sets(spark, sf_dir)
+    return marts.language_from_sets(counts, sets, marts.LANGUAGE.keys,
+                                    batched_at=BATCHED_AT).select(*LANGUAGE_COLUMNS)
+
+
+@query("distinct_over_range")
+def q_distinct_over_range(spark, sf_dir):
+    """OP-A5: per language over a range of days the true distinct actors and
+    repositories, beside the documented sums of daily counts."""
+    counts, sets = _language_sets(spark, sf_dir)
+    in_range = F.col("event_date").between(RANGE_START, RANGE_END)
+    counts = counts.where(in_range)
+    sets = {name: s.where(in_range) for name, s in sets.items()}
+    daily = marts.language_from_sets(counts, sets, marts.LANGUAGE.keys, batched_at=BATCHED_AT)
+    summed = daily.groupBy(F.col("language").alias("_language")).agg(
+        F.sum("unique_repos").alias("summed_repos"))
+    true = marts.language_from_sets(counts, sets, ["language"], batched_at=BATCHED_AT)
+    return true.join(summed, true["language"] == summed["_language"]).select(
+        "language", "event_count", "unique_contributors", "unique_repos", "summed_repos")
+
+
 @query("trends_lookback_batch")
 def q_trends_lookback_batch(spark, sf_dir):
     """OP-F3: the batch an incremental run as of 2024-01-30 recomputes."""
@@ -335,6 +384,61 @@ def q_trends_after_outage(spark, sf_dir):
                      first_at=BATCHED_AT, second_at=BATCHED_AT)
 
 
+# The afternoon of one day lands eleven days late.
+LATE_DAY, LATE_HOUR, COMMITS_AS_OF = dt.date(2024, 1, 10), 12, dt.date(2024, 1, 21)
+COMMITS_FIRST_AT, COMMITS_SECOND_AT = (dt.datetime(2024, 1, 21, 6), dt.datetime(2024, 1, 21, 18))
+
+
+def _marts_by_commits(spark, sf_dir, spec, from_staged):
+    """Load all days but the late afternoon, build the mart from the commits;
+    land the late day whole, build again."""
+    base = scratch_path(spark, "by-commits")
+    table, mart = f"{base}/events", f"{base}/{spec.name}"
+    events = lake.normalize_events(fixtures.raw_events(spark, sf_dir), "raw_event",
+                                   keep=("event_date", "event_hour"))
+    late = (F.col("event_date") == F.lit(LATE_DAY)) & (F.col("event_hour") >= LATE_HOUR)
+    start, _ = data_days(spark, sf_dir)
+    runs = [(events.where(~late), start, COMMITS_AS_OF - dt.timedelta(days=1), COMMITS_FIRST_AT),
+            (events, LATE_DAY, LATE_DAY, COMMITS_SECOND_AT)]
+
+    def read(days):
+        return from_staged(staging.stg_from_lake(lake_load.read_day_list(spark, table, days)))
+    for rows, first, last, at in runs:
+        lake_load.write_events(spark, rows.drop("event_hour"), table, first, last,
+                               landing_column="event_date")
+        run_mart_from_commits(spark, spec, table, read, mart, COMMITS_AS_OF, batched_at=at)
+    return mart
+
+
+@query("marts_after_late_commit")
+def q_marts_after_late_commit(spark, sf_dir):
+    """OP-M2: the write history says what to rebuild: a day that landed late
+    is repaired, eleven days on, and no other day is rewritten."""
+    mart = _marts_by_commits(spark, sf_dir, marts.TRENDS, intermediate.events_classified)
+    return read_mart(spark, mart, TRENDS_COLUMNS)
+
+
+@query("language_after_late_commit")
+def q_language_after_late_commit(spark, sf_dir):
+    """OP-M2: the same for the language mart."""
+    mart = _marts_by_commits(spark, sf_dir, marts.LANGUAGE, lambda stg: (
+        intermediate.events_enriched(intermediate.events_classified(stg),
+                                     latest_meta(spark, sf_dir))))
+    return read_mart(spark, mart, LANGUAGE_COLUMNS)
+
+
+@query("mart_backfill_range")
+def q_mart_backfill_range(spark, sf_dir):
+    """OP-M4: a range of days of a mart is built again, the rest stays."""
+    c = classified(spark, sf_dir)
+    loc = scratch_path(spark, "backfill")
+    run_mart(spark, marts.TRENDS, c.filter(F.col("event_hour") < 22), loc, AS_OF,
+             batched_at=LATE_FIRST_AT)
+    backfill_mart(spark, marts.TRENDS, lambda days: c.filter(F.col("event_date").isin(list(days))),
+                  loc, RANGE_START, RANGE_END, AS_OF, batched_at=BATCHED_AT, days_per_write=3)
+    return read_mart(spark, loc, TRENDS_COLUMNS)
+
+
 @query("language_delete_insert")
 def q_language_delete_insert(spark, sf_dir):
     """OP-K4: keyed merge of the language mart (late-data scenario)."""
@@ -463,6 +567,59 @@ def q_row_count(spark, sf_dir):
     return lake.row_count(lake_load.read_events(spark, lake_table(spark, sf_dir)))
 
 
+_CLUSTERED: dict[tuple[str, str], str] = {}
+
+
+def clustered_table(spark: SparkSession, sf_dir: str) -> str:
+    """A lake table of its own whose days are clustered by time."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _CLUSTERED:
+        loc = scratch_path(spark, "lake-clustered")
+        start, end = data_days(spark, sf_dir)
+        lake_load.write_events(spark, lake_events(spark, sf_dir), loc, start, end)
+        lake_load.cluster_events(spark, loc, start, end)
+        _CLUSTERED[key] = loc
+    return _CLUSTERED[key]
+
+
+# Three hours of one day, and a repository looked up by its name.
+NARROW_START, NARROW_END = dt.datetime(2024, 1, 9, 14), dt.datetime(2024, 1, 9, 17)
+LOOKED_UP = "org/repo42"
+
+
+@query("clustered_time_lookup")
+def q_clustered_time_lookup(spark, sf_dir):
+    """OP-K1/S8: a narrow time range of a clustered day."""
+    t = lake_load.read_days(spark, clustered_table(spark, sf_dir), NARROW_START.date(),
+                            NARROW_END.date())
+    return _ntz(lake.time_range(t, NARROW_START, NARROW_END)
+                .select("id", F.col("repo.name").alias("repo_name"), "created_at"), "created_at")
+
+
+@query("clustered_point_lookup")
+def q_clustered_point_lookup(spark, sf_dir):
+    """OP-K1/S8: all events of one repository, by Bloom filters."""
+    t = lake_load.read_events(spark, clustered_table(spark, sf_dir))
+    return t.where(F.col("repo.name") == LOOKED_UP).select("id", "type", "created_date")
+
+
+@query("sql_functions")
+def q_sql_functions(spark, sf_dir):
+    """2.9: the scalar functions in SQL, over the model views."""
+    from tidewater.plans.model_build import register_views
+
+    register_views(spark, fixtures.landed_event_files(spark, sf_dir),
+                   fixtures.landed_snapshot_files(spark, sf_dir))
+    register_sql_functions(spark)
+    return spark.sql("""
+        SELECT event_date, file_before, COUNT(*) AS pushes, COUNT_IF(bot) AS bot_pushes,
+               percent_of(COUNT_IF(bot), COUNT(*)) AS pct_bot
+        FROM (SELECT event_date, is_bot(actor_type, actor_login) AS bot,
+                     landing_key(previous_hour(created_at)) AS file_before
+              FROM stg_events WHERE event_type = 'PushEvent')
+        GROUP BY event_date, file_before""")
+
+
 # -- loads and sinks -----------------------------------------------------------
 
 @query("load_events_overwrite")
@@ -506,7 +663,7 @@ def q_load_reconciliation(spark, sf_dir):
     loc = scratch_path(spark, "lake-recon")
     start, end = data_days(spark, sf_dir)
     summary = lake_load.write_events(spark, lake_events(spark, sf_dir), loc, start, end)
-    return lake_load.reconciliation_from_summary(spark, summary, loc, start, end)
+    return lake_load.reconciliation_from_summary(spark, summary, loc)
 
 
 @query("load_history")
@@ -569,6 +726,27 @@ def q_load_stragglers(spark, sf_dir):
             .agg(F.count(F.lit(1)).alias("event_count")))
 
 
+@query("load_repaired_rerun")
+def q_load_repaired_rerun(spark, sf_dir):
+    """OP-K2/M4: files with stragglers and broken lines are loaded, landed
+    again whole and loaded again: what the repaired files no longer hold is
+    gone, the rows without a day included, and the counts agree."""
+    base = scratch_path(spark, "lake-repaired")
+    start, end = data_days(spark, sf_dir)
+    last = end
+    for name, lines in (("broken", fixtures.lines_with_stragglers(spark, sf_dir)),
+                        ("whole", fixtures.raw_lake_lines(spark, sf_dir))):
+        files.write_landing_text(lines, f"{base}/{name}")
+        landed_to = lines.agg(F.max("event_date")).first()[0]
+        lake_load.run_load(spark, f"{base}/{name}", f"{base}/events", start, landed_to)
+        last = max(last, landed_to)
+    if last > end:  # a day that has no file any more is a load of its own, of nothing
+        lake_load.write_events(spark, lake_events(spark, sf_dir).limit(0), f"{base}/events",
+                               last, last)
+    return (lake_load.read_events(spark, f"{base}/events").groupBy("created_date", "landed_date")
+            .agg(F.count(F.lit(1)).alias("event_count")))
+
+
 SNAPSHOT_RERUN_DAY = dt.date(2024, 1, 28)
 
 
@@ -600,6 +778,19 @@ def q_stream_file_ingest(spark, sf_dir):
     return file_ingest.read_staged(spark, staged)
 
 
+@query("stream_notified_files")
+def q_stream_notified_files(spark, sf_dir):
+    """OP-S7/M1: files named by notifications, each staged once though some are
+    named again and some out of order."""
+    base = scratch_path(spark, "notified")
+    root = fixtures.landed_event_files(spark, sf_dir)
+    for drop in fixtures.notification_drops(spark, root):
+        drop.repartition(4).write.mode("append").text(f"{base}/queue")
+        notified.ingest_notified(spark, f"{base}/queue", root, f"{base}/staged",
+                                 f"{base}/checkpoint")
+    return file_ingest.read_staged(spark, f"{base}/staged")
+
+
 @query("stream_trends_refresh")
 def q_stream_trends_refresh(spark, sf_dir):
     """OP-M1/M2: each micro-batch of landed files refreshes the days it
@@ -713,13 +904,78 @@ def q_dq_language(spark, sf_dir):
 @query("dq_broken_events")
 def q_dq_broken_events(spark, sf_dir):
     """OP-D3 over rows that break its rules: every kind of row rule fires."""
+    return quality.dq_check(broken_events(spark, sf_dir), "events_classified")
+
+
+def broken_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classified events some of which break the declared rules."""
     n = F.col("event_id").cast("bigint")
-    broken = (classified(spark, sf_dir)
-              .withColumn("event_type", F.when(n % 11 == 0, F.lit(None)).when(n % 7 == 0, "Forged")
-                          .otherwise(F.col("event_type")))
-              .withColumn("contributor_type", F.when(n % 13 == 0, "alien")
-                          .otherwise(F.col("contributor_type"))))
-    return quality.dq_check(broken, "events_classified")
+    return (classified(spark, sf_dir)
+            .withColumn("event_type", F.when(n % 11 == 0, F.lit(None)).when(n % 7 == 0, "Forged")
+                        .otherwise(F.col("event_type")))
+            .withColumn("contributor_type", F.when(n % 13 == 0, "alien")
+                        .otherwise(F.col("contributor_type"))))
+
+
+@query("dq_violations_events")
+def q_dq_violations_events(spark, sf_dir):
+    """OP-D3: the rows that break a rule, once per broken rule."""
+    return quality.dq_violations(broken_events(spark, sf_dir), "events_classified")
+
+
+@query("dq_violations_repos")
+def q_dq_violations_repos(spark, sf_dir):
+    """OP-D2 over all snapshots: every row of a repeated repository."""
+    return quality.dq_violations(
+        staging.stg_repo_metadata_typed(fixtures.raw_repo_snapshots(spark, sf_dir)),
+        "stg_repo_metadata")
+
+
+@query("mart_refused_publish")
+def q_mart_refused_publish(spark, sf_dir):
+    """OP-D5/K2: a batch that breaks declared rules is refused by the write
+    itself; the mart stays as the run before left it."""
+    loc = scratch_path(spark, "checked")
+    c = classified(spark, sf_dir)
+    alien = F.when(F.col("event_id").cast("bigint") % 13 == 0, "alien").otherwise(
+        F.col("contributor_type"))
+    broken = c.withColumn("contributor_type", alien)
+    run_mart(spark, marts.TRENDS, c, loc, dt.date(2024, 1, 20), batched_at=BATCHED_AT,
+             checks=quality.RULES["contributor_trends"])
+    for full_refresh in (False, True):
+        try:
+            run_mart(spark, marts.TRENDS, broken, loc, AS_OF, batched_at=BATCHED_AT,
+                     full_refresh=full_refresh, checks=quality.RULES["contributor_trends"])
+        except sinks.ChecksFailed:
+            continue
+        raise AssertionError("a broken batch was published")
+    return read_mart(spark, loc, TRENDS_COLUMNS)
+
+
+@query("schema_sync_nested")
+def q_schema_sync_nested(spark, sf_dir):
+    """OP-K7: struct fields, array elements and decimals of a table follow
+    those of an incremental batch."""
+    loc = scratch_path(spark, "nested-sync")
+    day = F.col("ts").cast("date")
+    ev = fixtures.driver_events(spark, sf_dir)
+    old = ev.select(
+        "event_id", day.alias("event_date"), F.col("value").cast("decimal(9,2)").alias("amount"),
+        F.struct(F.col("user_id").cast("int").alias("Id"), F.lit("x").alias("old")).alias("actor"),
+        F.array(F.struct(F.col("event_type").alias("tag"))).alias("tags"))
+    new = ev.where(day == F.lit(LATE_DAY)).select(
+        "event_id", day.alias("event_date"), F.col("value").cast("decimal(12,4)").alias("amount"),
+        F.struct("user_id", F.col("user_id").alias("id"), F.col("event_type").alias("kind"))
+        .alias("actor"),
+        F.array(F.struct(F.col("event_type").alias("tag"), F.lit(1).alias("weight"))).alias("tags"))
+    sinks.write_full(spark, loc, old, "event_date", operation="create")
+    sinks.delete_insert(spark, loc, new, ["event_id"], "event_date")
+    t = sinks.read_table(spark, loc)
+    return t.select("event_id", "event_date", F.col("amount").cast("double").alias("amount"),
+                    F.col("actor.user_id").alias("user_id"), F.col("actor.id").alias("actor_id"),
+                    F.col("actor.kind").alias("kind"), F.col("tags")[0]["tag"].alias("tag"),
+                    F.col("tags")[0]["weight"].alias("weight"),
+                    F.lit(",".join(t.schema["actor"].dataType.names)).alias("actor_fields"))
 
 
 @query("dq_repeated_repos")

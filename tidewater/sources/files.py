@@ -33,8 +33,10 @@ from pyspark.sql.types import (
 
 from tidewater import schemas
 from tidewater.days import DaySpan
+from tidewater.functions.columns import partition_from_path
 
-RAW_GLOB = "*.json.gz"
+# Landed files are JSON lines; a writer of plain text lines names them *.txt.gz.
+RAW_GLOB = "*.{json,txt}.gz"
 
 
 def not_landed(days: Sequence[str]) -> FileNotFoundError:
@@ -69,6 +71,41 @@ def read_raw_events(spark: SparkSession, root: str,
                      F.col("value").alias("raw_event"))
 
 
+def read_raw_variant(spark: SparkSession, root: str, start: dt.date | None = None,
+                     end: dt.date | None = None) -> DataFrame:
+    """The raw event table with a semi-structured column: ``event_date DATE,
+    event_hour INT, raw_event VARIANT, broken_line STRING``. A line that is no
+    JSON is kept: its variant is NULL and its text stands beside it."""
+    raw = read_raw_events(spark, root, start, end)
+    value = F.try_parse_json("raw_event")
+    return raw.select("event_date", "event_hour", value.alias("raw_event"),
+                      F.when(value.isNull(), F.col("raw_event")).alias("broken_line"))
+
+
+def read_with_file_metadata(spark: SparkSession, root: str) -> DataFrame:
+    """Lines of every landed file below ``root``, whatever its folders are
+    called: ``file_path`` and ``file_modified`` are the scan's own metadata, and
+    the date and hour are parsed from the path (NULL where it names none)."""
+    lines = (spark.read.option("recursiveFileLookup", "true")
+                       .option("pathGlobFilter", RAW_GLOB).text(root.rstrip("/")))
+    day, hour = partition_from_path(F.col("file_path"))
+    return (lines.select("value", F.col("_metadata.file_path").alias("file_path"),
+                         F.col("_metadata.file_modification_time").alias("file_modified"))
+            .select("file_path", "file_modified", day.alias("event_date"),
+                    hour.alias("event_hour"), F.col("value").alias("raw_event")))
+
+
+def rows_per_file(lines: DataFrame) -> DataFrame:
+    """Rows, folder (the two innermost names), date, hour and age of each file."""
+    parts = F.split("file_path", "/")
+    return (lines.groupBy("file_path", "event_date", "event_hour")
+            .agg(F.count(F.lit(1)).alias("n_events"),
+                 F.max("file_modified").alias("file_modified"))
+            .select("file_path", F.concat_ws("/", F.get(parts, F.size(parts) - 3),
+                                             F.get(parts, F.size(parts) - 2)).alias("folder"),
+                    "event_date", "event_hour", "n_events", "file_modified"))
+
+
 def read_lake_source(spark: SparkSession, root: str, start: dt.date, end: dt.date,
                      corrupt_column: str | None = "_corrupt_record") -> DataFrame:
     """Parse the landed JSON of ``[start, end]`` with the declared lake schema.
@@ -182,6 +219,14 @@ def write_landing_files(lines: DataFrame, root: str, line_col: str = "line",
            .partitionBy("event_date", "event_hour").json(root))
 
 
+def write_landing_text(lines: DataFrame, root: str, line_col: str = "line") -> None:
+    """The same layout with every line as it is, broken ones included."""
+    (lines.select(F.col(line_col).alias("value"), "event_date", "event_hour")
+          .hint("rebalance", "event_date", "event_hour")
+          .write.mode("overwrite").option("compression", "gzip")
+          .partitionBy("event_date", "event_hour").text(root))
+
+
 def has_files(spark: SparkSession, root: str, name_glob: str | None = None) -> bool:
     """Whether ``root`` holds files (matching ``name_glob``): listing only, no job."""
     reader = spark.read

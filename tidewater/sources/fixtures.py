@@ -252,29 +252,67 @@ def raw_lake_lines(spark: SparkSession, sf_dir: str,
                    ["event_date", "event_hour", "line"], start, end)
 
 
-_LANDING: dict[tuple[str, str], str] = {}
+_LANDING: dict[tuple[str, str, str], str] = {}
+
+
+def _landed_text(spark: SparkSession, sf_dir: str, name: str, lines) -> str:
+    """Folder of hourly gzip files that hold the lines of ``lines()`` as they
+    are, landed once per application."""
+    from tidewater.session import scratch_path
+    from tidewater.sources import files
+
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    root = _LANDING.get(key)
+    if root is None or not files.has_files(spark, root, files.RAW_GLOB):
+        root = scratch_path(spark, f"landing-{name}")
+        files.write_landing_text(lines(), root, "raw_event")
+        _LANDING[key] = root
+    return root
 
 
 def landed_event_files(spark: SparkSession, sf_dir: str) -> str:
-    """Folder of hourly gzip JSON event files for the raw events of
-    ``sf_dir`` (``event_date=D/event_hour=H/*.json.gz``).
+    """Folder of hourly gzip JSON event files for the raw events of ``sf_dir``
+    (``event_date=D/event_hour=H/*.gz``).
 
     Landed once per application, like the other landed copies: the files are
     the stream's input, and every stream run brings its own checkpoint, so
     each run still picks up every file itself.
     """
-    from tidewater import schemas
+    return _landed_text(spark, sf_dir, "events", lambda: raw_events(spark, sf_dir))
+
+
+# Fixed value: a cut copy of the line of every 50th id is landed beside it.
+BROKEN_EVERY, BROKEN_LENGTH = 50, 25
+
+
+def landed_files_with_broken_lines(spark: SparkSession, sf_dir: str) -> str:
+    def lines() -> DataFrame:
+        raw = raw_events(spark, sf_dir)
+        cut = raw.where(F.get_json_object("raw_event", "$.id").cast("bigint") % BROKEN_EVERY == 0)
+        return raw.unionByName(cut.withColumn(
+            "raw_event", F.substring("raw_event", 1, BROKEN_LENGTH)))
+    return _landed_text(spark, sf_dir, "broken", lines)
+
+
+# The lines of every 97th id come in one file of a hand-made folder.
+UPLOADED_EVERY, UPLOAD_FOLDER = 97, "uploads/batch_1"
+
+
+def landed_mixed_files(spark: SparkSession, sf_dir: str) -> str:
+    """Hourly files, one an hour, and one file in a folder without a date."""
     from tidewater.session import scratch_path
-    from tidewater.sources import files
 
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    root = _LANDING.get(key)
-    if root is None or not files.has_files(spark, root, files.RAW_GLOB):
-        root = scratch_path(spark, "landing-events")
-        files.write_landing_files(raw_events(spark, sf_dir), root, "raw_event",
-                                  schemas.STG_EVENT_JSON)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), "mixed")
+    if key not in _LANDING:
+        root = scratch_path(spark, "landing-mixed")
+        raw = raw_events(spark, sf_dir).withColumnRenamed("raw_event", "value")
+        uploaded = F.get_json_object("value", "$.id").cast("bigint") % UPLOADED_EVERY == 0
+        (raw.where(~uploaded).repartition("event_date", "event_hour")
+            .write.option("compression", "gzip").partitionBy("event_date", "event_hour").text(root))
+        (raw.where(uploaded).select("value").coalesce(1)
+            .write.option("compression", "gzip").text(f"{root}/{UPLOAD_FOLDER}"))
         _LANDING[key] = root
-    return root
+    return _LANDING[key]
 
 
 _SNAPSHOT_FILES: dict[tuple[str, str], str] = {}
@@ -328,3 +366,31 @@ def landed_lake_files(spark: SparkSession, sf_dir: str) -> str:
         files.write_landing_files(raw_lake_lines(spark, sf_dir), root)
         _LAKE_FILES[key] = root
     return root
+
+
+def notification_drops(spark: SparkSession, root: str) -> list[DataFrame]:
+    """Notifications of the files below ``root`` (column ``value``), in three
+    drops: the later half of each day first; then the first half with one half
+    of the later files again; then all again, with a deletion, a file of
+    another kind and one elsewhere for each."""
+    files_of = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                .option("pathGlobFilter", "*.gz").load(root).select("path", "length"))
+    key = F.substring_index("path", root.rstrip("/").rsplit("/", 1)[1] + "/", -1)
+    named = files_of.select(key.alias("key"), "length").withColumn(
+        "hour", F.regexp_extract("key", "event_hour=([0-9]+)", 1).cast("int"))
+
+    def record(name: str, said: Column) -> Column:
+        return F.to_json(F.struct(F.array(F.struct(
+            F.lit(name).alias("eventName"), F.lit("2024-01-30T00:00:00.000Z").alias("eventTime"),
+            F.struct(F.struct(F.url_encode(said).alias("key"),
+                              F.col("length").alias("size")).alias("object"))
+            .alias("s3"))).alias("Records")))
+    created = record("ObjectCreated:Put", F.col("key"))
+    other = (record("ObjectRemoved:Delete", F.col("key")),
+             record("ObjectCreated:Put", F.concat(F.col("key"), F.lit(".tmp"))),
+             record("ObjectCreated:Put", F.concat(F.lit("other/"), F.col("key"))))
+    late = F.col("hour") >= 12
+    return [drop.toDF("value") for drop in (
+        named.where(late).select(created),
+        named.where(~late | (F.col("hour") % 2 == 0)).select(created),
+        named.select(F.explode(F.array(created, *other))))]

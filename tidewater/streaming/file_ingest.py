@@ -11,8 +11,9 @@ table with the bounded lookback + keyed merge of :mod:`tidewater.plans.marts`.
 from __future__ import annotations
 
 import json
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DateType,
@@ -26,6 +27,7 @@ from pyspark.sql.types import (
 
 from tidewater import schemas
 from tidewater.functions import parse_utc_timestamp
+from tidewater.plans import notes
 from tidewater.sources.files import RAW_GLOB
 
 
@@ -48,8 +50,11 @@ def staged_event_stream(spark: SparkSession, root: str,
                    .option("maxFileAge", NEVER_TOO_OLD))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    raw = reader.json(root.rstrip("/"))
-    return raw.select(
+    return staged_columns(reader.json(root.rstrip("/")))
+
+
+def staged_columns(parsed: DataFrame) -> DataFrame:
+    return parsed.select(
         "event_date", "event_hour",
         F.col("id").alias("event_id"), F.col("type").alias("event_type"),
         F.col("actor.login").alias("actor_login"), F.col("actor.type").alias("actor_type"),
@@ -81,21 +86,41 @@ def ingest_available(spark: SparkSession, root: str, staged_location: str,
     return len(batches)
 
 
-def write_staged_batch(df: DataFrame, staged_location: str, batch_id: int,
-                       observation=None, metrics=()) -> None:
-    """Write one micro-batch into ``<staged>/event_date=D/batch=N``.
+BATCHES_SCHEMA = "event_date date, batch bigint"
+
+
+def batches_path(staged_location: str) -> str:
+    return staged_location.rstrip("/") + "_batches"
+
+
+def note_days(spark: SparkSession, path: str, batch_of: dict) -> None:
+    """Append (day, batch) notes. They travel as one literal."""
+    noted = json.dumps({d.isoformat(): b for d, b in batch_of.items()})
+    notes.append(spark, path, spark.range(1)
+                 .select(F.explode(F.from_json(F.lit(noted), "map<string,bigint>"))
+                         .alias("day", "batch"))
+                 .select(F.col("day").cast("date").alias("event_date"), "batch"))
+
+
+def write_staged_batch(df: DataFrame, staged_location: str, batch_id: int) -> list:
+    """Write one micro-batch into ``<staged>/event_date=D/batch=N``; returns
+    its days, which are noted beside the table.
 
     Day folders come first, so a reader of a few days lists only those days
     however many batches the stream has run. The dynamic overwrite replaces
     exactly the (day, batch) folders this batch writes: a replay of the batch
     after a failure replaces its own output and nothing else.
     """
-    out = df.withColumn("batch", F.lit(batch_id).cast("bigint")).hint("rebalance", "event_date")
-    if observation is not None:
-        out = out.observe(observation, *metrics)
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .option("compression", "zstd").partitionBy("event_date", "batch")
-        .parquet(staged_location.rstrip("/")))
+    obs = Observation(f"stream_{uuid.uuid4().hex[:8]}")
+    (df.withColumn("batch", F.lit(batch_id).cast("bigint")).hint("rebalance", "event_date")
+       .observe(obs, F.collect_set("event_date").alias("days"))  # days of one batch
+       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .option("compression", "zstd").partitionBy("event_date", "batch")
+       .parquet(staged_location.rstrip("/")))
+    days = sorted(obs.get.get("days") or [])
+    if days:
+        note_days(df.sparkSession, batches_path(staged_location), dict.fromkeys(days, batch_id))
+    return days
 
 
 # The staged table as written by the batches: day folders, then one folder
@@ -121,37 +146,22 @@ def read_staged(spark: SparkSession, staged_location: str, days=None) -> DataFra
     return df.select(*schemas.STG_EVENTS_COLUMNS)
 
 
-REFRESHED_SCHEMA = "event_date date, batch bigint"
-
-
 def refreshed_path(trends_location: str) -> str:
     return trends_location.rstrip("/") + "_refreshed"
 
 
-def note_refreshed(spark: SparkSession, trends_location: str, newest: dict) -> None:
-    """Append, per day of ``newest``, the newest staged batch that the mart's
-    rows of that day include. Days and batches travel as one literal."""
-    noted = json.dumps({d.isoformat(): b for d, b in newest.items()})
-    (spark.range(1)
-          .select(F.explode(F.from_json(F.lit(noted), "map<string,bigint>")).alias("day", "batch"))
-          .select(F.col("day").cast("date").alias("event_date"), "batch")
-          .write.mode("append").parquet(refreshed_path(trends_location)))
-
-
 def days_to_refresh(spark: SparkSession, staged_location: str, trends_location: str,
                     last_day, mart_exists: bool) -> dict:
     """Staged days up to ``last_day`` with their newest batch, where the mart
     lacks the day or was last refreshed from an older batch of it. A day that
-    was never noted counts as not refreshed."""
-    from tidewater.plans import sinks
-
-    # Partition values only: no event is read to compare the calendars.
-    staged = (spark.read.schema(STAGED_TABLE).parquet(staged_location)
+    was never noted counts as not refreshed. Only the notes of batches and
+    refreshes are compared; no staged folder is listed and no event read."""
+    staged = (notes.read(spark, batches_path(staged_location), BATCHES_SCHEMA, distinct=False)
               .where(F.col("event_date") <= F.lit(last_day))
               .groupBy("event_date").agg(F.max("batch").alias("newest")))
-    if mart_exists and sinks.table_exists(spark, refreshed_path(trends_location)):
+    if mart_exists:
         built = spark.read.parquet(trends_location).select("event_date").distinct()
-        noted = (spark.read.schema(REFRESHED_SCHEMA).parquet(refreshed_path(trends_location))
+        noted = (notes.read(spark, refreshed_path(trends_location), BATCHES_SCHEMA, distinct=False)
                  .groupBy("event_date").agg(F.max("batch").alias("noted"))
                  .join(built, "event_date", "left_semi"))
         staged = (staged.join(noted, "event_date", "left")
@@ -175,10 +185,6 @@ def ingest_and_refresh_trends(spark: SparkSession, root: str, staged_location: s
     that has a newer staged batch (its files came in a run whose ``as_of`` was
     not past it) is recomputed, so ``as_of`` may go back and forth.
     """
-    import uuid
-
-    from pyspark.sql import Observation
-
     from tidewater.days import ONE_DAY
     from tidewater.operators import intermediate, marts
     from tidewater.plans import sinks
@@ -199,14 +205,12 @@ def ingest_and_refresh_trends(spark: SparkSession, root: str, staged_location: s
             sinks.write_full(spark, trends_location, batch, "event_date", operation="create")
             mart_exists[0] = True
         # Last: a failure before it has the days recomputed by the next run.
-        note_refreshed(spark, trends_location, newest)
+        note_days(spark, refreshed_path(trends_location), newest)
 
     def refresh(df: DataFrame, batch_id: int) -> None:
-        obs = Observation(f"stream_{uuid.uuid4().hex[:8]}")
-        write_staged_batch(df, staged_location, batch_id, obs,
-                           [F.collect_set("event_date").alias("days")])  # <= days in batch
+        days = write_staged_batch(df, staged_location, batch_id)
         batches.append(batch_id)
-        touched = {d: batch_id for d in (obs.get.get("days") or []) if d <= last_day}
+        touched = {d: batch_id for d in days if d <= last_day}
         if touched:
             recompute(touched)
 
