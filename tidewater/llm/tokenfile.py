@@ -6,13 +6,15 @@ each can be read alone. Blocks are rows of Parquet files in range order (one
 file per id range), which keeps Spark's commit protocol and any store that
 Spark can write to.
 
-Model of a block: the id last seen after the last two ids (order 2), after the
-last id (order 1) and with the same low byte (order 0) predict the next one.
-What is coded is a symbol: which prediction holds, or the size class of the id
-where none does, followed by plain bits. The symbol's probability is a mix of
-three adaptive distributions (given the last two, one or no symbols), weighted
-by how well each did so far in the block. All blocks of a batch advance in
-step, one array operation for all of them.
+Model of a block: the id that last followed the last two ids (order 2), the
+one that last followed the last id (order 1), and an adaptive distribution
+over all ids of the block so far by how often they came (order 0) predict the
+next one. First a symbol is coded: which order holds, or, for an id that is new
+in the block, its size class. Its probability is a mix of three adaptive
+distributions (given the last two, one or no symbols), weighted by how well
+each did so far in the block. At order 0 the id itself follows, by its
+frequency; a new id has the plain bits of its class. All blocks of a batch
+advance in step, one array operation for all of them.
 """
 
 from __future__ import annotations
@@ -31,13 +33,13 @@ from tidewater.llm.tokens import END_ID, Encoder
 BLOCK_IDS = 4096
 #: Blocks that advance in step; more of them share the cost of each array call.
 LANES = 2560
-MAGIC = b"TWR1"
+MAGIC = b"TWR2"
 HEADER = 16  # magic, ids, 16-bit words, crc32 of the ids
 
-HIT2, HIT1, HIT0, SMALL = 0, 1, 2, 3
+HIT2, HIT1, SEEN, SMALL = 0, 1, 2, 3
 SYMBOLS = 12
 #: Plain bits after each symbol, and the id at which its class starts.
-EXTRA = np.array([0, 0, 8, 9, 9, 10, 11, 12, 13, 14, 15, 0])
+EXTRA = np.array([0, 0, 0, 9, 9, 10, 11, 12, 13, 14, 15, 0])
 BASE = np.array([0, 0, 0, 0, 512, 1024, 2048, 4096, 8192, 16384, 32768, 0])
 SIZE_CLASS = np.array([SMALL] * 512 + [SMALL + k.bit_length() - 9 for k in range(512, 1 << 16)],
                       np.int64)
@@ -48,16 +50,59 @@ MASK = U64((1 << 48) - 1)
 LOW32 = U64((1 << 32) - 1)
 
 
+class Frequencies:
+    """How often each of ``places`` places of ``n`` lists came, with sums over
+    all places before one: binary indexed trees, one after the other. Entry 0
+    of a tree stays 0 and its last one takes what runs over the end. Counts
+    and sums have 16 bits, so a list takes 65,535 places."""
+
+    def __init__(self, n: int, places: int):
+        self.levels = max(1, (places - 1).bit_length())
+        self.places = 1 << self.levels
+        self.stride = self.places + 2
+        self.tree = np.zeros(n * self.stride, np.uint16)
+        self.count = np.zeros(n * self.places, np.uint16)
+
+    def times(self, lanes: np.ndarray, place: np.ndarray) -> np.ndarray:
+        return self.count.take(lanes * self.places + place)
+
+    def before(self, lanes: np.ndarray, place: np.ndarray) -> np.ndarray:
+        row, at, out = lanes * self.stride, place.copy(), np.zeros(len(place), np.int64)
+        for _ in range(self.levels):
+            out += self.tree.take(row + at)
+            at &= at - 1
+        return out
+
+    def find(self, lanes: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The place whose share holds ``target``, and the sum before it."""
+        row, at, rest = lanes * self.stride, np.zeros(len(target), np.int64), target.copy()
+        for level in range(self.levels - 1, -1, -1):
+            there = self.tree.take(row + at + (1 << level)).astype(np.int64)
+            right = there <= rest
+            at += right << level
+            rest -= there * right
+        return at, target - rest
+
+    def add(self, lanes: np.ndarray, place: np.ndarray) -> None:
+        self.count[lanes * self.places + place] += 1
+        row, at = lanes * self.stride, place + 1
+        for _ in range(self.levels + 1):
+            self.tree[row + at] += 1
+            at += at & -at
+            np.minimum(at, self.places + 1, out=at)
+
+
 class Model:
     """State of the models of ``n`` blocks, longest first; each step works on
-    the first ``m`` of them, those that still have an id."""
+    the first ``m`` of them, those that still have an id. Ids are known by
+    their places in the order in which they first came in the block."""
 
-    def __init__(self, n: int):
+    def __init__(self, n: int, longest: int):
         self.t2 = np.zeros(n * TABLE2, np.uint16)
         self.t1 = np.zeros(n * TABLE1, np.uint16)
-        self.t0 = np.zeros(n * 256, np.uint16)
+        self.known = Frequencies(n, longest)
         self.own = np.arange(n)
-        self.base2, self.base1, self.base0 = (self.own * k for k in (TABLE2, TABLE1, 256))
+        self.base2, self.base1 = (self.own * k for k in (TABLE2, TABLE1))
         self.p0 = np.full((n, SYMBOLS), ONE // SYMBOLS, np.int32)
         self.p1 = np.full((n * SYMBOLS, SYMBOLS), ONE // SYMBOLS, np.int32)
         self.p2 = np.full((n * SYMBOLS * SYMBOLS, SYMBOLS), ONE // SYMBOLS, np.int32)
@@ -69,15 +114,13 @@ class Model:
         self.cumulative = np.zeros((n, SYMBOLS + 1), np.int32)
 
     def predict(self, m: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids predicted by orders 2 and 1, and places to learn the next."""
+        """Places predicted by orders 2 and 1, from 1 on, 0 for none; finds the
+        rows in which the next one is learned."""
         hashed = self.last[:m] * 40503
         self.at2 = (hashed + self.before[:m] * 9973 >> 3 & TABLE2 - 1) + self.base2[:m]
         self.at1 = (hashed >> 4 & TABLE1 - 1) + self.base1[:m]
         return self.t2.take(self.at2), self.t1.take(self.at1)
 
-    def by_low_byte(self, m: int, low: np.ndarray) -> np.ndarray:
-        return self.t0.take(self.base0[:m] + low)
-
     def mix(self, m: int) -> np.ndarray:
         """Cumulative frequencies of the symbols, a leading 0 included."""
         self.row1 = self.own[:m] * SYMBOLS + self.symbol[:m]
@@ -96,7 +139,7 @@ class Model:
         np.cumsum(mixed, axis=1, out=self.cumulative[:m, 1:])
         return self.cumulative[:m]
 
-    def learn(self, m: int, symbol: np.ndarray, ids: np.ndarray) -> None:
+    def learn(self, m: int, symbol: np.ndarray, place: np.ndarray) -> None:
         at, part = self.own[:m] * SYMBOLS + symbol, self.part[:m]
         for k, q in enumerate(self.q):
             w, flat = self.weight[k, :m], q.reshape(-1)
@@ -105,8 +148,9 @@ class Model:
             q -= part
             flat[at] += ONE >> RATE
         self.p1[self.row1], self.p2[self.row2] = self.q[1], self.q[2]
-        self.t2[self.at2] = self.t1[self.at1] = self.t0[self.base0[:m] + (ids & 255)] = ids
-        self.before[:m], self.last[:m] = self.last[:m], ids
+        self.t2[self.at2] = self.t1[self.at1] = place + 1
+        self.known.add(self.own[:m], place)
+        self.before[:m], self.last[:m] = self.last[:m], place + 1
         self.symbol_before[:m], self.symbol[:m] = self.symbol[:m], symbol
 
 
@@ -120,35 +164,50 @@ def settle(low: np.ndarray, span: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return same | narrow, span
 
 
+def places_of(block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each id of a block: its place in the order of first occurrences, and
+    whether it is new there."""
+    _, first, which = np.unique(block, return_index=True, return_inverse=True)
+    place = np.empty(len(first), np.int64)
+    place[np.argsort(first)] = np.arange(len(first))
+    return place[which], np.arange(len(block)) == first[which]
+
+
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     """Blocks of 16-bit ids to coded blocks, all in step."""
     order = sorted(range(len(blocks)), key=lambda k: -len(blocks[k]))
     lengths = np.array([len(blocks[k]) for k in order])
     steps = int(lengths[0]) if len(order) else 0
     ids = np.zeros((steps, len(order)), np.uint16)
+    places, news = np.zeros(ids.shape, np.uint16), np.zeros(ids.shape, bool)
     for lane, k in enumerate(order):
-        ids[:len(blocks[k]), lane] = blocks[k]
-    model = Model(len(order))
+        n = len(blocks[k])
+        ids[:n, lane] = blocks[k]
+        places[:n, lane], news[:n, lane] = places_of(blocks[k])
+    model = Model(len(order), steps)
     low, span = np.zeros(len(order), U64), np.full(len(order), MASK)
     words = np.zeros((len(order), 2 * steps + 8), np.uint16)
     filled = np.zeros(len(order), np.int64)
     for step in range(steps):
         n = int(np.searchsorted(-lengths, -step, "left"))  # blocks that have this id
         lane, x = model.own[:n], ids[step, :n].astype(np.int64)
+        place = places[step, :n].astype(np.int64)
         by2, by1 = model.predict(n)
-        by0 = model.by_low_byte(n, x & 255)
-        symbol = np.where(x == by2, HIT2, np.where(x == by1, HIT1,
-                                                   np.where(x == by0, HIT0, SIZE_CLASS[x])))
-        extra = np.where(symbol == HIT0, x & 255, x - BASE[symbol])
-        bits = EXTRA[symbol].astype(U64)
-        extra = np.where(bits > 0, extra, 0).astype(U64)
+        symbol = np.where(place + 1 == by2, HIT2, np.where(
+            place + 1 == by1, HIT1, np.where(news[step, :n], SIZE_CLASS[x], SEEN)))
+        # What follows the symbol: its part of a whole.
+        whole, start = 1 << EXTRA[symbol], np.where(symbol < SMALL, 0, x - BASE[symbol])
+        count = np.ones(n, np.int64)
+        seen = np.flatnonzero(symbol == SEEN)
+        whole[seen], start[seen] = step, model.known.before(seen, place[seen])
+        count[seen] = model.known.times(seen, place[seen])
         cumulative = model.mix(n)
         first, after = cumulative[lane, symbol], cumulative[lane, symbol + 1]
         unit = span[:n] // cumulative[:, -1].astype(U64)
-        width = unit * (after - first).astype(U64) >> bits
-        low[:n] += unit * first.astype(U64) + width * extra
-        span[:n] = width
-        model.learn(n, symbol, x)
+        share = unit * (after - first).astype(U64) // whole.astype(U64)
+        low[:n] += unit * first.astype(U64) + share * start.astype(U64)
+        span[:n] = share * count.astype(U64)
+        model.learn(n, symbol, place)
         emit, span[:n] = settle(low[:n], span[:n])
         while emit.any():
             k = np.flatnonzero(emit)
@@ -186,7 +245,9 @@ def decode_blocks(coded: list[bytes]) -> list[np.ndarray]:
     for lane, k in enumerate(order):
         words[lane, :int(heads[k][1])] = np.frombuffer(coded[k], "<u2", offset=HEADER)
     ids = np.zeros((steps, len(order)), np.uint16)
-    model = Model(len(order))
+    id_at = np.zeros((steps, len(order)), np.uint16)     # id of each place
+    places = np.zeros(len(order), np.int64)              # places given so far
+    model = Model(len(order), steps)
     low, span = np.zeros(len(order), U64), np.full(len(order), MASK)
     code = words[:, 0] << U64(32) | words[:, 1] << U64(16) | words[:, 2]
     taken = np.full(len(order), 3)
@@ -199,17 +260,26 @@ def decode_blocks(coded: list[bytes]) -> list[np.ndarray]:
         at = ((code[:n] - low[:n]) // unit).astype(np.int64)
         symbol = np.minimum((cumulative[:, 1:] <= at[:, None]).sum(1), SYMBOLS - 1)
         first, after = cumulative[lane, symbol], cumulative[lane, symbol + 1]
-        bits = EXTRA[symbol]
-        width = unit * (after - first).astype(U64) >> bits.astype(U64)
         low[:n] += unit * first.astype(U64)
-        extra = np.minimum(((code[:n] - low[:n]) // width).astype(np.int64), (1 << bits) - 1)
-        low[:n] += width * extra.astype(U64)
-        span[:n] = width
-        by0 = model.by_low_byte(n, extra & 255)
-        x = np.where(symbol == HIT2, by2, np.where(symbol == HIT1, by1, np.where(
-            symbol == HIT0, by0, BASE[symbol] + extra))).astype(np.int64)
-        ids[step, :n] = x
-        model.learn(n, symbol, x)
+        whole, count = 1 << EXTRA[symbol], np.ones(n, np.int64)
+        seen = np.flatnonzero(symbol == SEEN)
+        whole[seen] = max(step, 1)
+        share = unit * (after - first).astype(U64) // whole.astype(U64)
+        # A damaged block may hold anything; its checksum tells in the end.
+        start = np.minimum(((code[:n] - low[:n]) // share).astype(np.int64), whole - 1)
+        is_new = symbol >= SMALL
+        place = np.where(symbol == HIT2, by2, by1).astype(np.int64) - 1
+        place[seen], start[seen] = model.known.find(seen, start[seen])
+        place = np.where(is_new, places[:n], place)
+        np.clip(place, 0, steps - 1, out=place)
+        count[seen] = np.maximum(model.known.times(seen, place[seen]), 1)
+        start[symbol < SEEN] = 0
+        low[:n] += share * start.astype(U64)
+        span[:n] = share * count.astype(U64)
+        id_at[place[is_new], lane[is_new]] = (BASE[symbol] + start)[is_new]
+        places[:n] += is_new
+        ids[step, :n] = id_at[place, lane]
+        model.learn(n, symbol, place)
         pull, span[:n] = settle(low[:n], span[:n])
         while pull.any():
             k = np.flatnonzero(pull)
