@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.common import labelled_sample, worker_store
 
-LETTERS = re.compile(r"[^\W\d_]+")
+WORDLIKE = re.compile(r"[^\W\d_]+")
 LONGEST = 5
 UNKNOWN = "und"
 #: Words beyond this many add no certainty: neighbours in a text depend on each other.
@@ -39,22 +39,34 @@ class LanguageModel:
     key: str = field(default_factory=lambda: uuid.uuid4().hex)
 
 
+def letter_runs(text: str) -> list[str]:
+    """Runs of letters. The pattern also takes number signs such as a half or a
+    roman numeral sign, which are none."""
+    out = []
+    for run in WORDLIKE.findall(text):
+        out += [run] if run.isalpha() else "".join(
+            c if c.isalpha() else " " for c in run).split()
+    return out
+
+
 def grams_of(word: str, n: int) -> list[str]:
     """Character n-grams of a word between its end marks."""
     marked = f"<{word}>"
     return [marked[i:i + n] for i in range(len(marked) - n + 1)]
 
 
-def fit_language(sample: DataFrame, min_words: int = 3, min_grams: int = 5) -> LanguageModel | None:
+def fit_language(sample: DataFrame, min_words: int = 3, min_grams: int = 5,
+                 max_terms: int = 1_000_000) -> LanguageModel | None:
     """Counts of words and 1..5-grams by language over a bounded sample (text,
-    y); words and n-grams seen less often than the minima are left to backoff.
-    None without any row."""
+    y); words and n-grams seen less often than the minima are left to backoff,
+    and so are those beyond the ``max_terms`` most frequent, which bounds the
+    model however long the sample's texts are. None without any row."""
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got: Counter = Counter()
             by_lang: dict[str, Counter] = {}
             for text, lang in zip(batch["text"].to_pylist(), batch["y"].to_pylist()):
-                by_lang.setdefault(lang, Counter()).update(LETTERS.findall(text.lower()))
+                by_lang.setdefault(lang, Counter()).update(letter_runs(text.lower()))
             for lang, words in by_lang.items():
                 for w, k in words.items():
                     got[lang, 0, w] += k
@@ -73,7 +85,8 @@ def fit_language(sample: DataFrame, min_words: int = 3, min_grams: int = 5) -> L
             .agg(F.map_from_arrays(F.collect_list("lang"), F.collect_list("k")).alias("by"),
                  F.sum("k").alias("all"))
             .where(F.col("all") >= F.when(F.col("n") == 0, min_words).otherwise(min_grams))
-            .orderBy("n", "term").collect())
+            .orderBy(F.desc("all"), "n", "term").limit(max_terms).collect())
+    rows.sort(key=lambda r: (r["n"], r["term"]))
     if not rows:
         return None
     languages = sorted({lang for r in rows for lang in r["by"]})
@@ -117,13 +130,13 @@ class Scored:
         words_in = np.zeros(len(pieces))
         for k, piece in enumerate(pieces):
             piece = piece.lower()
-            words = [piece] if piece.isalpha() else LETTERS.findall(piece)
+            words = [piece] if piece.isalpha() else letter_runs(piece)
             words_in[k] = len(words)
             for w in words:
                 known = known_rows(w, self.model)
                 at += known
                 owner += [k] * len(known)
-                weight += [1.0 / len(known)] * len(known)
+                weight += [1.0 / max(1, len(known))] * len(known)
         owner, weight = np.array(owner, np.int64), np.array(weight)
         scores = self.model.scores[np.array(at, np.int64)]
         return np.stack([np.bincount(owner, weight * scores[:, j], len(pieces))
@@ -182,7 +195,8 @@ def identify_language(docs: DataFrame, held: tuple[int, int] = (4, 2), text_col:
     id); the choice is by id hash. Only the text enters a prediction. Null
     texts and texts without a letter are ``und`` with score 0, and so is every
     row when there is nothing to learn from. Words are compared in lower case.
-    Ties go to the language first in order. Repeated rows get equal answers.
+    A word none of whose letters is known counts for no language. Ties go to
+    the language first in order. Repeated rows get equal answers.
     """
     spark = docs.sparkSession
     rows = docs.select("doc_id", F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))

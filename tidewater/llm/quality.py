@@ -236,12 +236,14 @@ def score_quality(docs: DataFrame, labels: DataFrame, held: tuple[int, int] = (3
 
     ``labels`` (doc_id, quality) outside the ``held`` fold (modulus, remainder
     of crc32 of the id) teach, ``max_rows`` documents at most, chosen by id
-    hash; every whole text is scored, words of any length included. Null and empty texts have the indicators
-    of one empty line. Without labels every score is 0.5, with labels of one
+    hash; labels other than 0 and 1 are left out. Every whole text is scored,
+    words of any length included. Null and empty texts have the indicators of
+    one empty line. Without labels every score is 0.5, with labels of one
     class it is that class. Repeated rows get equal scores; other columns are
     not read.
     """
     rows = docs.select("doc_id", F.col(text_col).alias("text"))
+    labels = labels.where(F.col("quality").isin(0, 1))
     sample = labelled_sample(rows, labels, "quality", held, max_rows, "quality-sample")
     model = fit_quality(sample, epochs)
     if model is None:

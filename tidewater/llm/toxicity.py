@@ -182,8 +182,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, held: tuple[int, int] = (
     has the name ``out_col`` is replaced.
 
     ``labels`` (doc_id, toxic) outside the ``held`` fold (modulus, remainder of
-    crc32 of the id) teach, ``max_rows`` at most; the whole of ``docs`` is
-    scored over whole texts. Null and empty texts have all features 0 and get
+    crc32 of the id) teach, ``max_rows`` at most; labels other than 0 and 1 are
+    left out. Where labels are too few for disjoint parts to learn the lexicon,
+    the trees and the calibration from, these share rows. The whole of ``docs``
+    is scored over whole texts. Null and empty texts have all features 0 and get
     that row's score. Without any label, or with labels of one class only, the
     score of every row is the class rate (0 without labels). Repeated rows get
     equal scores.
@@ -195,6 +197,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, held: tuple[int, int] = (
     def result(frame: DataFrame, score: Column) -> DataFrame:
         return frame.select("row.*", score.alias(out_col))
 
+    labels = labels.where(F.col("toxic").isin(0, 1))
     sample = labelled_sample(docs.select("doc_id", F.col(text_col).alias("text")), labels,
                              "toxic", held, max_rows, "toxicity-sample")
     classes = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
@@ -203,21 +206,19 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, held: tuple[int, int] = (
         return result(whole, F.lit(rate))
     model = spark.sparkContext.broadcast(
         learned_lexicon(sample.where("part < 5"), max_terms))
-    rows = landed(sample.where("part >= 5").select(
+    everything = landed(sample.select(
         array_to_vector(features_of(F.col("text"), model)).alias("features"),
         F.col("y").cast("double").alias("label"), "part"), "toxicity-features").coalesce(2)
-    fit_on = rows.where("part < 8")
-    if fit_on.select("label").distinct().count() < 2:
-        fit_on = rows if rows.select("label").distinct().count() == 2 else None
-    if fit_on is None:  # too few labels to split: the lexicon alone decides
-        hit = features_of(F.col("text"), model)
-        return result(whole, F.when(hit[1] + hit[3] > 0, 1.0).otherwise(0.0))
+    rows = everything.where("part >= 5")
+    # The first part that has both classes; the whole sample has.
+    fit_on = next(part for part in (rows.where("part < 8"), rows, everything)
+                  if part is everything or part.select("label").distinct().count() == 2)
     gbt = GBTClassifier(maxIter=trees, maxDepth=3, stepSize=0.2, seed=1, checkpointInterval=-1,
                         featuresCol="features", labelCol="label").fit(fit_on)
     raw = vector_to_array(F.col("probability"))[1]
     calibration = rows.where("part >= 8")
     if calibration.isEmpty():
-        calibration = rows
+        calibration = fit_on
     isotonic = IsotonicRegression(featuresCol="raw", labelCol="label").fit(
         gbt.transform(calibration).select("label", raw.alias("raw")))
     knots = [float(x) for x in isotonic.boundaries]
