@@ -70,3 +70,46 @@ def test_given_table(spark):
     expected = dict(zip((i for i, _ in rows), ((x @ x.T) >= 0.95).sum(1) - 1))
     got = {r.vec_id: r.n_links for r in embeddings.near_vectors(df).collect()}
     assert got == expected
+
+
+def test_small_tables_go_through_cells_and_copies_stay_few(spark, monkeypatch):
+    """No size switches the cells off, and up to a block for each cell a vector
+    is copied to as many cells however many vectors there are."""
+    prepare(spark)
+    cells, copies = [], []
+    fit, assign = embeddings.fit_cells, embeddings.assigned
+    monkeypatch.setattr(embeddings, "fit_cells", lambda *a: cells.append(a[1]) or fit(*a))
+
+    def counted(nodes, centres, cosine):
+        out = assign(nodes, centres, cosine)
+        copies.append(out.count() / nodes.count())
+        return out
+    monkeypatch.setattr(embeddings, "assigned", counted)
+    rng = np.random.default_rng(5)
+    for n in (40, 500, 4000):
+        x = rng.normal(size=(n, 32))
+        rows = [(k, v.tolist()) for k, v in enumerate(x)]
+        if n < 1000:
+            check(spark, rows + [(10_000 + k, (x[k] + 0.01).tolist()) for k in range(20)])
+        else:
+            df = spark.createDataFrame([(*r, 1, 2, "x") for r in rows], SCHEMA.format("double"))
+            assert embeddings.near_vectors(df).count() == n
+    assert cells == [7, 12, 12] and max(copies) < embeddings.CELLS
+
+
+def test_many_lengths_of_vectors(spark):
+    """Lengths with a handful of vectors share one job."""
+    rng = np.random.default_rng(6)
+    rows = [(k, rng.normal(size=1 + k % 30).tolist()) for k in range(90)]
+    rows += [(500 + k, [2 * c for c in rows[k][1]]) for k in range(40)]
+    rows += [(900 + k, rng.normal(size=5).round(0).tolist()) for k in range(60)]
+    prepare(spark)
+    check(spark, rows)
+
+
+def test_single_precision_never_decides():
+    rng = np.random.default_rng(7)
+    x = embeddings.unit(rng.normal(size=(300, 48)))
+    y = embeddings.unit(np.concatenate([x[:200] + rng.normal(size=(200, 48)) * 0.03, x[:5]]))
+    for cosine in (0.95, 0.99, 1 - 1e-12):
+        assert np.array_equal(embeddings.near_pairs(x, y, cosine), x @ y.T >= cosine)

@@ -24,7 +24,13 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.common import connected_components, landed, slices
 
-BLOCK = 1024
+#: Nodes of one block, and of one cell about.
+BLOCK = 4096
+#: Cells while they fit a block each: a node visits a share of all cells, so it
+#: is copied as often whatever the number of nodes. And nodes a cell at least.
+CELLS, CELL_NODES = 12, 8
+#: Rows of a block compared at a time.
+STRIP = 512
 
 
 def comparable(vector: Column) -> Column:
@@ -82,6 +88,24 @@ def assigned(nodes: DataFrame, centres: np.ndarray, cosine: float) -> DataFrame:
         assign, f"cell long, home long, probes array<int>, node long, weight long, vec {element}")
 
 
+def near_pairs(x: np.ndarray, y: np.ndarray, cosine: float) -> np.ndarray:
+    """Which rows of two matrices of unit vectors reach the cosine. Single
+    precision rules out what is clearly below; the rest is taken in double."""
+    links = np.zeros((len(x), len(y)), bool)
+    if not links.size:
+        return links
+    # A dot product of d terms is off by no more than about d roundings.
+    slack = 1e-6 * (4 + x.shape[1] / 8)
+    thin = y.astype(np.float32).T
+    for at in range(0, len(x), STRIP):
+        part = x[at:at + STRIP]
+        maybe = part.astype(np.float32) @ thin >= cosine - slack
+        rows, columns = np.flatnonzero(maybe.any(1)), np.flatnonzero(maybe.any(0))
+        if len(rows):
+            links[np.ix_(at + rows, columns)] = part[rows] @ y[columns].T >= cosine
+    return links
+
+
 def compare_blocks(group: pd.DataFrame, cosine: float, cells: int) -> pd.DataFrame:
     """A block of residents of one cell against another block of residents or
     of guests: (node, links, root) per linked node, links the weight of its
@@ -91,8 +115,8 @@ def compare_blocks(group: pd.DataFrame, cosine: float, cells: int) -> pd.DataFra
     cell = int(group["cell"].iloc[0])
     group = group.sort_values("node")
     x, y = group[group["block"] == i], group[group["block"] == j]
-    links = (unit(np.stack(x["vec"]).astype(np.float64))
-             @ unit(np.stack(y["vec"]).astype(np.float64)).T) >= cosine
+    links = near_pairs(*(unit(np.stack(side["vec"]).astype(np.float64)) if len(side) else
+                         np.zeros((0, 1)) for side in (x, y)), cosine)
     if j < 0:  # the guest's home is a lower cell that the resident visits, too
         visits = np.zeros((len(x), cells), bool)
         for k, probes in enumerate(x["probes"]):
@@ -102,20 +126,27 @@ def compare_blocks(group: pd.DataFrame, cosine: float, cells: int) -> pd.DataFra
     a, b = x["node"].to_numpy(), y["node"].to_numpy()
     if i == j:
         np.fill_diagonal(links, False)
+    strips = [slice(at, at + STRIP) for at in range(0, len(a), STRIP) if links[at:at + STRIP].any()]
     root_a, root_b = a.copy(), b.copy()
     most = np.iinfo(np.int64).max
-    while links.any():  # smallest label through links, to and fro, until nothing moves
-        down = np.minimum(root_b, np.where(links, root_a[:, None], most).min(0))
-        up = np.minimum(root_a, np.where(links, down[None, :], most).min(1))
+    moved = bool(strips)
+    while moved:  # smallest label through links, to and fro, until nothing moves
+        down, up = root_b.copy(), root_a.copy()
+        for s in strips:
+            np.minimum(down, np.where(links[s], root_a[s, None], most).min(0), out=down)
+        for s in strips:
+            up[s] = np.minimum(up[s], np.where(links[s], down[None, :], most).min(1))
         if i == j:
             down = up = np.minimum(up, down)
-        if (down == root_b).all() and (up == root_a).all():
-            break
+        moved = (down != root_b).any() or (up != root_a).any()
         root_a, root_b = up, down
-    out = [pd.DataFrame({"node": a, "links": links @ y["weight"].to_numpy(), "root": root_a})]
+    links_a, links_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+    for s in strips:
+        links_a[s] = links[s] @ y["weight"].to_numpy()
+        links_b += links[s].T @ x["weight"].to_numpy()[s]
+    out = [pd.DataFrame({"node": a, "links": links_a, "root": root_a})]
     if i != j:
-        out.append(pd.DataFrame({"node": b, "links": links.T @ x["weight"].to_numpy(),
-                                 "root": root_b}))
+        out.append(pd.DataFrame({"node": b, "links": links_b, "root": root_b}))
     out = pd.concat(out)
     return out[out["links"] > 0]
 
@@ -140,10 +171,21 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
     nodes = landed(vectors.where("node is not null").groupBy("node").agg(
         F.min("vec_id").alias("rep"), F.count("*").alias("weight"),
         F.first("vec").alias("vec")), "embedding-nodes")
-    found = None
-    for size in sorted(r["n"] for r in nodes.select(F.size("vec").alias("n")).distinct().collect()):
-        part = cell_links(nodes.where(F.size("vec") == size), cosine, max_fit_rows)
-        found = part if found is None else found.union(part)
+    widths = {r["size"]: r["n"] for r in nodes.groupBy(F.size("vec").alias("size"))
+              .agg(F.count("*").alias("n")).where(F.col("n") >= 2 * CELL_NODES).collect()}
+    size = F.size("vec").cast("long")
+    # Widths of a handful of nodes are one cell each, all in one job.
+    few = nodes.where(~size.isin(list(widths))).select(
+        size.alias("cell"), size.alias("home"), F.lit(None).cast("array<int>").alias("probes"),
+        "node", "weight", "vec")
+    found = None if few.isEmpty() else cell_links(landed(few, "embedding-cells"), cosine, 1)
+    for width, n in sorted(widths.items()):
+        k = min(max(CELLS, -(-n // BLOCK)), n // CELL_NODES, max_fit_rows // 16)
+        part = nodes.where(F.size("vec") == width)
+        centres = fit_cells(part, k, max_fit_rows)
+        links = cell_links(landed(assigned(part, centres, cosine), "embedding-cells"), cosine,
+                           len(centres))
+        found = links if found is None else found.union(links)
     joined = vectors.select("vec_id", "node")
     if found is None:
         facts = nodes.select("node", "weight", F.lit(0).alias("links"),
@@ -165,16 +207,9 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
         component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"))
 
 
-def cell_links(nodes: DataFrame, cosine: float, max_fit_rows: int) -> DataFrame:
-    """(node, links, root) of all linked nodes, several rows a node."""
-    n = nodes.count()
-    k = max(2, min(math.isqrt(n) // 4, max_fit_rows // 16))
-    centres = fit_cells(nodes, k, max_fit_rows) if n > 2 * BLOCK else np.zeros((1, 1))
-    if len(centres) == 1:
-        width = nodes.select(F.size("vec").alias("n")).first()["n"]
-        centres = np.ones((1, width)) / math.sqrt(width)
-    cells = len(centres)
-    placed = landed(assigned(nodes, centres, cosine), "embedding-cells")
+def cell_links(placed: DataFrame, cosine: float, cells: int) -> DataFrame:
+    """(node, links, root) of all linked nodes of a table of cells (see
+    :func:`assigned`), several rows a node."""
     # Residents are dealt over blocks 0, 1, ..., guests over blocks -1, -2, ...
     # Guests meet residents only, so most rows go to a single group.
     at_home = F.col("cell") == F.col("home")
