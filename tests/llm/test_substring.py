@@ -76,3 +76,20 @@ def test_index_counts_patterns():
 
 def test_empty_table(spark):
     assert substring.remove_repeats(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_hot_passages_are_found_without_a_shuffle_of_their_places(spark, monkeypatch):
+    """One passage in most texts, and a share at which its minimizers are hot."""
+    prepare(spark)
+    monkeypatch.setattr(substring, "HOT_SHARE", 40)
+    rng = random.Random(3)
+    hot = [f"hot{k}" for k in range(50)]
+    texts = [" ".join([f"w{rng.randrange(9000)}" for _ in range(30)]
+                      + (hot if k % 4 else hot[:30]) + [f"w{rng.randrange(9000)}" for _ in range(20)])
+             for k in range(80)]
+    texts += texts[:30] + ["", None]
+    rows = [(k, t, "x", "y") for k, t in enumerate(texts)]
+    got = substring.remove_repeats(spark.createDataFrame(rows, SCHEMA).repartition(3), 35).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got) \
+        == [(k, *b) for k, b in enumerate(brute(texts, 35))]
+    assert substring.remove_repeats(spark.createDataFrame([], SCHEMA)).collect() == []

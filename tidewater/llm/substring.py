@@ -31,6 +31,8 @@ ANCHOR = 6
 #: Words that a shard's index holds about.
 SHARD_WORDS = 400_000
 PROBE = 4
+#: Minimizers broadcast at most, since each of them has this share of all places.
+HOT_SHARE = 1000
 
 
 # -- segments ----------------------------------------------------------------
@@ -297,10 +299,17 @@ def repeated_parts(docs: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
     texts = docs.withColumn("tid", text_id("text"))
     scan = landed(scanned(texts.select("doc_id", "tid", "text"), width), "substring-scan")
 
-    repeated = (scan.select(F.explode("keys").alias("key")).groupBy("key")
-                .agg(F.count("*").alias("n")).where("n > 1").select("key"))
+    repeated = landed(scan.select(F.explode("keys").alias("key")).groupBy("key")
+                      .agg(F.count("*").alias("n")).where("n > 1"), "substring-repeated")
+    # A key of more than one in HOT_SHARE places is hot. There are at most
+    # HOT_SHARE of them, so they are broadcast and their places stay where they are.
+    total = scan.agg(F.sum(F.size("keys"))).first()[0] or 0
+    hot = repeated.where(F.col("n") * HOT_SHARE > total).select("key")
     places = scan.select("tid", F.posexplode("keys").alias("seg", "key"))
-    wanted = (places.join(repeated, "key", "left_semi").select("tid", "seg").distinct()
+    in_hot = places.join(F.broadcast(hot), "key", "left_semi")
+    in_cold = (places.join(F.broadcast(hot), "key", "left_anti")
+               .join(repeated.select("key"), "key", "left_semi"))
+    wanted = (in_hot.union(in_cold).select("tid", "seg").distinct()
               .groupBy("tid").agg(F.collect_list("seg").alias("wanted")))
     copies = scan.groupBy("tid").agg(F.count("*").alias("copies"))
     # One text of each content: copies meet their like map-side first.
