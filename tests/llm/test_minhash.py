@@ -75,7 +75,8 @@ def test_matches_brute_force(spark, width):
 
 def test_members_apart_are_compared_across_blocks(spark, monkeypatch):
     """Between components of one bucket every linked pair of components is
-    found, whatever the blocks; pairs inside a component aren't compared."""
+    found, whatever the blocks; pairs inside a component aren't compared, and
+    those that share an earlier bucket are compared there only."""
     monkeypatch.setattr(minhash, "BLOCK", 16)
     rng = random.Random(9)
     texts = family(rng, 150, 60, 8)
@@ -84,12 +85,21 @@ def test_members_apart_are_compared_across_blocks(spark, monkeypatch):
     ids = sorted(node)
     comp = {n: (0 if k % 3 else n) for k, n in enumerate(ids)}
     sketch = minhash.odd_sketches(np.stack([minhash.minhashes(node[n]) for n in ids]))
-    rows = [(7, n, comp[n], len(node[n]), *map(int, sketch[k])) for k, n in enumerate(ids)]
-    names = ["key", "node", "comp", "n", *minhash.SKETCH]
-    got = minhash.block_links(
-        spark.createDataFrame(rows, ", ".join(f"{c} long" for c in names)),
-        spark.createDataFrame([(n, bytearray(s.tobytes())) for n, s in node.items()],
-                              "node long, members binary"), 512, 80).collect()
+    # All share the key of band 2; every other node also that of band 0.
+    bands = [[5 if k % 2 else -k, 10_000 + k, 7, *range(k * 100, k * 100 + minhash.BANDS - 3)]
+             for k in range(len(ids))]
+    rows = [(key, n, comp[n], len(node[n]), *bands[k], *map(int, sketch[k]))
+            for k, n in enumerate(ids) for key in ((7, 5) if k % 2 else (7,))]
+    names = ["key", "node", "comp", "n", *minhash.BAND, *minhash.SKETCH]
+    sets = spark.createDataFrame([(n, bytearray(s.tobytes())) for n, s in node.items()],
+                                 "node long, members binary")
+
+    def found(rows):
+        return minhash.block_links(spark.createDataFrame(
+            rows, ", ".join(f"{c} long" for c in names)), sets, 512, 80).collect()
+    got = found(rows)
+    odd = {n for k, n in enumerate(ids) if k % 2}
+    assert not any(r.a in odd and r.b in odd for r in found([r for r in rows if r[0] == 7]))
     linked = {(a, b) for a in ids for b in ids
               if 100 * len(np.intersect1d(node[a], node[b]))
               >= 80 * len(np.union1d(node[a], node[b]))}

@@ -147,12 +147,13 @@ def common_members(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
 
 def block_links(rows: DataFrame, sets: DataFrame, flips: int, percent: int) -> DataFrame:
     """Links (a, b) between different components of one bucket (columns key,
-    node, comp, n, sketch), checked on full sets.
+    node, comp, n, bands, sketch), checked on full sets.
 
     Members of a bucket's largest component need no comparison with one
     another: the others are compared with them and among themselves. Both
     kinds are dealt over blocks of about ``BLOCK``; a pair of blocks is one
-    group, compared in memory. Of the links of a node with one component one
+    group, compared in memory. A pair is compared in its first common bucket
+    only: an earlier one has done it, or its leaders have. Of the links of a node with one component one
     is returned, which is all that components need.
     """
     def compared(group: pd.DataFrame) -> pd.DataFrame:
@@ -166,6 +167,10 @@ def block_links(rows: DataFrame, sets: DataFrame, flips: int, percent: int) -> D
         n, m = left["n"].to_numpy()[:, None], right["n"].to_numpy()[None, :]
         near = ((flipped <= flips) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
                 & (left["comp"].to_numpy()[:, None] != right["comp"].to_numpy()[None, :]))
+        band = list(left[BAND].iloc[0]).index(left["key"].iloc[0]) if len(left) else 0
+        bands = [g[BAND[:band]].to_numpy(np.int64) for g in (left, right)]
+        for k in range(band):
+            near &= bands[0][:, None, k] != bands[1][None, :, k]
         some, other = near.any(1), near.any(0)
         if not some.any():
             return pd.DataFrame({"a": [], "b": []})
@@ -262,7 +267,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
               .join(comps, "node"))
     split = inside.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")) \
         .where("x <> y").select("key")
-    open_rows = landed(inside.join(split, "key", "left_semi").join(facts, "node"), "minhash-open")
+    open_rows = landed(inside.join(split, "key", "left_semi")
+                       .join(facts.join(nodes.select("node", *BAND), "node"), "node"),
+                       "minhash-open")
     if not open_rows.isEmpty():
         found = landed(block_links(open_rows, sets, flips, percent), "minhash-links")
         if not found.isEmpty():
