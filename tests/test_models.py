@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidewater.functions import bot_flag, repo_name_parts
@@ -95,3 +96,17 @@ def test_enrichment_is_case_sensitive_left_join(spark):
     out = {r["event_id"]: r["language"]
            for r in intermediate.events_enriched(ev, meta).collect()}
     assert out == {"1": None, "2": "Go"}
+
+
+def test_pivot_refuses_too_many_values(spark):
+    from tidewater.operators import serving
+
+    long = spark.createDataFrame([(k % 3, f"s{k}", k) for k in range(30)], "d int, s string, v int")
+    assert len(serving.pivot_series(long, "d", "s", "v").columns) == 31
+    before = spark.conf.get("spark.sql.pivotMaxValues")
+    try:
+        spark.conf.set("spark.sql.pivotMaxValues", "20")
+        with pytest.raises(ValueError):
+            serving.pivot_series(long, "d", "s", "v")
+    finally:
+        spark.conf.set("spark.sql.pivotMaxValues", before)

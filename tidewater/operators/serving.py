@@ -135,9 +135,14 @@ def metric_query(df: DataFrame, dimensions: Sequence[str], metrics: Sequence[str
 def pivot_series(long: DataFrame, index: str, pivot: str, value: str,
                  values: Sequence[str] | None = None) -> DataFrame:
     """One column per pivot value. Without a list the values are those of the
-    rows themselves (a chart's rows, limited by its own query), in order."""
+    rows themselves (a chart's rows, limited by its own query), in order; more
+    of them than ``spark.sql.pivotMaxValues`` are refused."""
     if values is None:
-        values = [r[0] for r in long.select(pivot).distinct().orderBy(pivot).collect()]
+        most = int(long.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+        found = long.select(pivot).distinct().orderBy(pivot).limit(most + 1).collect()
+        if len(found) > most:
+            raise ValueError(f"{pivot} has more than {most} values, too many for columns")
+        values = [r[0] for r in found]
     return (long.groupBy(index).pivot(pivot, list(values)).agg(F.sum(value))
                 .orderBy(index))
 

@@ -863,6 +863,17 @@ def q_scheduled_build_language(spark, sf_dir):
     return read_mart(spark, scheduled_build(spark, sf_dir)[1], LANGUAGE_COLUMNS)
 
 
+def shared_inputs(spark: SparkSession, sf_dir: str) -> None:
+    """Build what several queries read and an application builds once."""
+    ensure_conventions(spark)
+    fixtures.raw_events(spark, sf_dir)
+    fixtures.raw_lake_lines(spark, sf_dir)
+    for landed in (fixtures.landed_event_files, fixtures.landed_files_with_broken_lines,
+                   fixtures.landed_mixed_files, fixtures.landed_snapshot_files,
+                   fixtures.landed_lake_files, lake_table, clustered_table, scheduled_build):
+        landed(spark, sf_dir)
+
+
 # -- data quality ------------------------------------------------------------------
 
 @query("dq_stg_events")
