@@ -112,4 +112,8 @@ def test_single_precision_never_decides():
     x = embeddings.unit(rng.normal(size=(300, 48)))
     y = embeddings.unit(np.concatenate([x[:200] + rng.normal(size=(200, 48)) * 0.03, x[:5]]))
     for cosine in (0.95, 0.99, 1 - 1e-12):
-        assert np.array_equal(embeddings.near_pairs(x, y, cosine), x @ y.T >= cosine)
+        links = np.zeros((300, 205), bool)
+        for strip, found in embeddings.near_strips(x, y, cosine):
+            links[strip] = found
+        assert np.array_equal(links, x @ y.T >= cosine)
+    assert list(embeddings.near_strips(x, y[:0], 0.95)) == []

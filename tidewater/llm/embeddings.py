@@ -24,11 +24,11 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.common import connected_components, landed, slices
 
-#: Nodes of one block, and of one cell about.
-BLOCK = 4096
-#: Cells while they fit a block each: a node visits a share of all cells, so it
-#: is copied as often whatever the number of nodes. And nodes a cell at least.
-CELLS, CELL_NODES = 12, 8
+#: Nodes of a cell about, while that gives enough cells: a node visits a share
+#: of all cells, so with few of them it is copied seldom.
+CELL, CELLS, FEW = 4096, 12, 8
+#: Residents of a block and their components at most; blocks of guests are twice that.
+BLOCK, COMPONENTS = 8192, 1 << 19
 #: Rows of a block compared at a time.
 STRIP = 512
 
@@ -88,22 +88,23 @@ def assigned(nodes: DataFrame, centres: np.ndarray, cosine: float) -> DataFrame:
         assign, f"cell long, home long, probes array<int>, node long, weight long, vec {element}")
 
 
-def near_pairs(x: np.ndarray, y: np.ndarray, cosine: float) -> np.ndarray:
-    """Which rows of two matrices of unit vectors reach the cosine. Single
-    precision rules out what is clearly below; the rest is taken in double."""
-    links = np.zeros((len(x), len(y)), bool)
-    if not links.size:
-        return links
-    # A dot product of d terms is off by no more than about d roundings.
+def near_strips(x: np.ndarray, y: np.ndarray, cosine: float
+                ) -> Iterator[tuple[slice, np.ndarray]]:
+    """Strips of rows of x that reach the cosine with some row of y, and which
+    rows do; rows of both are unit vectors. Single precision rules out what is
+    clearly below; the rest is taken in double."""
+    # A product of d terms is off by no more than about d roundings.
     slack = 1e-6 * (4 + x.shape[1] / 8)
     thin = y.astype(np.float32).T
-    for at in range(0, len(x), STRIP):
+    for at in range(0, len(x) if len(y) else 0, STRIP):
         part = x[at:at + STRIP]
         maybe = part.astype(np.float32) @ thin >= cosine - slack
         rows, columns = np.flatnonzero(maybe.any(1)), np.flatnonzero(maybe.any(0))
         if len(rows):
-            links[np.ix_(at + rows, columns)] = part[rows] @ y[columns].T >= cosine
-    return links
+            links = np.zeros(maybe.shape, bool)
+            links[np.ix_(rows, columns)] = part[rows] @ y[columns].T >= cosine
+            if links.any():
+                yield slice(at, at + len(part)), links
 
 
 def compare_blocks(group: pd.DataFrame, cosine: float, cells: int) -> pd.DataFrame:
@@ -115,35 +116,38 @@ def compare_blocks(group: pd.DataFrame, cosine: float, cells: int) -> pd.DataFra
     cell = int(group["cell"].iloc[0])
     group = group.sort_values("node")
     x, y = group[group["block"] == i], group[group["block"] == j]
-    links = near_pairs(*(unit(np.stack(side["vec"]).astype(np.float64)) if len(side) else
-                         np.zeros((0, 1)) for side in (x, y)), cosine)
-    if j < 0:  # the guest's home is a lower cell that the resident visits, too
-        visits = np.zeros((len(x), cells), bool)
-        for k, probes in enumerate(x["probes"]):
-            visits[k, probes] = True
-        home = y["home"].to_numpy()
-        links &= ~(visits[:, home] & (home < cell)[None, :])
     a, b = x["node"].to_numpy(), y["node"].to_numpy()
-    if i == j:
-        np.fill_diagonal(links, False)
-    strips = [slice(at, at + STRIP) for at in range(0, len(a), STRIP) if links[at:at + STRIP].any()]
+    if not len(a) or not len(b):
+        return pd.DataFrame({"node": [], "links": [], "root": []})
+    strips = list(near_strips(*(unit(np.stack(side["vec"]).astype(np.float64))
+                                for side in (x, y)), cosine))
+    for s, links in strips:
+        if j < 0:  # the guest's home is a lower cell that the resident visits, too
+            visits = np.zeros((len(links), cells), bool)
+            for k, probes in enumerate(x["probes"].iloc[s]):
+                visits[k, probes] = True
+            home = y["home"].to_numpy()
+            links &= ~(visits[:, home] & (home < cell)[None, :])
+        elif i == j:
+            links[np.arange(len(links)), np.arange(s.start, s.stop)] = False
+    strips = [(s, links) for s, links in strips if links.any()]
     root_a, root_b = a.copy(), b.copy()
     most = np.iinfo(np.int64).max
     moved = bool(strips)
     while moved:  # smallest label through links, to and fro, until nothing moves
         down, up = root_b.copy(), root_a.copy()
-        for s in strips:
-            np.minimum(down, np.where(links[s], root_a[s, None], most).min(0), out=down)
-        for s in strips:
-            up[s] = np.minimum(up[s], np.where(links[s], down[None, :], most).min(1))
+        for s, links in strips:
+            np.minimum(down, np.where(links, root_a[s, None], most).min(0), out=down)
+        for s, links in strips:
+            up[s] = np.minimum(up[s], np.where(links, down[None, :], most).min(1))
         if i == j:
             down = up = np.minimum(up, down)
         moved = (down != root_b).any() or (up != root_a).any()
         root_a, root_b = up, down
     links_a, links_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
-    for s in strips:
-        links_a[s] = links[s] @ y["weight"].to_numpy()
-        links_b += links[s].T @ x["weight"].to_numpy()[s]
+    for s, links in strips:
+        links_a[s] = links @ y["weight"].to_numpy()
+        links_b += links.T @ x["weight"].to_numpy()[s]
     out = [pd.DataFrame({"node": a, "links": links_a, "root": root_a})]
     if i != j:
         out.append(pd.DataFrame({"node": b, "links": links_b, "root": root_b}))
@@ -172,19 +176,19 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
         F.min("vec_id").alias("rep"), F.count("*").alias("weight"),
         F.first("vec").alias("vec")), "embedding-nodes")
     widths = {r["size"]: r["n"] for r in nodes.groupBy(F.size("vec").alias("size"))
-              .agg(F.count("*").alias("n")).where(F.col("n") >= 2 * CELL_NODES).collect()}
+              .agg(F.count("*").alias("n")).where(F.col("n") >= 2 * FEW).collect()}
     size = F.size("vec").cast("long")
     # Widths of a handful of nodes are one cell each, all in one job.
     few = nodes.where(~size.isin(list(widths))).select(
         size.alias("cell"), size.alias("home"), F.lit(None).cast("array<int>").alias("probes"),
         "node", "weight", "vec")
-    found = None if few.isEmpty() else cell_links(landed(few, "embedding-cells"), cosine, 1)
+    found = None if few.isEmpty() else cell_links(landed(few, "embedding-cells"), cosine, 1, BLOCK)
     for width, n in sorted(widths.items()):
-        k = min(max(CELLS, -(-n // BLOCK)), n // CELL_NODES, max_fit_rows // 16)
+        k = min(max(CELLS, -(-n // CELL)), n // FEW, max_fit_rows // 16)
         part = nodes.where(F.size("vec") == width)
         centres = fit_cells(part, k, max_fit_rows)
         links = cell_links(landed(assigned(part, centres, cosine), "embedding-cells"), cosine,
-                           len(centres))
+                           len(centres), min(BLOCK, max(512, COMPONENTS // width)))
         found = links if found is None else found.union(links)
     joined = vectors.select("vec_id", "node")
     if found is None:
@@ -207,15 +211,15 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
         component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"))
 
 
-def cell_links(placed: DataFrame, cosine: float, cells: int) -> DataFrame:
+def cell_links(placed: DataFrame, cosine: float, cells: int, block: int) -> DataFrame:
     """(node, links, root) of all linked nodes of a table of cells (see
     :func:`assigned`), several rows a node."""
     # Residents are dealt over blocks 0, 1, ..., guests over blocks -1, -2, ...
     # Guests meet residents only, so most rows go to a single group.
     at_home = F.col("cell") == F.col("home")
     blocks = placed.groupBy("cell").agg(
-        F.ceil(F.count_if(at_home) / BLOCK).alias("residents"),
-        F.ceil(F.count_if(~at_home) / BLOCK).alias("guests")).where("residents > 0")
+        F.ceil(F.count_if(at_home) / block).alias("residents"),
+        F.ceil(F.count_if(~at_home) / (2 * block)).alias("guests")).where("residents > 0")
     residents = F.sequence(F.lit(0).cast("long"), F.col("residents") - 1)
     guests = F.when(F.col("guests") > 0, F.sequence(F.lit(-1).cast("long"), -F.col("guests"),
                                                     F.lit(-1).cast("long"))) \
