@@ -14,7 +14,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -156,32 +155,43 @@ def block_links(rows: DataFrame, sets: DataFrame, flips: int, percent: int) -> D
     only: an earlier one has done it, or its leaders have. Of the links of a node with one component one
     is returned, which is all that components need.
     """
-    def compared(group: pd.DataFrame) -> pd.DataFrame:
-        i, j = group["i"].iloc[0], group["j"].iloc[0]
-        group = group.sort_values("node")
-        left, right = group[group["block"] == i], group[group["block"] == j]
-        x, y = (g[SKETCH].to_numpy(np.int64).view(U64) for g in (left, right))
-        flipped = np.zeros((len(x), len(y)), np.int32)
-        for k in range(x.shape[1]):
-            flipped += np.bitwise_count(x[:, None, k] ^ y[None, :, k])
-        n, m = left["n"].to_numpy()[:, None], right["n"].to_numpy()[None, :]
-        near = ((flipped <= flips) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
-                & (left["comp"].to_numpy()[:, None] != right["comp"].to_numpy()[None, :]))
-        band = list(left[BAND].iloc[0]).index(left["key"].iloc[0]) if len(left) else 0
-        bands = [g[BAND[:band]].to_numpy(np.int64) for g in (left, right)]
-        for k in range(band):
-            near &= bands[0][:, None, k] != bands[1][None, :, k]
+    def compared(table: pa.Table) -> pa.Table:
+        t = {c: table[c].combine_chunks() for c in table.column_names}
+        node, block, comp, n = (t[c].to_numpy() for c in ("node", "block", "comp", "n"))
+        order = np.argsort(node, kind="stable")
+        left, right = (order[block[order] == t[c][0].as_py()] for c in ("i", "j"))
+        nothing = np.zeros(0, np.int64)
+        a = b = nothing
+        if len(left) and len(right):
+            a, b = links_between(left, right, node, comp, n, t)
+        return pa.table({"a": a, "b": b})
+
+    def links_between(left: np.ndarray, right: np.ndarray, node: np.ndarray, comp: np.ndarray,
+                      n: np.ndarray, t: dict) -> tuple[np.ndarray, np.ndarray]:
+        bands, sketch = (t[c].flatten().to_numpy().reshape(len(node), -1)
+                         for c in ("bands", "sketch"))
+        near = comp[left][:, None] != comp[right][None, :]
+        n, m = n[left][:, None], n[right][None, :]
+        near &= 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
+        earlier = int(np.flatnonzero(bands[left[0]] == t["key"][0].as_py())[0])
+        for k in range(earlier if near.any() else 0):
+            near &= bands[left, k][:, None] != bands[right, k][None, :]
+        if near.any():
+            x, y = sketch[left].view(U64), sketch[right].view(U64)
+            flipped = np.zeros(near.shape, np.int32)
+            for k in range(x.shape[1]):
+                flipped += np.bitwise_count(x[:, None, k] ^ y[None, :, k])
+            near &= flipped <= flips
         some, other = near.any(1), near.any(0)
         if not some.any():
-            return pd.DataFrame({"a": [], "b": []})
-        left, right = left[some], right[other]
-        common = common_members(*([np.frombuffer(s, U64) for s in g["members"]]
-                                  for g in (left, right)))
+            return node[:0], node[:0]
+        common = common_members(*([np.frombuffer(t["members"][k].as_buffer(), U64) for k in rows]
+                                  for rows in (left[some], right[other])))
         union = n[some] + m[:, other] - common
         at = np.nonzero(near[some][:, other] & (100 * common >= percent * union))
-        a, b = left["node"].to_numpy()[at[0]], right["node"].to_numpy()[at[1]]
-        found = pd.DataFrame({"a": a, "b": b, "comp": right["comp"].to_numpy()[at[1]]})
-        return found.drop_duplicates(["a", "comp"])[["a", "b"]]
+        a, b = left[some][at[0]], right[other][at[1]]
+        _, first = np.unique(np.stack([a, comp[b]]), axis=1, return_index=True)
+        return node[a[first]], node[b[first]]
 
     sizes = rows.groupBy("key", "comp").agg(F.count("*").alias("size"))
     largest = sizes.groupBy("key").agg(F.max(F.struct("size", "comp")).alias("most"),
@@ -189,7 +199,9 @@ def block_links(rows: DataFrame, sets: DataFrame, flips: int, percent: int) -> D
     blocks = largest.select("key", F.col("most.comp").alias("main"),
                             F.ceil((F.col("all") - F.col("most.size")) / BLOCK).alias("others"),
                             F.ceil(F.col("most.size") / BLOCK).alias("mains"))
-    dealt = rows.join(blocks, "key").withColumn("is_main", F.col("comp") == F.col("main"))
+    packed = rows.select("key", "node", "comp", "n", F.array(*BAND).alias("bands"),
+                         F.array(*SKETCH).alias("sketch"))
+    dealt = packed.join(blocks, "key").withColumn("is_main", F.col("comp") == F.col("main"))
     # Blocks of the others count up from 0, those of the main one down from -1.
     block = F.when(F.col("is_main"), -1 - F.pmod(F.xxhash64("node"), "mains")) \
         .otherwise(F.pmod(F.xxhash64("node"), "others"))
@@ -201,8 +213,11 @@ def block_links(rows: DataFrame, sets: DataFrame, flips: int, percent: int) -> D
              .withColumn("i", F.greatest("block", "other"))
              .withColumn("j", F.least("block", "other"))
              .withColumn("pair", F.xxhash64("key", "i", "j"))
-             .join(sets.select("node", "members"), "node"))
-    return dealt.groupBy("pair").applyInPandas(compared, "a long, b long").distinct()
+             .join(sets.select("node", "members"), "node")
+             .select("pair", "key", "i", "j", "block", "node", "comp", "n", "bands", "sketch",
+                     "members"))
+    # Arrow, not pandas: most groups are small, and there are very many of them.
+    return dealt.groupBy("pair").applyInArrow(compared, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",
