@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import types
 from collections.abc import Iterator
@@ -136,6 +137,17 @@ def worker_store(name: str, key: str = "") -> dict:
     return stores[name, key]
 
 
+def drop_stores() -> None:
+    """Give up what :func:`worker_store` and Arrow's memory pool hold in this
+    worker: called where the tasks of an operator without a cache begin, so
+    that they don't run beside the cache of the one before."""
+    module = sys.modules.get("_tidewater_worker_store")
+    if module is not None and module.__dict__.get("stores"):
+        module.stores.clear()
+        gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 def range_of(key: Column, starts: list[int]) -> Column:
     @F.arrow_udf("long")
     def at(keys: pa.Array) -> pa.Array:

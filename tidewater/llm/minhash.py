@@ -19,8 +19,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import (U64, connected_components, landed, mixed, ngram_hashes, slices,
-                                  word_hashes, words_of)
+from tidewater.llm.common import (U64, connected_components, drop_stores, landed, mixed, ngram_hashes,
+                                  slices, word_hashes, words_of)
 
 BANDS, ROWS = 20, 4
 SAMPLES = BANDS * ROWS
@@ -82,6 +82,7 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
     """(doc_id, node, n, bands, sketch) of a (doc_id, text) table; node is null
     for a text without words."""
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_stores()
         for batch in slices(batches):
             sets = [shingle_set(t, width) for t in batch["text"].to_pylist()]
             samples = np.stack([minhashes(s) for s in sets])
@@ -301,6 +302,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
 
 def set_rows(texts: DataFrame, width: int) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_stores()
         for batch in slices(batches):
             sets = [s for t in batch["text"].to_pylist() if len(s := shingle_set(t, width))]
             yield pa.RecordBatch.from_pydict({

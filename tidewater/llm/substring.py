@@ -24,7 +24,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import U64, landed, ngram_hashes, slices, word_hashes, words_of
+from tidewater.llm.common import (U64, drop_stores, landed, ngram_hashes, slices, word_hashes,
+                                  words_of)
 
 #: Words of a minimizer; windows of a segment share one.
 ANCHOR = 6
@@ -224,6 +225,7 @@ def digest(words: list[bytes]) -> str:
 def scanned(docs: DataFrame, width: int) -> DataFrame:
     """(doc_id, tid, n_words, sha, keys) of (doc_id, tid, text)."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_stores()
         for batch in slices(batches):
             n, sha, keys = [], [], []
             for text in batch["text"].to_pylist():
@@ -243,6 +245,7 @@ def segment_rows(texts: DataFrame, width: int, with_words: bool) -> DataFrame:
     """The wanted segments (by number, in ``wanted``) of each distinct text:
     (tid, seg, start, sid, key) or, as payload, (sid, words)."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_stores()
         for batch in slices(batches, 64):
             out: dict[str, list] = {k: [] for k in ("tid", "seg", "start", "sid", "key", "words")}
             for tid, text, wanted in zip(batch["tid"].to_pylist(), batch["text"].to_pylist(),
@@ -269,6 +272,7 @@ def cut_texts(texts: DataFrame, width: int) -> DataFrame:
     """(tid, n_removed, kept_sha, kept) of texts with the intervals of their
     repeated windows."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_stores()
         for batch in slices(batches, 64):
             removed, shas, kept_texts = [], [], []
             for text, spans in zip(batch["text"].to_pylist(), batch["spans"].to_pylist()):
