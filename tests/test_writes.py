@@ -56,8 +56,13 @@ def test_folders_of_a_load_that_died_are_found(spark, scratch, monkeypatch):
             lake_load.load_events(spark, root, loc, D(2024, 1, 5), D(2024, 1, 5))
     assert len(stored(spark, loc)) == 3
     _land_lines(root, "2024-01-05", 3, [LINE % (1, 1, 5)])
+    listed = []
+    matching = notes.matching
+    monkeypatch.setattr(notes, "matching", lambda *a: listed.append(a[1]) or matching(*a))
     lake_load.run_load(spark, root, loc, D(2024, 1, 5), D(2024, 1, 5))
-    assert stored(spark, loc) == [("1", D(2024, 1, 5), D(2024, 1, 5))]
+    assert stored(spark, loc) == [("1", D(2024, 1, 5), D(2024, 1, 5))] and len(listed) == 1
+    lake_load.run_load(spark, root, loc, D(2024, 1, 5), D(2024, 1, 5))
+    assert len(listed) == 1  # the load that died has been replaced
 
 
 def test_other_landing_days_keep_their_stragglers(spark, scratch):
@@ -360,3 +365,32 @@ def test_newest_rows_of_a_long_mart(spark):
     got = serving.select_all_limited(df, [F.desc("event_date"), "contributor_type"], 500).collect()
     assert len(got) == 500 and {r["event_date"] for r in got} == set(days[-250:])
     assert len(DaySpan(days[0], days[-1])) == 300
+
+
+def test_catalog_views_prune_and_know_only_what_they_were_told(spark, scratch):
+    from tidewater.plans import catalog
+
+    place, root, snaps = scratch("catalog"), scratch("landing"), scratch("snapshots")
+    db = "tw_" + place.rsplit("-", 1)[1]
+    for day in (2, 3):
+        _land_lines(root, f"2024-01-{day:02d}", 3, [LINE % (day, day, day), "no json"])
+    spark.createDataFrame([('{"full_name":"o/r","language":"Go"}', D(2024, 1, 1)),
+                           ('{"full_name":"o/r","language":"Rust"}', D(2024, 1, 7))],
+                          "value string, enriched_date date") \
+        .write.partitionBy("enriched_date").text(snaps)
+    assert catalog.create_models(spark, db, place, root, snaps)[-1] == "events_enriched"
+    assert spark.table(f"{db}.stg_events").count() == 0        # nothing is known yet
+    assert catalog.refresh_events(spark, db, root, [D(2024, 1, 2)]) == 1
+    assert catalog.refresh_snapshots(spark, db, snaps) == 2
+    for _ in range(2):
+        assert [(r["event_id"], r["language"]) for r in
+                spark.table(f"{db}.events_enriched").collect()] == [("2", "Rust")]
+    assert catalog.refresh_events(spark, db, root) == 2        # one of them anew
+    found = spark.sql(f"SELECT event_id, is_bot FROM {db}.events_classified "
+                      "WHERE event_date = DATE '2024-01-03'")
+    assert [tuple(r) for r in found.collect()] == [("3", False)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "InMemoryFileIndex(1 paths)" in plan and "PartitionFilters" in plan
+    wanted = registry.QUERIES["events_classified"](spark, SF_SMALL)
+    assert spark.table(f"{db}.events_classified").schema.simpleString() \
+        == wanted.schema.simpleString()

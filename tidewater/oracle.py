@@ -501,6 +501,10 @@ register("load_repaired_rerun", """
 SELECT CAST(created_at AS DATE) AS created_date, CAST(created_at AS DATE) AS landed_date,
        COUNT(*) AS event_count
 FROM lake GROUP BY 1""", "lake")
+register("catalog_models", """
+SELECT event_date, contributor_type, language, COUNT(*) AS event_count FROM enriched
+WHERE event_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-11'
+GROUP BY event_date, contributor_type, language""", "enriched")
 register("load_job_from_files", """
 SELECT CAST(created_at AS DATE) AS event_date, COUNT(*) AS source_count,
        COUNT(*) AS target_count, CAST(0 AS BIGINT) AS delta

@@ -104,7 +104,7 @@ LANDED = "landed_date"
 
 # -- what landed where -------------------------------------------------------
 
-LOADS_SCHEMA = "load string, first date, last date, done boolean"
+LOADS_SCHEMA = "load string, first date, last date"
 NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -112,31 +112,46 @@ def loads_path(location: str) -> str:
     return location.rstrip("/") + "_loads"
 
 
-def note_load(spark: SparkSession, location: str, load: str, span: DaySpan, done: bool) -> None:
+def note_load(spark: SparkSession, location: str, load: str, span: DaySpan) -> None:
+    """Note that a load has begun; its commit carries the same id."""
     notes.append(spark, loads_path(location), spark.range(1).select(
         F.lit(load).alias("load"), F.lit(span.first).alias("first"),
-        F.lit(span.last).alias("last"), F.lit(done).alias("done")))
+        F.lit(span.last).alias("last")))
 
 
 def folder(location: str, partition_column: str, day: str | None, landed: str) -> str:
     return f"{location.rstrip('/')}/{partition_column}={day or NO_DAY}/{LANDED}={landed}"
 
 
+Folders = set[tuple[str | None, str]]
+
+
 def filled_folders(spark: SparkSession, location: str, partition_column: str,
-                   span: DaySpan) -> set[tuple[str | None, str]]:
+                   span: DaySpan) -> tuple[Folders, list[str]]:
     """(day, landing day) of the folders that hold rows which landed on the
     days of ``span``, by the write history. A load that began in those days
     but never finished may have filled any folder: only then are the folders
-    themselves listed, over all days of the table."""
-    began = (notes.read(spark, loads_path(location), LOADS_SCHEMA, distinct=False)
+    themselves listed, over all days of the table. Such loads that lie in the
+    span come second: a load of the span replaces them."""
+    began = {r["load"]: r for r in notes.read(spark, loads_path(location), LOADS_SCHEMA, False)
              .where((F.col("first") <= F.lit(span.last)) & (F.col("last") >= F.lit(span.first)))
-             .select("load", "done").collect())  # loads of these days
-    if {r["load"] for r in began} - {r["load"] for r in began if r["done"]}:
-        return listed_folders(spark, location, partition_column, span)
+             .collect()}  # loads of these days
+    if not began:
+        return set(), []
+    history = notes.read(spark, history_path(location), HISTORY_SCHEMA, distinct=False)
     summary = F.col("summary")
+    over = F.concat(F.array(summary["load"]), F.coalesce(
+        F.from_json(summary["replaced-loads"], "array<string>"), F.array()))
+    over = {r[0] for r in history.where(summary["load"].isNotNull())
+            .select(F.explode(over).alias("load")).where(F.col("load").isin(list(began))).collect()}
+    broken = began.keys() - over
+    if broken:
+        inside = [k for k in broken
+                  if span.first <= began[k]["first"] and began[k]["last"] <= span.last]
+        return listed_folders(spark, location, partition_column, span), sorted(inside)
     folders = F.from_json(summary["folders"], "array<array<string>>")
     emptied = F.from_json(summary["emptied-folders"], "array<array<string>>")
-    told = (notes.read(spark, history_path(location), HISTORY_SCHEMA, distinct=False)
+    told = (history
             .select("committed_at", F.explode(F.concat(
                 F.transform(folders, lambda f: F.struct(F.lit(True).alias("filled"),
                                                         f.alias("folder"))),
@@ -147,11 +162,11 @@ def filled_folders(spark: SparkSession, location: str, partition_column: str,
             .where(F.col("landed").between(span.first.isoformat(), span.last.isoformat())))
     last = {(r["day"], r["landed"]): r["filled"]
             for r in sorted(told.collect(), key=lambda r: r["committed_at"])}
-    return {key for key, filled in last.items() if filled}
+    return {key for key, filled in last.items() if filled}, []
 
 
 def listed_folders(spark: SparkSession, location: str, partition_column: str,
-                   span: DaySpan) -> set[tuple[str | None, str]]:
+                   span: DaySpan) -> Folders:
     pattern = span.folders(f"{location.rstrip('/')}/{partition_column}=*", LANDED)
     values = {tuple(part.split("=")[1] for part in f.rstrip("/").split("/")[-2:])
               for f in notes.matching(spark, pattern)}
@@ -184,12 +199,12 @@ def overwrite_days(spark: SparkSession, df: DataFrame, location: str, partition_
     landed = F.col(landing_column) if landing_column else F.coalesce(
         F.least(F.greatest(part, F.lit(start)), F.lit(end)), F.lit(start))
     rows = df.withColumn(LANDED, landed).drop(*drop_columns_of(df, landing_column))
-    before = filled_folders(spark, location, partition_column, span)
+    before, replaced = filled_folders(spark, location, partition_column, span)
     load = uuid.uuid4().hex
-    note_load(spark, location, load, span, False)
+    note_load(spark, location, load, span)
     total = {"source-records": 0, "straggler-records": 0, "undated-records": 0}
     per_day: dict[str, int] = {}
-    folders: set[tuple[str | None, str]] = set()
+    folders: Folders = set()
     extra: dict[str, object] = {}
     for days in span.chunks(days_per_write):
         metrics = [F.count(F.lit(1)).alias("source-records"),
@@ -231,8 +246,8 @@ def overwrite_days(spark: SparkSession, df: DataFrame, location: str, partition_
                "added-records": total["source-records"], "per-day": per_day,
                "folders": sorted(map(list, folders), key=str),
                "emptied-folders": sorted(map(list, emptied), key=str), **extra}
-    record_commit(spark, location, operation, summary)
-    note_load(spark, location, load, span, True)
+    record_commit(spark, location, operation, {**summary, "load": load,
+                                                 "replaced-loads": replaced})
     return summary
 
 

@@ -828,6 +828,25 @@ def q_model_views(spark, sf_dir):
                      "FROM events_enriched GROUP BY contributor_type, language")
 
 
+@query("catalog_models")
+def q_catalog_models(spark, sf_dir):
+    """OP-K8/S2: external tables over the landed files and views on them in
+    the catalog; a range of days is pruned there."""
+    from tidewater.plans import catalog
+
+    place = scratch_path(spark, "catalog")
+    database = "tw_" + place.rsplit("-", 1)[1]
+    events = fixtures.landed_event_files(spark, sf_dir)
+    snapshots = fixtures.landed_snapshot_files(spark, sf_dir)
+    catalog.create_models(spark, database, place, events, snapshots)
+    catalog.refresh_events(spark, database, events)
+    catalog.refresh_snapshots(spark, database, snapshots)
+    return spark.sql(
+        f"SELECT event_date, contributor_type, language, COUNT(*) AS event_count "
+        f"FROM {database}.events_enriched WHERE event_date BETWEEN DATE '{RANGE_START}' "
+        f"AND DATE '{RANGE_END}' GROUP BY event_date, contributor_type, language")
+
+
 # -- scheduled build from landed files ------------------------------------------
 
 _BUILDS: dict[tuple[str, str], tuple[str, str]] = {}
