@@ -84,6 +84,7 @@ def main() -> None:
         load("load_job", small, start, end)
         load("load_job_large_files", large, start, last)
         extra.update({
+            "load_records_per_sec_per_core": extra["load_job_records_per_sec_per_core"],
             "baseline_records_per_sec": round(BASELINE_RECORDS_PER_SEC, 1),
             "baseline_records_per_sec_per_core": round(BASELINE_RECORDS_PER_SEC_PER_CORE, 1),
         })
