@@ -311,6 +311,36 @@ def test_clustered_days_are_read_in_part(spark, scratch):
         spark, f"{loc}/created_date=2024-01-09")
 
 
+def moments(spark, n, payload="{}"):
+    """Lake events of one day, all of the same second."""
+    person = "struct<id:bigint,login:string,gravatar_id:string,url:string,avatar_url:string>"
+    names = ("login", "display_login", "gravatar_id", "url", "avatar_url")
+    return spark.range(n).select(
+        F.md5(F.col("id").cast("string")).alias("id"), F.lit("PushEvent").alias("type"),
+        F.struct("id", *[F.lit("x").alias(c) for c in names]).alias("actor"),
+        F.struct("id", F.lit("o/r").alias("name"), F.lit("u").alias("url")).alias("repo"),
+        F.lit(payload).alias("payload"), F.lit(True).alias("public"),
+        F.lit(dt.datetime(2024, 1, 9, 5)).cast("timestamp").alias("created_at"),
+        F.lit(None).cast(person).alias("org"))
+
+
+def rows_of_files(spark, loc):
+    t = lake_load.read_events(spark, loc).groupBy(F.input_file_name().alias("f")).count()
+    return sorted(r["count"] for r in t.collect())
+
+
+def test_no_task_of_clustering_holds_more_than_a_file(spark, scratch):
+    loc, day, n = scratch("lake"), D(2024, 1, 9), 40_000
+    lake_load.write_events(spark, moments(spark, n), loc, day, day)
+    lake_load.cluster_events(spark, loc, day, day, rows_per_file=5_000)
+    files = rows_of_files(spark, loc)  # one moment is cut by the ids
+    assert sum(files) == n and len(files) >= 8 and files[-1] < 8_000
+    lake_load.write_events(spark, moments(spark, 4_000, "w" * 2_000), loc, day, day)
+    lake_load.cluster_events(spark, loc, day, day, bytes_per_file=1_000_000)
+    files = rows_of_files(spark, loc)  # wide rows: about 450 a file
+    assert sum(files) == 4_000 and len(files) >= 8 and files[-1] < 900
+
+
 def test_sql_functions_are_expressions(spark):
     from tidewater.functions.sql import register_sql_functions
 

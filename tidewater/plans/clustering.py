@@ -10,44 +10,65 @@ the row groups that don't hold the value looked up.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StringType, StructType
 
 from tidewater.plans import sinks
 from tidewater.session import scratch_path
 
 ROWS_PER_FILE = 4_000_000
+#: What one task sorts, in memory: files hold fewer rows if they are wide.
+BYTES_PER_FILE = 192 << 20
 ROW_GROUP_BYTES = 32 << 20
 
 
-def ranged(rows: DataFrame, by: Sequence[str], rows_per_file: int) -> DataFrame:
-    """Rows dealt over ranges of ``by`` of about equal size, sorted in each. A
-    value range that holds very many rows is cut by the columns that follow."""
-    n = rows.count()
-    return rows.repartitionByRange(max(1, -(-n // rows_per_file)), *by).sortWithinPartitions(*by)
+def width(value: Column, kind: DataType) -> Column:
+    """About the bytes that a value takes in a sort: fields by eight, texts by
+    their length, collections by that of their JSON."""
+    if isinstance(kind, StructType):
+        return sum((width(value[f.name], f.dataType) for f in kind.fields), F.lit(8))
+    if isinstance(kind, (StringType, BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0)) + 16
+    if isinstance(kind, (ArrayType, MapType)):
+        return F.coalesce(F.octet_length(F.to_json(value)), F.lit(0)) + 32
+    return F.lit(8)
 
 
 def cluster_days(spark: SparkSession, location: str, schema: StructType,
                  days: Sequence[dt.date], partitions: Sequence[str], by: str,
                  lookup: Sequence[str] = (), rows_per_file: int = ROWS_PER_FILE,
-                 row_group_bytes: int = ROW_GROUP_BYTES) -> dict:
+                 row_group_bytes: int = ROW_GROUP_BYTES,
+                 bytes_per_file: int = BYTES_PER_FILE) -> dict:
     """Rewrite the folders of ``days`` (first of the ``partitions`` columns)
     clustered by ``by``, with Bloom filters on ``lookup``; the rows stay the
     same. The copy is staged first and swapped in like a merge, so a failure
     leaves the old files or is completed by the next run. Other days' folders
-    are neither listed nor touched."""
+    are neither listed nor touched.
+
+    The stage is a plain copy, counted and measured as it is written. The swap
+    deals it over that many ranges of about equal size and sorts each, so a
+    task holds one file's rows whatever the length of the days. Rows of one
+    moment are told apart by the ``lookup`` columns."""
     sinks.recover(spark, location)
     root = location.rstrip("/")
     names = ",".join(d.isoformat() for d in days)
     rows = (spark.read.schema(schema).option("basePath", root)
             .parquet(f"{root}/{partitions[0]}={{{names}}}"))
-    order = [*partitions, by]
     stage = scratch_path(spark, "cluster")
-    ranged(rows, order, rows_per_file).write.mode("overwrite").parquet(stage)
-    sinks.swap_in(spark, location, stage, "dynamic", ",".join(partitions), order=by,
-                  lookup=",".join(lookup), row_group_bytes=row_group_bytes)
+    obs = Observation(f"cluster_{uuid.uuid4().hex[:8]}")
+    (rows.observe(obs, F.count(F.lit(1)).alias("rows"),
+                  F.sum(sum((width(F.col(f.name), f.dataType) for f in schema.fields), F.lit(0))
+                        .cast("bigint")).alias("bytes"))
+         .write.mode("overwrite").parquet(stage))
+    files = max(1, -(-obs.get["rows"] // rows_per_file),
+                -(-(obs.get["bytes"] or 0) // bytes_per_file))
+    sinks.swap_in(spark, location, stage, "dynamic", ",".join(partitions),
+                  order=",".join([by, *lookup]), lookup=",".join(lookup),
+                  row_group_bytes=row_group_bytes, files=files)
     summary = {"days": [d.isoformat() for d in sorted(days)], "clustered-by": by,
                "lookup": list(lookup)}
     sinks.record_commit(spark, location, "cluster", summary)
