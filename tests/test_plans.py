@@ -3,6 +3,7 @@
 import datetime as dt
 
 from conftest import SF_SMALL
+from pyspark.sql import functions as F
 from tidewater import registry
 from tidewater.sources import fixtures
 
@@ -94,6 +95,32 @@ def test_building_the_enrichment_runs_no_job(spark):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
+def test_events_are_never_the_broadcast_side(spark, scratch):
+    from tidewater.operators import intermediate, marts
+    from tidewater.plans.model_build import stage_classified, stage_metadata
+
+    # Events pack into smaller files than the metadata's own texts do.
+    events = stage_classified(spark, spark.range(20_000).select(
+        F.lit(dt.date(2024, 1, 9)).alias("event_date"), F.lit(3).alias("event_hour"),
+        F.col("id").cast("string").alias("event_id"), F.lit("PushEvent").alias("event_type"),
+        F.lit("u").alias("actor_login"), F.lit("User").alias("actor_type"),
+        F.lit("o/r1").alias("repo_name"), F.lit(dt.datetime(2024, 1, 9, 3)).alias("created_at"),
+        F.lit(False).alias("is_bot"), F.lit("human").alias("contributor_type")), scratch("events"))
+    meta = registry.latest_meta(spark, SF_SMALL).limit(0).unionByName(spark.range(200).select(
+        F.concat(F.lit("o/r"), "id").alias("repo_full_name"), F.lit("Go").alias("language"),
+        *[F.lit(None).cast(t).alias(c) for c, t in registry.latest_meta(spark, SF_SMALL).dtypes
+          if c not in ("repo_full_name", "language")]).select(
+              registry.latest_meta(spark, SF_SMALL).columns))
+    for most, joined in ((1 << 20, "BroadcastHashJoin"), (100, "SortMergeJoin")):
+        m = stage_metadata(spark, meta, scratch("meta"), most)
+        mart = marts.language_activity(intermediate.events_enriched(events, m), registry.AS_OF)
+        assert [(r["language"], r["event_count"]) for r in mart.collect()] == [("Go", 20_000)]
+        p = plan(mart)
+        assert joined in p and "BuildLeft" not in p
+    p = plan(registry.QUERIES["language_activity"](spark, SF_SMALL))
+    assert "BuildRight" in p and "BuildLeft" not in p
+
+
 def test_serving_reads_stored_marts(spark):
     for key in ("summary_metrics", "top_languages", "metric_query_language_day", "dq_trends",
                 "contributor_trends_select"):

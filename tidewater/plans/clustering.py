@@ -13,10 +13,11 @@ import datetime as dt
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, Observation, SparkSession
+from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StringType, StructType
+from pyspark.sql.types import StructType
 
+from tidewater.functions.columns import bytes_of_rows
 from tidewater.plans import sinks
 from tidewater.session import scratch_path
 
@@ -26,18 +27,6 @@ BYTES_PER_FILE = 192 << 20
 ROW_GROUP_BYTES = 32 << 20
 
 
-def width(value: Column, kind: DataType) -> Column:
-    """About the bytes that a value takes in a sort: fields by eight, texts by
-    their length, collections by that of their JSON."""
-    if isinstance(kind, StructType):
-        return sum((width(value[f.name], f.dataType) for f in kind.fields), F.lit(8))
-    if isinstance(kind, (StringType, BinaryType)):
-        return F.coalesce(F.octet_length(value), F.lit(0)) + 16
-    if isinstance(kind, (ArrayType, MapType)):
-        return F.coalesce(F.octet_length(F.to_json(value)), F.lit(0)) + 32
-    return F.lit(8)
-
-
 def cluster_days(spark: SparkSession, location: str, schema: StructType,
                  days: Sequence[dt.date], partitions: Sequence[str], by: str,
                  lookup: Sequence[str] = (), rows_per_file: int = ROWS_PER_FILE,
@@ -61,11 +50,10 @@ def cluster_days(spark: SparkSession, location: str, schema: StructType,
     stage = scratch_path(spark, "cluster")
     obs = Observation(f"cluster_{uuid.uuid4().hex[:8]}")
     (rows.observe(obs, F.count(F.lit(1)).alias("rows"),
-                  F.sum(sum((width(F.col(f.name), f.dataType) for f in schema.fields), F.lit(0))
-                        .cast("bigint")).alias("bytes"))
+                  bytes_of_rows(schema).alias("bytes"))
          .write.mode("overwrite").parquet(stage))
     files = max(1, -(-obs.get["rows"] // rows_per_file),
-                -(-(obs.get["bytes"] or 0) // bytes_per_file))
+                -(-obs.get["bytes"] // bytes_per_file))
     sinks.swap_in(spark, location, stage, "dynamic", ",".join(partitions),
                   order=",".join([by, *lookup]), lookup=",".join(lookup),
                   row_group_bytes=row_group_bytes, files=files)
